@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, media, mixing, token_counts
+from . import exact_dedup, media, mixing, near_dedup, packing, token_counts
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -23,11 +27,15 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(table(spark, sf_dir, "documents")).drop("low_hash")
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_components(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op6_token_counts, op8_media, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op5_packing, op6_token_counts, op8_media, op9_near_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
