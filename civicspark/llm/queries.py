@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, media, mixing, near_dedup, packing, quality, token_counts, warc
+from . import exact_dedup, html_text, media, mixing, near_dedup, packing, quality, suffix_dedup, token_counts, warc
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(table(spark, sf_dir, "documents")).drop("low_hash")
 
@@ -47,7 +51,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_html_text, op4_warc, op5_packing, op6_token_counts, op8_media, op9_near_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_html_text, op4_warc, op5_packing, op6_token_counts, op7_suffix_dedup, op8_media, op9_near_dedup, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
