@@ -1 +1,127 @@
-"""To come."""
+"""Queries of matching (JN-7 to JN-12, JN-33 to JN-35, FN-27, AG-24 to AG-26, AG-61)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from civicspark.functions import text
+from civicspark.functions.money import total
+from civicspark.operators import matching
+
+from .model import in_sql, model, oracle, raw
+from .money import M
+from .registry import query
+from .scalars import WORDS_SQL
+
+#: Targets as filed, one for each distinct name and office, and the registry of candidates.
+TARGETS = "SELECT DISTINCT p_name || CASE WHEN p_size % 5 = 0 THEN ' x' ELSE '' END || '|' || p_brand AS target_id, CASE WHEN p_size % 4 = 0 THEN upper(p_name) ELSE p_name || CASE WHEN p_size % 5 = 0 THEN ' x' ELSE '' END END AS name, CASE p_brand WHEN 'Brand#1' THEN 1 WHEN 'Brand#2' THEN 2 WHEN 'Brand#3' THEN 3 END AS ward, CAST(NULL AS VARCHAR(1)) AS district FROM part WHERE p_size < 12"
+REGISTRY = "SELECT p_partkey AS candidate_id, p_name AS name, CAST(p_size % 4 AS INT) AS ward, CASE WHEN p_size % 3 = 0 THEN 'a' END AS district, p_partkey AS ord FROM part WHERE p_partkey % 40 < 3"
+_NORM = "trim(regexp_replace(regexp_replace(lower({}), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
+
+
+def _views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    raw(spark, sf_dir, "part").createOrReplaceTempView("part")
+    return spark.sql(TARGETS.replace("VARCHAR(1)", "STRING")), spark.sql(REGISTRY)
+
+
+def _rung_sql(i: int, name: str, tkey: str, rkey: str) -> str:
+    return f"""SELECT target_id, {i} AS rung, '{name}' AS method, CASE WHEN n = 1 THEN first WHEN nw = 1 THEN bw WHEN nd = 1 THEN bd ELSE first END AS candidate_id, n > 1 AND nw <> 1 AS needs_review FROM (
+      SELECT t.target_id, count(DISTINCT candidate_id) AS n, count(DISTINCT CASE WHEN r.ward = t.ward THEN candidate_id END) AS nw, count(DISTINCT CASE WHEN r.district = t.district THEN candidate_id END) AS nd,
+        arg_min(candidate_id, (ord, candidate_id)) AS first, max(CASE WHEN r.ward = t.ward THEN candidate_id END) AS bw, max(CASE WHEN r.district = t.district THEN candidate_id END) AS bd FROM t JOIN r ON {tkey} = {rkey} GROUP BY 1)"""
+
+
+LADDER = f"""WITH t AS ({TARGETS}), r AS ({REGISTRY}), hits AS ({_rung_sql(1, 'exact', 't.name', 'r.name')} UNION ALL {_rung_sql(2, 'folded', _NORM.format('t.name'), _NORM.format('r.name'))} UNION ALL {_rung_sql(3, 'surname', "split_part(lower(t.name), ' ', 2)", "split_part(r.name, ' ', 2)")})
+  , best AS (SELECT target_id, arg_min(candidate_id, rung) AS candidate_id, arg_min(method, rung) AS method, arg_min(needs_review, rung) AS needs_review FROM hits GROUP BY 1)
+  , matched AS (SELECT t.target_id, b.candidate_id, coalesce(b.method, 'unmatched') AS method, coalesce(b.needs_review, false) AS needs_review FROM t LEFT JOIN best b ON t.target_id = b.target_id)"""
+
+
+def ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, r = _views(spark, sf_dir)
+    n = F.col("name")
+    rows = lambda key: r.withColumn("key", key)
+    second = lambda c: F.split_part(F.lower(c), F.lit(" "), F.lit(2))
+    return matching.ladder(t, [("exact", n, rows(n)), ("folded", text.norm(n), rows(text.norm(n))), ("surname", second(n), rows(second(n)))])
+
+
+@query("jn9_10_ladder", LADDER + " SELECT * FROM matched")
+def jn9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ladder(spark, sf_dir)
+
+
+@query("jn12_confirmed", LADDER + " SELECT target_id, candidate_id, method, needs_review AND candidate_id % 2 = 0 AS needs_review FROM matched WHERE candidate_id IS NOT NULL")
+def jn12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = ladder(spark, sf_dir).filter("candidate_id IS NOT NULL")
+    return matching.confirm_reviews(m, m.filter("candidate_id % 2 <> 0"), ["target_id", "candidate_id"])
+
+
+@query("ag26_match_counters", LADDER + " SELECT method, count(*) AS n, count(*) FILTER (needs_review) AS to_review FROM matched GROUP BY 1")
+def ag26(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ladder(spark, sf_dir).groupBy("method").agg(F.count(F.lit(1)).alias("n"), F.count_if("needs_review").alias("to_review"))
+
+
+@query("jn11_office_holders", f"""WITH t AS ({TARGETS}), h AS (SELECT DISTINCT candidate_id AS holder_id, split_part(name, ' ', 2) AS surname, split_part(name, ' ', 1) AS first, ward FROM ({REGISTRY})),
+  s AS (SELECT t.target_id, h.holder_id, coalesce(h.ward = t.ward, false) AS o FROM t JOIN h ON list_contains(string_split({_NORM.format('t.name')}, ' '), h.surname) WHERE coalesce(h.ward = t.ward, false) OR list_contains(string_split({_NORM.format('t.name')}, ' '), h.first))
+  SELECT * FROM (SELECT target_id, CASE WHEN count(DISTINCT holder_id) FILTER (o) = 1 THEN max(holder_id) FILTER (o) WHEN count(DISTINCT holder_id) = 1 THEN max(holder_id) END AS holder_id FROM s GROUP BY 1) WHERE holder_id IS NOT NULL""")
+def jn11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, r = _views(spark, sf_dir)
+    holders = r.select(F.col("candidate_id").alias("holder_id"), F.split_part("name", F.lit(" "), F.lit(2)).alias("surname"), F.split_part("name", F.lit(" "), F.lit(1)).alias("first"), "ward").distinct()
+    return matching.office_holders(t.withColumn("tokens", F.split(text.norm(F.col("name")), " ")), holders)
+
+
+@query("fn27_suggestions")
+def fn27(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, r = _views(spark, sf_dir)
+    return matching.suggestions(t.select(F.col("target_id").alias("filed_id"), text.name_tokens(F.col("name")).alias("tokens")), r.select("candidate_id", text.name_tokens(F.col("name")).alias("tokens")))
+
+
+@query("ag24_collapse", oracle(f"SELECT spender_id, target_id, date, stance, count(*) - 1 AS dropped FROM expenditures GROUP BY 1, 2, 3, 4 HAVING count(*) > 1"))
+def ag24(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.collapse_duplicates(model(spark, sf_dir, "expenditures"), ["spender_id", "target_id", "date", "stance"], "doc_id")[1]
+
+
+@query("ag24_collapsed_rows", oracle("SELECT spender_id, target_id, date, stance, min(doc_id) AS doc_id FROM expenditures GROUP BY 1, 2, 3, 4"))
+def ag24b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.collapse_duplicates(model(spark, sf_dir, "expenditures"), ["spender_id", "target_id", "date", "stance"], "doc_id")[0].select("spender_id", "target_id", "date", "stance", "doc_id")
+
+
+@query("ag25_unmatched_groups", oracle(f"SELECT spender_id, part_id % 50 AS name, count(*) AS rows, {M.format('amount')} AS amount, min(date) AS first, max(date) AS last, string_agg(DISTINCT stance, ',' ORDER BY stance) AS stances, CASE WHEN (part_id % 50) % 4 = 0 THEN 'out of scope' END AS disposition, (part_id % 50) % 4 <> 0 AS undecided FROM expenditures GROUP BY spender_id, part_id % 50"))
+def ag25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = model(spark, sf_dir, "expenditures").withColumn("name", F.col("part_id") % 50)
+    decided = e.filter("name % 4 = 0").select("spender_id", "name").distinct().withColumn("disposition", F.lit("out of scope"))
+    return matching.unmatched_groups(e, decided, ["spender_id", "name"])
+
+
+ENTITIES = "SELECT p_partkey AS id, 'type' AS type, CASE WHEN p_partkey % 4 = 0 THEN p_name || ' Inc.' WHEN p_partkey % 4 = 1 THEN 'The ' || p_name || ' ' || p_type WHEN p_partkey % 4 = 2 THEN p_brand || ' ' || p_type || ' Union' ELSE substring(p_brand, 1, 1) || substring(p_type, 1, 1) END AS name FROM part WHERE p_partkey % 5 = 0"
+_C = WORDS_SQL.format(c="name", drop=in_sql(text.ORG_STOP))
+_A = WORDS_SQL.format(c="name", drop=in_sql(text.ACRONYM_STOP))
+
+
+@query("jn34_near_duplicates", f"""WITH e AS (SELECT id, name, list_sort(list_distinct({_C})) AS core, array_to_string(list_transform({_A}, lambda t: substring(t, 1, 1)), '') AS acro, array_to_string({_A}, '') AS comp FROM ({ENTITIES})),
+  p AS (SELECT a.id AS a, b.id AS b, a.core AS ca, b.core AS cb, a.core = b.core AND len(a.core) > 0 AS same, a.comp <> '' AND b.comp <> '' AND (length(a.comp) <= 5 AND a.comp = b.acro OR length(b.comp) <= 5 AND b.comp = a.acro) AS acr,
+    CASE WHEN len(a.core) = 0 OR len(b.core) = 0 THEN 0.0 ELSE CAST(len(list_intersect(a.core, b.core)) AS DOUBLE) / len(list_distinct(list_concat(a.core, b.core))) END AS score FROM e a JOIN e b ON a.id < b.id)
+  SELECT a, b, CASE WHEN same THEN 'same name' WHEN acr THEN 'acronym' WHEN len(ca) > 0 AND len(cb) > 0 AND (len(list_filter(ca, lambda x: NOT list_contains(cb, x))) = 0 OR len(list_filter(cb, lambda x: NOT list_contains(ca, x))) = 0) THEN 'subset' ELSE 'similar' END AS why, round(score, 6) AS score
+  FROM p WHERE same OR acr OR score >= 0.6 OR len(ca) > 0 AND len(cb) > 0 AND (len(list_filter(ca, lambda x: NOT list_contains(cb, x))) = 0 OR len(list_filter(cb, lambda x: NOT list_contains(ca, x))) = 0)""")
+def jn34(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw(spark, sf_dir, "part").createOrReplaceTempView("part")
+    return matching.near_duplicates(spark.sql(ENTITIES))
+
+
+@query("jn35_shared_employer", "SELECT 'brand' AS kind, min(key) AS key, members FROM (SELECT p_brand || '/' || p_size AS key, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) AS members FROM part GROUP BY 1 HAVING count(*) >= 2) GROUP BY members")
+def jn35(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = raw(spark, sf_dir, "part").select(F.concat_ws("/", "p_brand", F.col("p_size").cast("string")).alias("key"), "p_partkey")
+    return matching.shared_groups(p, "key", "p_partkey", "brand")
+
+
+@query("jn33_keyword_candidates")
+def jn33(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = raw(spark, sf_dir, "benchmark").select("item_id", text.title_keywords(F.col("text")).alias("keywords"), F.array_distinct(F.split(text.norm(F.col("text")), " ")).alias("tokens"), F.lit(2024).alias("year"))
+    records = raw(spark, sf_dir, "conversations").select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("record_id"), F.array_distinct(F.split(text.norm(F.col("text")), " ")).alias("tokens"), (F.col("turn") % 2 == 0).alias("divided"), F.lit(2024).alias("year"))
+    return matching.keyword_candidates(items, records)
+
+
+@query("ag61_probe_totals", oracle(f"SELECT d.donor_id, d.name, d.type, {M.format('c.amount')} AS amount, count(c.donor_id) AS n FROM donors d LEFT JOIN contributions c ON c.donor_id = d.donor_id GROUP BY 1, 2, 3"))
+def ag61(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = model(spark, sf_dir, "contributions").groupBy("donor_id").agg(total(F.col("amount")).alias("amount"), F.count(F.lit(1)).alias("n"))
+    d = model(spark, sf_dir, "donors").select("donor_id", "name", "type")
+    return d.join(sums, "donor_id", "left").select("donor_id", "name", "type", F.coalesce("amount", F.lit(0)).cast("decimal(18,2)").alias("amount"), F.coalesce("n", F.lit(0)).alias("n"))
