@@ -6,7 +6,9 @@ items of the next, smaller round, dealt anew, until one part holds them all or n
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,9 +24,7 @@ from .common import materialise, text_or_empty
 GROUP_ITEMS = 100_000
 #: A bin with at most this much room left is done before the last round.
 SLACK = 8
-REMEMBER = 400_000
-#: Bytes of text whose unseen words are tokenised together.
-BLOCK = 1 << 19
+REMEMBER = 600_000
 
 
 @lru_cache(maxsize=1)
@@ -37,26 +37,53 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-class _WordIds:
-    """Ids of texts, word by word: this vocabulary drops white space and never joins words across it.
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in a byte-level vocabulary, where they differ from the bytes' own:
+    bytes that don't print are numbered from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in prints)}
 
-    Texts are cut at ASCII white space only; any other is left to the tokenizer."""
+
+_BYTE_LETTERS = _byte_letters()
+#: Latin letters and then marks: what the tokenizer's normalising and splitting leaves as two parts at most.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=?-@\[-`{}~]*)")
+
+
+class _WordIds(dict):
+    """Ids of words, as little-endian 32-bit numbers: this vocabulary drops white space and never joins
+    words across it. Texts are cut at ASCII white space only; any other is left to the tokenizer. What a
+    Python worker has learned stays with it from task to task, up to a bound."""
+
+    kept: dict[str, _WordIds] = {}
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = _tokenizer(path), {}
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        if len(self.known) > REMEMBER:
-            self.known.clear()
-        split = [t.split() for t in texts]
-        unseen = list({w for words in split for w in words if w not in self.known})
-        if unseen:
-            for word, e in zip(unseen, self.tokenizer.encode_batch_fast([w.decode() for w in unseen], add_special_tokens=False), strict=True):
-                self.known[word] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        for words in split:
-            yield b"".join(map(get, words))
+        super().__init__()
+        self.tokenizer = _tokenizer(path)
+        self.model = self.tokenizer.model
+
+    @classmethod
+    def of(cls, path: str) -> _WordIds:
+        if path not in cls.kept:
+            cls.kept[path] = cls(path)
+        return cls.kept[path]
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= REMEMBER:
+            self.clear()
+        text = word.decode()
+        if simple := _SIMPLE.fullmatch(text):
+            # Letters in lower case go to the tokenizer's model at once, and so does a run of marks.
+            letters, marks = simple[1].lower(), simple[2]
+            if letters and not letters.isascii():
+                letters = letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids = [t.id for part in (letters, marks) if part for t in self.model.tokenize(part)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        self[word] = found = array("I", ids).tobytes()
+        return found
+
+    def encode(self, text: bytes) -> bytes:
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -67,33 +94,21 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int =
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     end = np.array([end_id], "<u4").tobytes()
 
-    def blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
-        first, texts, held = 0, [], 0
-        for i, t in enumerate(batch.column(1)):
-            texts.append(t.as_py())
-            held += len(texts[-1])
-            if held >= BLOCK:
-                yield first, texts
-                first, texts, held = i + 1, [], 0
-        if texts:
-            yield first, texts
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordIds(tokenizer_path)
+        words = _WordIds.of(tokenizer_path)
         for batch in batches:
             row, number, begin, length, crc, kept = [], [], [], [], [], []
-            for first, texts in blocks(batch):
-                for i, ids in enumerate(words.encode(texts)):
-                    ids += end
-                    for p, at in enumerate(range(0, len(ids), 4 * size)):
-                        part = ids[at : at + 4 * size]
-                        row.append(first + i)
-                        number.append(p)
-                        begin.append(at // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                        if with_ids:
-                            kept.append(part)
+            for i, text in enumerate(batch.column(1)):
+                ids = words.encode(text.as_py()) + end
+                for p, at in enumerate(range(0, len(ids), 4 * size)):
+                    part = ids[at : at + 4 * size]
+                    row.append(i)
+                    number.append(p)
+                    begin.append(at // 4)
+                    length.append(len(part) // 4)
+                    crc.append(zlib.crc32(part))
+                    if with_ids:
+                        kept.append(part)
             columns = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(number, pa.int32()), pa.array(begin, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.binary())] * with_ids, ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
 
