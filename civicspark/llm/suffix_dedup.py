@@ -1,10 +1,11 @@
 """Suffix-array dedup with sparse suffix arrays.
 
-Suffixes are kept only where they begin at a minimiser: of every 31 runs of 20 words in a row, the run
+Suffixes are kept only where they begin at a minimiser: of every 31 runs of 20 words in a row, the runs
 with the least hash. Two texts that share 50 words share one such run at least. Suffixes that begin
-with the same run are sorted by what follows and compared with their neighbours in that order, and each
-match is extended to the left and to the right. Where a run has three suffixes or more and a neighbour
-doesn't settle a suffix, its windows of 50 words are looked up among those of all suffixes of the run.
+with the same run are sorted by what follows, compared with their neighbours in that order, and each match
+is extended to the left; the same the other way round, sorted by what stands before. The best matches of
+both orders bound what any other suffix could add; where they leave room for more, the windows of 50 words
+in question are looked up among those of all suffixes of the run.
 """
 
 from __future__ import annotations
@@ -15,24 +16,33 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from .common import materialise, text_or_empty
 
-#: Words of a passage that counts, of a run, and runs of which the least is kept.
+#: Words of a passage that counts, and of a run. A window of a passage's length holds REACH + 1 runs.
 LEAST, RUN = 50, 20
 REACH = LEAST - RUN
 REMEMBER = 300_000
-#: Repeated runs go to every worker up to this many, 16 MB; beyond it the suffixes are joined.
-BROADCAST_RUNS = 1_000_000
-#: Suffixes of one run that are sorted together; more are dealt by id.
-SORTED_TOGETHER = 1_000
+#: A table of runs is broadcast up to this many, 16 MB; beyond it the join shuffles.
+BROADCAST_RUNS = 2_000_000
+#: Suffixes of one run that a task compares; those of more frequent runs are dealt by id, and all their
+#: windows are looked up across tasks.
+TOGETHER = 20_000
 
-_FACTORS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(RUN)], dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of _BASE, and of its inverse, modulo 2^64
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            factors = np.full(2 * n, base, np.uint64)
+            factors[0] = 1
+            _POWERS[i] = np.cumprod(factors, dtype=np.uint64)
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 class _WordHashes(dict):
@@ -48,19 +58,31 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
+    """The best of every width neighbours in a row, by doubling."""
+    span = 1
+    while 2 * span <= width:
+        x = best(x[:-span], x[span:])
+        span *= 2
+    rest = width - span
+    return best(x[: len(x) - rest], x[rest:]) if rest else x
+
+
 def anchors(text: bytes, words: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words, positions of the minimisers, and the hashes of the runs there."""
+    """Hashes of the words, positions of the minimisers, and the hashes of the runs there.
+
+    A run's hash is a difference of prefix sums. A run is a minimiser when it is the least of some window,
+    which is when the greatest of the least values of its windows is its own; equal runs all are."""
     parts = text.split()
     w = np.fromiter(map(words.__getitem__, parts), np.uint64, len(parts))
     if len(w) < LEAST:
         return w, np.empty(0, np.int64), np.empty(0, np.int64)
-    n = len(w) - RUN + 1
-    runs = np.zeros(n, np.uint64)
-    for j in range(RUN):
-        runs += w[j : j + n] * _FACTORS[j]
-    runs = _mix(runs)
-    windows = sliding_window_view(runs, REACH + 1)
-    at = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
+    up, down = _powers(len(w))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * up, dtype=np.uint64)])
+    runs = _mix((sums[RUN:] - sums[:-RUN]) * down[: len(w) - RUN + 1])
+    least = _sliding(runs, REACH + 1, np.minimum)
+    padded = np.concatenate([np.zeros(REACH, np.uint64), least, np.zeros(REACH, np.uint64)])
+    at = np.flatnonzero(_sliding(padded, REACH + 1, np.maximum) == runs)
     return w, at, runs[at].view(np.int64)
 
 
@@ -68,118 +90,169 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text")).filter("id is not null")
 
 
-def suffixes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """The repeated runs (run, n), and their suffixes: run, right, left, id, at, n."""
+def suffixes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """run, right, left, id, at, n of the suffixes whose run another document has too. right and left are
+    the words after and, in reverse, before the run as 32-bit hashes; n is null unless the run has more than
+    TOGETHER suffixes."""
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = _rows(docs, id_col, text_col)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
         for batch in batches:
-            index, runs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            index, spots, runs = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for i, t in enumerate(batch.column(1)):
                 _, at, run = anchors(t.as_py(), words)
                 index.append(np.full(len(at), i))
+                spots.append(at)
                 runs.append(run)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(index))), pa.array(np.concatenate(runs))], ["id", "run"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(index))), pa.array(np.concatenate(spots).astype(np.int32)), pa.array(np.concatenate(runs))], ["id", "at", "run"])
 
-    found = rows.mapInArrow(find, f"id {id_type}, run long")
+    found = rows.mapInArrow(find, f"id {id_type}, at int, run long")
     repeated = found.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("run", "n")
     repeated = materialise(repeated, "suffix-runs")
-    few = repeated.count() <= BROADCAST_RUNS
-    wanted = None
-    if few:
-        held = repeated.select("run").toPandas()["run"].to_numpy(np.int64)
-        wanted = docs.sparkSession.sparkContext.broadcast(np.sort(held))
+    if repeated.count() <= BROADCAST_RUNS:
+        wanted = docs.sparkSession.sparkContext.broadcast(np.sort(repeated.select("run").toPandas()["run"].to_numpy(np.int64)))
+        source = rows.withColumn("spots", F.lit(None).cast("array<int>"))
+    else:
+        wanted = None
+        spots = found.join(repeated.select("run"), "run", "left_semi").groupBy("id").agg(F.collect_set("at").alias("spots"))
+        source = rows.join(spots, "id")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
         for batch in batches:
-            index, positions, runs, right, left = [], [], [], [], []
-            for i, t in enumerate(batch.column(1)):
+            index, positions, runs, right, left = [], [], [np.empty(0, np.int64)], [], []
+            for i, (t, listed) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
                 w, at, run = anchors(t.as_py(), words)
-                if wanted is not None and len(run):
-                    if not len(wanted.value):
-                        continue
-                    near = np.minimum(np.searchsorted(wanted.value, run), len(wanted.value) - 1)
-                    mask = wanted.value[near] == run
-                    at, run = at[mask], run[mask]
-                half = w.astype(">u4")
-                for p in at:
-                    right.append(half[p + RUN : p + RUN + REACH].tobytes())
-                    left.append(half[max(0, p - REACH) : p][::-1].tobytes())
+                if wanted is None:
+                    mask = np.isin(at, listed.as_py() or [])
+                elif len(wanted.value):
+                    mask = wanted.value[np.minimum(np.searchsorted(wanted.value, run), len(wanted.value) - 1)] == run
+                else:
+                    mask = np.zeros(len(at), bool)
+                if not mask.any():
+                    continue
+                at, forward = at[mask], w.astype(">u4")
+                after, before, n = forward.tobytes(), forward[::-1].tobytes(), len(forward)
+                right += [after[4 * (p + RUN) : 4 * (p + LEAST)] for p in at.tolist()]
+                left += [before[4 * (n - p) : 4 * (n - p + REACH)] for p in at.tolist()]
                 index += [i] * len(at)
                 positions += at.tolist()
-                runs += run.tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(runs, pa.int64()), pa.array(right, pa.binary()), pa.array(left, pa.binary()), batch.column(0).take(pa.array(index, pa.int64())), pa.array(positions, pa.int32())], ["run", "right", "left", "id", "at"])
+                runs.append(run[mask])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(runs)), pa.array(right, pa.binary()), pa.array(left, pa.binary()), batch.column(0).take(pa.array(index, pa.int64())), pa.array(positions, pa.int32())], ["run", "right", "left", "id", "at"])
 
-    kept = rows.mapInArrow(emit, f"run long, right binary, left binary, id {id_type}, at int")
-    return repeated, kept.join(repeated, "run")
-
-
-def _common(a: np.ndarray, an: np.ndarray) -> np.ndarray:
-    """Of each row but the first: how many leading words equal those of the row before."""
-    same = (a[1:] == a[:-1]).cumprod(axis=1).sum(axis=1)
-    return np.minimum(same, np.minimum(an[1:], an[:-1]))
+    kept = source.mapInArrow(emit, f"run long, right binary, left binary, id {id_type}, at int")
+    frequent = repeated.filter(F.col("n") > TOGETHER)
+    return kept.join(F.broadcast(frequent) if frequent.count() <= BROADCAST_RUNS else frequent, "run", "left")
 
 
 def _unpacked(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.array([len(v) // 4 for v in values], np.int64)
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
     return np.frombuffer(b"".join(v.ljust(4 * REACH, b"\0") for v in values), ">u4").reshape(-1, REACH), sizes
 
 
-def compare_neighbours(rows: DataFrame) -> DataFrame:
-    """rows: suffixes in sorted order. Adds to each the extents to the left and right of its matches with
-    the neighbours before (lb, rb) and after (la, ra) it that are of another text; -1 where there is none."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before: pd.DataFrame | None = None  # the row whose next neighbour isn't known yet
+def _common(a: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of each row but the first: how many leading words equal those of the row before."""
+    same = np.logical_and.accumulate(a[1:] == a[:-1], axis=1).sum(axis=1)
+    return np.minimum(same, np.minimum(n[1:], n[:-1]))
+
+
+_BACK = np.arange(REACH + 1)
+
+
+def _covers(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which windows, by the words they reach back from the run, lie within matches of these extents."""
+    return (_BACK[None, :] <= left[:, None]) & (REACH - _BACK[None, :] <= right[:, None])
+
+
+def compare(rows: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, start, stop) arrays of the repeated spans. rows: whole groups of one run each, next to each
+    other, sorted by right and left."""
+    right, rn = _unpacked(rows["right"].tolist())
+    left, ln = _unpacked(rows["left"].tolist())
+    run, at = rows["run"].to_numpy(), rows["at"].to_numpy(np.int64)
+    who = pd.factorize(rows["id"])[0]
+    out, count = [], len(rows)
+    known = np.zeros((count, REACH + 1), bool)
+    most_left, most_right = np.full(count, -1), np.full(count, -1)
+
+    def neighbours(order: np.ndarray) -> None:
+        same_run = run[order][1:] == run[order][:-1]
+        r, l = np.where(same_run, _common(right[order], rn[order]), -1), np.where(same_run, _common(left[order], ln[order]), -1)
+        other = same_run & (who[order][1:] != who[order][:-1])
+        for mine in (order[1:], order[:-1]):
+            np.maximum.at(most_right if order is natural else most_left, mine, r if order is natural else l)
+            match = other & (l + r >= REACH)
+            hit = mine[match]
+            known[hit] |= _covers(l[match], r[match])
+            out.append((hit, at[hit] - l[match], at[hit] + RUN + r[match]))
+
+    natural = np.arange(count)
+    neighbours(natural)
+    keys = np.array([x.ljust(4 * REACH, b"\0") + y for x, y in zip(rows["left"], rows["right"], strict=True)], dtype=f"S{8 * REACH}")
+    neighbours(np.lexsort((keys, run)))
+    # A run's first order bounds what follows it in any match, the second what stands before it.
+    open_ = _covers(most_left, most_right) & ~known
+    starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    group = np.cumsum(np.concatenate([[False], run[1:] != run[:-1]]))
+    stops = np.append(starts[1:], count)
+    for g in np.unique(group[open_.any(axis=1)]):
+        i, j = starts[g], stops[g]
+        if j - i < 3:
+            continue
+        lefts, rights = rows["left"].iloc[i:j].tolist(), rows["right"].iloc[i:j].tolist()
+        for back in np.flatnonzero(open_[i:j].any(axis=0)):
+            seen: dict[bytes, list[int]] = {}
+            for k, (x, y) in enumerate(zip(lefts, rights, strict=True)):
+                if len(x) >= 4 * back and len(y) >= 4 * (REACH - back):
+                    seen.setdefault(x[: 4 * back] + y[: 4 * (REACH - back)], []).append(i + k)
+            hit = np.array([k for ks in seen.values() if len(ks) > 1 and len(set(who[ks])) > 1 for k in ks], np.int64)
+            out.append((hit, at[hit] - back, at[hit] - back + LEAST))
+    return out
+
+
+def _spans(ordered: DataFrame) -> DataFrame:
+    """id, start, stop, hash: repeated spans of the suffixes (hash is null); and every window, with the hash
+    of its words, of suffixes whose run is too frequent for one task."""
+    id_type = ordered.schema["id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = None
+        held: pd.DataFrame | None = None
         for batch in batches:
+            kind = batch.column("id").type
             now = batch.to_pandas()
-            if before is not None:
-                now = pd.concat([before, now], ignore_index=True)
+            now = now if held is None else pd.concat([held, now], ignore_index=True)
             if not len(now):
                 continue
-            right, rn = _unpacked(now["right"].tolist())
-            left, ln = _unpacked(now["left"].tolist())
-            run, who = now["run"].to_numpy(), now["id"].to_numpy()
-            other = (run[1:] == run[:-1]) & (who[1:] != who[:-1])
-            r, l = np.where(other, _common(right, rn), -1), np.where(other, _common(left, ln), -1)
-            if before is None:
-                now["lb"], now["rb"] = np.append([-1], l), np.append([-1], r)
-            else:
-                now.loc[1:, "lb"], now.loc[1:, "rb"] = l, r
-            now["la"], now["ra"] = np.append(l, [-1]), np.append(r, [-1])
-            yield _batch(now.iloc[:-1])
-            before = now.iloc[-1:].copy()
-        if before is not None:
-            yield _batch(before)
-
-    def _batch(part: pd.DataFrame) -> pa.RecordBatch:
-        part = part.astype({c: np.int32 for c in ("lb", "rb", "la", "ra")})
-        return pa.RecordBatch.from_pandas(part[names], schema=arrow, preserve_index=False)
-
-    names = [*rows.columns, "lb", "rb", "la", "ra"]
-    out = rows.withColumns({c: F.lit(0) for c in ("lb", "rb", "la", "ra")}).schema
-    arrow = to_arrow_schema(out)
-    return rows.mapInArrow(compare, out)
-
-
-def _windows(rows: DataFrame) -> DataFrame:
-    """id, start and hash of every window of 50 words that holds a suffix's run."""
-    id_type = rows.schema["id"].dataType.simpleString()
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            index, starts, hashes = [], [], []
-            for i, (run, right, left, at) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("run", "right", "left", "at")), strict=True)):
-                for back in range(max(0, REACH - len(right) // 4), len(left) // 4 + 1):
-                    index.append(i)
-                    starts.append(at - back)
-                    hashes.append(xxhash.xxh3_64_intdigest(left[: 4 * back] + right[: 4 * (REACH - back)], seed=(run + back * 0x9E3779B97F4A7C15) % (1 << 64)))
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(index, pa.int64())), pa.array(starts, pa.int32()), pa.array(np.array(hashes, np.uint64).view(np.int64))], ["id", "start", "hash"])
-
-    return rows.select("run", "right", "left", "id", "at").mapInArrow(cut, f"id {id_type}, start int, hash long")
+            # The last group may go on in the next batch. One of a frequent run is only cut into pieces.
+            last = int(np.searchsorted((now["run"].to_numpy() != now["run"].iloc[-1])[::-1], True))
+            cut = len(now) - last
+            if last >= 2 * TOGETHER:
+                cut = len(now)
+            held = now.iloc[cut:].reset_index(drop=True)
+            if cut:
+                yield done(now.iloc[:cut].reset_index(drop=True), kind)
+        if held is not None and len(held):
+            yield done(held, kind)
+
+    def done(rows: pd.DataFrame, kind: pa.DataType) -> pa.RecordBatch:
+        found = compare(rows)
+        index = np.concatenate([x[0] for x in found])
+        spans = pd.DataFrame({"i": index, "start": np.concatenate([x[1] for x in found]), "stop": np.concatenate([x[2] for x in found])}).groupby(["i", "start"], as_index=False)["stop"].max()
+        index, starts, stops, hashes = spans["i"].tolist(), spans["start"].tolist(), spans["stop"].tolist(), [None] * len(spans)
+        for i in np.flatnonzero(rows["n"].notna().to_numpy()):
+            run, right, left, at = (rows[c].iloc[i] for c in ("run", "right", "left", "at"))
+            for back in range(max(0, REACH - len(right) // 4), len(left) // 4 + 1):
+                index.append(i)
+                starts.append(at - back)
+                stops.append(at - back + LEAST)
+                h = xxhash.xxh3_64_intdigest(left[: 4 * back] + right[: 4 * (REACH - back)], seed=(int(run) + back * _BASE) % (1 << 64))
+                hashes.append(h - (1 << 64) if h >= 1 << 63 else h)
+        return pa.RecordBatch.from_arrays([pa.array(rows["id"].iloc[index], kind), pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(hashes, pa.int64())], ["id", "start", "stop", "hash"])
+
+    return ordered.mapInArrow(work, f"id {id_type}, start int, stop int, hash long")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -190,23 +263,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     are texts of fewer words, null or empty ones, or rows with a null id; rows with the same id are
     one document. Copies are all reported, each with its passages. An empty table gives no rows.
     """
-    _, kept = suffixes(docs, id_col, text_col)
-    together = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / SORTED_TOGETHER))
-    ordered = kept.withColumn("part", together).repartition("run", "part").sortWithinPartitions("run", "part", "right", "left", "id").drop("part")
-    compared = materialise(compare_neighbours(ordered), "suffix-compared")
-
-    def side(lx: str, rx: str) -> DataFrame:
-        span = compared.filter((F.col(lx) >= 0) & (F.col(lx) + F.col(rx) + RUN >= LEAST))
-        return span.select("id", (F.col("at") - F.col(lx)).alias("start"), (F.col("at") + RUN + F.col(rx)).alias("stop"))
-
-    # A run of two suffixes is settled by the one comparison there is.
-    settled = F.greatest(F.when((F.col("lb") * 4 == F.length("left")) & (F.col("rb") * 4 == F.length("right")), 1).otherwise(0), F.when((F.col("la") * 4 == F.length("left")) & (F.col("ra") * 4 == F.length("right")), 1).otherwise(0))
-    open_runs = compared.filter("n > 2").groupBy("run").agg(F.min(settled).alias("s")).filter("s = 0").select("run")
-    windows = materialise(_windows(compared.join(open_runs, "run", "left_semi")).distinct(), "suffix-windows")
+    dealt = F.coalesce(F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / TOGETHER)), F.lit(0))
+    ordered = suffixes(docs, id_col, text_col).withColumn("part", dealt).repartition("run", "part").sortWithinPartitions("run", "part", "right", "left", "id").drop("part")
+    found = materialise(_spans(ordered), "suffix-spans")
+    windows = found.filter("hash IS NOT NULL")
     shared = windows.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash")
-    rest = windows.join(shared, "hash", "left_semi").select("id", "start", (F.col("start") + LEAST).alias("stop"))
+    rest = windows.join(shared, "hash", "left_semi").select("id", "start", "stop")
 
-    spans = side("lb", "rb").unionByName(side("la", "ra")).unionByName(rest).groupBy("id", "start").agg(F.max("stop").alias("stop"))
+    spans = found.filter("hash IS NULL").select("id", "start", "stop").unionByName(rest).groupBy("id", "start").agg(F.max("stop").alias("stop"))
     earlier = Window.partitionBy("id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     numbered = spans.withColumn("new", (F.col("start") > F.coalesce(F.max("stop").over(earlier), F.lit(-1))).cast("int"))
     numbered = numbered.withColumn("passage", F.sum("new").over(Window.partitionBy("id").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)))
