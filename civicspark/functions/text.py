@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed values.
 SUFFIXES = ["jr", "sr", "ii", "iii", "iv"]
@@ -55,7 +56,7 @@ def norm(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9 ]", " "), " +", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold(texts: pd.Series) -> pd.Series:
     return texts.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
 
@@ -131,7 +132,7 @@ def names_the_committee(last: Column, committee: Column) -> Column:
     return (F.length(F.trim(last)) >= 3) & F.contains(padded(committee), padded(last))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def person_slug(names: pd.Series) -> pd.Series:
     """A member's key: accents folded, quoted nicknames, honorifics and bare initials dropped, suffixes and inner hyphens kept."""
     import re

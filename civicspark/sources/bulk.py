@@ -16,7 +16,7 @@ START = r"^[0-9]+\t[0-9]+\t"
 
 def scan_unmapped(spark: SparkSession, path: str) -> DataFrame:
     """file, n of the bytes that no character stands for. The scan is splittable: lines are read as bytes."""
-    raw = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.decode(F.col("value").cast("binary"), F.lit("ISO-8859-1")).alias("v"))
+    raw = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("v"))
     return raw.groupBy("file").agg(F.sum(F.regexp_count("v", F.lit(UNMAPPED))).alias("n")).filter("n > 0")
 
 
@@ -33,7 +33,7 @@ def physical_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, block, pos, value: lines in their order within a file block, decoded, without a carriage return."""
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     text = spark.read.option("lineSep", "\n").text(path)
-    value = F.regexp_replace(F.decode(F.col("value").cast("binary"), F.lit("windows-1252")), "\r$", "")
+    value = F.regexp_replace(F.decode(F.col("value").cast("binary"), "windows-1252"), "\r$", "")
     return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), value.alias("value"))
 
 
