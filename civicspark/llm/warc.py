@@ -72,6 +72,8 @@ def parse_arc(data: bytes) -> Iterator[dict]:
             if len(values) != len(fields):
                 raise ValueError(f"header line at {at} has {len(values)} of {len(fields)} fields")
             header = dict(zip(fields, values, strict=True))
+            if not re.fullmatch(r"\d{14}", header["Archive-date"]):
+                raise ValueError(f"header line at {at} has no date where one belongs")
             size = int(header["Archive-length"])
             if stop + 1 + size > len(data):
                 raise ValueError(f"record at {at} is cut short")
