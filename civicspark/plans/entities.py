@@ -34,7 +34,7 @@ def jn14(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.bridge_committees(d, c, text.norm(F.col("name")))
 
 
-CAND = "SELECT c_custkey % 50 AS committee_id, c_custkey AS candidate_id, c_nationkey AS race_id, CASE WHEN c_custkey % 4 = 0 THEN DATE '1999-04-04' WHEN c_custkey % 4 = 1 THEN DATE '2001-04-03' END AS election_date, 1000 - c_custkey % 300 AS ord FROM customer"
+CAND = "SELECT c_custkey % 50 AS committee_id, c_custkey AS candidate_id, c_nationkey AS race_id, CASE WHEN c_custkey % 4 = 0 THEN DATE '1999-04-04' WHEN c_custkey % 4 = 1 THEN DATE '2001-04-03' END AS election_date, 1000000 - c_custkey AS ord FROM customer"
 
 
 def candidacies(spark: SparkSession, sf_dir: str) -> DataFrame:

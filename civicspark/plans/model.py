@@ -63,16 +63,12 @@ SQL = {
           CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DECIMAL(18,2)) AS other,
           CAST(sum(CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DECIMAL(18,2)) AS in_kind,
           CAST(sum(CASE WHEN l_linenumber = 1 THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DECIMAL(18,2)) AS small_gifts,
-          CAST(sum(CAST(l_tax * l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS cash
+          CAST(sum(CASE WHEN l_linenumber <= 2 THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DECIMAL(18,2)) AS cash
         FROM lineitem WHERE l_orderkey % 9 <> 0 GROUP BY l_orderkey""",
     "person_votes": """
         SELECT CAST(CAST(ts AS DATE) AS VARCHAR(10)) || '-' || lpad(CAST(extract(hour FROM ts) AS VARCHAR(2)), 2, '0') AS vote_id, CAST(ts AS DATE) AS date, user_id AS voter_id,
           CASE event_type WHEN 'view' THEN 'yes' WHEN 'click' THEN 'no' WHEN 'purchase' THEN 'abstain' WHEN 'signup' THEN 'not voting' ELSE 'absent' END AS option, event_id
         FROM events""",
-    "memberships": """
-        SELECT user_id AS person_id, (user_id * 7 + extract(day FROM ts) / 11) % 50 AS seat, CAST(extract(day FROM ts) AS INT) % 3 AS role, min(CAST(ts AS DATE)) AS start_date,
-          CASE WHEN max(CAST(ts AS DATE)) < DATE '2024-01-25' THEN max(CAST(ts AS DATE)) END AS end_date
-        FROM events WHERE user_id % 2 = 0 GROUP BY 1, 2, 3""",
 }
 SQL["memberships"] = """
         SELECT user_id AS person_id, (user_id * 7 + block) % 50 AS seat, min(d) AS start_date, CASE WHEN max(d) < DATE '2024-01-20' THEN max(d) END AS end_date
