@@ -1 +1 @@
-
+"""Column expressions: text, classification, money."""

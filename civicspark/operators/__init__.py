@@ -1 +1 @@
-
+"""Operators from DataFrames to DataFrames, with column names as parameters."""

@@ -115,14 +115,16 @@ def near_duplicates(entities: DataFrame, least: float = 0.6, most_common: int =
     """a, b, why, score of similar names within a type: equal normal names, acronyms, or a token overlap of at
     least least, taken as 1 where one name's tokens are all the other's.
 
-    entities: id, name, type. Blocks are the core tokens and the acronym; a token in more than most_common names
-    isn't a block by itself but is paired with the next token of the name, so such pairs are found by two words."""
+    entities: id, name, type. Blocks are the core tokens and the acronym. A token in more than most_common names
+    isn't a block by itself; there every two tokens of a name are one, and a name of that token alone is compared
+    with its like only, not with all names that hold it."""
     core = text.core_tokens(F.col("name"))
     e = entities.select("id", "type", "name", F.array_sort(F.array_distinct(core)).alias("core"), text.acronym(F.col("name")).alias("acro"), text.compact(F.col("name")).alias("compact"))
     words = e.select("type", F.explode("core").alias("w")).groupBy("type", "w").agg(F.count(F.lit(1)).alias("df"))
     rare = words.filter(F.col("df") <= most_common).select("type", F.col("w").alias("block"))
     single = e.select("id", "type", F.explode("core").alias("block")).join(rare, ["type", "block"])
-    two = F.transform(F.sequence(F.lit(1), F.greatest(F.size("core") - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.try_element_at("core", i), F.try_element_at("core", i + 1)))
+    two = F.flatten(F.transform("core", lambda x: F.transform(F.filter("core", lambda y: y > x), lambda y: F.concat_ws(" ", x, y))))
+    two = F.when(F.size("core") == 1, F.array(F.concat(F.lit("1:"), F.element_at("core", 1)))).otherwise(two)
     double = e.select("id", "type", F.explode(two).alias("block"))
     short = e.select("id", "type", F.explode(F.array(F.concat(F.lit("="), F.col("acro")), F.when(F.length("compact") <= 5, F.concat(F.lit("="), F.col("compact"))))).alias("block")).filter("block IS NOT NULL AND block <> '='")
     blocks = single.unionByName(double).unionByName(short).distinct()
