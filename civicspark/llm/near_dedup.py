@@ -1,8 +1,9 @@
 """MinHash near-dedup: circulant signatures, banding, exact Jaccard on full sets, components.
 
 Rows with equal shingle sets are one node. Nodes that share a band key are a bucket. In each bucket
-every node is compared with a hub; what that leaves in different components is compared in full, so
-every candidate link is either confirmed, refused or already implied, without all pairs of a bucket.
+every node is compared with a hub, the one that shares most buckets with others. What that leaves in
+different components is compared in full, but for pairs that a bound on their sets' difference refuses.
+So every candidate link is confirmed, refused or already implied, without all pairs of a bucket.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ BANDS, ROWS = 48, 5
 REMEMBER = 300_000
 #: A table of ids is broadcast up to this many rows, 16 MB; beyond it the join shuffles.
 BROADCAST_IDS = 500_000
-#: Rounds of hubs go on while more than so many pairs a node are left.
-REST_PER_NODE, HUB_ROUNDS = 8, 6
+#: 64-bit numbers of the parity sketch of a set.
+PARITY = 16
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _SHIFTS = np.arange(BANDS * ROWS, dtype=np.uint32)
@@ -126,10 +127,27 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> Dat
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
         for batch in batches:
-            grams = [shingle_set(t.as_py(), words).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(g) for g in grams], pa.binary()), pa.array(grams, pa.binary())], ["node", "grams"])
+            found = [shingle_set(t.as_py(), words) for t in batch.column(1)]
+            grams = [f.tobytes() for f in found]
+            sketches = np.concatenate([parity(f) for f in found]) if found else np.empty(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(sketches) + 1, PARITY), pa.int32()), pa.array(sketches))
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(g) for g in grams], pa.binary()), pa.array(grams, pa.binary()), lists], ["node", "grams", "parity"])
 
-    return texts.mapInArrow(collect, "node binary, grams binary")
+    return texts.mapInArrow(collect, "node binary, grams binary, parity array<long>")
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each of 1,024 cells: whether an odd number of the set's hashes lies in it. Where the bits
+    of two sets differ, a hash is in one set only; so they differ in at least as many hashes."""
+    cells = np.bincount((shingles % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
+def _may_be_near(an: Column, ap: Column, bn: Column, bp: Column) -> Column:
+    """False only where the sets are surely too far apart: similarity t needs a difference of at most
+    (1 - t) / (1 + t) of the sizes' sum."""
+    differ = sum((F.bit_count(ap[i].bitwiseXOR(bp[i])) for i in range(PARITY)), F.lit(0))
+    return _near_in_size(an, bn) & (differ * (UNDER + OVER) <= (an + bn) * (UNDER - OVER))
 
 
 def _near_in_size(a: Column, b: Column) -> Column:
@@ -196,41 +214,36 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = signed.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = materialise(nodes, "near-nodes")
     keyed = nodes.select(F.explode("bands").alias("key"), "node", "id", "n")
-    hubs = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
-    buckets = materialise(keyed.join(hubs, "key"), "near-buckets")
-    wanted = materialise(buckets.select("id", "node").distinct(), "near-wanted")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    buckets = materialise(keyed.join(shared, "key"), "near-buckets")
+    wanted = materialise(buckets.groupBy("node").agg(F.first("id").alias("id"), F.sum("members").alias("met")), "near-wanted")
     sets = materialise(_sets(docs, id_col, text_col, wanted), "near-sets")
 
-    star = buckets.filter(F.col("node") != F.col("hub")).filter(_near_in_size(F.col("n"), F.col("hub_n"))).select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    edges = materialise(_confirm(star, sets), "near-edges")
-    roots = components(edges)
-    total = wanted.count()
-    for turn in range(HUB_ROUNDS + 1):
-        placed = buckets.select("key", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        shares = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-        split = shares.groupBy("key").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"), F.max_by("root", F.struct("c", "root")).alias("major")).filter("all * all > same")
-        split = materialise(split, "near-split")
-        rest = split.agg(F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()[0] or 0
-        if not rest:
-            break
-        last = rest <= REST_PER_NODE * total or turn == HUB_ROUNDS
-        open_ = placed.join(split.select("key", "major"), "key")
-        if last:
-            # Members outside a bucket's largest component against all its members of other components.
-            minor = open_.filter(F.col("root") != F.col("major")).select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"))
-            pairs = minor.join(open_.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"), "major"), "key")
-            pairs = pairs.filter((F.col("ar") != F.col("br")) & ((F.col("br") == F.col("major")) | (F.col("a") < F.col("b"))))
-        else:
-            hub = open_.groupBy("key").agg(F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).alias("h"))
-            pairs = open_.join(hub, "key").select(F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"), F.col("h.node").alias("b"), F.col("h.n").alias("bn"), F.col("h.root").alias("br"))
-            pairs = pairs.filter(F.col("ar") != F.col("br"))
-        pairs = pairs.filter(_near_in_size(F.col("an"), F.col("bn"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = materialise(_confirm(pairs, sets), "near-edges")
-        if not more.isEmpty():
-            edges = edges.unionByName(more)
-            roots = components(edges)
-        if last:
-            break
+    placed = materialise(buckets.drop("id", "members").join(wanted.select("node", "met"), "node"), "near-placed")
+    hubs = placed.groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("hub"))
+    star = placed.join(hubs, "key").filter((F.col("node") != F.col("hub.node")) & _near_in_size(F.col("n"), F.col("hub.n"))).select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
+    roots = components(_confirm(star, sets))
+
+    # Members outside a bucket's largest component, against its members of other components.
+    rooted = materialise(placed.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")), "near-rooted")
+    shares = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    split = shares.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("major"), F.count(F.lit(1)).alias("roots")).filter("roots > 1").select("key", "major")
+    open_ = rooted.join(split, "key").join(sets.select("node", "parity").dropDuplicates(["node"]), "node")
+    minor = open_.filter(F.col("root") != F.col("major")).select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"), F.col("parity").alias("ap"))
+    others = open_.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"), F.col("parity").alias("bp"), "major")
+    apart = (F.col("minor.key") == F.col("others.key")) & (F.col("ar") != F.col("br")) & ((F.col("br") == F.col("major")) | (F.col("a") < F.col("b")))
+    pairs = minor.alias("minor").join(others.alias("others"), apart & _may_be_near(F.col("an"), F.col("ap"), F.col("bn"), F.col("bp")))
+    more = materialise(_confirm(pairs.select("a", "b").distinct(), sets), "near-edges")
+    if not more.isEmpty():
+        # Links between components: their roots are the nodes now.
+        ends = roots.select(F.col("node").alias("end"), "root")
+        merged = more
+        for side in ("a", "b"):
+            merged = merged.join(ends, F.col(side) == F.col("end"), "left").withColumn(side, F.coalesce("root", side)).select("a", "b")
+        onward = components(merged).select(F.col("node").alias("root"), F.col("root").alias("onward"))
+        lone = onward.join(roots.select("root").distinct(), "root", "left_anti").select(F.col("root").alias("node"), F.col("onward").alias("root"))
+        roots = roots.join(onward, "root", "left").select("node", F.coalesce("onward", "root").alias("root")).unionByName(lone)
+        roots = materialise(roots, "near-roots")
     rooted = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     of_node = rooted.join(least, "root").select("node", "component_id")
