@@ -119,15 +119,16 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
     """node, grams (the set as sorted 8-byte hashes) of the nodes in wanted (id, node)."""
-    ids = wanted.select("id")
+    ids = wanted.select(F.col("id").alias("wanted"))
     if wanted.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text")).join(ids, "id", "left_semi")
+    rows = docs.select(text_or_empty(text_col).cast("binary").alias("text"), F.col(id_col).alias("id"))
+    texts = rows.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
         for batch in batches:
-            found = [shingle_set(t.as_py(), words) for t in batch.column(1)]
+            found = [shingle_set(t.as_py(), words) for t in batch.column(0)]
             grams = [f.tobytes() for f in found]
             sketches = np.concatenate([parity(f) for f in found]) if found else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(sketches) + 1, PARITY), pa.int32()), pa.array(sketches))

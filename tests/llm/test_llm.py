@@ -509,6 +509,13 @@ def test_near_dedup_awkward(awkward, empty):
     assert near_dedup.drop_near_duplicates(awkward).columns == awkward.columns
 
 
+def test_near_dedup_links_rows_without_ids(spark):
+    base = [f"w{i}" for i in range(100)]
+    rows = [(None, " ".join(base)), (7, " ".join([*base[:-1], "x"])), (None, " ".join([*base[:-2], "y", "z"])), (8, "alone here with some other words")]
+    got = near_dedup.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in got) == [(0, 7, False), (0, 7, False), (7, 7, True), (8, 8, True)]
+
+
 # 10
 
 
