@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 
 #: The mark that stands for a space in the vocabulary.
 SPACE = "▁"
-#: Word counts a task remembers before it starts anew.
-REMEMBER = 200_000
+#: Word counts that a Python worker remembers, from task to task, before it starts anew.
+REMEMBER = 600_000
 
 
 @lru_cache(maxsize=2)
@@ -63,10 +63,18 @@ def count_merged(symbols: str, ranks: dict[str, float]) -> int:
 class WordCounts(dict):
     """Remembers the count of each run seen; forgets all of them rather than grow without bound."""
 
+    kept: dict[str, WordCounts] = {}
+
     def __init__(self, ranks: dict[str, float]):
         super().__init__()
         self.ranks = ranks
 
+    @classmethod
+    def of(cls, model_path: str) -> WordCounts:
+        if model_path not in cls.kept:
+            cls.kept[model_path] = cls(load_ranks(model_path))
+        return cls.kept[model_path]
+
     def __missing__(self, run: str) -> int:
         if len(self) >= REMEMBER:
             self.clear()
@@ -106,7 +114,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordCounts(load_ranks(model_path))
+        words = WordCounts.of(model_path)
         for batch in batches:
             texts = batch.column(1).fill_null("")
             n = pa.array([count_text(t.as_py(), words) for t in texts], pa.int64())
