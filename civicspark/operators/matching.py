@@ -116,19 +116,22 @@ def near_duplicates(entities: DataFrame, least: float = 0.6, most_common: int =
     least least, taken as 1 where one name's tokens are all the other's.
 
     entities: id, name, type. Blocks are the core tokens and the acronym. A token in more than most_common names
-    isn't a block by itself; there every two tokens of a name are one, and a name of that token alone is compared
-    with its like only, not with all names that hold it."""
+    isn't a block by itself; there every two tokens of a name are one, and a name of that token alone is joined with
+    all names that hold it: each of these pairs is a result. No pair is lost, whatever most_common is."""
     core = text.core_tokens(F.col("name"))
     e = entities.select("id", "type", "name", F.array_sort(F.array_distinct(core)).alias("core"), text.acronym(F.col("name")).alias("acro"), text.compact(F.col("name")).alias("compact"))
     words = e.select("type", F.explode("core").alias("w")).groupBy("type", "w").agg(F.count(F.lit(1)).alias("df"))
     rare = words.filter(F.col("df") <= most_common).select("type", F.col("w").alias("block"))
+    frequent = words.filter(F.col("df") > most_common).select("type", F.col("w").alias("block"))
     single = e.select("id", "type", F.explode("core").alias("block")).join(rare, ["type", "block"])
     two = F.flatten(F.transform("core", lambda x: F.transform(F.filter("core", lambda y: y > x), lambda y: F.concat_ws(" ", x, y))))
-    two = F.when(F.size("core") == 1, F.array(F.concat(F.lit("1:"), F.element_at("core", 1)))).otherwise(two)
     double = e.select("id", "type", F.explode(two).alias("block"))
     short = e.select("id", "type", F.explode(F.array(F.concat(F.lit("="), F.col("acro")), F.when(F.length("compact") <= 5, F.concat(F.lit("="), F.col("compact"))))).alias("block")).filter("block IS NOT NULL AND block <> '='")
     blocks = single.unionByName(double).unionByName(short).distinct()
-    pairs = blocks.select(F.col("id").alias("a"), "type", "block").join(blocks.select(F.col("id").alias("b"), "type", "block"), ["type", "block"]).filter("a < b").select("a", "b").distinct()
+    pairs = blocks.select(F.col("id").alias("a"), "type", "block").join(blocks.select(F.col("id").alias("b"), "type", "block"), ["type", "block"]).filter("a < b").select("a", "b")
+    holders = e.select("id", "type", F.size("core").alias("n"), F.explode("core").alias("block")).join(frequent, ["type", "block"])
+    alone = holders.filter("n = 1").select(F.col("id").alias("x"), "type", "block").join(holders.select(F.col("id").alias("y"), "type", "block"), ["type", "block"]).filter("x <> y")
+    pairs = pairs.unionByName(alone.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
     left, right = e.select(*[F.col(c).alias(f"l_{c}") for c in e.columns]), e.select(*[F.col(c).alias(f"r_{c}") for c in e.columns])
     j = pairs.join(left, F.col("a") == F.col("l_id")).join(right, F.col("b") == F.col("r_id"))
     score = text.jaccard(F.col("l_core"), F.col("r_core"))

@@ -32,6 +32,14 @@ def test_suggestions(spark):
     assert got[1, 10] == "nickname" and got[2, 20] == "surname spelling" and got[3, 30] == "part of a compound surname" and got[4, 40] == "surname order or extra name"
 
 
+def test_near_duplicates_of_a_frequent_single_token(spark):
+    rows = [(1, "Acme"), (2, "Acme Widgets"), (3, "Tools Acme"), (4, "ACME"), (5, "Zenith Widgets")]
+    e = spark.createDataFrame([(i, "t", n) for i, n in rows] + [(6, "u", "Acme")], "id int, type string, name string")
+    whole = {(r.a, r.b, r.why, r.score) for r in matching.near_duplicates(e).collect()}
+    assert {(a, b) for a, b, *_ in whole} == {(1, 2), (1, 3), (1, 4), (2, 4), (3, 4)}
+    assert {(r.a, r.b, r.why, r.score) for r in matching.near_duplicates(e, most_common=2).collect()} == whole
+
+
 def test_keyword_candidates(spark):
     items = spark.createDataFrame([(1, ["housing"], ["housing", "plan"], 2024)], "item_id int, keywords array<string>, tokens array<string>, year int")
     records = spark.createDataFrame([("a", ["housing", "plan"], False, 2023), ("b", ["housing"], True, 2024), ("c", ["plan"], True, 2024)], "record_id string, tokens array<string>, divided boolean, year int")
