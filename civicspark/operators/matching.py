@@ -74,12 +74,13 @@ def _nick(a: Column, b: Column) -> Column:
 def suggestions(filed: DataFrame, registry: DataFrame) -> DataFrame:
     """filed_id, candidate_id, reason: hints for people, never a match. Both sides have tokens (array, last is the
     surname). Pairs come from a shared token or equal first letters of surnames, so the registry isn't crossed."""
-    def blocked(df: DataFrame, key: str, letter: str) -> DataFrame:
+    def blocked(df: DataFrame, letter: str) -> DataFrame:
         last = F.element_at("tokens", -1)
         keys = F.array_distinct(F.concat(F.transform("tokens", lambda t: F.concat(F.lit("t:"), t)), F.array(*[F.concat(F.lit(f"{n}:"), F.substring(last, s, 2)) for n, s in (("a", 1), ("b", 2), ("c", 3))])))
-        return df.filter(F.size("tokens") > 0).select(F.col(key).alias(key), F.col("tokens").alias(letter), F.explode(keys).alias("block"))
+        return df.filter(F.size("tokens") > 0).select(F.col("tokens").alias(letter), F.explode(keys).alias("block"))
 
-    pairs = blocked(filed, "filed_id", "t").join(blocked(registry, "candidate_id", "u"), "block").select("filed_id", "candidate_id", "t", "u").distinct()
+    # Equal token lists are compared once; ids come back afterwards.
+    pairs = blocked(filed.select("tokens").distinct(), "t").join(blocked(registry.select("tokens").distinct(), "u"), "block").select("t", "u").distinct()
     n, m = F.size("t"), F.size("u")
     g, s = F.slice("t", F.lit(1), n - 1), F.element_at("t", -1)
     h, r = F.slice("u", F.lit(1), m - 1), F.element_at("u", -1)
@@ -94,7 +95,9 @@ def suggestions(filed: DataFrame, registry: DataFrame) -> DataFrame:
         .when((s != r) & (F.length(s) >= 4) & (F.levenshtein(s, r) <= 2) & close, "surname spelling")
         .when((s != r) & F.array_contains("t", r) & close, "surname order or extra name")
     )
-    return pairs.select("filed_id", "candidate_id", reason.alias("reason")).filter("reason IS NOT NULL")
+    found = pairs.select("t", "u", reason.alias("reason")).filter("reason IS NOT NULL")
+    left, right = filed.select("filed_id", F.col("tokens").alias("t")).distinct(), registry.select("candidate_id", F.col("tokens").alias("u")).distinct()
+    return found.join(left, "t").join(right, "u").select("filed_id", "candidate_id", "reason")
 
 
 def unmatched_groups(rows: DataFrame, dispositions: DataFrame, keys: Sequence[str]) -> DataFrame:

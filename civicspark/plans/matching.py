@@ -15,14 +15,15 @@ from .registry import query
 from .scalars import WORDS_SQL
 
 #: Targets as filed, one for each distinct name and office, and the registry of candidates.
-TARGETS = "SELECT DISTINCT p_name || CASE WHEN p_size % 5 = 0 THEN ' x' ELSE '' END || '|' || p_brand AS target_id, CASE WHEN p_size % 4 = 0 THEN upper(p_name) ELSE p_name || CASE WHEN p_size % 5 = 0 THEN ' x' ELSE '' END END AS name, CASE p_brand WHEN 'Brand#1' THEN 1 WHEN 'Brand#2' THEN 2 WHEN 'Brand#3' THEN 3 END AS ward, CAST(NULL AS VARCHAR(1)) AS district FROM part WHERE p_size < 12"
-REGISTRY = "SELECT p_partkey AS candidate_id, p_name AS name, CAST(p_size % 4 AS INT) AS ward, CASE WHEN p_size % 3 = 0 THEN 'a' END AS district, p_partkey AS ord FROM part WHERE p_partkey % 40 < 3"
+ALL_TARGETS = "SELECT DISTINCT p_name || CASE WHEN p_size % 5 = 0 THEN ' x' ELSE '' END || '|' || p_brand AS target_id, CASE WHEN p_size % 4 = 0 THEN upper(p_name) ELSE p_name || CASE WHEN p_size % 5 = 0 THEN ' x' ELSE '' END END AS name, CASE p_brand WHEN 'Brand#1' THEN 1 WHEN 'Brand#2' THEN 2 WHEN 'Brand#3' THEN 3 END AS ward, CAST(NULL AS VARCHAR(1)) AS district FROM part"
+ALL_REGISTRY = "SELECT p_partkey AS candidate_id, p_name AS name, CAST(p_size % 4 AS INT) AS ward, CASE WHEN p_size % 3 = 0 THEN 'a' END AS district, p_partkey AS ord FROM part"
+TARGETS, REGISTRY = ALL_TARGETS + " WHERE p_size < 12", ALL_REGISTRY + " WHERE p_partkey % 40 < 3"
 _NORM = "trim(regexp_replace(regexp_replace(lower({}), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
 
 
-def _views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _views(spark: SparkSession, sf_dir: str, targets: str = TARGETS, registry: str = REGISTRY) -> tuple[DataFrame, DataFrame]:
     raw(spark, sf_dir, "part").createOrReplaceTempView("part")
-    return spark.sql(TARGETS.replace("VARCHAR(1)", "STRING")), spark.sql(REGISTRY)
+    return spark.sql(targets.replace("VARCHAR(1)", "STRING")), spark.sql(registry)
 
 
 def _rung_sql(i: int, name: str, tkey: str, rkey: str) -> str:
@@ -71,7 +72,7 @@ def jn11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fn27_suggestions")
 def fn27(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t, r = _views(spark, sf_dir)
+    t, r = _views(spark, sf_dir, ALL_TARGETS, ALL_REGISTRY)
     return matching.suggestions(t.select(F.col("target_id").alias("filed_id"), text.name_tokens(F.col("name")).alias("tokens")), r.select("candidate_id", text.name_tokens(F.col("name")).alias("tokens")))
 
 

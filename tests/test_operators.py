@@ -32,6 +32,15 @@ def test_suggestions(spark):
     assert got[1, 10] == "nickname" and got[2, 20] == "surname spelling" and got[3, 30] == "part of a compound surname" and got[4, 40] == "surname order or extra name"
 
 
+def test_suggestions_read_all_parts(spark, tmp_path):
+    from civicspark.plans import registry as plans
+
+    parts = spark.createDataFrame([(5, "bill smith", "Brand#7", "LARGE", 30, 1.0), (47, "william smith", "Brand#7", "LARGE", 41, 1.0)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    got = {(r.filed_id, r.candidate_id, r.reason) for r in plans.QUERIES["fn27_suggestions"](spark, str(tmp_path)).collect()}
+    assert got == {("bill smith x|Brand#7", 47, "nickname"), ("william smith|Brand#7", 5, "nickname")}
+
+
 def test_near_duplicates_of_a_frequent_single_token(spark):
     rows = [(1, "Acme"), (2, "Acme Widgets"), (3, "Tools Acme"), (4, "ACME"), (5, "Zenith Widgets")]
     e = spark.createDataFrame([(i, "t", n) for i, n in rows] + [(6, "u", "Acme")], "id int, type string, name string")
