@@ -20,7 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "noscript", "template", "title", "textarea", "svg", "iframe", "select", "button", "head", "math", "object")}
+#: Elements whose inside is text for the parser: without an end tag they go to the page's end.
+_RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "title", "textarea", "iframe")}
+#: Elements that are never content; without an end tag of their own they end at the next block tag.
+_ASIDE = frozenset("noscript template svg select button".split())
 _BLOCKS = frozenset("html body div p article section main nav header footer aside ul ol li dl dt dd table thead tbody tfoot tr td th caption h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption form fieldset address details summary dialog center hr menu".split())
 _NAME = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -50,10 +53,45 @@ def _hint(attributes: str) -> str:
     return "against" if _AGAINST.search(names) else "for" if _FOR.search(names) else "other"
 
 
+def _closed(page: str) -> dict[int, int]:
+    """Start to end of the _ASIDE elements that have an end tag of their own: one that comes before the end of
+    an element around them and, since they don't nest, before the next button or select."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    still: Counter = Counter()
+    skip_to = 0
+
+    def pop_to(tag: str) -> int:
+        while True:
+            top, start = stack.pop()
+            still[top] -= 1
+            if top == tag:
+                return start
+
+    for m in _TAG.finditer(page):
+        tag = (m[2] or "").lower()
+        if m.start() < skip_to or not tag:
+            continue
+        if m[1]:
+            if still[tag]:
+                start = pop_to(tag)
+                if tag in _ASIDE:
+                    ends[start] = m.end()
+        elif tag in _RAW_END and not (m[3] or "").endswith("/"):
+            end = _RAW_END[tag].search(page, m.end())
+            skip_to = end.end() if end else len(page)
+        elif tag in _ASIDE and not (m[3] or "").endswith("/") or tag in _BLOCKS and tag != "hr":
+            if tag in ("button", "select") and still[tag]:
+                pop_to(tag)
+            stack.append((tag, m.start()))
+            still[tag] += 1
+    return ends
+
+
 def parse(page: str) -> list[Node]:
     """Nodes in page order, each after its parent; text runs have the tag "#" and their parent's tag."""
     nodes = [Node(-1, "body", "none", None)]
-    stack, at, run, link, skip_to = [0], 0, -1, False, 0
+    stack, at, run, link, skip_to, ends, unclosed = [0], 0, -1, False, 0, None, False
 
     def add_text(chunk: str) -> None:
         nonlocal run
@@ -72,12 +110,14 @@ def parse(page: str) -> list[Node]:
     for m in _TAG.finditer(page):
         if m.start() < skip_to:
             continue
-        if m.start() > at:
+        tag = (m[2] or "").lower()
+        if m.start() > at and not unclosed:
             add_text(page[at : m.start()])
         at = m.end()
-        tag = (m[2] or "").lower()
         if not tag:
             continue
+        if tag in _BLOCKS or tag in _ASIDE:
+            unclosed = False
         if m[1]:
             if tag == "a":
                 link = False
@@ -93,6 +133,11 @@ def parse(page: str) -> list[Node]:
             end = _RAW_END[tag].search(page, at)
             at = skip_to = end.end() if end else len(page)
             continue
+        if tag in _ASIDE and not attributes.endswith("/"):
+            ends = _closed(page) if ends is None else ends
+            at = skip_to = ends.get(m.start(), at)
+            unclosed = m.start() not in ends
+            continue
         if tag in _BLOCKS and tag not in ("html", "body"):
             run, link = -1, link and tag != "p"
             top = nodes[stack[-1]].tag
@@ -110,7 +155,7 @@ def parse(page: str) -> list[Node]:
             link = True
         elif tag == "br":
             add_text(" ") if run >= 0 else None
-    if at < len(page):
+    if at < len(page) and not unclosed:
         add_text(page[at:])
     for n in reversed(nodes[1:]):
         nodes[n.parent].size += n.size

@@ -193,6 +193,33 @@ def test_html_leaves_the_rest_out():
     assert html_text.main_text(page, html_text.default_model()) == "A title & more\nFirst paragraph of the story, with a link in it and more words after that.\nSecond paragraph, on two lines, with enough words to be one."
 
 
+STORY = "The council voted on the plan late on Tuesday, after two hours of debate in a full room."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>x</title><meta charset=utf-8><body><article><p>{STORY}</p></article></body></html>",
+        f"<html><head><title>x</title><article><p>{STORY}</p></article>",
+        f"<body><div><button class=menu>Menu</div><article><p>{STORY}</p></article><div><button>Send</button></div></body>",
+        f"<body><button>Menu<article><p>{STORY}</p></article></body>",
+        f"<body><select><option>One<option>Two<article><p>{STORY}</p></article><button>Send</button></body>",
+        f"<body><noscript>Turn on scripts<article><p>{STORY}</p></article></body>",
+        f"<body><svg><text>Logo</text><article><p>{STORY}</p></article></body>",
+        f"<body><template>Row<article><p>{STORY}</p></article></body>",
+        f"<body><article><p>{STORY[:30]}<button>Share <b>it</b></button>{STORY[30:]}</p></article></body>",
+        f"<body><button><div>Menu</div></button><article><p>{STORY}</p></article></body>",
+    ],
+)
+def test_html_unclosed_elements_keep_the_story(page):
+    assert html_text.main_text(page, html_text.default_model()) == STORY
+
+
+def test_html_formulas_and_objects_stay():
+    page = f"<article><p>{STORY} It is <math><mi>a</mi><mo>=</mo><mi>b</mi></math> here.</p><object data=x><p>{STORY}</p></object><p>{STORY}</p></article>"
+    assert html_text.main_text(page, html_text.default_model()) == f"{STORY} It is a=b here.\n{STORY}\n{STORY}"
+
+
 def test_html_held_out_labels():
     model, draw, right, count = html_text.default_model(), random.Random(77), 0, 0
     for _ in range(80):
