@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .common import materialise, text_or_empty
 
@@ -211,6 +212,12 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     compares null-safe. Repeated rows get equal results; an empty table gives no rows; other columns
     are ignored.
     """
+    result = _judged(docs, id_col, text_col)
+    return result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, node, n, root and component_id of each row; without words root is null and component_id the row's id."""
     signed = materialise(signatures(docs, id_col, text_col), "near-signatures")
     nodes = signed.filter("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = materialise(nodes, "near-nodes")
@@ -247,13 +254,50 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         roots = materialise(roots, "near-roots")
     rooted = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_node = rooted.join(least, "root").select("node", "component_id")
-    result = signed.select("id", "node", "n").join(of_node, "node", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
-    return result.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    of_node = rooted.join(least, "root").select("node", "root", "component_id")
+    result = signed.select("id", "node", "n").join(of_node, "node", "left")
+    return result.withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
+
+
+def _with_nodes(docs: DataFrame, text_col: str) -> DataFrame:
+    """docs with the hash of each row's shingle set as _node."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _WordHashes()
+        for batch in batches:
+            nodes = [xxhash.xxh3_128_digest(shingle_set(t.as_py(), words).tobytes()) for t in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(nodes, pa.binary())], [*batch.schema.names[:-1], "_node"])
+
+    # mapInArrow takes no names with dots.
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    schema = StructType([*docs.toDF(*names).schema.fields, StructField("_node", BinaryType())])
+    rows = docs.select("*", text_or_empty(text_col).cast("binary").alias("_node")).toDF(*names, "_node")
+    return rows.mapInArrow(add, schema).toDF(*docs.columns, "_node")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that near_components() marks as not kept; columns stay as they are."""
-    gone = materialise(near_components(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("_gone")), "near-gone")
-    small = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone, F.col(f"`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti")
+    """docs with one row of each component and all rows without words; columns stay as they are.
+
+    The row that stays has the component's id, which is null only where all its ids are. Rows are told apart
+    by id and shingle set: an id that occurs with different texts, or none, goes only where its text does. Of
+    several rows with the id, that of the least set and then of the least content stays.
+    """
+    judged = _judged(docs, id_col, text_col)
+    keys = materialise(judged.groupBy("id", "node").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("root").alias("root"), F.first("component_id").alias("component_id")), "near-keys")
+    first = keys.filter((F.col("n") > 0) & F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(F.struct("node", "id", "c")).alias("k")).select("k.*")
+    stay = materialise(first.unionByName(keys.filter("n = 0").select("node", "id", F.lit(1).cast("long").alias("c"))), "near-stay")
+    counted = keys.select("id", F.lit(1).alias("k"), F.lit(0).alias("s"), F.lit(0).cast("long").alias("c")).unionByName(stay.select("id", F.lit(0).alias("k"), F.lit(1).alias("s"), "c"))
+    by_id = counted.groupBy("id").agg(F.sum("k").alias("k"), F.sum("s").alias("s"), F.max("c").alias("c"))
+    # Ids of which no row stays, and those of which some rows do.
+    listed = materialise(by_id.filter("s < k OR c > 1").select(F.col("id").alias("_gone"), (F.col("s") > 0).alias("_partly")), "near-gone")
+    small = listed.count() <= BROADCAST_IDS
+    of_id = F.col(f"`{id_col}`").eqNullSafe(F.col("_gone"))
+    clear = docs.join(F.broadcast(listed) if small else listed, of_id, "left_anti")
+    partly = listed.filter("_partly")
+    if partly.isEmpty():
+        return clear
+    rows = _with_nodes(docs.join(F.broadcast(partly) if small else partly, of_id, "left_semi"), text_col)
+    wordless = F.col("_node") == F.lit(xxhash.xxh3_128_digest(b""))
+    found = rows.filter(~wordless).join(stay.select(F.col("id").alias("_gone"), F.col("node").alias("_stays")), of_id & (F.col("_node") == F.col("_stays")), "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = found.groupBy(F.col(f"`{id_col}`").alias("_id"), "_node").agg(F.min_by(whole, F.to_json(whole)).alias("_row")).select("_row.*")
+    return clear.unionByName(rows.filter(wordless).drop("_node")).unionByName(one)

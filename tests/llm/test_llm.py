@@ -543,6 +543,29 @@ def test_near_dedup_links_rows_without_ids(spark):
     assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in got) == [(0, 7, False), (0, 7, False), (7, 7, True), (8, 8, True)]
 
 
+def test_near_dedup_drops_the_rows_judged(spark):
+    base = [f"w{i}" for i in range(100)]
+    near = lambda k, tail="": " ".join([*base[:-k], *[f"{tail}x{j}" for j in range(k)]])
+    other = lambda tag: " ".join(f"{tag}{i}" for i in range(60))
+
+    def left(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")
+        return sorted((r[0] or 0, r[1]) for r in near_dedup.drop_near_duplicates(docs).collect())
+
+    # A near copy without an id goes; unrelated rows without ids stay, rows without words too.
+    rows = [(7, near(1), "a"), (None, near(2), "b"), (None, other("p"), "c"), (None, other("q"), "d"), (None, "", "e"), (None, None, "f")]
+    assert left(rows[:5]) == sorted([(7, near(1)), (0, other("p")), (0, other("q")), (0, "")])
+    assert near_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")).count() == 5
+    # An id with two texts loses only the near copy.
+    assert left([(7, near(1), "a"), (9, near(2), "b"), (9, other("p"), "c")]) == sorted([(7, near(1)), (9, other("p"))])
+    # Of copies that all have no id, or one id, one stays.
+    got = left([(None, near(1), "a"), (None, near(2), "b"), (None, near(1), "c"), (3, other("p"), "d")])
+    assert len(got) == 2 and (3, other("p")) in got
+    assert len(left([(5, near(1), "a"), (5, near(2), "b"), (5, near(1).upper(), "c"), (6, near(1), "d")])) == 1
+    # One id in two components: each keeps a row.
+    assert left([(5, near(1), "a"), (5, other("p"), "b"), (8, other("p"), "c"), (9, near(2), "d")]) == sorted([(5, near(1)), (5, other("p"))])
+
+
 # 10
 
 
