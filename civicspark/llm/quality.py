@@ -12,21 +12,28 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import text_or_empty
 
 #: Bytes of a passage; the last may be shorter.
 PASSAGE = 1024
-#: Labelled documents that the fit may use: those with the lowest hashes of their ids.
-SAMPLE = 6_000
+#: Labelled documents that the fit may use, those with the lowest hashes of their ids; and the passages that
+#: these may have in all, 2 bytes a feature on the driver (24 MB). A document of over a hundredth of the
+#: passages is scored like any other but not learned from.
+SAMPLE, SAMPLE_PASSAGES = 6_000, 24_000
 HIDDEN, GATE, EPOCHS, BATCH, RATE, SEED = 24, 12, 30, 64, 0.004, 5
 #: Rows that count as labelled 1 from this score on.
 ACCEPT = 0.3
 
 #: Classes of bytes; all bytes of characters beyond ASCII are one class.
-_GROUPS = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " ", "\t\n\r\x0b\x0c", ".", ",", "!", "?", "|", "$", "#", "%", "&", "*", "()[]{}<>", "\"'`", ":;", "-_/\\", "@^~+="]
+_GROUPS = [
+    "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " ", "\t\n\r\x0b\x0c", ".", ",", "!", "?", "|",
+    "$", "#", "%", "&", "*", "()[]{}<>", "\"'`", ":;", "-_/\\", "@^~+=",
+]
 _CLASSES = len(_GROUPS) + 2
 _CLASS = np.full(256, _CLASSES - 1, np.int64)
 _CLASS[128:] = _CLASSES - 2
@@ -93,33 +100,46 @@ def _gradients(w: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray, y: n
     dlogit = a * (da - np.add.reduceat(a * da, starts)[bag])
     dt, ds = dlogit[:, None] * w["a"] * s * (1 - t * t), dlogit[:, None] * w["a"] * t * s * (1 - s)
     dh = (a[:, None] * dz[bag] + dt @ w["V"].T + ds @ w["U"].T) * (1 - h * h)
-    return {"E": x.T @ dh, "e": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ ds, "a": (t * s).T @ dlogit, "c": f["z"].T @ (f["p"] - y) / len(y), "d": np.array([(f["p"] - y).mean()])}
+    return {
+        "E": x.T @ dh, "e": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ ds, "a": (t * s).T @ dlogit,
+        "c": f["z"].T @ (f["p"] - y) / len(y), "d": np.array([(f["p"] - y).mean()]),
+    }
 
 
 def train(passages: list[np.ndarray], labels: np.ndarray) -> Model:
-    """Adam on the mean log loss; without both labels the score is the smoothed share of ones."""
+    """Adam on the mean log loss; without both labels the score is the smoothed share of ones.
+
+    passages: an array a document, of any float type; only a batch at a time is widened and scaled."""
     prior = float((labels.sum() + 1) / (len(labels) + 2))
     if len(labels) == 0 or labels.min() == labels.max():
         return Model(prior)
-    everything = np.concatenate(passages)
-    mean, scale = everything.mean(axis=0), everything.std(axis=0) + 0.02
+    count, total, squares = 0, np.zeros(WIDTH), np.zeros(WIDTH)
+    for p in passages:
+        wide = p.astype(np.float64)
+        count, total, squares = count + len(p), total + wide.sum(axis=0), squares + (wide * wide).sum(axis=0)
+    mean = (total / count).astype(np.float32)
+    scale = (np.sqrt(np.maximum(0, squares / count - (total / count) ** 2)) + 0.02).astype(np.float32)
     draw = np.random.default_rng(SEED)
-    w = {"E": draw.normal(0, 1 / np.sqrt(WIDTH), (WIDTH, HIDDEN)), "e": np.zeros(HIDDEN), "V": draw.normal(0, 0.3, (HIDDEN, GATE)), "U": draw.normal(0, 0.3, (HIDDEN, GATE)), "a": draw.normal(0, 0.3, GATE), "c": np.zeros(HIDDEN), "d": np.array([np.log(prior / (1 - prior))])}
+    w = {
+        "E": draw.normal(0, 1 / np.sqrt(WIDTH), (WIDTH, HIDDEN)), "e": np.zeros(HIDDEN),
+        "V": draw.normal(0, 0.3, (HIDDEN, GATE)), "U": draw.normal(0, 0.3, (HIDDEN, GATE)), "a": draw.normal(0, 0.3, GATE),
+        "c": np.zeros(HIDDEN), "d": np.array([np.log(prior / (1 - prior))]),
+    }
     first, second, step = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
-    scaled = [(p - mean) / scale for p in passages]
     for _ in range(EPOCHS):
         order = draw.permutation(len(labels))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
-            starts = np.cumsum([0] + [len(scaled[i]) for i in chosen[:-1]])
-            grads = _gradients(w, np.concatenate([scaled[i] for i in chosen]), starts, labels[chosen].astype(float))
+            starts = np.cumsum([0] + [len(passages[i]) for i in chosen[:-1]])
+            x = (np.concatenate([passages[i] for i in chosen]).astype(np.float32) - mean) / scale
+            grads = _gradients(w, x, starts, labels[chosen].astype(float))
             step += 1
             for k, g in grads.items():
                 g = g + (1e-4 * w[k] if k in "EVU" else 0)
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.999 * second[k] + 0.001 * g * g
                 w[k] = w[k] - RATE * first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    return Model(prior, mean.astype(np.float32), scale.astype(np.float32), w)
+    return Model(prior, mean, scale, w)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -127,11 +147,25 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Model:
-    """Learns from at most sample labelled documents that aren't held out; their passages go to the driver."""
+def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """id, label of the labelled documents to learn from; and id, text of docs' rows that are short enough."""
     seen = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("id is not null and label is not null").filter(~held_out(F.col("id")))
     chosen = seen.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample)
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text")).join(F.broadcast(chosen), "id")
+    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text"))
+    passages = F.greatest(F.lit(1), F.ceil(F.length("text") / PASSAGE))
+    texts = texts.filter(passages * 100 <= most)
+    # At most sample rows: a document's passages are those of all rows with its id.
+    sizes = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.sum(passages).alias("p"))
+    upto = Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    return sizes.withColumn("upto", F.sum("p").over(upto)).filter(F.col("upto") <= most).select("id", "label"), texts
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, most: int = SAMPLE_PASSAGES
+) -> Model:
+    """Learns from at most sample labelled documents that aren't held out, whole ones with at most `most`
+    passages in all; these passages go to the driver."""
+    chosen, texts = _sample(docs, labels, id_col, text_col, label_col, sample, most)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,8 +173,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(coded, pa.binary())], ["id", "label", "x"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = texts.select("id", "label", "text").mapInArrow(rows, f"id {kind}, label int, x binary").toPandas().sort_values(["id", "x"])
-    return train([np.frombuffer(x, np.float16).reshape(-1, WIDTH).astype(np.float32) for x in found["x"]], found["label"].to_numpy())
+    coded = texts.join(F.broadcast(chosen), "id").select("id", "label", "text").mapInArrow(rows, f"id {kind}, label int, x binary")
+    found = coded.toArrow()
+    order = pc.sort_indices(found, [("id", "ascending"), ("x", "ascending")]).to_pylist()
+    passages = [np.frombuffer(x.as_buffer(), np.float16).reshape(-1, WIDTH) for x in found["x"]]
+    return train([passages[i] for i in order], found["label"].to_numpy()[order])
 
 
 def score(model: Model, text: Column) -> Column:
