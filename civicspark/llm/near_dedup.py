@@ -1,9 +1,11 @@
 """MinHash near-dedup: circulant signatures, banding, exact Jaccard on full sets, components.
 
-Rows with equal shingle sets are one node. Nodes that share a band key are a bucket. In each bucket
-every node is compared with a hub, the one that shares most buckets with others. What that leaves in
-different components is compared in full, but for pairs that a bound on their sets' difference refuses.
-So every candidate link is confirmed, refused or already implied, without all pairs of a bucket.
+Rows with equal shingle sets are one node. Nodes that share a band key are a bucket; its hub is the node that
+shares most buckets with others. Every node is compared with the hub it meets most often, which gives a forest
+of confirmed links. A bucket whose nodes are then in one tree is done. In the others nodes of different trees
+are candidates; where those pairs would be many, nodes are brought together by their rarest shingles instead:
+sets as similar as asked share one of these for sure, so no link is lost, and texts that share a template
+and little else never meet. All candidates are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.window import Window
 
 from .common import materialise, text_or_empty
 
@@ -26,7 +29,10 @@ OVER, UNDER = 3, 4
 BANDS, ROWS = 48, 5
 REMEMBER = 300_000
 #: A table of ids is broadcast up to this many rows, 16 MB; beyond it the join shuffles.
-BROADCAST_IDS = 500_000
+BROADCAST_IDS = 200_000
+#: Candidate pairs a row up to which the buckets' own pairs are compared; beyond it rare shingles decide for
+#: the buckets that have more.
+DIRECT = 64
 #: 64-bit numbers of the parity sketch of a set.
 PARITY = 16
 
@@ -120,9 +126,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
     """node, grams (the set as sorted 8-byte hashes) of the nodes in wanted (id, node)."""
-    ids = wanted.select(F.col("id").alias("wanted"))
-    if wanted.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = _hinted(wanted.select(F.col("id").alias("wanted")))
     rows = docs.select(text_or_empty(text_col).cast("binary").alias("text"), F.col(id_col).alias("id"))
     texts = rows.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
 
@@ -174,6 +178,11 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "ga", "gb").mapInArrow(check, "a binary, b binary")
 
 
+def _hinted(df: DataFrame) -> DataFrame:
+    """A written table of ids, broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """node, root for every node of the edges (a, b); root is the least node of its component.
 
@@ -203,6 +212,92 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def forest_roots(forest: DataFrame) -> DataFrame:
+    """node, root for every node with a parent. forest: node, root, a parent each and no cycles. Each round
+    halves the ways to the roots."""
+    now = materialise(forest.withColumn("moved", F.lit(True)), "near-roots")
+    while not now.filter("moved").isEmpty():
+        up = now.select(F.col("node").alias("root"), F.col("root").alias("onward"))
+        moved = now.join(_hinted(up), "root", "left").select("node", F.coalesce("onward", "root").alias("root"), F.col("onward").isNotNull().alias("moved"))
+        now = materialise(moved, "near-roots")
+    return now.select("node", "root")
+
+
+def _hub_links(placed: DataFrame) -> DataFrame:
+    """a, b: each node and the hub that it meets in most buckets. placed: key, node, n, met. A hub has more met,
+    or as much and a greater node, than the nodes that are given to it, so the links are a forest."""
+    hubs = placed.groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("hub"))
+    met = placed.join(hubs, "key").filter((F.col("node") != F.col("hub.node")) & _near_in_size(F.col("n"), F.col("hub.n")))
+    often = met.groupBy("node", F.col("hub.node").alias("b"), F.col("hub.met").alias("m")).agg(F.count(F.lit(1)).alias("c"))
+    return often.groupBy(F.col("node").alias("a")).agg(F.max(F.struct("c", "m", "b")).alias("best")).select("a", "best.b")
+
+
+def _crossed(rooted: DataFrame) -> DataFrame:
+    """key, major (the root of most of its rows), rows, cross (ordered pairs of different roots) of the keys with
+    several roots. rooted: key, node, n, root."""
+    shares = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    every = shares.groupBy("key").agg(
+        F.max_by("root", F.struct("c", "root")).alias("major"), F.count(F.lit(1)).alias("roots"), F.sum("c").alias("rows"), F.sum(F.col("c").cast("double") * F.col("c")).alias("squares")
+    )
+    return every.filter("roots > 1").select("key", "major", "rows", (F.col("rows").cast("double") * F.col("rows") - F.col("squares")).alias("cross"))
+
+
+def _pairs(rooted: DataFrame, crossed: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: nodes of different roots at one key of crossed that no bound refuses: those outside the key's
+    largest tree against all others."""
+    open_ = rooted.join(crossed.select("key", "major"), "key").join(sets.select("node", "parity").dropDuplicates(["node"]), "node")
+    minor = open_.filter(F.col("root") != F.col("major")).select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"), F.col("parity").alias("ap"))
+    others = open_.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"), F.col("parity").alias("bp"), "major")
+    apart = (F.col("minor.key") == F.col("others.key")) & (F.col("ar") != F.col("br")) & ((F.col("br") == F.col("major")) | (F.col("a") < F.col("b")))
+    met = minor.alias("minor").join(others.alias("others"), apart & _may_be_near(F.col("an"), F.col("ap"), F.col("bn"), F.col("bp")))
+    return met.select("a", "b").distinct()
+
+
+def rare_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """key, node, n, root: the rarest shingles of each node, by classes of how many of the nodes hold them, that
+    another node holds too. nodes: node, n, root, written.
+
+    A set that is near enough to one of n shingles lacks n / 4 of them at most. So n / 4 + 1 of a set's
+    shingles, whole classes from the rarest on, hold one of the other's; and of two such choices the one that
+    stops earlier lies within the other's classes. Shingles of one node alone are counted and left out."""
+    whole = sets.join(_hinted(nodes.select("node")), "node", "left_semi").select("node", "grams").dropDuplicates(["node"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                grams = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(grams), batch.column(0).take(pa.array(np.full(len(grams), i)))], ["key", "node"])
+
+    each = whole.mapInArrow(spread, "key long, node binary")
+    held = materialise(each.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("key", F.ceil(F.log2("df")).cast("int").alias("class")), "near-held")
+    classed = each.join(_hinted(held), "key")
+    counts = classed.groupBy("node", "class").agg(F.count(F.lit(1)).alias("c"))
+    of_node = Window.partitionBy("node")
+    reached = counts.withColumn("all", F.sum("c").over(of_node)).withColumn("upto", F.sum("c").over(of_node.orderBy("class"))).join(_hinted(nodes), "node")
+    needed = F.floor(F.col("n") * (UNDER - OVER) / UNDER) + 1
+    last = reached.filter((F.col("n") - F.col("all") < needed) & (F.col("n") - F.col("all") + F.col("upto") >= needed)).groupBy("node").agg(F.min("class").alias("last"), F.first("n").alias("n"), F.first("root").alias("root"))
+    last = materialise(last, "near-last")
+    return classed.join(_hinted(last), "node").filter(F.col("class") <= F.col("last")).select("key", "node", "n", "root")
+
+
+def _open_links(rooted: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: confirmed links between nodes of different roots. rooted: key, node, n, root of all buckets, written."""
+    crossed = materialise(_crossed(rooted), "near-crossed")
+    none = sets.select(F.col("node").alias("a"), F.col("node").alias("b")).filter("false")
+    heavy = F.col("cross") > DIRECT * F.col("rows")
+    few, many = crossed.filter(~heavy), crossed.filter(heavy)
+    rows, cross, most = crossed.agg(F.sum("rows"), F.sum("cross"), F.sum(F.when(heavy, F.col("cross")))).first()
+    if not rows:
+        return none
+    if cross > DIRECT * rows:
+        nodes = materialise(rooted.join(_hinted(many.select("key")), "key", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("root").alias("root")), "near-open")
+        rare = materialise(rare_shingles(nodes, sets), "near-rare")
+        by_rare = materialise(_crossed(rare), "near-rare-crossed")
+        if (by_rare.agg(F.sum("cross")).first()[0] or 0) < most:
+            return _confirm(_pairs(rooted, few, sets).unionByName(_pairs(rare, by_rare, sets)).distinct(), sets)
+    return _confirm(_pairs(rooted, crossed, sets), sets)
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id and kept for each row of docs.
 
@@ -227,51 +322,38 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     wanted = materialise(buckets.groupBy("node").agg(F.first("id").alias("id"), F.sum("members").alias("met")), "near-wanted")
     sets = materialise(_sets(docs, id_col, text_col, wanted), "near-sets")
 
-    placed = materialise(buckets.drop("id", "members").join(wanted.select("node", "met"), "node"), "near-placed")
-    hubs = placed.groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("hub"))
-    star = placed.join(hubs, "key").filter((F.col("node") != F.col("hub.node")) & _near_in_size(F.col("n"), F.col("hub.n"))).select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
-    roots = components(_confirm(star, sets))
-
-    # Members outside a bucket's largest component, against its members of other components.
-    rooted = materialise(placed.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")), "near-rooted")
-    shares = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-    split = shares.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("major"), F.count(F.lit(1)).alias("roots")).filter("roots > 1").select("key", "major")
-    open_ = rooted.join(split, "key").join(sets.select("node", "parity").dropDuplicates(["node"]), "node")
-    minor = open_.filter(F.col("root") != F.col("major")).select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"), F.col("parity").alias("ap"))
-    others = open_.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"), F.col("parity").alias("bp"), "major")
-    apart = (F.col("minor.key") == F.col("others.key")) & (F.col("ar") != F.col("br")) & ((F.col("br") == F.col("major")) | (F.col("a") < F.col("b")))
-    pairs = minor.alias("minor").join(others.alias("others"), apart & _may_be_near(F.col("an"), F.col("ap"), F.col("bn"), F.col("bp")))
-    more = materialise(_confirm(pairs.select("a", "b").distinct(), sets), "near-edges")
+    placed = materialise(buckets.select("key", "node", "n").join(_hinted(wanted.select("node", "met")), "node"), "near-placed")
+    roots = forest_roots(_confirm(_hub_links(placed), sets).select(F.col("a").alias("node"), F.col("b").alias("root")))
+    rooted = materialise(placed.join(_hinted(roots), "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")), "near-rooted")
+    more = materialise(_open_links(rooted, sets), "near-edges")
+    of_node = wanted.select("node", "id").join(_hinted(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     if not more.isEmpty():
-        # Links between components: their roots are the nodes now.
-        ends = roots.select(F.col("node").alias("end"), "root")
+        # Links between trees: their roots are the nodes now.
         merged = more
         for side in ("a", "b"):
-            merged = merged.join(ends, F.col(side) == F.col("end"), "left").withColumn(side, F.coalesce("root", side)).select("a", "b")
-        onward = components(merged).select(F.col("node").alias("root"), F.col("root").alias("onward"))
-        lone = onward.join(roots.select("root").distinct(), "root", "left_anti").select(F.col("root").alias("node"), F.col("onward").alias("root"))
-        roots = roots.join(onward, "root", "left").select("node", F.coalesce("onward", "root").alias("root")).unionByName(lone)
-        roots = materialise(roots, "near-roots")
-    rooted = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_node = rooted.join(least, "root").select("node", "root", "component_id")
-    result = signed.select("id", "node", "n").join(of_node, "node", "left")
+            ends = roots.select(F.col("node").alias(side), "root")
+            merged = merged.join(_hinted(ends), side, "left").withColumn(side, F.coalesce("root", side)).select("a", "b")
+        onward = materialise(components(merged).select(F.col("node").alias("root"), F.col("root").alias("onward")), "near-onward")
+        of_node = of_node.join(_hinted(onward), "root", "left").select("node", "id", F.coalesce("onward", "root").alias("root"))
+    of_node = materialise(of_node, "near-members")
+    least = of_node.groupBy("root").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").drop("nodes")
+    linked = materialise(of_node.select("node", "root").join(least, "root"), "near-linked")
+    every = nodes.select("node", "id").join(_hinted(linked), "node", "left")
+    every = every.select("node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "id").alias("component_id"))
+    result = signed.select("id", "node", "n").join(every, "node", "left")
     return result.withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
 
 
-def _with_nodes(docs: DataFrame, text_col: str) -> DataFrame:
-    """docs with the hash of each row's shingle set as _node."""
+def _with_nodes(rows: DataFrame, text: Column) -> DataFrame:
+    """rows with the hash of each row's shingle set as _node. Column names have no dots."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHashes()
         for batch in batches:
             nodes = [xxhash.xxh3_128_digest(shingle_set(t.as_py(), words).tobytes()) for t in batch.column(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(nodes, pa.binary())], [*batch.schema.names[:-1], "_node"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(nodes, pa.binary())], batch.schema.names)
 
-    # mapInArrow takes no names with dots.
-    names = [f"_{i}" for i in range(len(docs.columns))]
-    schema = StructType([*docs.toDF(*names).schema.fields, StructField("_node", BinaryType())])
-    rows = docs.select("*", text_or_empty(text_col).cast("binary").alias("_node")).toDF(*names, "_node")
-    return rows.mapInArrow(add, schema).toDF(*docs.columns, "_node")
+    schema = StructType([*rows.schema.fields, StructField("_node", BinaryType())])
+    return rows.withColumn("_node", text.cast("binary")).mapInArrow(add, schema)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,15 +371,17 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     by_id = counted.groupBy("id").agg(F.sum("k").alias("k"), F.sum("s").alias("s"), F.max("c").alias("c"))
     # Ids of which no row stays, and those of which some rows do.
     listed = materialise(by_id.filter("s < k OR c > 1").select(F.col("id").alias("_gone"), (F.col("s") > 0).alias("_partly")), "near-gone")
-    small = listed.count() <= BROADCAST_IDS
-    of_id = F.col(f"`{id_col}`").eqNullSafe(F.col("_gone"))
-    clear = docs.join(F.broadcast(listed) if small else listed, of_id, "left_anti")
+    # Columns are known by their places meanwhile, so that no name can clash.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows, row_id, text = docs.toDF(*names), F.col(names[docs.columns.index(id_col)]), names[docs.columns.index(text_col)]
+    of_id = row_id.eqNullSafe(F.col("_gone"))
+    clear = rows.join(_hinted(listed), of_id, "left_anti")
     partly = listed.filter("_partly")
     if partly.isEmpty():
-        return clear
-    rows = _with_nodes(docs.join(F.broadcast(partly) if small else partly, of_id, "left_semi"), text_col)
+        return clear.toDF(*docs.columns)
+    told = _with_nodes(rows.join(_hinted(partly), of_id, "left_semi"), text_or_empty(text))
     wordless = F.col("_node") == F.lit(xxhash.xxh3_128_digest(b""))
-    found = rows.filter(~wordless).join(stay.select(F.col("id").alias("_gone"), F.col("node").alias("_stays")), of_id & (F.col("_node") == F.col("_stays")), "left_semi")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    one = found.groupBy(F.col(f"`{id_col}`").alias("_id"), "_node").agg(F.min_by(whole, F.to_json(whole)).alias("_row")).select("_row.*")
-    return clear.unionByName(rows.filter(wordless).drop("_node")).unionByName(one)
+    found = told.filter(~wordless).join(stay.select(F.col("id").alias("_gone"), F.col("node").alias("_stays")), of_id & (F.col("_node") == F.col("_stays")), "left_semi")
+    whole = F.struct(*names)
+    one = found.groupBy(row_id.alias("_id"), "_node").agg(F.min_by(whole, F.to_json(whole)).alias("_row")).select("_row.*")
+    return clear.unionByName(told.filter(wordless).drop("_node")).unionByName(one).toDF(*docs.columns)

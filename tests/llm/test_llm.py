@@ -18,7 +18,7 @@ from civicspark.llm import exact_dedup, html_text, media, mixing, near_dedup, pa
 from ..compare import assert_same, connect
 
 SF = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, score string, node string, run string, _row string, bin string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, score string, node string, run string, _row string, bin string, _gone string, _stays string, _node string, _partly string"
 WORD_MODEL, PIECE_MODEL = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 LONG = "lorem ipsum, Dolor! " * 4000
 
@@ -26,8 +26,8 @@ LONG = "lorem ipsum, Dolor! " * 4000
 def awkward_rows():
     """Nulls in every column, empty and very long texts, repeated rows, ties, and columns named like our own."""
     texts = [None, "", " \t\n", "one", "Same words Here and There", "same words here and there", LONG, LONG, "ÄÖ ß 漢字 \x00 x", "a b c d e f g h"]
-    rows = [(i, t, None if i % 3 == 0 else "en", None if i % 4 == 0 else f"s{i % 3}", None, "k", "x", "n", "r", "w", "b") for i, t in enumerate(texts)]
-    return rows + [rows[3], rows[9], (None, "null id", None, None, None, None, None, None, None, None, None), (None, None, None, None, None, None, None, None, None, None, None)]
+    rows = [(i, t, None if i % 3 == 0 else "en", None if i % 4 == 0 else f"s{i % 3}", None, "k", "x", "n", "r", "w", "b", "g", "s", "o", "p") for i, t in enumerate(texts)]
+    return rows + [rows[3], rows[9], (None, "null id", *[None] * 13), (None,) * 15]
 
 
 @pytest.fixture(scope="module")
@@ -524,6 +524,51 @@ def test_near_dedup_of_a_large_family(spark):
     assert {tuple(r) for r in near_dedup.near_components(docs).collect()} == plain_components(texts)
 
 
+def templated(draw, count, shared, own, families=0):
+    """Texts of shared words and own ones; the last families of them have two near copies each."""
+    template = [f"t{draw.randint(0, 99999)}" for _ in range(shared)]
+    texts = [[*template[:20], *[f"u{draw.randint(0, 10**9)}" for _ in range(own)], *template[20:]] for _ in range(count)]
+    for t in texts[len(texts) - families :]:
+        for k in (2, 3):
+            texts.append([*t[:-k], *[f"c{draw.randint(0, 10**9)}" for _ in range(k)]])
+    return {i: " ".join(t) for i, t in enumerate(texts)}
+
+
+def test_near_dedup_of_templated_texts(spark, monkeypatch):
+    """Texts with similarity 0.5 by a template share bands but no rare shingles; near copies among them do."""
+    made = templated(random.Random(8), 150, 400, 195, families=12)
+    docs = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    asked, compared = [], near_dedup._pairs
+    monkeypatch.setattr(near_dedup, "_pairs", lambda *a: asked.append(compared(*a)) or asked[-1])
+    monkeypatch.setattr(near_dedup, "DIRECT", 4)
+    assert {tuple(r) for r in near_dedup.near_components(docs).collect()} == plain_components(made)
+    assert len(asked) == 2 and sum(a.count() for a in asked) <= 4 * len(made)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rare_shingles_bring_all_near_sets_together(spark, monkeypatch, seed):
+    """Every pair at 0.75 or more shares a chosen shingle, over sets of all kinds of overlap."""
+    monkeypatch.setattr(near_dedup, "DIRECT", 0)
+    draw = random.Random(seed)
+    base = [[f"w{draw.randint(0, 40)}" for _ in range(60)] for _ in range(3)]
+    made = {}
+    for i in range(90):
+        t = list(draw.choice(base))
+        for _ in range(draw.choice([0, 1, 1, 2, 3, 4])):
+            t[draw.randrange(len(t))] = f"x{draw.randint(0, 30)}"
+        made[i] = " ".join(t[: draw.choice([60, 60, 58, 52, 45])])
+    docs = spark.createDataFrame(list(made.items()), "doc_id long, text string")
+    signed = near_dedup.materialise(near_dedup.signatures(docs, "doc_id", "text"), "t").filter("n > 0")
+    nodes = near_dedup.materialise(signed.groupBy("node").agg(F.first("n").alias("n"), F.first("node").alias("root"), F.min("id").alias("id")), "t")
+    sets = near_dedup.materialise(near_dedup._sets(docs, "doc_id", "text", nodes), "t")
+    rare = near_dedup.rare_shingles(nodes.drop("id"), sets)
+    met = {(bytes(r.a), bytes(r.b)) for r in rare.select("key", F.col("node").alias("a")).join(rare.select("key", F.col("node").alias("b")), "key").filter("a < b").select("a", "b").distinct().collect()}
+    grams = {bytes(r.node): set(np.frombuffer(r.grams, np.uint64).tolist()) for r in sets.select("node", "grams").collect()}
+    near = {(a, b) for a in grams for b in grams if a < b and 4 * len(grams[a] & grams[b]) >= 3 * len(grams[a] | grams[b])}
+    assert near and near <= met
+    assert {tuple(r) for r in near_dedup.near_components(docs).collect()} == plain_components(made)
+
+
 def test_parity_never_refuses_a_near_pair():
     draw = np.random.default_rng(2)
     for _ in range(200):
