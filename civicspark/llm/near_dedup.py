@@ -30,9 +30,10 @@ BANDS, ROWS = 48, 5
 REMEMBER = 300_000
 #: A table of ids is broadcast up to this many rows, 16 MB; beyond it the join shuffles.
 BROADCAST_IDS = 200_000
-#: Candidate pairs a row up to which the buckets' own pairs are compared; beyond it rare shingles decide for
+#: Candidate pairs a row up to which the buckets' own pairs are compared, by sketches, at some 0.1 microseconds
+#: a pair: about what spreading out a set costs. Beyond it rare shingles decide for
 #: the buckets that have more.
-DIRECT = 64
+DIRECT = 256
 #: 64-bit numbers of the parity sketch of a set.
 PARITY = 16
 
