@@ -10,12 +10,12 @@ in question are looked up among those of all suffixes of the run.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,15 +25,19 @@ from .common import materialise, text_or_empty
 #: Words of a passage that counts, and of a run. A window of a passage's length holds REACH + 1 runs.
 LEAST, RUN = 50, 20
 REACH = LEAST - RUN
-REMEMBER = 300_000
+#: Bytes of text that are worked on at once; a longer text is one piece, hashed in blocks of as many.
+CHUNK = 1 << 20
 #: A table of runs is broadcast up to this many, 16 MB; beyond it the join shuffles.
 BROADCAST_RUNS = 2_000_000
-#: Suffixes of one run that a task compares; those of more frequent runs are dealt by id, and all their
-#: windows are looked up across tasks.
+#: Suffixes of one run that a task compares; those of more frequent runs are dealt by id, and the windows
+#: that a task can't settle are looked up across tasks.
 TOGETHER = 20_000
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of _BASE, and of its inverse, modulo 2^64
+_IS_SPACE = np.zeros(256, np.int8)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = 1
+_SPACE = re.compile(rb"[\t-\r ]")
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,14 +49,6 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBER:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
@@ -68,22 +64,71 @@ def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     return best(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def anchors(text: bytes, words: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words, positions of the minimisers, and the hashes of the runs there.
-
-    A run's hash is a difference of prefix sums. A run is a minimiser when it is the least of some window,
-    which is when the greatest of the least values of its windows is its own; equal runs all are."""
-    parts = text.split()
-    w = np.fromiter(map(words.__getitem__, parts), np.uint64, len(parts))
+def _between(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """The hash of each stretch of values, wherever it stands: a difference of prefix sums."""
+    up, down = _powers(len(values) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[:-1], dtype=np.uint64)])
+    return _mix((sums[stops] - sums[starts]) * down[starts])
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in a row, split at ASCII white space, and where each text's begin and
+    the last one's end."""
+    data = b" ".join(texts) + b" "
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+    hashes, places, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    while at < len(data):
+        stop = at + CHUNK
+        if stop < len(data):
+            stop = _SPACE.search(data, stop).end()
+        block = np.frombuffer(data[at:stop], np.uint8)
+        change = np.diff(_IS_SPACE[block], prepend=np.int8(1), append=np.int8(1))
+        starts, stops = np.flatnonzero(change == -1), np.flatnonzero(change == 1)
+        hashes.append(_between(block.astype(np.uint64) + np.uint64(1), starts, stops))
+        places.append(starts + at)
+        at = stop
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(places), begins)
+
+
+def anchors(w: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each minimiser: the index of its text, its place in w, and the hash of its run.
+
+    A run is a minimiser when it is the least of some window of its text, which is when the greatest of the
+    least values of its windows is its own; equal runs all are."""
     if len(w) < LEAST:
-        return w, np.empty(0, np.int64), np.empty(0, np.int64)
-    up, down = _powers(len(w))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * up, dtype=np.uint64)])
-    runs = _mix((sums[RUN:] - sums[:-RUN]) * down[: len(w) - RUN + 1])
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    first = np.arange(len(w) - RUN + 1)
+    runs = _between(w, first, first + RUN)
     least = _sliding(runs, REACH + 1, np.minimum)
+    owner = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+    # A window that goes on into the next text is none: it bounds nothing from below.
+    least[owner[: len(least)] != owner[LEAST - 1 :]] = 0
     padded = np.concatenate([np.zeros(REACH, np.uint64), least, np.zeros(REACH, np.uint64)])
-    at = np.flatnonzero(_sliding(padded, REACH + 1, np.maximum) == runs)
-    return w, at, runs[at].view(np.int64)
+    most = _sliding(padded, REACH + 1, np.maximum)
+    at = np.flatnonzero((most == runs) & (most > 0))
+    return owner[at], at, runs[at].view(np.int64)
+
+
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts in stretches of about CHUNK bytes, each with the index of its first."""
+    first, held, size = 0, [], 0
+    for i, t in enumerate(texts):
+        held.append(t.as_py())
+        size += len(held[-1])
+        if size >= CHUNK:
+            yield first, held
+            first, held, size = i + 1, [], 0
+    if held:
+        yield first, held
+
+
+def _stretches(w: np.ndarray, starts: np.ndarray, stops: np.ndarray, step: int) -> pa.Array:
+    """The words from starts on, in steps of 1 or -1 and before stops, REACH at most, as bytes."""
+    places = starts[:, None] + step * np.arange(REACH)[None, :]
+    inside = (places < stops[:, None]) if step > 0 else (places >= stops[:, None])
+    found = w[np.clip(places, 0, len(w) - 1)].astype(">u4")[inside]
+    ends = np.concatenate([[0], np.cumsum(inside.sum(axis=1) * 4)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(found)])
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -98,15 +143,11 @@ def suffixes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = _rows(docs, id_col, text_col)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordHashes()
         for batch in batches:
-            index, spots, runs = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for i, t in enumerate(batch.column(1)):
-                _, at, run = anchors(t.as_py(), words)
-                index.append(np.full(len(at), i))
-                spots.append(at)
-                runs.append(run)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(index))), pa.array(np.concatenate(spots).astype(np.int32)), pa.array(np.concatenate(runs))], ["id", "at", "run"])
+            for first, texts in _chunks(batch.column(1)):
+                w, begins = word_hashes(texts)
+                text, at, run = anchors(w, begins)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text + first)), pa.array((at - begins[text]).astype(np.int32)), pa.array(run)], ["id", "at", "run"])
 
     found = rows.mapInArrow(find, f"id {id_type}, at int, run long")
     repeated = found.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("run", "n")
@@ -120,27 +161,21 @@ def suffixes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         source = rows.join(spots, "id")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordHashes()
         for batch in batches:
-            index, positions, runs, right, left = [], [], [np.empty(0, np.int64)], [], []
-            for i, (t, listed) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
-                w, at, run = anchors(t.as_py(), words)
+            for first, texts in _chunks(batch.column(1)):
+                w, begins = word_hashes(texts)
+                text, at, run = anchors(w, begins)
                 if wanted is None:
-                    mask = np.isin(at, listed.as_py() or [])
+                    listed = [np.asarray(batch.column(2)[first + i].as_py() or [], np.int64) + begins[i] for i in range(len(texts))]
+                    mask = np.isin(at, np.concatenate(listed))
                 elif len(wanted.value):
                     mask = wanted.value[np.minimum(np.searchsorted(wanted.value, run), len(wanted.value) - 1)] == run
                 else:
                     mask = np.zeros(len(at), bool)
-                if not mask.any():
-                    continue
-                at, forward = at[mask], w.astype(">u4")
-                after, before, n = forward.tobytes(), forward[::-1].tobytes(), len(forward)
-                right += [after[4 * (p + RUN) : 4 * (p + LEAST)] for p in at.tolist()]
-                left += [before[4 * (n - p) : 4 * (n - p + REACH)] for p in at.tolist()]
-                index += [i] * len(at)
-                positions += at.tolist()
-                runs.append(run[mask])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(runs)), pa.array(right, pa.binary()), pa.array(left, pa.binary()), batch.column(0).take(pa.array(index, pa.int64())), pa.array(positions, pa.int32())], ["run", "right", "left", "id", "at"])
+                text, at, run = text[mask], at[mask], run[mask]
+                right, left = _stretches(w, at + RUN, begins[text + 1], 1), _stretches(w, at - 1, begins[text], -1)
+                columns = [pa.array(run), right, left, batch.column(0).take(pa.array(text + first)), pa.array((at - begins[text]).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["run", "right", "left", "id", "at"])
 
     kept = source.mapInArrow(emit, f"run long, right binary, left binary, id {id_type}, at int")
     frequent = repeated.filter(F.col("n") > TOGETHER)
@@ -166,14 +201,35 @@ def _covers(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (_BACK[None, :] <= left[:, None]) & (REACH - _BACK[None, :] <= right[:, None])
 
 
-def compare(rows: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, start, stop) arrays of the repeated spans. rows: whole groups of one run each, next to each
-    other, sorted by right and left."""
+def _window_hashes(left: np.ndarray, ln: np.ndarray, right: np.ndarray, rn: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """The hash of each row's window that reaches back so many words, by the words before and after its run."""
+    up, _ = _powers(2 * REACH + 3)
+    sums = []
+    for words, powers in ((left, up[1 : REACH + 1]), (right, up[REACH + 1 : 2 * REACH + 1])):
+        mixed = _mix(words.astype(np.uint64) + np.uint64(1)) * powers
+        sums.append(np.concatenate([np.zeros((len(words), 1), np.uint64), np.cumsum(mixed, axis=1, dtype=np.uint64)], axis=1))
+    far = _mix(np.arange(1, REACH + 2, dtype=np.uint64) * up[2 * REACH + 1])
+    return _mix(_mix(sums[0] + sums[1][:, ::-1] + far) ^ _mix(run.view(np.uint64) + up[2 * REACH + 2])[:, None])
+
+
+def _by_hash(hashes: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the rows by hash and who, and for each place in it whether another who has its hash."""
+    order = np.lexsort((who, hashes))
+    h = hashes[order]
+    edge = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    stop = np.append(edge[1:], len(h)) - 1
+    several = who[order][edge] != who[order][stop]
+    return order, np.repeat(several, stop - edge + 1)
+
+
+def compare(rows: pd.DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """(row, start, stop) arrays of the repeated spans; and (row, words back, hash) arrays of the windows that
+    other tasks may settle. rows: whole groups of one run each, next to each other, sorted by right and left."""
     right, rn = _unpacked(rows["right"].tolist())
     left, ln = _unpacked(rows["left"].tolist())
-    run, at = rows["run"].to_numpy(), rows["at"].to_numpy(np.int64)
+    run, at = rows["run"].to_numpy(np.int64), rows["at"].to_numpy(np.int64)
     who = pd.factorize(rows["id"])[0]
-    out, count = [], len(rows)
+    out, asked, count = [], [], len(rows)
     known = np.zeros((count, REACH + 1), bool)
     most_left, most_right = np.full(count, -1), np.full(count, -1)
 
@@ -190,31 +246,41 @@ def compare(rows: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray, np.ndarray
 
     natural = np.arange(count)
     neighbours(natural)
-    keys = np.array([x.ljust(4 * REACH, b"\0") + y for x, y in zip(rows["left"], rows["right"], strict=True)], dtype=f"S{8 * REACH}")
+    keys = np.ascontiguousarray(np.concatenate([left, right], axis=1)).view(f"S{8 * REACH}").ravel()
     neighbours(np.lexsort((keys, run)))
     # A run's first order bounds what follows it in any match, the second what stands before it.
     open_ = _covers(most_left, most_right) & ~known
-    starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-    group = np.cumsum(np.concatenate([[False], run[1:] != run[:-1]]))
-    stops = np.append(starts[1:], count)
-    for g in np.unique(group[open_.any(axis=1)]):
-        i, j = starts[g], stops[g]
-        if j - i < 3:
+    frequent = rows["n"].notna().to_numpy()
+    group = np.cumsum(np.concatenate([[0], run[1:] != run[:-1]]))
+    asks = np.zeros((group[-1] + 1, REACH + 1), bool)
+    for back in range(REACH + 1):
+        asks[group[open_[:, back]], back] = True
+    asks[group[frequent]] = True
+    some = np.flatnonzero(asks.any(axis=1)[group])
+    if not len(some):
+        return out, asked
+    hashes = _window_hashes(left[some], ln[some], right[some], rn[some], run[some])
+    for back in range(REACH + 1):
+        there = asks[group[some], back] & (ln[some] >= back) & (rn[some] >= REACH - back)
+        mine, h = some[there], hashes[there, back]
+        if not len(mine):
             continue
-        lefts, rights = rows["left"].iloc[i:j].tolist(), rows["right"].iloc[i:j].tolist()
-        for back in np.flatnonzero(open_[i:j].any(axis=0)):
-            seen: dict[bytes, list[int]] = {}
-            for k, (x, y) in enumerate(zip(lefts, rights, strict=True)):
-                if len(x) >= 4 * back and len(y) >= 4 * (REACH - back):
-                    seen.setdefault(x[: 4 * back] + y[: 4 * (REACH - back)], []).append(i + k)
-            hit = np.array([k for ks in seen.values() if len(ks) > 1 and len(set(who[ks])) > 1 for k in ks], np.int64)
-            out.append((hit, at[hit] - back, at[hit] - back + LEAST))
-    return out
+        order, several = _by_hash(h, who[mine])
+        mine, h = mine[order], h[order]
+        hit = mine[several]
+        out.append((hit, at[hit] - back, at[hit] - back + LEAST))
+        # Of a frequent run's windows, those of one document here; of the others the first and the last document.
+        ends = np.ones(len(h), bool)
+        ends[1:-1] = (h[1:-1] != h[:-2]) | (h[1:-1] != h[2:])
+        ask = frequent[mine] & (~several | ends)
+        asked.append((np.where(several[ask], -1 - mine[ask], mine[ask]), np.full(ask.sum(), back), h[ask].view(np.int64)))
+    return out, asked
 
 
 def _spans(ordered: DataFrame) -> DataFrame:
-    """id, start, stop, hash: repeated spans of the suffixes (hash is null); and every window, with the hash
-    of its words, of suffixes whose run is too frequent for one task."""
+    """id, start, stop, hash: repeated spans of the suffixes (hash is null); and windows of suffixes whose run is
+    too frequent for one task, with the hash of their words: those that are not settled yet, and, without
+    start and stop, two documents that have a settled one."""
     id_type = ordered.schema["id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,19 +304,18 @@ def _spans(ordered: DataFrame) -> DataFrame:
             yield done(held, kind)
 
     def done(rows: pd.DataFrame, kind: pa.DataType) -> pa.RecordBatch:
-        found = compare(rows)
-        index = np.concatenate([x[0] for x in found])
-        spans = pd.DataFrame({"i": index, "start": np.concatenate([x[1] for x in found]), "stop": np.concatenate([x[2] for x in found])}).groupby(["i", "start"], as_index=False)["stop"].max()
-        index, starts, stops, hashes = spans["i"].tolist(), spans["start"].tolist(), spans["stop"].tolist(), [None] * len(spans)
-        for i in np.flatnonzero(rows["n"].notna().to_numpy()):
-            run, right, left, at = (rows[c].iloc[i] for c in ("run", "right", "left", "at"))
-            for back in range(max(0, REACH - len(right) // 4), len(left) // 4 + 1):
-                index.append(i)
-                starts.append(at - back)
-                stops.append(at - back + LEAST)
-                h = xxhash.xxh3_64_intdigest(left[: 4 * back] + right[: 4 * (REACH - back)], seed=(int(run) + back * _BASE) % (1 << 64))
-                hashes.append(h - (1 << 64) if h >= 1 << 63 else h)
-        return pa.RecordBatch.from_arrays([pa.array(rows["id"].iloc[index], kind), pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(hashes, pa.int64())], ["id", "start", "stop", "hash"])
+        found, asked = compare(rows)
+        spans = pd.DataFrame({"i": np.concatenate([x[0] for x in found]), "start": np.concatenate([x[1] for x in found]), "stop": np.concatenate([x[2] for x in found])}).groupby(["i", "start"], as_index=False)["stop"].max()
+        signed, back, hashes = (np.concatenate([x[k] for x in asked]) if asked else np.empty(0, np.int64) for k in range(3))
+        witness = signed < 0
+        index = np.where(witness, -1 - signed, signed).astype(np.int64)
+        start = rows["at"].to_numpy(np.int64)[index] - back
+        ids = pa.array(rows["id"], kind).take(pa.array(np.concatenate([spans["i"].to_numpy(np.int64), index])))
+        none = np.concatenate([np.zeros(len(spans), bool), witness])
+        starts = pa.array(np.concatenate([spans["start"], start]).astype(np.int32), mask=none)
+        stops = pa.array(np.concatenate([spans["stop"], start + LEAST]).astype(np.int32), mask=none)
+        h = pa.array(np.concatenate([np.zeros(len(spans), np.int64), hashes.astype(np.int64)]), mask=np.arange(len(none)) < len(spans))
+        return pa.RecordBatch.from_arrays([ids, starts, stops, h], ["id", "start", "stop", "hash"])
 
     return ordered.mapInArrow(work, f"id {id_type}, start int, stop int, hash long")
 
@@ -268,7 +333,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = materialise(_spans(ordered), "suffix-spans")
     windows = found.filter("hash IS NOT NULL")
     shared = windows.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("hash")
-    rest = windows.join(shared, "hash", "left_semi").select("id", "start", "stop")
+    rest = windows.filter("start IS NOT NULL").join(shared, "hash", "left_semi").select("id", "start", "stop")
 
     spans = found.filter("hash IS NULL").select("id", "start", "stop").unionByName(rest).groupBy("id", "start").agg(F.max("stop").alias("stop"))
     earlier = Window.partitionBy("id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
