@@ -46,39 +46,63 @@ def _paeth(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.where((to_a <= to_b) & (to_a <= to_c), a, np.where(to_b <= to_c, b, c)).astype(np.uint8)
 
 
+#: c log2 c for a byte that a row holds c times.
+_BITS = np.arange(ROW + 1) * np.log2(np.maximum(1, np.arange(ROW + 1)))
+
+
+def _entropy(rows: np.ndarray) -> np.ndarray:
+    """Of each row, the bits that its bytes need when each value has a code of its own, but for a constant."""
+    counts = np.bincount((rows + 256 * np.arange(len(rows))[:, None]).ravel(), minlength=256 * len(rows))
+    return -_BITS[counts].reshape(len(rows), 256).sum(axis=1)
+
+
+def chosen_filters(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The filter, none, sub or up, that leaves each row with the least entropy, none in a tie; and the rows so
+    filtered. Prose is mostly best as it is; runs, tables and repeated lines aren't."""
+    tried = np.stack([filter_rows(rows, k) for k in (0, 1, 2)])
+    kinds = np.argmin(np.stack([_entropy(t) for t in tried]).round(6), axis=0)
+    return kinds, tried[kinds, np.arange(len(rows))]
+
+
 def unfilter(rows: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-    """The reverse, for any kind on any row: sums along a row or a run of rows where the filter is linear,
-    pixel by pixel for the other two."""
+    """The reverse, for any kind on any row: sums along a row or a run of rows where all filters are linear;
+    with the other two, all pixels of a diagonal at once, since each needs those to its left and above."""
     if not kinds.any():
         return rows
+    if kinds.max() > 4:
+        raise ValueError(f"filter {kinds.max()} is unknown")
+    if kinds.max() > 2:
+        return _unfilter_by_diagonals(rows, kinds)
     out = rows.copy()
     edges = np.flatnonzero(np.diff(kinds)) + 1
     for start, stop in zip([0, *edges], [*edges, len(kinds)], strict=True):
-        kind = int(kinds[start])
-        if kind == 1:
+        if kinds[start] == 1:
             out[start:stop] = np.cumsum(rows[start:stop].reshape(stop - start, -1, PIXEL), axis=1, dtype=np.uint8).reshape(stop - start, -1)
-        elif kind == 2:
+        elif kinds[start] == 2:
             base = out[start - 1 : start] if start else np.zeros_like(rows[:1])
             out[start:stop] = np.cumsum(np.concatenate([base, rows[start:stop]]), axis=0, dtype=np.uint8)[1:]
-        elif kind in (3, 4):
-            for y in range(start, stop):
-                above = np.zeros(rows.shape[1], np.int16) if y == 0 else out[y - 1].astype(np.int16)
-                left, corner = np.zeros(PIXEL, np.int16), np.zeros(PIXEL, np.int16)
-                for x in range(0, rows.shape[1], PIXEL):
-                    up = above[x : x + PIXEL]
-                    guess = (left + up) // 2 if kind == 3 else _paeth(left, up, corner)
-                    left = (rows[y, x : x + PIXEL].astype(np.int16) + guess) % 256
-                    out[y, x : x + PIXEL], corner = left, up
-        elif kind > 4:
-            raise ValueError(f"filter {kind} is unknown")
     return out
 
 
-def to_png(payload: bytes, kind: int = 0, level: int = 3) -> bytes:
-    """An 8-bit RGB image, 64 pixels wide, whose samples are the payload's bytes in order."""
+def _unfilter_by_diagonals(rows: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    high, wide = len(rows), rows.shape[1] // PIXEL
+    pixels = rows.reshape(high, wide, PIXEL).astype(np.int16)
+    out = np.zeros((high + 1, wide + 1, PIXEL), np.int16)  # with zeros above and to the left
+    for d in range(high + wide - 1):
+        y = np.arange(max(0, d - wide + 1), min(high, d + 1))
+        x = d - y
+        left, up, corner = out[y + 1, x], out[y, x + 1], out[y, x]
+        guesses = [np.zeros_like(left), left, up, (left + up) // 2, _paeth(left, up, corner).astype(np.int16)]
+        out[y + 1, x + 1] = (pixels[y, x] + np.choose(kinds[y, None], guesses)) & 255
+    return out[1:, 1:].astype(np.uint8).reshape(high, -1)
+
+
+def to_png(payload: bytes, kind: int | None = None, level: int = 3) -> bytes:
+    """An 8-bit RGB image, 64 pixels wide, whose samples are the payload's bytes in order; without a kind each
+    row has the filter that suits it."""
     rows = np.frombuffer(payload, np.uint8).reshape(-1, ROW)
     lines = np.empty((len(rows), ROW + 1), np.uint8)
-    lines[:, 0], lines[:, 1:] = kind, filter_rows(rows, kind)
+    lines[:, 0], lines[:, 1:] = chosen_filters(rows) if kind is None else (kind, filter_rows(rows, kind))
     head = struct.pack(">IIBBBBB", ROW // PIXEL, len(rows), 8, 2, 0, 0, 0)
     return SIGNATURE + _chunk(b"IHDR", head) + _chunk(b"IDAT", zlib.compress(lines.tobytes(), level)) + _chunk(b"IEND", b"")
 
@@ -127,7 +151,7 @@ def low_frequency_hash(payload: bytes, basis: np.ndarray = _cosines()) -> bytes:
     return np.packbits(terms > np.median(terms[1:])).tobytes()
 
 
-def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: int = 0) -> DataFrame:
+def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kind: int | None = None) -> DataFrame:
     """id, n_bytes and media (binary PNG) for each row; null counts as empty, which is one row of spaces."""
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, media binary"
 

@@ -31,6 +31,12 @@ def sha1_base32(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def stored_url(url: str | None) -> str:
+    """The URL as a header line holds it: white space would end the field, and "-" says that there is none."""
+    found = re.sub(r"\s", lambda m: f"%{ord(m[0]):02X}", url or "")
+    return "" if found == "-" else found
+
+
 def record_id(page_id: object, url: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url}')}>"
 
@@ -45,7 +51,10 @@ def arc_head(name: str, version: int, date: str) -> bytes:
 
 
 def arc_record(url: str, block: bytes, version: int, date: str, name: str, offset: int, mime: str = "text/html", ip: str = "0.0.0.0") -> bytes:
-    values = {"URL": re.sub(r"\s", lambda m: f"%{ord(m[0]):02X}", url) or "-", "IP-address": ip, "Archive-date": date, "Content-type": mime, "Result-code": "200", "Checksum": hashlib.md5(block).hexdigest(), "Location": "-", "Offset": str(offset), "Filename": name, "Archive-length": str(len(block))}
+    values = {
+        "URL": stored_url(url) or "-", "IP-address": ip, "Archive-date": date, "Content-type": mime, "Result-code": "200",
+        "Checksum": hashlib.md5(block).hexdigest(), "Location": "-", "Offset": str(offset), "Filename": name, "Archive-length": str(len(block)),
+    }
     return " ".join(values[f] for f in ARC_FIELDS[version]).encode() + b"\n" + block + b"\n"
 
 
@@ -184,10 +193,11 @@ def to_warc(records: DataFrame, most: int = ARCHIVE_BYTES) -> DataFrame:
         def made() -> Iterator[bytes]:
             for batch in batches:
                 for r in batch.to_pylist():
-                    ident, first = record_id(r["id"], r["uri"]), record_id(r["first_id"], r["first_uri"])
+                    first_uri = stored_url(r["first_uri"])
+                    ident, first = record_id(r["id"], r["uri"]), record_id(r["first_id"], first_uri)
                     fields = {"WARC-IP-Address": r["ip"], "WARC-Payload-Digest": f"sha1:{r['digest']}"}
                     if r["revisit"]:
-                        fields |= {"WARC-Profile": REVISIT, "WARC-Refers-To": first, "WARC-Refers-To-Target-URI": r["first_uri"], "WARC-Refers-To-Date": r["date"]}
+                        fields |= {"WARC-Profile": REVISIT, "WARC-Refers-To": first, "WARC-Refers-To-Target-URI": first_uri, "WARC-Refers-To-Date": r["date"]}
                     block = r["head"] if r["revisit"] else r["head"] + r["payload"]
                     yield _member(warc_record("revisit" if r["revisit"] else "response", ident, r["date"], r["uri"], block, fields))
 
@@ -225,18 +235,18 @@ def first_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     return light.groupBy("sha1").agg(F.min(F.when(F.col("page.id").isNotNull(), F.col("page"))).alias("page")).select("sha1", F.col("page.id").alias("first_id"), F.col("page.uri").alias("first_uri"))
 
 
-def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 0) -> DataFrame:
-    """data: WARC archives of the pages, by way of ARC archives that are parsed again.
+def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 0, version: int = 2) -> DataFrame:
+    """data: WARC archives of the pages, by way of ARC archives of that version, which are parsed again.
 
     Of equal payloads of at least min_revisit_bytes the page with the smallest id has the response and
     the others revisit it; smaller ones are all responses."""
     id_type = pages.schema[id_col].dataType.simpleString()
-    records = arc_records(pages_to_arc(pages, id_col, url_col, html_col), id_type).withColumn("sha1", F.sha1("payload"))
+    records = arc_records(pages_to_arc(pages, id_col, url_col, html_col, version), id_type).withColumn("sha1", F.sha1("payload"))
     joined = records.join(first_pages(pages, id_col, url_col, html_col), "sha1")
     return to_warc(joined.withColumn("revisit", (F.length("payload") >= min_revisit_bytes) & ~F.col("id").eqNullSafe(F.col("first_id"))))
 
 
-def roundtrip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 0) -> DataFrame:
+def roundtrip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 0, version: int = 2) -> DataFrame:
     """id, payload_bytes, payload_digest, record_type and refers_to as the stored archives have them.
 
     Null html is an empty payload. Rows that repeat an id and a payload are all responses, or all
@@ -244,7 +254,7 @@ def roundtrip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     none. An empty table gives no rows; columns but id, url and html aren't read.
     """
     id_type = pages.schema[id_col].dataType.simpleString()
-    stored = materialise(archive_pages(pages, id_col, url_col, html_col, min_revisit_bytes), "warc")
+    stored = materialise(archive_pages(pages, id_col, url_col, html_col, min_revisit_bytes, version), "warc")
     back = materialise(read_warc(stored, id_type), "warc-read")
     targets = back.filter("record_type = 'response'").select(F.col("record").alias("refers"), F.col("id").alias("refers_to")).dropDuplicates(["refers"])
     return back.join(targets, "refers", "left").select(F.col("id").alias(id_col), "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -290,6 +290,17 @@ def test_warc_revisits(spark, least):
     assert sorted((r.page_id is None, r.record_type, r.refers_to or 0) for r in warc.roundtrip(nulls).collect()) == [(False, "response", 0), (False, "response", 0), (True, "response", 0), (True, "response", 0), (True, "revisit", 1)]
 
 
+@pytest.mark.parametrize("version", [1, 2])
+def test_warc_refers_to_pages_with_odd_urls(spark, version):
+    """The page that others revisit has a URL with white space, of "-", none, or none at all, in archives of both versions."""
+    odd = ["http://a b/", "-", None, "", "\u3000x\t", " ", "http://e.example/\u0085"]
+    rows = [(10 * i + k, url if k == 1 else "http://plain/", f"<p>{i}</p>") for i, url in enumerate(odd) for k in (1, 2, 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = warc.roundtrip(pages, version=version).collect()
+    assert len(got) == len(rows)
+    check_warc(got, {k: h.encode() for k, _, h in rows})
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_versions(version):
     head = warc.arc_head("x.arc", version, "20240101000000")
@@ -468,6 +479,22 @@ def test_png_mixed_filters():
     assert (media.unfilter(filtered, kinds) == rows).all()
 
 
+def test_stored_images_use_several_filters(spark):
+    """Prose keeps filter none; ramps and repeated rows don't. All read back as they were."""
+    ramp = "".join(chr(33 + i // 3 % 90) for i in range(192))
+    repeated = "".join(random.Random(1).choice("abcdefghij") for _ in range(192)) * 6
+    texts = ["Plain prose that says nothing much, once more. " * 9, ramp * 2 + repeated, "x" * 2000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = set()
+    for r in media.encode_media(docs).collect():
+        at = r.media.index(b"IDAT")
+        size = int.from_bytes(r.media[at - 4 : at], "big")
+        kinds |= set(zlib.decompress(r.media[at + 4 : at + 4 + size])[:: media.ROW + 1])
+    assert kinds == {0, 1, 2}
+    back = {r.doc_id: r.payload for r in media.decode_media(media.encode_media(docs), with_payload=True).collect()}
+    assert all(bytes(back[i]) == media.pad(t.encode()) for i, t in enumerate(texts))
+
+
 def test_low_frequency_hash_is_near_for_near_images():
     data = np.random.default_rng(8).integers(0, 256, 192 * 64, np.uint8)
     near = data.copy()
