@@ -31,7 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees. Only a local session may go without the setting."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-work-")
         spark.conf.set("spark.checkpoint.dir", found)
