@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,39 +22,66 @@ NICKNAMES = [
 ]
 
 
-def ladder(targets: DataFrame, rungs: Sequence[tuple[str, Column, DataFrame]]) -> DataFrame:
+def scoped(registry: DataFrame, windows: Sequence[str]) -> DataFrame:
+    """registry (key, candidate_id, ward, district, ord, window, mayor) with a row for each scope that admits the
+    candidacy: one of a window only for payments dated in it, any other for all and for those of no window
+    (""); one for mayor only where the payment's office names the mayor."""
+    spread = F.when(F.col("window").isNotNull(), F.array("window")).otherwise(F.array(F.lit(""), *map(F.lit, windows)))
+    offices = F.when(F.col("mayor"), F.array(F.lit(True))).otherwise(F.array(F.lit(True), F.lit(False)))
+    rows = registry.filter("key IS NOT NULL").withColumn("window", F.explode(spread)).withColumn("mayor", F.explode(offices))
+    return rows.select("window", "mayor", "key", "candidate_id", "ward", "district", "ord")
+
+
+def ladder(targets: DataFrame, rungs: Sequence[tuple[str, str, Column, DataFrame]]) -> DataFrame:
     """target_id, candidate_id, method, needs_review: the first rung with a hit decides.
 
-    A rung is (name, the target's key, registry rows of key, candidate_id, ward, district, ord). Several hits on
-    a rung are narrowed by ward, then by district; if that leaves one it is taken and, for the district,
-    flagged; else the first by ord is taken and flagged. targets: target_id and what the keys need, ward,
-    district; one row for each distinct name and office, not for each payment."""
-    best = None
-    for i, (name, key, registry) in enumerate(rungs):
-        hits = targets.select("target_id", "ward", "district", key.alias("_key")).filter("_key IS NOT NULL").join(registry.select(F.col("key").alias("_key"), "candidate_id", F.col("ward").alias("_ward"), F.col("district").alias("_district"), "ord"), "_key")
-        of = F.coalesce(F.col("_ward") == F.col("ward"), F.lit(False))
-        at = F.coalesce(F.col("_district") == F.col("district"), F.lit(False))
-        g = hits.groupBy("target_id").agg(
-            F.countDistinct("candidate_id").alias("n"), F.countDistinct(F.when(of, F.col("candidate_id"))).alias("nw"), F.countDistinct(F.when(at, F.col("candidate_id"))).alias("nd"),
-            F.min_by("candidate_id", F.struct("ord", "candidate_id")).alias("first"), F.max(F.when(of, F.col("candidate_id"))).alias("by_ward"), F.max(F.when(at, F.col("candidate_id"))).alias("by_district"),
-        )
-        pick = F.when(F.col("n") == 1, F.col("first")).when(F.col("nw") == 1, F.col("by_ward")).when(F.col("nd") == 1, F.col("by_district")).otherwise(F.col("first"))
-        review = (F.col("n") > 1) & (F.col("nw") != 1)
-        rows = g.select("target_id", F.struct(F.lit(i).alias("rung"), pick.alias("candidate_id"), F.lit(name).alias("method"), review.alias("needs_review")).alias("hit"))
-        best = rows if best is None else best.unionByName(rows)
-    won = best.groupBy("target_id").agg(F.min_by("hit", "hit.rung").alias("hit"))
-    return targets.select("target_id").join(won, "target_id", "left").select("target_id", "hit.candidate_id", F.coalesce("hit.method", F.lit("unmatched")).alias("method"), F.coalesce("hit.needs_review", F.lit(False)).alias("needs_review"))
+    A rung is (name, kind, the target's keys as an array, scoped() rows of the registry). Kinds: "resolve" takes
+    the only hit; of several the one of the target's ward, else of its district, for review; else the first by
+    ord, as name_fallback, for review. "one" takes the only hit as sure, "review" for review, and neither takes
+    any of several. "guard" stops where more than one key is known: several_names, no candidate.
+    targets: target_id, window, mayor, ward, district and what the keys need; one row for each distinct name,
+    office and window, not for each payment. The registry is brought to a row a key before it is joined, so a
+    name that many candidacies have multiplies nothing."""
+    hits = []
+    low, high = F.min("candidate_id").alias("lo"), F.max("candidate_id").alias("hi")
+    for i, (name, kind, keys, registry) in enumerate(rungs):
+        asked = targets.select("target_id", "window", "mayor", "ward", "district", F.explode(F.array_distinct(F.array_compact(keys))).alias("key"))
+        on = ["window", "mayor", "key"]
+        found = asked.join(registry.groupBy(*on).agg(low, high, F.min(F.struct("ord", "candidate_id")).alias("first")), on)
+        if kind == "guard":
+            rows = found.groupBy("target_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+            rows = rows.select("target_id", F.lit(None).cast(registry.schema["candidate_id"].dataType).alias("candidate_id"), F.lit("several_names").alias("method"), F.lit(False).alias("needs_review"))
+        elif kind == "resolve":
+            for part in ("ward", "district"):
+                near = registry.filter(F.col(part).isNotNull()).groupBy(*on, part).agg(low.alias(f"{part}_lo"), high.alias(f"{part}_hi"))
+                found = found.join(near, [*on, part], "left")
+            ends = [f(c).alias(c) for f, c in ((F.min, "lo"), (F.max, "hi"), (F.min, "first"), (F.min, "ward_lo"), (F.max, "ward_hi"), (F.min, "district_lo"), (F.max, "district_hi"))]
+            g = found.groupBy("target_id").agg(*ends)
+            only, ward, district = (F.col(f"{x}lo") == F.col(f"{x}hi") for x in ("", "ward_", "district_"))
+            pick = F.when(only, F.col("lo")).when(ward, F.col("ward_lo")).when(district, F.col("district_lo")).otherwise(F.col("first.candidate_id"))
+            method = F.when(only | F.coalesce(ward, F.lit(False)) | F.coalesce(district, F.lit(False)), name).otherwise("name_fallback")
+            rows = g.select("target_id", pick.alias("candidate_id"), method.alias("method"), (~only).alias("needs_review"))
+        else:
+            one = found.groupBy("target_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo = hi")
+            rows = one.select("target_id", F.col("lo").alias("candidate_id"), F.lit(name).alias("method"), F.lit(kind == "review").alias("needs_review"))
+        hits.append(rows.select("target_id", F.struct(F.lit(i).alias("rung"), "candidate_id", "method", "needs_review").alias("hit")))
+    won = reduce(DataFrame.unionByName, hits).groupBy("target_id").agg(F.min_by("hit", "hit.rung").alias("hit"))
+    joined = targets.select("target_id").join(won, "target_id", "left")
+    return joined.select("target_id", "hit.candidate_id", F.coalesce("hit.method", F.lit("unmatched")).alias("method"), F.coalesce("hit.needs_review", F.lit(False)).alias("needs_review"))
 
 
 def office_holders(targets: DataFrame, holders: DataFrame) -> DataFrame:
     """target_id, holder_id: a holder whose surname is among the target's tokens, borne out by ward or first name; only if
-    one is left. targets: target_id, tokens, ward. holders: holder_id, surname, first, ward."""
+    one is left. targets: target_id, tokens, ward. holders: holder_id, surname, first, ward. Holders of one name
+    and ward are one row when they are joined."""
     spread = targets.select("target_id", "tokens", "ward", F.explode(F.array_distinct("tokens")).alias("surname"))
-    hits = spread.join(holders.select("holder_id", "surname", "first", F.col("ward").alias("_ward")), "surname")
+    alike = holders.groupBy("surname", "first", F.col("ward").alias("_ward")).agg(F.min("holder_id").alias("lo"), F.max("holder_id").alias("hi"))
+    hits = spread.join(alike, "surname")
     of = F.coalesce(F.col("ward") == F.col("_ward"), F.lit(False))
     strong = hits.filter(of | F.array_contains("tokens", F.col("first"))).withColumn("of", of)
-    g = strong.groupBy("target_id").agg(F.countDistinct("holder_id").alias("n"), F.countDistinct(F.when(F.col("of"), F.col("holder_id"))).alias("nw"), F.max("holder_id").alias("one"), F.max(F.when(F.col("of"), F.col("holder_id"))).alias("by_ward"))
-    return g.select("target_id", F.when(F.col("nw") == 1, F.col("by_ward")).when(F.col("n") == 1, F.col("one")).alias("holder_id")).filter("holder_id IS NOT NULL")
+    ends = [F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(F.when(F.col("of"), F.col("lo"))).alias("of_lo"), F.max(F.when(F.col("of"), F.col("hi"))).alias("of_hi")]
+    only = F.when(F.col("of_lo") == F.col("of_hi"), F.col("of_lo")).when(F.col("lo") == F.col("hi"), F.col("lo"))
+    return strong.groupBy("target_id").agg(*ends).select("target_id", only.alias("holder_id")).filter("holder_id IS NOT NULL")
 
 
 def confirm_reviews(matches: DataFrame, confirmed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -62,25 +90,43 @@ def confirm_reviews(matches: DataFrame, confirmed: DataFrame, keys: Sequence[str
     return matches.join(listed, list(keys), "left").withColumn("needs_review", F.col("needs_review") & F.col("_ok").isNull()).drop("_ok")
 
 
-def _nick(a: Column, b: Column) -> Column:
+def _nicknames() -> Column:
     groups = {}
     for i, g in enumerate(NICKNAMES):
         for name in g:
             groups.setdefault(name, []).append(i)
-    table = F.create_map(*[x for k, v in groups.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+    return F.create_map(*[x for k, v in groups.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
+
+
+def _nick(a: Column, b: Column) -> Column:
+    table = _nicknames()
     return (a == b) | F.coalesce(F.arrays_overlap(F.try_element_at(table, a), F.try_element_at(table, b)), F.lit(False))
 
 
+def _shortened(word: Column) -> Column:
+    """word and what is left of it without any one or two of its letters. Two words at edit distance 2 or less
+    have one of these in common."""
+    drop = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda i: F.concat(F.substring(w, 1, i - 1), w.substr(i + 1, F.length(w))))
+    once = drop(word)
+    return F.array_distinct(F.concat(F.array(word), once, F.flatten(F.transform(once, drop))))
+
+
+def _hint_blocks(df: DataFrame, letter: str, filed: bool) -> DataFrame:
+    """letter (the tokens) and block: keys of which any pair with a reason shares one. Surnames are equal; or one
+    surname is a token of the other name; or given names are equal or nicknames and surnames spelled alike."""
+    last, given = F.element_at("tokens", -1), F.slice("tokens", F.lit(1), F.size("tokens") - 1)
+    nick = F.flatten(F.transform(given, lambda g: F.concat(F.array(g), F.transform(F.coalesce(F.try_element_at(_nicknames(), g), F.array()), lambda i: i.cast("string")))))
+    mine, theirs = ("c:", "o:") if filed else ("o:", "c:")
+    spelled = F.when(F.length(last) >= 2, F.flatten(F.transform(nick, lambda g: F.transform(_shortened(last), lambda w: F.concat_ws(":", F.lit("d"), g, w))))).otherwise(F.array().cast("array<string>"))
+    keys = F.concat(F.array(F.concat(F.lit("s:"), last), F.concat(F.lit(mine), last)), F.transform("tokens", lambda t: F.concat(F.lit(theirs), t)), spelled)
+    return df.filter(F.size("tokens") > 0).select(F.col("tokens").alias(letter), F.explode(F.array_distinct(keys)).alias("block"))
+
+
 def suggestions(filed: DataFrame, registry: DataFrame) -> DataFrame:
     """filed_id, candidate_id, reason: hints for people, never a match. Both sides have tokens (array, last is the
-    surname). Pairs come from a shared token or equal first letters of surnames, so the registry isn't crossed."""
-    def blocked(df: DataFrame, letter: str) -> DataFrame:
-        last = F.element_at("tokens", -1)
-        keys = F.array_distinct(F.concat(F.transform("tokens", lambda t: F.concat(F.lit("t:"), t)), F.array(*[F.concat(F.lit(f"{n}:"), F.substring(last, s, 2)) for n, s in (("a", 1), ("b", 2), ("c", 3))])))
-        return df.filter(F.size("tokens") > 0).select(F.col("tokens").alias(letter), F.explode(keys).alias("block"))
-
+    surname). No pair with a reason is lost, and the registry isn't crossed: see _hint_blocks()."""
     # Equal token lists are compared once; ids come back afterwards.
-    pairs = blocked(filed.select("tokens").distinct(), "t").join(blocked(registry.select("tokens").distinct(), "u"), "block").select("t", "u").distinct()
+    pairs = _hint_blocks(filed.select("tokens").distinct(), "t", True).join(_hint_blocks(registry.select("tokens").distinct(), "u", False), "block").select("t", "u").distinct()
     n, m = F.size("t"), F.size("u")
     g, s = F.slice("t", F.lit(1), n - 1), F.element_at("t", -1)
     h, r = F.slice("u", F.lit(1), m - 1), F.element_at("u", -1)
@@ -118,11 +164,13 @@ def near_duplicates(entities: DataFrame, least: float = 0.6, most_common: int =
     """a, b, why, score of similar names within a type: equal normal names, acronyms, or a token overlap of at
     least least, taken as 1 where one name's tokens are all the other's.
 
-    entities: id, name, type. Blocks are the core tokens and the acronym. A token in more than most_common names
+    entities: id, name, type. Rows of one name and type are a class, known by its least id; pairs are of classes,
+    and membership is the name. Blocks are the core tokens and the acronym. A token in more than most_common names
     isn't a block by itself; there every two tokens of a name are one, and a name of that token alone is joined with
     all names that hold it: each of these pairs is a result. No pair is lost, whatever most_common is."""
     core = text.core_tokens(F.col("name"))
-    e = entities.select("id", "type", "name", F.array_sort(F.array_distinct(core)).alias("core"), text.acronym(F.col("name")).alias("acro"), text.compact(F.col("name")).alias("compact"))
+    classes = entities.groupBy("type", "name").agg(F.min("id").alias("id"))
+    e = classes.select("id", "type", "name", F.array_sort(F.array_distinct(core)).alias("core"), text.acronym(F.col("name")).alias("acro"), text.compact(F.col("name")).alias("compact"))
     words = e.select("type", F.explode("core").alias("w")).groupBy("type", "w").agg(F.count(F.lit(1)).alias("df"))
     rare = words.filter(F.col("df") <= most_common).select("type", F.col("w").alias("block"))
     frequent = words.filter(F.col("df") > most_common).select("type", F.col("w").alias("block"))

@@ -47,29 +47,31 @@ def ch4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.new_families(r, existing)
 
 
-FAM = "SELECT c_nationkey AS cluster_id, c_custkey AS donor_id, CASE WHEN c_custkey = min(c_custkey) OVER (PARTITION BY c_nationkey) THEN 'parent' ELSE 'alt-name' END AS role FROM customer WHERE c_custkey < 150"
+FAM = "SELECT c_nationkey AS cluster_id, c_custkey AS donor_id, CASE WHEN c_custkey = min(c_custkey) OVER (PARTITION BY c_nationkey) THEN 'parent' ELSE 'alt-name' END AS role FROM customer"
+#: Families of three with faults by rule: families of one, second parents, repeated members.
+FAULTY = """SELECT CASE WHEN c_custkey % 30 = 5 THEN 1000000000 + c_custkey ELSE CAST(floor(c_custkey / 3) AS BIGINT) END AS cluster_id, c_custkey AS donor_id, CASE WHEN c_custkey % 3 = 0 OR c_custkey % 21 = 1 THEN 'parent' ELSE 'alt-name' END AS role FROM customer
+  UNION ALL SELECT CAST(floor(c_custkey / 3) AS BIGINT), c_custkey, 'alt-name' FROM customer WHERE c_custkey % 50 = 1"""
 
 
 def fam(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw(spark, sf_dir, "customer").createOrReplaceTempView("customer")
-    return spark.sql(FAM)
+    return spark.sql(FAM.replace("FROM customer", "FROM {customer}"), customer=raw(spark, sf_dir, "customer"))
 
 
-@query("ch5_edit_families", f"""WITH m AS ({FAM}), k AS (SELECT * FROM m WHERE cluster_id % 10 <> 9 AND NOT (cluster_id % 4 = 1 AND donor_id % 5 = 0)), a AS (SELECT * FROM k UNION ALL SELECT DISTINCT cluster_id, 900000 + cluster_id, 'alt-name' FROM m WHERE cluster_id % 4 = 2 AND cluster_id % 10 <> 9), u AS (SELECT cluster_id, max(donor_id) AS up FROM m WHERE cluster_id % 4 = 3 GROUP BY 1)
+@query("ch5_edit_families", f"""WITH m AS ({FAM}), k AS (SELECT * FROM m WHERE cluster_id % 10 <> 9 AND NOT (cluster_id % 4 = 1 AND donor_id % 5 = 0)), a AS (SELECT * FROM k UNION ALL SELECT DISTINCT cluster_id, 900000000 + cluster_id, 'alt-name' FROM m WHERE cluster_id % 4 = 2 AND cluster_id % 10 <> 9), u AS (SELECT cluster_id, max(donor_id) AS up FROM m WHERE cluster_id % 4 = 3 GROUP BY 1)
   SELECT a.cluster_id, a.donor_id, CASE WHEN u.up IS NULL THEN a.role WHEN u.up = a.donor_id THEN 'parent' ELSE 'alt-name' END AS role FROM a LEFT JOIN u ON a.cluster_id = u.cluster_id""")
 def ch5(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = fam(spark, sf_dir)
     k = F.col("cluster_id")
     r = m.filter("cluster_id % 10 = 9").select("cluster_id", F.lit("delete").alias("op"), F.lit(None).cast("bigint").alias("donor_id"))
     r = r.unionByName(m.filter("cluster_id % 4 = 1 AND donor_id % 5 = 0").select("cluster_id", F.lit("remove").alias("op"), "donor_id"))
-    r = r.unionByName(m.filter("cluster_id % 4 = 2").select("cluster_id", F.lit("add").alias("op"), (k + 900000).cast("bigint").alias("donor_id")))
+    r = r.unionByName(m.filter("cluster_id % 4 = 2").select("cluster_id", F.lit("add").alias("op"), (k + 900000000).cast("bigint").alias("donor_id")))
     r = r.unionByName(m.filter("cluster_id % 4 = 3").groupBy("cluster_id").agg(F.max("donor_id").alias("donor_id")).select("cluster_id", F.lit("promote").alias("op"), "donor_id"))
     return changes.edit_families(m, r)
 
 
-@query("ch5_dq1_family_checks", f"WITH m AS ({FAM}) SELECT cluster_id, 'too few members' AS violation FROM m WHERE donor_id < 30 GROUP BY 1 HAVING count(*) < 2 UNION ALL SELECT cluster_id, 'not one parent' FROM m WHERE donor_id < 30 GROUP BY 1 HAVING count(*) FILTER (role = 'parent') <> 1")
+@query("ch5_dq1_family_checks", f"WITH m AS ({FAULTY}) SELECT cluster_id, 'too few members' AS violation FROM m GROUP BY 1 HAVING count(*) < 2 UNION ALL SELECT cluster_id, 'not one parent' FROM m GROUP BY 1 HAVING count(*) FILTER (role = 'parent') <> 1 UNION ALL SELECT cluster_id, 'repeated member' FROM m GROUP BY 1 HAVING count(DISTINCT donor_id) < count(*)")
 def ch5b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.check_families(fam(spark, sf_dir).filter("donor_id < 30"))
+    return changes.check_families(spark.sql(FAULTY.replace("FROM customer", "FROM {customer}"), customer=raw(spark, sf_dir, "customer")))
 
 
 @query("ch6_merge_families", f"WITH m AS ({FAM}), j AS (SELECT CASE WHEN cluster_id % 5 = 1 THEN cluster_id - 1 ELSE cluster_id END AS cluster_id, donor_id, CASE WHEN cluster_id % 5 = 1 THEN 'alt-name' ELSE role END AS role FROM m) SELECT cluster_id, donor_id, max(role) AS role FROM j GROUP BY 1, 2")

@@ -53,12 +53,11 @@ def jn16(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.link_committees(c, entities.owning_candidacy(candidacies(spark, sf_dir)))
 
 
-@query("jn17_own_committee", oracle(f"SELECT committee_id, donor_id % 5 = committee_id % 5 AND committee_id < 40 AND donor_id < 60 AS stamped, count(*) AS n, {M.format('amount')} AS amount FROM contributions GROUP BY 1, 2"))
+@query("jn17_own_committee", oracle(f"SELECT committee_id, (donor_id + committee_id) % 5 = 0 AS stamped, count(*) AS n, {M.format('amount')} AS amount FROM contributions GROUP BY 1, 2"))
 def jn17(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = model(spark, sf_dir, "committees").filter("committee_id < 40").select("committee_id")
-    d = model(spark, sf_dir, "donors").filter("donor_id < 60").select("donor_id")
-    pairs = c.join(d, F.col("committee_id") % 5 == F.col("donor_id") % 5)
-    stamped = entities.stamp_pairs(model(spark, sf_dir, "contributions"), pairs, ["committee_id", "donor_id"], "stamped")
+    c = model(spark, sf_dir, "contributions")
+    pairs = c.filter("(donor_id + committee_id) % 5 = 0").select("committee_id", "donor_id").distinct()
+    stamped = entities.stamp_pairs(c, pairs, ["committee_id", "donor_id"], "stamped")
     return stamped.groupBy("committee_id", "stamped").agg(F.count(F.lit(1)).alias("n"), total(F.col("amount")).alias("amount"))
 
 
@@ -137,13 +136,15 @@ def jn27(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.prune_unused(model(spark, sf_dir, "donors").select("donor_id", "name"), model(spark, sf_dir, "contributions").filter("line = 6 AND amount > 90000"), "donor_id")
 
 
-IDS = "SELECT DISTINCT CASE WHEN p_partkey % 3 = 0 THEN replace(p_name, ' ', '-') ELSE split_part(p_name, ' ', 2) || '-' || split_part(p_name, ' ', 1) END AS id FROM part WHERE p_partkey % 2 = {r}"
+#: Ids in one order of words, and those known, in another and some in two.
+ASKED = "SELECT DISTINCT replace(p_name, ' ', '-') || '-' || lower(p_brand) AS id FROM part"
+KEPT = "SELECT DISTINCT lower(p_brand) || '-' || CASE WHEN p_size < 2 THEN replace(p_name, ' ', '-') ELSE split_part(p_name, ' ', 2) || '-' || split_part(p_name, ' ', 1) END AS id FROM part"
 
 
-@query("jn28_sorted_tokens", f"""WITH a AS ({IDS.format(r=0)} AND p_size > 45), k AS ({IDS.format(r=1)} AND p_size < 6) SELECT a.id, count(*) AS hits, CASE WHEN count(*) = 1 THEN min(k.id) END AS alias FROM a JOIN k ON list_sort(string_split(a.id, '-')) = list_sort(string_split(k.id, '-')) WHERE a.id NOT IN (SELECT id FROM k) GROUP BY 1""")
+@query("jn28_sorted_tokens", f"""WITH a AS ({ASKED}), k AS ({KEPT}) SELECT a.id, count(*) AS hits, CASE WHEN count(*) = 1 THEN min(k.id) END AS alias FROM a JOIN k ON list_sort(string_split(a.id, '-')) = list_sort(string_split(k.id, '-')) WHERE a.id NOT IN (SELECT id FROM k) GROUP BY 1""")
 def jn28(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw(spark, sf_dir, "part").createOrReplaceTempView("part")
-    return entities.sorted_token_alias(spark.sql(IDS.format(r=0) + " AND p_size > 45"), spark.sql(IDS.format(r=1) + " AND p_size < 6"))
+    part = raw(spark, sf_dir, "part")
+    return entities.sorted_token_alias(*(spark.sql(q.replace("FROM part", "FROM {part}"), part=part) for q in (ASKED, KEPT)))
 
 
 @query("jn29_committee_tags", oracle("SELECT committee_id, string_agg(tag, ',' ORDER BY tag) FILTER (tag IN ('labor', 'machinery')) AS tags, count(*) FILTER (tag NOT IN ('labor', 'machinery')) AS unknown FROM (SELECT committee_id, tag FROM committees UNION ALL SELECT committee_id, CASE committee_id % 4 WHEN 0 THEN 'machinery' ELSE 'mystery' END FROM committees) GROUP BY 1"))

@@ -14,35 +14,58 @@ from .money import M
 from .registry import query
 from .scalars import WORDS_SQL
 
-#: Targets as filed, one for each distinct name and office, and the registry of candidates.
-ALL_TARGETS = "SELECT DISTINCT p_name || CASE WHEN p_size % 5 = 0 THEN ' x' ELSE '' END || '|' || p_brand AS target_id, CASE WHEN p_size % 4 = 0 THEN upper(p_name) ELSE p_name || CASE WHEN p_size % 5 = 0 THEN ' x' ELSE '' END END AS name, CASE p_brand WHEN 'Brand#1' THEN 1 WHEN 'Brand#2' THEN 2 WHEN 'Brand#3' THEN 3 END AS ward, CAST(NULL AS VARCHAR(1)) AS district FROM part"
-ALL_REGISTRY = "SELECT p_partkey AS candidate_id, p_name AS name, CAST(p_size % 4 AS INT) AS ward, CASE WHEN p_size % 3 = 0 THEN 'a' END AS district, p_partkey AS ord FROM part"
-TARGETS, REGISTRY = ALL_TARGETS + " WHERE p_size < 12", ALL_REGISTRY + " WHERE p_partkey % 40 < 3"
+#: Targets as filed, one for each distinct name, office and window, and the registry of candidates. Names are
+#: filed as they are, with an accent, with a name between, by the surname alone, or two at once.
+TARGETS = """SELECT DISTINCT p_name || '|' || p_brand || '|' || CAST(p_size AS VARCHAR(9)) AS target_id,
+  CASE p_size % 7 WHEN 0 THEN upper(p_name) WHEN 1 THEN replace(p_name, 'e', 'é') WHEN 2 THEN p_name || ' x' WHEN 3 THEN replace(p_name, ' ', ' quinn ')
+    WHEN 4 THEN 'q ' || split_part(p_name, ' ', 2) WHEN 5 THEN replace(p_name, ' ', ' gear and ') ELSE p_name END AS name,
+  CASE p_brand WHEN 'Brand#1' THEN 1 WHEN 'Brand#2' THEN 2 WHEN 'Brand#3' THEN 3 END AS ward, CASE p_brand WHEN 'Brand#4' THEN 'a' END AS district,
+  CASE p_size % 3 WHEN 0 THEN 'w1' WHEN 1 THEN 'w2' ELSE '' END AS window, p_size % 4 = 0 AS mayor,
+  CASE WHEN p_brand = 'Brand#5' THEN p_name || '/alias' END AS alias, CASE WHEN p_brand = 'Brand#6' THEN p_size END AS filed_id FROM part"""
+REGISTRY = """SELECT p_partkey AS candidate_id, p_name AS name, CAST(p_size % 4 AS INT) AS ward, CASE WHEN p_size % 3 = 0 THEN 'a' END AS district, p_partkey AS ord,
+  CASE p_brand WHEN 'Brand#1' THEN 'w1' WHEN 'Brand#2' THEN 'w2' WHEN 'Brand#3' THEN 'w1' END AS window, p_brand = 'Brand#7' AS mayor,
+  CASE WHEN p_size = 1 THEN p_name || '/alias' END AS alias, CASE WHEN p_brand = 'Brand#8' THEN p_size END AS filed_id FROM part"""
 _NORM = "trim(regexp_replace(regexp_replace(lower({}), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
 
 
-def _views(spark: SparkSession, sf_dir: str, targets: str = TARGETS, registry: str = REGISTRY) -> tuple[DataFrame, DataFrame]:
-    raw(spark, sf_dir, "part").createOrReplaceTempView("part")
-    return spark.sql(targets.replace("VARCHAR(1)", "STRING")), spark.sql(registry)
+def _views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    part = raw(spark, sf_dir, "part")
+    return tuple(spark.sql(q.replace("VARCHAR(9)", "STRING").replace("FROM part", "FROM {part}"), part=part) for q in (TARGETS, REGISTRY))
 
 
-def _rung_sql(i: int, name: str, tkey: str, rkey: str) -> str:
-    return f"""SELECT target_id, {i} AS rung, '{name}' AS method, CASE WHEN n = 1 THEN first WHEN nw = 1 THEN bw WHEN nd = 1 THEN bd ELSE first END AS candidate_id, n > 1 AND nw <> 1 AS needs_review FROM (
-      SELECT t.target_id, count(DISTINCT candidate_id) AS n, count(DISTINCT CASE WHEN r.ward = t.ward THEN candidate_id END) AS nw, count(DISTINCT CASE WHEN r.district = t.district THEN candidate_id END) AS nd,
-        arg_min(candidate_id, (ord, candidate_id)) AS first, max(CASE WHEN r.ward = t.ward THEN candidate_id END) AS bw, max(CASE WHEN r.district = t.district THEN candidate_id END) AS bd FROM t JOIN r ON {tkey} = {rkey} GROUP BY 1)"""
+def _rung_sql(i: int, name: str, kind: str, on: str) -> str:
+    if kind == "resolve":
+        return f"""SELECT target_id, {i} AS rung, CASE WHEN n = 1 OR nw = 1 OR nd = 1 THEN '{name}' ELSE 'name_fallback' END AS method, CASE WHEN n = 1 THEN first WHEN nw = 1 THEN bw WHEN nd = 1 THEN bd ELSE first END AS candidate_id, n > 1 AS needs_review FROM (
+      SELECT target_id, count(DISTINCT candidate_id) AS n, count(DISTINCT candidate_id) FILTER (rward = ward) AS nw, count(DISTINCT candidate_id) FILTER (rdistrict = district) AS nd,
+        arg_min(candidate_id, (ord, candidate_id)) AS first, max(candidate_id) FILTER (rward = ward) AS bw, max(candidate_id) FILTER (rdistrict = district) AS bd FROM e WHERE {on} GROUP BY 1)"""
+    return f"SELECT target_id, {i} AS rung, '{name}' AS method, max(candidate_id) AS candidate_id, {kind == 'review'} AS needs_review FROM e WHERE {on} GROUP BY 1 HAVING count(DISTINCT candidate_id) = 1"
 
 
-LADDER = f"""WITH t AS ({TARGETS}), r AS ({REGISTRY}), hits AS ({_rung_sql(1, 'exact', 't.name', 'r.name')} UNION ALL {_rung_sql(2, 'folded', _NORM.format('t.name'), _NORM.format('r.name'))} UNION ALL {_rung_sql(3, 'surname', "split_part(lower(t.name), ' ', 2)", "split_part(r.name, ' ', 2)")})
-  , best AS (SELECT target_id, arg_min(candidate_id, rung) AS candidate_id, arg_min(method, rung) AS method, arg_min(needs_review, rung) AS needs_review FROM hits GROUP BY 1)
+LADDER = f"""WITH t AS (SELECT *, {_NORM.format('name')} AS nn, {_NORM.format('strip_accents(name)')} AS nf FROM ({TARGETS})), r AS (SELECT *, {_NORM.format('name')} AS nn, {_NORM.format('strip_accents(name)')} AS nf FROM ({REGISTRY})),
+  e AS (SELECT t.*, r.candidate_id, r.ord, r.ward AS rward, r.district AS rdistrict, r.nn AS rn, r.nf AS rf, r.alias AS ralias, r.filed_id AS rid, r.window IS NOT NULL AS board, string_split(t.nf, ' ') AS tt, string_split(r.nf, ' ') AS rt FROM t JOIN r ON (r.window IS NULL OR r.window = t.window) AND (t.mayor OR NOT r.mayor)),
+  hits AS ({_rung_sql(0, 'alias', 'one', 'alias = ralias')} UNION ALL {_rung_sql(1, 'id', 'one', 'filed_id = rid')} UNION ALL {_rung_sql(2, 'exact', 'resolve', 'nn = rn')} UNION ALL {_rung_sql(3, 'accent_fold_exact', 'resolve', 'board AND nf = rf')}
+    UNION ALL SELECT target_id, 4, 'several_names', NULL, false FROM e WHERE board AND list_contains(tt, rt[-1]) GROUP BY 1 HAVING count(DISTINCT rt[-1]) > 1
+    UNION ALL {_rung_sql(5, 'surname_plus_given', 'review', 'board AND tt[-1] = rt[-1] AND len(list_intersect(tt[:-2], rt[:-2])) > 0')} UNION ALL {_rung_sql(6, 'surname_plus_office', 'review', 'board AND tt[-1] = rt[-1] AND ward = rward')})
+  , best AS (SELECT target_id, arg_min(candidate_id, rung) FILTER (rung = low) AS candidate_id, arg_min(method, rung) AS method, arg_min(needs_review, rung) AS needs_review FROM (SELECT *, min(rung) OVER (PARTITION BY target_id) AS low FROM hits) GROUP BY 1)
   , matched AS (SELECT t.target_id, b.candidate_id, coalesce(b.method, 'unmatched') AS method, coalesce(b.needs_review, false) AS needs_review FROM t LEFT JOIN best b ON t.target_id = b.target_id)"""
 
 
 def ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t, r = _views(spark, sf_dir)
-    n = F.col("name")
-    rows = lambda key: r.withColumn("key", key)
-    second = lambda c: F.split_part(F.lower(c), F.lit(" "), F.lit(2))
-    return matching.ladder(t, [("exact", n, rows(n)), ("folded", text.norm(n), rows(text.norm(n))), ("surname", second(n), rows(second(n)))])
+    name, folded = F.col("name"), F.col("folded")
+    t, r = (df.withColumn("folded", text.norm(text.fold(name))) for df in _views(spark, sf_dir))
+    tokens = F.split(folded, " ")
+    surname, given = F.element_at(tokens, -1), F.slice(tokens, F.lit(1), F.size(tokens) - 1)
+    # What is spelled otherwise is looked for among candidacies that have a window only.
+    every, board = (lambda key: matching.scoped(r.withColumn("key", key), ["w1", "w2"])), (lambda key: matching.scoped(r.filter("window IS NOT NULL").withColumn("key", key), ["w1", "w2"]))
+    each = lambda parts: F.transform(parts, lambda g: F.concat_ws(" ", g, surname))
+    at_ward = F.concat_ws(" ", F.col("ward").cast("string"), surname)
+    rungs = [
+        ("alias", "one", F.array("alias"), every(F.col("alias"))), ("id", "one", F.array("filed_id"), every(F.col("filed_id"))),
+        ("exact", "resolve", F.array(text.norm(name)), every(text.norm(name))), ("accent_fold_exact", "resolve", F.array(folded), board(folded)),
+        ("several_names", "guard", tokens, board(surname)), ("surname_plus_given", "review", each(given), board(F.explode(each(given)))),
+        ("surname_plus_office", "review", F.array(F.when(F.col("ward").isNotNull(), at_ward)), board(F.when(F.col("ward").isNotNull(), at_ward))),
+    ]
+    return matching.ladder(t, rungs)
 
 
 @query("jn9_10_ladder", LADDER + " SELECT * FROM matched")
@@ -61,19 +84,34 @@ def ag26(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ladder(spark, sf_dir).groupBy("method").agg(F.count(F.lit(1)).alias("n"), F.count_if("needs_review").alias("to_review"))
 
 
-@query("jn11_office_holders", f"""WITH t AS ({TARGETS}), h AS (SELECT DISTINCT candidate_id AS holder_id, split_part(name, ' ', 2) AS surname, split_part(name, ' ', 1) AS first, ward FROM ({REGISTRY})),
-  s AS (SELECT t.target_id, h.holder_id, coalesce(h.ward = t.ward, false) AS o FROM t JOIN h ON list_contains(string_split({_NORM.format('t.name')}, ' '), h.surname) WHERE coalesce(h.ward = t.ward, false) OR list_contains(string_split({_NORM.format('t.name')}, ' '), h.first))
+@query("jn11_office_holders", f"""WITH t AS (SELECT target_id, string_split({_NORM.format('name')}, ' ') AS tokens, ward FROM ({TARGETS})), h AS (SELECT min(candidate_id) AS holder_id, split_part(name, ' ', 2) AS surname, split_part(name, ' ', 1) AS first, max(ward) AS ward FROM ({REGISTRY}) GROUP BY name),
+  s AS (SELECT t.target_id, h.holder_id, coalesce(h.ward = t.ward, false) AS o FROM t JOIN h ON list_contains(tokens, h.surname) WHERE coalesce(h.ward = t.ward, false) OR list_contains(tokens, h.first))
   SELECT * FROM (SELECT target_id, CASE WHEN count(DISTINCT holder_id) FILTER (o) = 1 THEN max(holder_id) FILTER (o) WHEN count(DISTINCT holder_id) = 1 THEN max(holder_id) END AS holder_id FROM s GROUP BY 1) WHERE holder_id IS NOT NULL""")
 def jn11(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, r = _views(spark, sf_dir)
-    holders = r.select(F.col("candidate_id").alias("holder_id"), F.split_part("name", F.lit(" "), F.lit(2)).alias("surname"), F.split_part("name", F.lit(" "), F.lit(1)).alias("first"), "ward").distinct()
-    return matching.office_holders(t.withColumn("tokens", F.split(text.norm(F.col("name")), " ")), holders)
+    holders = r.groupBy("name").agg(F.min("candidate_id").alias("holder_id"), F.max("ward").alias("ward")).select("holder_id", F.split_part("name", F.lit(" "), F.lit(2)).alias("surname"), F.split_part("name", F.lit(" "), F.lit(1)).alias("first"), "ward")
+    return matching.office_holders(t.select("target_id", "ward", F.split(text.norm(F.col("name")), " ").alias("tokens")), holders)
+
+
+#: Names of people: given names as filed or in full, surnames with letters changed, left out or doubled.
+_GIVEN = "CASE p_size % 6 WHEN 0 THEN 'bob' WHEN 1 THEN 'robert' WHEN 2 THEN 'kate' WHEN 3 THEN 'katherine' WHEN 4 THEN 'jon' ELSE split_part(p_name, ' ', 1) END"
+FILED = f"SELECT DISTINCT p_name || '|' || CAST(p_size AS VARCHAR(9)) AS filed_id, {_GIVEN} || ' ' || CASE p_size % 5 WHEN 0 THEN replace(split_part(p_name, ' ', 2), 'e', '') || 'ton' WHEN 1 THEN split_part(p_name, ' ', 2) || ' mac' || split_part(p_name, ' ', 1) WHEN 2 THEN 'mac' || split_part(p_name, ' ', 1) ELSE split_part(p_name, ' ', 2) END AS name FROM part"
+KNOWN = f"SELECT p_partkey AS candidate_id, {_GIVEN.replace('p_size % 6', 'p_partkey % 6')} || ' ' || CASE p_partkey % 4 WHEN 0 THEN split_part(p_name, ' ', 2) || 'ton' WHEN 1 THEN split_part(p_name, ' ', 2) WHEN 2 THEN 'mc' || split_part(p_name, ' ', 1) ELSE 'mac' || split_part(p_name, ' ', 1) || ' ' || split_part(p_name, ' ', 2) END AS name FROM part"
+_NICK = "(" + " UNION ALL ".join(f"SELECT unnest({g!r}) AS w, {i} AS k" for i, g in enumerate(matching.NICKNAMES)) + ")"
 
 
-@query("fn27_suggestions")
+@query("fn27_suggestions", f"""WITH f AS (SELECT filed_id, string_split(name, ' ') AS t FROM ({FILED})), k AS (SELECT candidate_id, string_split(name, ' ') AS u FROM ({KNOWN})),
+  a AS (SELECT DISTINCT t FROM f), b AS (SELECT DISTINCT u FROM k), p AS (SELECT t, u, t[-1] AS s, u[-1] AS r, t[:-2] AS g, u[:-2] AS h FROM a CROSS JOIN b),
+  n AS (SELECT DISTINCT x.w AS x, y.w AS y FROM {_NICK} x JOIN {_NICK} y ON x.k = y.k),
+  w AS (SELECT t, u, s, r, len(list_intersect(g, h)) > 0 AS same, EXISTS (SELECT 1 FROM n WHERE list_contains(g, n.x) AND list_contains(h, n.y)) OR len(list_intersect(g, h)) > 0 AS nick,
+    len(list_filter(g, lambda x: len(list_filter(h, lambda y: levenshtein(x, y) <= 2 AND least(length(x), length(y)) >= 4)) > 0)) > 0 AS spelled FROM p),
+  o AS (SELECT t, u, CASE WHEN s = r AND NOT same AND nick THEN 'nickname' WHEN s = r AND NOT same AND spelled THEN 'given-name spelling' WHEN s <> r AND list_contains(u, s) AND nick THEN 'part of a compound surname'
+    WHEN s <> r AND length(s) >= 4 AND levenshtein(s, r) <= 2 AND nick THEN 'surname spelling' WHEN s <> r AND list_contains(t, r) AND nick THEN 'surname order or extra name' END AS reason FROM w)
+  SELECT f.filed_id, k.candidate_id, o.reason FROM o JOIN f ON f.t = o.t JOIN k ON k.u = o.u WHERE o.reason IS NOT NULL""")
 def fn27(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t, r = _views(spark, sf_dir, ALL_TARGETS, ALL_REGISTRY)
-    return matching.suggestions(t.select(F.col("target_id").alias("filed_id"), text.name_tokens(F.col("name")).alias("tokens")), r.select("candidate_id", text.name_tokens(F.col("name")).alias("tokens")))
+    part = raw(spark, sf_dir, "part")
+    f, k = (spark.sql(q.replace("VARCHAR(9)", "STRING").replace("FROM part", "FROM {part}"), part=part).withColumn("tokens", F.split("name", " ")) for q in (FILED, KNOWN))
+    return matching.suggestions(f.select("filed_id", "tokens"), k.select("candidate_id", "tokens"))
 
 
 @query("ag24_collapse", oracle(f"SELECT spender_id, target_id, date, stance, count(*) - 1 AS dropped FROM expenditures GROUP BY 1, 2, 3, 4 HAVING count(*) > 1"))
@@ -93,19 +131,18 @@ def ag25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.unmatched_groups(e, decided, ["spender_id", "name"])
 
 
-ENTITIES = "SELECT p_partkey AS id, 'type' AS type, CASE WHEN p_partkey % 4 = 0 THEN p_name || ' Inc.' WHEN p_partkey % 4 = 1 THEN 'The ' || p_name || ' ' || p_type WHEN p_partkey % 4 = 2 THEN p_brand || ' ' || p_type || ' Union' ELSE substring(p_brand, 1, 1) || substring(p_type, 1, 1) END AS name FROM part WHERE p_partkey % 5 = 0"
+ENTITIES = "SELECT p_partkey AS id, 'type' AS type, CASE WHEN p_partkey % 4 = 0 THEN p_name || ' Inc.' WHEN p_partkey % 4 = 1 THEN 'The ' || p_name || ' ' || p_type WHEN p_partkey % 4 = 2 THEN p_brand || ' ' || p_type || ' Union' ELSE substring(p_brand, 1, 1) || substring(p_type, 1, 1) END AS name FROM part"
 _C = WORDS_SQL.format(c="name", drop=in_sql(text.ORG_STOP))
 _A = WORDS_SQL.format(c="name", drop=in_sql(text.ACRONYM_STOP))
 
 
-@query("jn34_near_duplicates", f"""WITH e AS (SELECT id, name, list_sort(list_distinct({_C})) AS core, array_to_string(list_transform({_A}, lambda t: substring(t, 1, 1)), '') AS acro, array_to_string({_A}, '') AS comp FROM ({ENTITIES})),
+@query("jn34_near_duplicates", f"""WITH e AS (SELECT id, name, list_sort(list_distinct({_C})) AS core, array_to_string(list_transform({_A}, lambda t: substring(t, 1, 1)), '') AS acro, array_to_string({_A}, '') AS comp FROM (SELECT min(id) AS id, name FROM ({ENTITIES}) GROUP BY name)),
   p AS (SELECT a.id AS a, b.id AS b, a.core AS ca, b.core AS cb, a.core = b.core AND len(a.core) > 0 AS same, a.comp <> '' AND b.comp <> '' AND (length(a.comp) <= 5 AND a.comp = b.acro OR length(b.comp) <= 5 AND b.comp = a.acro) AS acr,
     CASE WHEN len(a.core) = 0 OR len(b.core) = 0 THEN 0.0 ELSE CAST(len(list_intersect(a.core, b.core)) AS DOUBLE) / len(list_distinct(list_concat(a.core, b.core))) END AS score FROM e a JOIN e b ON a.id < b.id)
   SELECT a, b, CASE WHEN same THEN 'same name' WHEN acr THEN 'acronym' WHEN len(ca) > 0 AND len(cb) > 0 AND (len(list_filter(ca, lambda x: NOT list_contains(cb, x))) = 0 OR len(list_filter(cb, lambda x: NOT list_contains(ca, x))) = 0) THEN 'subset' ELSE 'similar' END AS why, round(score, 6) AS score
   FROM p WHERE same OR acr OR score >= 0.6 OR len(ca) > 0 AND len(cb) > 0 AND (len(list_filter(ca, lambda x: NOT list_contains(cb, x))) = 0 OR len(list_filter(cb, lambda x: NOT list_contains(ca, x))) = 0)""")
 def jn34(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw(spark, sf_dir, "part").createOrReplaceTempView("part")
-    return matching.near_duplicates(spark.sql(ENTITIES))
+    return matching.near_duplicates(spark.sql(ENTITIES.replace("FROM part", "FROM {part}"), part=raw(spark, sf_dir, "part")))
 
 
 @query("jn35_shared_employer", "SELECT 'brand' AS kind, min(key) AS key, members FROM (SELECT p_brand || '/' || p_size AS key, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) AS members FROM part GROUP BY 1 HAVING count(*) >= 2) GROUP BY members")

@@ -242,18 +242,18 @@ def wn5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model(spark, sf_dir, "committees").select("person_id", F.first("candidate_id").over(w).alias("first"), F.last("candidate_id").over(w).alias("current"), "candidate_id")
 
 
-@query("wn10_next_ids", oracle("SELECT committee_id, 'f-' || CAST((SELECT max(donor_id) FROM donors) + row_number() OVER (ORDER BY committee_id) AS VARCHAR) AS id FROM committees WHERE committee_id % 4 = 1"))
+@query("wn10_next_ids", oracle("SELECT committee_id, 'f-' || CAST((SELECT max(donor_id) FROM donors) + row_number() OVER (ORDER BY committee_id) AS VARCHAR) AS id FROM committees"))
 def wn10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civicspark.operators import changes
 
     taken = model(spark, sf_dir, "donors").select(F.concat(F.lit("f-"), F.col("donor_id").cast("string")).alias("id"))
-    return changes.mint_ids(model(spark, sf_dir, "committees").filter("committee_id % 4 = 1").select("committee_id"), taken, "id", "f-", "committee_id")
+    return changes.mint_ids(model(spark, sf_dir, "committees").select("committee_id"), taken, "id", "f-", "committee_id")
 
 
-@query("so5_items_in_donor", oracle("SELECT donor_id, string_agg(coalesce(CAST(date AS VARCHAR), '') || '/' || committee_id || '/' || CAST(amount AS VARCHAR), ' ' ORDER BY date NULLS FIRST, committee_id, amount DESC) AS items FROM contributions WHERE line = 1 GROUP BY 1"))
+@query("so5_items_in_donor", oracle("SELECT donor_id, row_number() OVER (PARTITION BY donor_id ORDER BY date NULLS FIRST, committee_id, amount DESC) AS place, date, committee_id, amount FROM contributions"))
 def so5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = F.array_sort(F.collect_list(F.struct(F.coalesce(F.col("date").cast("string"), F.lit("")).alias("d"), "committee_id", (-F.col("amount")).alias("minus"), "amount")))
-    return model(spark, sf_dir, "contributions").filter("line = 1").groupBy("donor_id").agg(F.array_join(F.transform(order, lambda x: F.concat_ws("/", x["d"], x["committee_id"].cast("string"), x["amount"].cast("string"))), " ").alias("items"))
+    order = Window.partitionBy("donor_id").orderBy(F.col("date").asc_nulls_first(), "committee_id", F.col("amount").desc())
+    return model(spark, sf_dir, "contributions").select("donor_id", F.row_number().over(order).cast("long").alias("place"), "date", "committee_id", "amount")
 
 
 @query("so4_neutral_order", oracle("SELECT committee_id, row_number() OVER (ORDER BY lower(list_extract(string_split(name, '#'), -1)), name) AS place FROM committees"))

@@ -32,20 +32,21 @@ def test_suggestions(spark):
     assert got[1, 10] == "nickname" and got[2, 20] == "surname spelling" and got[3, 30] == "part of a compound surname" and got[4, 40] == "surname order or extra name"
 
 
-def test_suggestions_read_all_parts(spark, tmp_path):
-    from civicspark.plans import registry as plans
-
-    parts = spark.createDataFrame([(5, "bill smith", "Brand#7", "LARGE", 30, 1.0), (47, "william smith", "Brand#7", "LARGE", 41, 1.0)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
-    parts.write.parquet(f"{tmp_path}/part.parquet")
-    got = {(r.filed_id, r.candidate_id, r.reason) for r in plans.QUERIES["fn27_suggestions"](spark, str(tmp_path)).collect()}
-    assert got == {("bill smith x|Brand#7", 47, "nickname"), ("william smith|Brand#7", 5, "nickname")}
+def test_suggestions_lose_no_pair(spark):
+    """Nicknames with surnames that differ in their first letters, and any two edits anywhere."""
+    filed = [(1, ["bob", "macdonald"]), (2, ["ann", "abcdef"]), (3, ["ann", "abxcdye"])]
+    known = [(10, ["robert", "mcdonald"]), (20, ["ann", "bcde"]), (30, ["ann", "abcde"]), (40, ["ann", "xbcdez"]), (50, ["ann", "xyzdef"])]
+    got = matching.suggestions(spark.createDataFrame(filed, "filed_id int, tokens array<string>"), spark.createDataFrame(known, "candidate_id int, tokens array<string>")).collect()
+    assert {(r.filed_id, r.candidate_id) for r in got} == {(1, 10), (2, 20), (2, 30), (2, 40), (3, 30)} and {r.reason for r in got} == {"surname spelling"}
 
 
 def test_near_duplicates_of_a_frequent_single_token(spark):
     rows = [(1, "Acme"), (2, "Acme Widgets"), (3, "Tools Acme"), (4, "ACME"), (5, "Zenith Widgets")]
     e = spark.createDataFrame([(i, "t", n) for i, n in rows] + [(6, "u", "Acme")], "id int, type string, name string")
     whole = {(r.a, r.b, r.why, r.score) for r in matching.near_duplicates(e).collect()}
-    assert {(a, b) for a, b, *_ in whole} == {(1, 2), (1, 3), (1, 4), (2, 4), (3, 4)}
+    assert {(a, b) for a, b, *_ in whole} == {(1, 2), (1, 3), (1, 4), (2, 4), (3, 4)}  # "Acme" and "ACME" are two classes
+    again = e.unionByName(spark.createDataFrame([(9, "t", "Acme"), (8, "t", "Acme Widgets")], e.schema))
+    assert {(r.a, r.b, r.why, r.score) for r in matching.near_duplicates(again).collect()} == whole
     assert {(r.a, r.b, r.why, r.score) for r in matching.near_duplicates(e, most_common=2).collect()} == whole
 
 
@@ -56,11 +57,22 @@ def test_keyword_candidates(spark):
     assert got == [("b", 8, 1), ("a", 2, 2)]
 
 
-def test_ladder_flags_what_it_guesses(spark):
-    targets = spark.createDataFrame([(1, "lee", 3, None), (2, "lee", None, None), (3, "lee", None, "2a"), (4, "roe", None, None)], "target_id int, name string, ward int, district string")
-    registry = spark.createDataFrame([("lee", 100, 3, "1a", 1), ("lee", 200, 4, "2a", 2)], "key string, candidate_id int, ward int, district string, ord int")
-    got = {r.target_id: (r.candidate_id, r.method, r.needs_review) for r in matching.ladder(targets, [("exact", F.col("name"), registry)]).collect()}
-    assert got == {1: (100, "exact", False), 2: (100, "exact", True), 3: (200, "exact", True), 4: (None, "unmatched", False)}
+def test_ladder(spark):
+    """Hits on a rung: alone, by ward, by district, or guessed; scopes of windows and of the mayor; the guard; single rungs."""
+    c = "target_id int, name string, window string, mayor boolean, ward int, district string"
+    targets = spark.createDataFrame(
+        [(1, "a lee", "", False, 3, None), (2, "a lee", "", False, None, None), (3, "a lee", "", False, None, "2a"), (4, "b roe", "", False, None, None), (5, "m", "", False, None, None), (6, "m", "", True, None, None),
+         (7, "w", "w1", False, None, None), (8, "w", "", False, None, None), (9, "a lee roe", "", False, None, None), (10, "x roe", "", False, 5, None), (11, "ann roe", "", False, None, None)], c)
+    rows = [("a lee", 100, 3, "1a", 1, None, False), ("a lee", 200, 4, "2a", 2, None, False), ("m", 300, None, None, 3, None, True), ("w", 400, None, None, 4, "w1", False), ("w", 500, None, None, 5, "w2", False), ("ann roe", 600, 5, None, 6, None, False)]
+    registry = spark.createDataFrame(rows, "key string, candidate_id int, ward int, district string, ord int, window string, mayor boolean")
+    surname = matching.scoped(registry.withColumn("key", F.element_at(F.split("key", " "), -1)).filter("key IN ('lee', 'roe')"), ["w1", "w2"])
+    tokens = F.split("name", " ")
+    rungs = [("exact", "resolve", F.array("name"), matching.scoped(registry, ["w1", "w2"])), ("several_names", "guard", tokens, surname), ("surname", "review", F.slice(tokens, -1, 1), surname)]
+    got = {r.target_id: (r.candidate_id, r.method, r.needs_review) for r in matching.ladder(targets, rungs).collect()}
+    assert got == {
+        1: (100, "exact", True), 2: (100, "name_fallback", True), 3: (200, "exact", True), 4: (600, "surname", True), 5: (None, "unmatched", False), 6: (300, "exact", False),
+        7: (400, "exact", False), 8: (None, "unmatched", False), 9: (None, "several_names", False), 10: (600, "surname", True), 11: (600, "exact", False),
+    }
 
 
 def test_cash_of_the_latest_amended_report(spark):

@@ -20,7 +20,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_queries_without_sql_are_tested_elsewhere():
-    assert set(registry.QUERIES) - set(registry.ORACLE_SQL) == {"fn23_person_slug", "fn27_suggestions", "jn33_keyword_candidates", "snk6_fingerprint"}
+    assert set(registry.QUERIES) - set(registry.ORACLE_SQL) == {"fn23_person_slug", "jn33_keyword_candidates", "snk6_fingerprint"}
 
 
 def test_entry(spark):
