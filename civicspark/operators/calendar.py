@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 #: Rows that a table of cycles or windows may have; they are broadcast.
 MOST_INTERVALS = 10_000
+#: Cycles up to which a date's is said by one CASE; beyond it they are joined.
+CASES = 64
 
 
 def small(intervals: DataFrame) -> DataFrame:
@@ -26,14 +28,24 @@ def with_cycle(facts: DataFrame, cycles: DataFrame, date: str = "date", out: str
     """facts with the code of the cycle that its date falls in.
 
     before, gap and after name the cycle of dates outside all of them ("last" means the last cycle's
-    code), null that of rows without a date. cycles: code, start_date, end_date."""
-    ends = cycles.agg(F.min("start_date").alias("first"), F.max("end_date").alias("end"), F.max_by("code", "start_date").alias("last")).first()
-    named = lambda v: F.lit(ends["last"] if v == "last" else v).cast("string")
-    c = small(cycles.select(F.col("code").alias("_code"), F.col("start_date").alias("_start"), F.col("end_date").alias("_end")))
-    d = F.col(date)
-    joined = facts.join(c, (d >= F.col("_start")) & (d <= F.col("_end")), "left")
-    value = F.when(d.isNull(), named(null)).when(F.col("_code").isNotNull(), F.col("_code")).when(d < F.lit(ends["first"]), named(before)).when(d > F.lit(ends["end"]), named(after)).otherwise(named(gap))
-    return joined.withColumn(out, value).drop("_code", "_start", "_end")
+    code), null that of rows without a date. cycles: code, start_date, end_date; they don't overlap, see
+    overlapping_intervals(). They are read once, on the driver."""
+    listed = cycles.select("code", "start_date", "end_date").orderBy("start_date").limit(MOST_INTERVALS + 1).collect()
+    if len(listed) > MOST_INTERVALS:
+        raise ValueError(f"over {MOST_INTERVALS} intervals: not a table of cycles")
+    first, end, last = (listed[0]["start_date"], max(c["end_date"] for c in listed), listed[-1]["code"]) if listed else (None, None, None)
+    named = lambda v: F.lit(last if v == "last" else v).cast("string")
+    d, code = F.col(date), F.col("_code")
+    if len(listed) <= CASES:
+        within = F.lit(None).cast("string")
+        for c in reversed(listed):
+            within = F.when((d >= F.lit(c["start_date"])) & (d <= F.lit(c["end_date"])), c["code"]).otherwise(within)
+        joined = facts.withColumn("_code", within)
+    else:
+        c = F.broadcast(cycles.select(F.col("code").alias("_code"), F.col("start_date").alias("_start"), F.col("end_date").alias("_end")))
+        joined = facts.join(c, (d >= F.col("_start")) & (d <= F.col("_end")), "left").drop("_start", "_end")
+    value = F.when(d.isNull(), named(null)).when(code.isNotNull(), code).when(d < F.lit(first), named(before)).when(d > F.lit(end), named(after)).otherwise(named(gap))
+    return joined.withColumn(out, value).drop("_code")
 
 
 def with_window(facts: DataFrame, windows: DataFrame, date: str = "date", office_type: str = "office_type", out: str = "window_id") -> DataFrame:

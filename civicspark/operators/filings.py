@@ -56,9 +56,10 @@ def reconcile_periods(periods: DataFrame, facts: DataFrame, itemised_types: list
     return out.select("committee_id", "beg", "fin", "itemised", "ours_itemised", (F.col("ours_itemised") - F.col("itemised")).cast(MONEY).alias("residual"), "in_kind", "ours_in_kind", ((F.col("ours_itemised") == 0) & (F.col("itemised") > 0)).alias("coverage_miss"))
 
 
-def reconcile_committees(by_period: DataFrame, facts: DataFrame, itemised_types: list[str], aggregate: Column, threshold: float) -> DataFrame:
-    """State and flags of each filer: RECONCILED when every period agrees to the cent in sum, else RESIDUAL;
-    PENDING for money after the last filed period, OVER-THRESHOLD, COVERAGE-MISS."""
+def reconcile_committees(by_period: DataFrame, facts: DataFrame, itemised_types: list[str], aggregate: Column, threshold: float, filers: DataFrame) -> DataFrame:
+    """State and flags of each of filers: RECONCILED when every period agrees to the cent in sum, else RESIDUAL;
+    TOO-NEW, without flags or figures, where no period has been filed. PENDING for money after the last filed
+    period, OVER-THRESHOLD, COVERAGE-MISS."""
     differs = (F.col("ours_itemised") + F.col("ours_in_kind")) != (F.col("itemised") + F.col("in_kind"))
     sums = by_period.groupBy("committee_id").agg(F.count(F.lit(1)).alias("periods"), total(F.col("itemised")).alias("sworn_itemised"), total(F.col("ours_itemised")).alias("ours_itemised"), total(F.col("in_kind")).alias("sworn_in_kind"), total(F.col("ours_in_kind")).alias("ours_in_kind"), F.bool_or(differs).alias("differs"), F.bool_or("coverage_miss").alias("miss"), F.max("fin").alias("last_end"))
     late = facts.join(sums.select("committee_id", "last_end"), "committee_id")
@@ -66,12 +67,16 @@ def reconcile_committees(by_period: DataFrame, facts: DataFrame, itemised_types:
     zero = F.lit(0).cast(MONEY)
     out = sums.join(pend, "committee_id", "left").withColumn("residual", (F.col("ours_itemised") - F.col("sworn_itemised")).cast(MONEY)).withColumn("pending", F.coalesce("pending", zero)).withColumn("aggregate", F.coalesce("aggregate", zero))
     flags = F.concat_ws(",", F.when(F.col("pending") > 0, "PENDING"), F.when(F.abs("residual") > threshold, "OVER-THRESHOLD"), F.when(F.col("miss"), "COVERAGE-MISS"))
-    return out.select("committee_id", "periods", F.when(F.col("differs"), "RESIDUAL").otherwise("RECONCILED").alias("state"), flags.alias("flags"), "sworn_itemised", "ours_itemised", "residual", "sworn_in_kind", "ours_in_kind", "pending", "aggregate", "last_end")
+    state = F.when(F.col("differs"), "RESIDUAL").otherwise("RECONCILED")
+    figures = ["sworn_itemised", "ours_itemised", "residual", "sworn_in_kind", "ours_in_kind", "pending", "aggregate"]
+    known = out.select("committee_id", "periods", state.alias("state"), flags.alias("flags"), *figures, "last_end")
+    every = filers.select("committee_id").distinct().join(known, "committee_id", "left")
+    return every.select("committee_id", F.coalesce("periods", F.lit(0)).cast("long").alias("periods"), F.coalesce("state", F.lit("TOO-NEW")).alias("state"), F.coalesce("flags", F.lit("")).alias("flags"), *[F.coalesce(c, zero).alias(c) for c in figures], "last_end")
 
 
 def headline(committees: DataFrame) -> DataFrame:
-    """One row: totals, counts by state, and the share of filers that match."""
-    return committees.agg(F.count(F.lit(1)).alias("committees"), F.count_if(F.col("state") == "RECONCILED").alias("reconciled"), F.count_if(F.col("state") == "RESIDUAL").alias("with_residual"), total(F.col("sworn_itemised")).alias("sworn"), total(F.col("ours_itemised")).alias("ours"), F.round(100.0 * F.count_if(F.col("state") == "RECONCILED") / F.count(F.lit(1)), 1).alias("match_percent"))
+    """One row: totals, counts by state, and the share that match of filers that have filed."""
+    return committees.agg(F.count(F.lit(1)).alias("committees"), F.count_if(F.col("state") == "TOO-NEW").alias("too_new"), F.count_if(F.col("state") == "RECONCILED").alias("reconciled"), F.count_if(F.col("state") == "RESIDUAL").alias("with_residual"), total(F.col("sworn_itemised")).alias("sworn"), total(F.col("ours_itemised")).alias("ours"), F.round(100.0 * F.count_if(F.col("state") == "RECONCILED") / F.count_if(F.col("state") != "TOO-NEW"), 1).alias("match_percent"))
 
 
 def apply_known_gaps(by_period: DataFrame, gaps: DataFrame) -> tuple[DataFrame, DataFrame]:

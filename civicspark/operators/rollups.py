@@ -16,12 +16,15 @@ ALL = "all"
 def by_parent(counted: DataFrame, members: DataFrame, independent: Column) -> DataFrame:
     """parent_id, cycle ("all" or a cycle's code), direct, independent, total, n, committees, members.
 
-    counted: parent_id, cycle, committee_id, amount. One grouping with rollup gives both levels; distinct
-    recipients are exact. members: parent_id, members."""
-    direct = F.when(~independent, F.col("amount"))
-    rolled = counted.select("parent_id", "cycle", "committee_id", "amount", direct.alias("d"), F.when(independent, F.col("amount")).alias("i"))
-    rolled = rolled.rollup("parent_id", "cycle").agg(F.grouping("cycle").alias("g"), F.grouping("parent_id").alias("gp"), total(F.col("d")).alias("direct"), total(F.col("i")).alias("independent"), total(F.col("amount")).alias("total"), F.count(F.lit(1)).alias("n"), F.countDistinct("committee_id").alias("committees"))
-    rolled = rolled.filter("gp = 0").withColumn("cycle", F.when(F.col("g") == 1, ALL).otherwise(F.col("cycle")))
+    counted: parent_id, cycle, committee_id, amount. Money is summed by recipient first, so that distinct
+    recipients are rows and both levels sum what is left. members: parent_id, members."""
+    sums = [total(F.col(c)).alias(c) for c in ("direct", "independent", "total")] + [F.sum("n").alias("n")]
+    money = counted.select("parent_id", "cycle", "committee_id", F.when(~independent, F.col("amount")).alias("direct"), F.when(independent, F.col("amount")).alias("independent"), F.col("amount").alias("total"), F.lit(1).cast("long").alias("n"))
+    base = money.groupBy("parent_id", "cycle", "committee_id").agg(*sums)
+    count = F.count(F.lit(1)).alias("committees")
+    of_cycle = base.groupBy("parent_id", "cycle").agg(*sums, count)
+    of_all = base.groupBy("parent_id", "committee_id").agg(*sums).groupBy("parent_id").agg(*sums, count).withColumn("cycle", F.lit(ALL))
+    rolled = of_cycle.unionByName(of_all)
     return rolled.join(members, "parent_id", "left").select("parent_id", "cycle", "direct", "independent", "total", "n", "committees", F.coalesce("members", F.lit(1)).cast("long").alias("members"))
 
 
