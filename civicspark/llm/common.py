@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import string
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,14 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+def give_back() -> None:
+    """At the end of a task: what it has freed goes back to the system. Python workers live on, idle or in other
+    stages, and their memory counts as the executor's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees. Only a local session may go without the setting."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

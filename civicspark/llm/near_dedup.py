@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 from pyspark.sql.window import Window
 
-from .common import materialise, text_or_empty
+from .common import give_back, materialise, text_or_empty
 
 WORDS = 5
 #: Two texts are near-duplicates from this similarity on, as a ratio of whole numbers.
 OVER, UNDER = 3, 4
 #: At similarity 0.75 all bands miss with probability (1 - 0.75^5)^48, about 2 in a million.
 BANDS, ROWS = 48, 5
-REMEMBER = 300_000
+REMEMBER = 100_000
 #: A table of ids is broadcast up to this many rows, 16 MB; beyond it the join shuffles.
 BROADCAST_IDS = 200_000
 #: Candidate pairs a row up to which the buckets' own pairs are compared, by sketches, at some 0.1 microseconds
@@ -121,6 +121,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 ends.append(ends[-1] + (BANDS if len(found) else 0))
             flat = pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], ["id", "node", "n", "bands"])
+        words.clear()
+        give_back()
 
     return docs.select(F.col(id_col), text_or_empty(text_col).cast("binary").alias("text")).mapInArrow(sign, schema)
 
@@ -139,6 +141,8 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> Dat
             sketches = np.concatenate([parity(f) for f in found]) if found else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(sketches) + 1, PARITY), pa.int32()), pa.array(sketches))
             yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(g) for g in grams], pa.binary()), pa.array(grams, pa.binary()), lists], ["node", "grams", "parity"])
+        words.clear()
+        give_back()
 
     return texts.mapInArrow(collect, "node binary, grams binary, parity array<long>")
 

@@ -18,13 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_or_empty
+from .common import give_back, materialise, text_or_empty
 
 #: Items that one task packs at once.
 GROUP_ITEMS = 100_000
 #: A bin with at most this much room left is done before the last round.
 SLACK = 8
-REMEMBER = 600_000
+#: Words that a Python worker remembers in each of two generations, some 200 bytes a word.
+REMEMBER = 300_000
 
 
 @lru_cache(maxsize=1)
@@ -52,24 +53,32 @@ _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=?-@\[-`{}~]*)")
 class _WordIds(dict):
     """Ids of words, as little-endian 32-bit numbers: this vocabulary drops white space and never joins
     words across it. Texts are cut at ASCII white space only; any other is left to the tokenizer. What a
-    Python worker has learned stays with it from task to task, up to a bound."""
+    Python worker has learned stays with it from task to task, up to a bound: a full generation becomes the
+    old one, and words that are met again move on from there."""
 
     kept: dict[str, _WordIds] = {}
 
     def __init__(self, path: str):
         super().__init__()
+        self.most = REMEMBER
+        self.old: dict[bytes, bytes] = {}
         self.tokenizer = _tokenizer(path)
         self.model = self.tokenizer.model
 
     @classmethod
-    def of(cls, path: str) -> _WordIds:
+    def of(cls, path: str, most: int = REMEMBER) -> _WordIds:
         if path not in cls.kept:
             cls.kept[path] = cls(path)
+        cls.kept[path].most = most
         return cls.kept[path]
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= REMEMBER:
+        if len(self) >= self.most:
+            self.old = self.copy()
             self.clear()
+        if (found := self.old.get(word)) is not None:
+            self[word] = found
+            return found
         text = word.decode()
         if simple := _SIMPLE.fullmatch(text):
             # Letters in lower case go to the tokenizer's model at once, and so does a run of marks.
@@ -86,7 +95,7 @@ class _WordIds(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, remember: int = REMEMBER) -> DataFrame:
     """id, piece, start, length, ids_crc32 (and ids, as little-endian 32-bit numbers) of every piece.
 
     A document is its ids and end_id; only one longer than size is cut, into pieces of size and a rest.
@@ -95,7 +104,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int =
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _WordIds.of(tokenizer_path)
+        words = _WordIds.of(tokenizer_path, remember)
         for batch in batches:
             row, number, begin, length, crc, kept = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
@@ -111,6 +120,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int =
                         kept.append(part)
             columns = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(number, pa.int32()), pa.array(begin, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.binary())] * with_ids, ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
+        give_back()
 
     return docs.select(F.col(id_col), text_or_empty(text_col).cast("binary").alias("text")).mapInArrow(cut, schema)
 
@@ -153,13 +163,13 @@ def _pack_group(turn: int, size: int):
     return pack
 
 
-def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", group_items: int = GROUP_ITEMS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", group_items: int = GROUP_ITEMS, remember: int = REMEMBER) -> DataFrame:
     """id, piece, start, length, ids_crc32, sequence_id and offset of every piece.
 
-    Each sequence holds at most size tokens, gapless from offset 0. Rows of one id are packed one by
+    Each sequence holds at most size tokens, gapless from offset 0. remember: of words, by each Python worker. Rows of one id are packed one by
     one, a null id like any other; an empty table gives no rows; other columns are ignored.
     """
-    cut = materialise(pieces(docs, tokenizer_path, size, end_id, id_col, text_col), "pack-pieces")
+    cut = materialise(pieces(docs, tokenizer_path, size, end_id, id_col, text_col, remember=remember), "pack-pieces")
     groups = max(1, -(-cut.count() // group_items))
     dealt = cut.withColumn("group", F.pmod(F.xxhash64("id", "piece", "ids_crc32", "length"), F.lit(groups)))
     held = f"id {cut.schema['id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, new_bin long, offset long, fill long"

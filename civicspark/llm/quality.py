@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import text_or_empty
+from .common import give_back, text_or_empty
 
 #: Bytes of a passage; the last may be shorter.
 PASSAGE = 1024
@@ -192,6 +192,7 @@ def score(model: Model, text: Column) -> Column:
                 starts = np.cumsum([0] + [len(c) for c in coded[:-1]])
                 out.append(model.scores(np.concatenate(coded), starts))
             yield pd.Series(np.concatenate(out) if out else np.empty(0))
+        give_back()
 
     return scores(F.coalesce(text, F.lit("")))
 
