@@ -93,10 +93,11 @@ def dq13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.filter((F.col("contribution_type") == money.DUES_TYPE) | money.is_excluded_other(F.col("contribution_type"), F.col("is_own_committee"))).groupBy("contribution_type").agg(F.count(F.lit(1)).alias("n"), money.total(F.col("amount")).alias("amount"))
 
 
-@query("dq14_split_recount", oracle("SELECT 'parts make the total' AS rule, 'error' AS severity, CAST(parent_id AS VARCHAR) AS key, '' AS detail FROM donors WHERE false"))
+@query("dq14_split_recount", oracle(COUNTED + " SELECT DISTINCT 'parts make the total' AS rule, 'error' AS severity, CAST(parent_id AS VARCHAR) AS key, '' AS detail FROM counted WHERE parent_id % 9 = 4"))
 def dq14(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = model(spark, sf_dir, "donors").groupBy("parent_id").agg(F.count(F.lit(1)).alias("members"))
     p = rollups.by_parent(counted(spark, sf_dir), members, F.col("committee_id") % 5 == 0)
+    p = p.withColumn("total", F.col("total") + F.when(F.col("parent_id") % 9 == 4, 1).otherwise(0))
     return quality.row_rules(p, "parent_id", {"parts make the total": F.col("direct") + F.col("independent") != F.col("total")})
 
 
@@ -117,7 +118,7 @@ def dq17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_rules(model(spark, sf_dir, "sworn"), "doc_id", {"disclosed is residual": (F.col("individual") > F.col("transfers")) & (F.col("transfers") > 0)})
 
 
-@query("dq18_recount", oracle(COUNTED + " SELECT 'recount' AS rule, 'error' AS severity, '' AS key, '' AS detail FROM counted WHERE false"))
+@query("dq18_recount", oracle(COUNTED + ", p AS (SELECT parent_id, sum(amount) FILTER (donor_id % 31 <> 5) AS a, sum(amount) AS b FROM counted GROUP BY 1) SELECT 'recount' AS rule, 'error' AS severity, CAST(parent_id AS VARCHAR) AS key, coalesce(CAST(CAST(a AS DECIMAL(18,2)) AS VARCHAR), 'none') || ' vs ' || CAST(CAST(b AS DECIMAL(18,2)) AS VARCHAR) AS detail FROM p WHERE coalesce(a, 0) <> b"))
 def dq18(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Another path to the same money: all rows of known donors less what each rule takes away.
     from civicspark.functions import money
@@ -126,7 +127,7 @@ def dq18(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = model(spark, sf_dir, "donors").filter("type <> 'Aggregate'").select("donor_id", "parent_id")
     taken = c.filter(F.col("is_aggregate") | F.col("cycle").isin("pre-2011", "undated") | (F.col("contribution_type") == money.DUES_TYPE) | money.is_excluded_other(F.col("contribution_type"), F.col("is_own_committee")))
     net = c.select("donor_id", "amount").unionByName(taken.select("donor_id", (-F.col("amount")).alias("amount"))).join(plain, "donor_id")
-    return quality.equal_sums(counted(spark, sf_dir), net, ["parent_id"], "amount", "recount")
+    return quality.equal_sums(counted(spark, sf_dir).filter("donor_id % 31 <> 5"), net, ["parent_id"], "amount", "recount")
 
 
 @query("dq19_text", "SELECT 'no double space' AS rule, 'error' AS severity, CAST(doc_id AS VARCHAR) AS key, '' AS detail FROM documents WHERE contains(text, '  ') UNION ALL SELECT 'no edge space', 'error', CAST(doc_id AS VARCHAR), '' FROM documents WHERE text <> trim(text, ' ') UNION ALL SELECT 'no control characters', 'error', CAST(doc_id AS VARCHAR), '' FROM documents WHERE regexp_matches(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]|\\x{80}|[\\x{81}-\\x{9F}]') UNION ALL SELECT 'no replacement mark', 'error', CAST(doc_id AS VARCHAR), '' FROM documents WHERE contains(text, chr(65533))")

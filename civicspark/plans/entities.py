@@ -9,7 +9,7 @@ from civicspark.functions import text
 from civicspark.functions.money import total
 from civicspark.operators import entities
 
-from .model import model, oracle, raw
+from .model import given, model, oracle, raw
 from .money import COUNTED, M, counted
 from .registry import query
 from .scalars import named, names
@@ -38,8 +38,7 @@ CAND = "SELECT c_custkey % 50 AS committee_id, c_custkey AS candidate_id, c_nati
 
 
 def candidacies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw(spark, sf_dir, "customer").createOrReplaceTempView("customer")
-    return spark.sql(CAND)
+    return given(spark, sf_dir, CAND)
 
 
 @query("jn15_owning_candidacy", f"SELECT committee_id, candidate_id, race_id FROM (SELECT *, row_number() OVER (PARTITION BY committee_id ORDER BY election_date DESC NULLS LAST, ord) AS n FROM ({CAND})) WHERE n = 1")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from civicspark.functions import classify, money, text
 
-from .model import in_sql, model, oracle, raw, rules_sql, values_sql
+from .model import given, in_sql, model, oracle, raw, rules_sql, values_sql
 from .registry import query
 
 #: Names as filed: last and first name from a part's two words, some with suffixes, honorifics and organisations.
@@ -20,8 +20,7 @@ WORDS_SQL = "list_filter(string_split(trim(regexp_replace(regexp_replace(lower({
 
 
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw(spark, sf_dir, "part").createOrReplaceTempView("part")
-    return spark.sql(NAMES_SQL)
+    return given(spark, sf_dir, NAMES_SQL)
 
 
 def named(body: str) -> str:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civicspark.functions import money, text
-from civicspark.operators import calendar, changes, entities, filings, matching, quality, rollups, setops, votes
+from civicspark.operators import calendar, changes, entities, filings, matching, quality, rollups, setops, validators, votes
 from civicspark.sources import bulk, reference, sinks
 
 
@@ -282,3 +282,19 @@ def test_files_by_key_and_shards(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "k" / "by_committee=1")).count() == 2
     sinks.write_shards({"slim": (df, ["committee", "amount"])}, str(tmp_path / "s"))
     assert spark.read.parquet(str(tmp_path / "s" / "slim")).columns == ["committee", "amount"]
+
+
+def test_vote_rules_tell_an_absent_roster_from_an_empty_one(spark):
+    votes = spark.createDataFrame([(1, "2024-01-02", '["x"]'), (2, None, None)], "vote_id long, date string, type string")
+    meta = spark.createDataFrame([("a", 1, None), ("b", 9, True)], "code string, vote_id long, reverse_coded boolean")
+    positions = spark.createDataFrame([(1, 5)], "vote_id long, seat long")
+    roster = spark.createDataFrame([(4, "a"), (4, "z")], "seat long, code string")
+    declared = spark.createDataFrame([(2,)], "term_votes long")
+
+    def run(r):
+        return {(v.rule, v.key, v.detail) for v in validators.vote_rules(votes, meta, positions, r, declared).collect()}
+
+    base = {("vote is dated", "2", ""), ("featured vote resolves", "b", ""), ("retired field is absent", "b", "")}
+    assert run(roster) == base | {("code resolves", "z", ""), ("seat resolves", "5", "")}
+    assert run(None) == base | {("roster is there", "roster", "absent")}
+    assert run(roster.limit(0)) == base | {("roster is there", "roster", "empty")}
