@@ -193,10 +193,60 @@ def near_duplicates(entities: DataFrame, least: float = 0.6, most_common: int =
 
 
 def shared_groups(rows: DataFrame, key: str, member: str, kind: str) -> DataFrame:
-    """kind, key, members of every key that two members or more share; the same set of members is given once."""
-    g = rows.groupBy(key).agg(F.array_sort(F.collect_set(member)).alias("m")).filter(F.size("m") >= 2)
-    text_of = F.array_join(F.transform("m", lambda x: x.cast("string")), ",")
-    return g.groupBy(text_of.alias("members")).agg(F.min(key).alias("key")).select(F.lit(kind).alias("kind"), "key", "members")
+    """kind, key, member, n: a row for each member of every key that two members or more share. Of keys with the same
+    set of members the least is given.
+
+    No group is gathered: sets are told apart by their size, least and greatest member, and two sums of hashes."""
+    m = rows.filter(F.col(key).isNotNull() & F.col(member).isNotNull()).select(F.col(key).alias("key"), F.col(member).alias("member")).distinct()
+    h = lambda seed: F.xxhash64(F.lit(seed), "member")
+    g = m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("member").alias("lo"), F.max("member").alias("hi"), F.bit_xor(h(1)).alias("x"), F.bit_xor(h(2)).alias("y")).filter("n >= 2")
+    kept = g.groupBy("n", "lo", "hi", "x", "y").agg(F.min("key").alias("key"))
+    return m.join(kept.select("key", "n"), "key").select(F.lit(kind).alias("kind"), "key", "member", "n")
+
+
+def related_donors(donors: DataFrame, person: str = "Individual") -> DataFrame:
+    """relationship, label, donor_id, n, dollars: donors that are apart but belong together, a row for each member of a group;
+    dollars are the group's. donors: donor_id, name, type, employer, total; others than of type person are organisations.
+
+    People share an employer (three letters or more) or a surname (four or more). A person goes with an organisation
+    whose name holds all words of theirs, or else that is their employer by name. Names are compared once, by the
+    person's word that fewest organisations hold; donors come back afterwards."""
+    people, others = donors.filter(F.col("type") == person), donors.filter(F.col("type") != person)
+    employer, last = text.norm(F.col("employer")), text.surname(F.col("name"))
+    by = lambda key, kind: shared_groups(people.select(key.alias("k"), "donor_id"), "k", "donor_id", kind)
+    shared = by(F.when(F.length(employer) >= 3, employer), "shared employer").unionByName(by(F.when(F.length(last) >= 4, last), "shared surname"))
+
+    words = lambda c: F.array_sort(F.array_distinct(text.core_tokens(F.col(c))))
+    p = people.select(F.col("donor_id").alias("p_id"), F.col("name").alias("p_name"), words("name").alias("p"), F.array_join(text.core_tokens(F.col("employer")), " ").alias("work"))
+    o = others.select(F.col("donor_id").alias("o_id"), F.col("name").alias("o_name"), words("name").alias("o"), F.array_join(text.core_tokens(F.col("name")), " ").alias("core"))
+    org_words = o.select("o").distinct().select("o", F.explode("o").alias("w"))
+    held = org_words.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    # A word that no organisation holds settles that the name is in none.
+    asked = p.select("p").distinct().select("p", F.explode("p").alias("w")).join(held, "w", "left")
+    rarest = asked.groupBy("p").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "w")).alias("r")).filter("r.df > 0").select("p", F.col("r.w").alias("w"))
+    names = rarest.join(org_words, "w").filter(F.size(F.array_except("p", "o")) == 0).select("p", "o")
+    inside = p.join(names, "p").join(o, "o").select("p_id", "o_id", F.lit("name in organisation").alias("kind"), F.col("p_name").alias("key"))
+    works = p.filter("work <> ''").join(o, F.col("work") == F.col("core")).filter(~((F.size("p") > 0) & (F.size(F.array_except("p", "o")) == 0)))
+    pairs = inside.unionByName(works.select("p_id", "o_id", F.lit("employer is organisation").alias("kind"), F.col("o_name").alias("key")))
+    label = F.concat_ws(" / ", "key", F.col("p_id").cast("string"), F.col("o_id").cast("string"))
+    linked = pairs.select("kind", label.alias("key"), F.explode(F.array("p_id", "o_id")).alias("member"), F.lit(2).cast("long").alias("n"))
+
+    rows = shared.unionByName(linked).join(donors.select(F.col("donor_id").alias("member"), "total"), "member")
+    sums = rows.groupBy("kind", "key").agg(F.sum("total").cast("decimal(18,2)").alias("dollars"))
+    return rows.join(sums, ["kind", "key"]).select(F.col("kind").alias("relationship"), F.col("key").alias("label"), F.col("member").alias("donor_id"), "n", "dollars")
+
+
+def ranked(pairs: DataFrame, entities: DataFrame, organisations: Sequence[str]) -> DataFrame:
+    """The pairs of near_duplicates() in order of confidence, then dollars at stake, with canonical: the row of more money
+    (ties: the lower id). entities: id, name, type, total. A pair of organisations by name, acronym or subset is of
+    high confidence; people of one name may be two, so theirs is for review. Money is that of all rows of both names."""
+    e = entities.groupBy("type", "name").agg(F.min("id").alias("id"), F.sum("total").cast("decimal(18,2)").alias("money"))
+    x, y = (e.select(F.col("id").alias(c), F.col("type").alias(f"t_{c}"), F.col("money").alias(f"m_{c}")) for c in ("a", "b"))
+    j = pairs.join(x, "a").join(y, "b")
+    high = F.col("t_a").isin(*organisations) & F.col("why").isin("same name", "acronym", "subset")
+    confidence = F.when(high, "high").otherwise("review")
+    out = j.select("a", "b", "why", "score", confidence.alias("confidence"), (F.col("m_a") + F.col("m_b")).cast("decimal(18,2)").alias("dollars"), F.when(F.col("m_b") > F.col("m_a"), F.col("b")).otherwise(F.col("a")).alias("canonical"))
+    return out.orderBy(F.col("confidence") != "high", F.desc("dollars"), "a", "b")
 
 
 def keyword_candidates(items: DataFrame, records: DataFrame, n: int = 5) -> DataFrame:

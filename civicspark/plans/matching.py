@@ -9,7 +9,7 @@ from civicspark.functions import text
 from civicspark.functions.money import total
 from civicspark.operators import matching
 
-from .model import in_sql, model, oracle, raw
+from .model import given, in_sql, model, oracle, raw
 from .money import M
 from .registry import query
 from .scalars import WORDS_SQL
@@ -136,21 +136,56 @@ _C = WORDS_SQL.format(c="name", drop=in_sql(text.ORG_STOP))
 _A = WORDS_SQL.format(c="name", drop=in_sql(text.ACRONYM_STOP))
 
 
-@query("jn34_near_duplicates", f"""WITH e AS (SELECT id, name, list_sort(list_distinct({_C})) AS core, array_to_string(list_transform({_A}, lambda t: substring(t, 1, 1)), '') AS acro, array_to_string({_A}, '') AS comp FROM (SELECT min(id) AS id, name FROM ({ENTITIES}) GROUP BY name)),
+_PAIRS = f"""WITH e AS (SELECT id, name, list_sort(list_distinct({_C})) AS core, array_to_string(list_transform({_A}, lambda t: substring(t, 1, 1)), '') AS acro, array_to_string({_A}, '') AS comp FROM (SELECT min(id) AS id, name FROM ({ENTITIES}) GROUP BY name)),
   p AS (SELECT a.id AS a, b.id AS b, a.core AS ca, b.core AS cb, a.core = b.core AND len(a.core) > 0 AS same, a.comp <> '' AND b.comp <> '' AND (length(a.comp) <= 5 AND a.comp = b.acro OR length(b.comp) <= 5 AND b.comp = a.acro) AS acr,
     CASE WHEN len(a.core) = 0 OR len(b.core) = 0 THEN 0.0 ELSE CAST(len(list_intersect(a.core, b.core)) AS DOUBLE) / len(list_distinct(list_concat(a.core, b.core))) END AS score FROM e a JOIN e b ON a.id < b.id)
   SELECT a, b, CASE WHEN same THEN 'same name' WHEN acr THEN 'acronym' WHEN len(ca) > 0 AND len(cb) > 0 AND (len(list_filter(ca, lambda x: NOT list_contains(cb, x))) = 0 OR len(list_filter(cb, lambda x: NOT list_contains(ca, x))) = 0) THEN 'subset' ELSE 'similar' END AS why, round(score, 6) AS score
-  FROM p WHERE same OR acr OR score >= 0.6 OR len(ca) > 0 AND len(cb) > 0 AND (len(list_filter(ca, lambda x: NOT list_contains(cb, x))) = 0 OR len(list_filter(cb, lambda x: NOT list_contains(ca, x))) = 0)""")
+  FROM p WHERE same OR acr OR score >= 0.6 OR len(ca) > 0 AND len(cb) > 0 AND (len(list_filter(ca, lambda x: NOT list_contains(cb, x))) = 0 OR len(list_filter(cb, lambda x: NOT list_contains(ca, x))) = 0)"""
+
+
+@query("jn34_near_duplicates", _PAIRS)
 def jn34(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.near_duplicates(spark.sql(ENTITIES.replace("FROM part", "FROM {part}"), part=raw(spark, sf_dir, "part")))
 
 
-@query("jn35_shared_employer", "SELECT 'brand' AS kind, min(key) AS key, members FROM (SELECT p_brand || '/' || p_size AS key, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) AS members FROM part GROUP BY 1 HAVING count(*) >= 2) GROUP BY members")
+@query("so6_ranked_suggestions", f"""WITH found AS ({_PAIRS}), money AS (SELECT min(id) AS id, name, CAST(sum(p_retailprice) AS DECIMAL(18,2)) AS m FROM ({ENTITIES}) e JOIN (SELECT p_partkey, CAST(p_retailprice AS DECIMAL(18,2)) AS p_retailprice FROM part) p ON e.id = p_partkey GROUP BY name)
+  SELECT a, b, why, score, CASE WHEN why = 'similar' THEN 'review' ELSE 'high' END AS confidence, CAST(x.m + y.m AS DECIMAL(18,2)) AS dollars, CASE WHEN y.m > x.m THEN b ELSE a END AS canonical FROM found JOIN money x ON x.id = a JOIN money y ON y.id = b""")
+def so6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = raw(spark, sf_dir, "part")
+    e = given(spark, sf_dir, ENTITIES).join(part.select(F.col("p_partkey").alias("id"), F.col("p_retailprice").cast("decimal(18,2)").alias("total")), "id")
+    return matching.ranked(matching.near_duplicates(e), e, ["type"])
+
+
+_GROUPS = "SELECT '{kind}' AS kind, min(key) AS key, m FROM (SELECT {key} AS key, list_sort(list_distinct(list({member}))) AS m FROM {rows} GROUP BY 1 HAVING count(DISTINCT {member}) >= 2) GROUP BY m"
+
+
+@query("jn35_shared_employer", "SELECT kind, key, unnest(m) AS member, len(m) AS n FROM (" + _GROUPS.format(kind="brand", key="p_brand || '/' || p_size", member="p_partkey", rows="part") + ")")
 def jn35(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = raw(spark, sf_dir, "part").select(F.concat_ws("/", "p_brand", F.col("p_size").cast("string")).alias("key"), "p_partkey")
     return matching.shared_groups(p, "key", "p_partkey", "brand")
 
 
+#: People named by a number and a word; organisations of friends of the next person, and firms.
+DONORS = """SELECT p_partkey AS donor_id, CASE p_partkey % 3 WHEN 0 THEN 'w' || CAST(p_partkey AS VARCHAR(20)) || ' ' || split_part(p_name, ' ', 2) || CAST(p_size AS VARCHAR(20))
+    WHEN 1 THEN 'Friends of w' || CAST(p_partkey - 1 AS VARCHAR(20)) || ' ' || split_part(p_name, ' ', 2) || CAST(p_size % 2 + p_partkey % 50 AS VARCHAR(20)) || ' Inc.' ELSE p_brand || ' Works ' || CAST(p_size AS VARCHAR(20)) END AS name,
+  CASE p_partkey % 3 WHEN 0 THEN 'Individual' ELSE 'PAC' END AS type, CASE WHEN p_partkey % 2 = 0 THEN p_brand || ' Works, ' || CAST(p_size AS VARCHAR(20)) || ' LLC' ELSE p_type END AS employer,
+  CAST(p_retailprice AS DECIMAL(18,2)) AS total FROM part"""
+_N, _E = _C, WORDS_SQL.format(c="employer", drop=in_sql(text.ORG_STOP))
+_PEOPLE = "(SELECT donor_id, trim(regexp_replace(regexp_replace(lower(employer), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) AS e, string_split(lower(name), ' ')[-1] AS s FROM d WHERE type = 'Individual')"
+
+
+@query("jn35_related_donors", f"""WITH d AS ({DONORS}), p AS (SELECT donor_id, name, list_distinct({_N}) AS t, array_to_string({_E}, ' ') AS work FROM d WHERE type = 'Individual'),
+  o AS (SELECT donor_id, name, {_N} AS t, array_to_string({_N}, ' ') AS core FROM d WHERE type <> 'Individual'),
+  pairs AS (SELECT p.donor_id AS a, o.donor_id AS b, 'name in organisation' AS kind, p.name AS key FROM p JOIN o ON len(p.t) > 0 AND list_has_all(o.t, p.t)
+    UNION ALL SELECT p.donor_id, o.donor_id, 'employer is organisation', o.name FROM p JOIN o ON p.work <> '' AND p.work = o.core WHERE NOT (len(p.t) > 0 AND list_has_all(o.t, p.t))),
+  g AS ({_GROUPS.format(kind="shared employer", key="e", member="donor_id", rows=f"{_PEOPLE} WHERE length(e) >= 3")} UNION ALL {_GROUPS.format(kind="shared surname", key="s", member="donor_id", rows=f"{_PEOPLE} WHERE length(s) >= 4")}
+    UNION ALL SELECT kind, key || ' / ' || a || ' / ' || b, [a, b] FROM pairs),
+  r AS (SELECT kind, key, unnest(m) AS donor_id, len(m) AS n FROM g)
+  SELECT kind AS relationship, key AS label, r.donor_id, n, CAST(sum(total) OVER (PARTITION BY kind, key) AS DECIMAL(18,2)) AS dollars FROM r JOIN d ON r.donor_id = d.donor_id""")
+def jn35_related(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.related_donors(given(spark, sf_dir, DONORS))
+
+
 @query("jn33_keyword_candidates")
 def jn33(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = raw(spark, sf_dir, "benchmark").select("item_id", text.title_keywords(F.col("text")).alias("keywords"), F.array_distinct(F.split(text.norm(F.col("text")), " ")).alias("tokens"), F.lit(2024).alias("year"))
