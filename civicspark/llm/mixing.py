@@ -51,7 +51,8 @@ def subset_sum(lengths: np.ndarray, copies: np.ndarray, budget: int) -> np.ndarr
     usable = np.flatnonzero((copies > 0) & (lengths > 0))
     if budget <= 0 or not len(usable):
         return take
-    top = int(budget + lengths[usable].min())
+    # A sum beyond the budget matters only if it is nearer than nothing, and without any of its parts it is within.
+    top = budget + min(budget, int(lengths[usable].max()))
     first = np.full(top + 1, -1, dtype=np.int32)
     reached = np.zeros(top + 1, dtype=bool)
     reached[0] = True
@@ -81,7 +82,8 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int, fit_words: int =
     """How many documents of each length to take for a budget of words.
 
     An even share of every length first, then whole documents from the longest down while more than
-    fit_words is left, then the exact fit of what remains.
+    fit_words is left, then the exact fit of what remains. Few documents may miss the budget that way; where
+    it is at most fit_words, the fit without even shares is taken if it comes nearer.
     """
     total = int((lengths * counts).sum())
     if budget <= 0 or total == 0:
@@ -98,6 +100,11 @@ def fill(lengths: np.ndarray, counts: np.ndarray, budget: int, fit_words: int =
             left -= more * int(lengths[i])
     if left <= fit_words + int(lengths.max()):
         take += subset_sum(lengths, counts - take, left)
+    miss = abs(budget - int((take * lengths).sum()))
+    if miss and budget <= fit_words:
+        free = subset_sum(lengths, counts, budget)
+        if abs(budget - int((free * lengths).sum())) < miss:
+            return free
     return take
 
 
