@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "civicspark", master: str | None = None, **conf: object) -> SparkSession:
-    """A session in UTC with AQE on. The cp1252 readers need Java's own charsets."""
+    """A session in UTC with AQE on."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -17,7 +17,6 @@ def build_session(app: str = "civicspark", master: str | None = None, **conf: ob
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.legacy.javaCharsets": "true",
         "spark.ui.enabled": "false",
         "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "8g"),
     } | {k: str(v) for k, v in conf.items()}

@@ -10,10 +10,23 @@ from pyspark.sql.window import Window
 
 #: Bytes that cp1252 gives no character.
 UNMAPPED = "[\\u0081\\u008D\\u008F\\u0090\\u009D]"
+#: What the bytes 80 to 9F are as ISO-8859-1, and the characters of cp1252 that they stand for.
+_BYTES = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+_PLAIN, _MEANT = "".join(map(chr, _BYTES)), bytes(_BYTES).decode("cp1252")
 #: What begins a record: two fields of digits.
 START = r"^[0-9]+\t[0-9]+\t"
 
 
+def from_latin(text: Column) -> Column:
+    """Text of cp1252 bytes that was read as ISO-8859-1. Spark reads that one without an option of the session."""
+    return F.translate(text, _PLAIN, _MEANT)
+
+
+def to_latin(text: Column) -> Column:
+    """Text to be written as ISO-8859-1, so that the bytes are cp1252."""
+    return F.translate(text, _MEANT, _PLAIN)
+
+
 def scan_unmapped(spark: SparkSession, path: str) -> DataFrame:
     """file, n of the bytes that no character stands for. The scan is splittable: lines are read as bytes."""
     raw = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("v"))
@@ -24,16 +37,15 @@ def read_bulk_tsv(spark: SparkSession, path: str, schema: str | None = None) ->
     """A cp1252 table with a header. Refuses files with unmapped bytes."""
     if bad := scan_unmapped(spark, path).limit(3).collect():
         raise ValueError("bytes without a character: " + ", ".join(f"{r.n} in {r.file}" for r in bad))
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    reader = spark.read.option("sep", "\t").option("header", True).option("encoding", "windows-1252").option("quote", '"').option("escape", '"')
-    return (reader.schema(schema).option("mode", "FAILFAST") if schema else reader).csv(path)
+    reader = spark.read.option("sep", "\t").option("header", True).option("encoding", "ISO-8859-1").option("quote", '"').option("escape", '"')
+    table = (reader.schema(schema).option("mode", "FAILFAST") if schema else reader).csv(path)
+    return table.select(*[from_latin(F.col(f"`{c}`")).alias(c) if kind == "string" else F.col(f"`{c}`") for c, kind in table.dtypes])
 
 
 def physical_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, block, pos, value: lines in their order within a file block, decoded, without a carriage return."""
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     text = spark.read.option("lineSep", "\n").text(path)
-    value = F.regexp_replace(F.decode(F.col("value").cast("binary"), "windows-1252"), "\r$", "")
+    value = F.regexp_replace(from_latin(F.decode(F.col("value").cast("binary"), "ISO-8859-1")), "\r$", "")
     return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), value.alias("value"))
 
 

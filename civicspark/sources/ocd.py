@@ -12,6 +12,11 @@ CANDIDATES = {
     "personvote": {"vote_id": ["vote_event_id", "voteevent_id"], "voter_id": ["voter_id", "person_id"], "voter_name": ["voter_name", "name"], "option": ["option", "vote"]},
     "membership": {"person_id": ["person_id"], "post_id": ["post_id"], "role": ["role"], "start_date": ["start_date"], "end_date": ["end_date"]},
     "bill": {"bill_id": ["id", "bill_id"], "identifier": ["identifier"], "title": ["title"], "classification": ["classification"]},
+    "votecount": {"vote_id": ["vote_event_id", "voteevent_id"], "option": ["option"], "n": ["value", "count"]},
+    "person": {"person_id": ["id", "person_id"], "name": ["name"], "family_name": ["family_name", "last_name"], "given_name": ["given_name", "first_name"]},
+    "post": {"post_id": ["id", "post_id"], "label": ["label"], "role": ["role"], "organization_id": ["organization_id"]},
+    "organization": {"organization_id": ["id", "organization_id"], "name": ["name"], "classification": ["classification"]},
+    "legislativesession": {"session_id": ["id", "session_id"], "identifier": ["identifier"], "name": ["name"], "start_date": ["start_date"], "end_date": ["end_date"]},
 }
 
 
