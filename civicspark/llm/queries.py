@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, media, mixing, near_dedup, packing, quality, suffix_dedup, token_counts, warc
+from . import exact_dedup, html_text, line_rules, media, mixing, near_dedup, packing, quality, suffix_dedup, token_counts, warc
 from .common import table
 
 
@@ -51,7 +51,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_html_text, op4_warc, op5_packing, op6_token_counts, op7_suffix_dedup, op8_media, op9_near_dedup, op10_exact_dedup)}
+def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.line_rules(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_html_text, op4_warc, op5_packing, op6_token_counts, op7_suffix_dedup, op8_media, op9_near_dedup, op10_exact_dedup, op13_line_rules)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
@@ -61,4 +65,42 @@ ORACLE_SQL = {
         SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.norm) AS text_sha256
         FROM t JOIN g ON t.norm = g.norm
     """,
+    "op13_line_rules": r"""
+        WITH t AS (
+          SELECT doc_id, coalesce(source, '') || CASE WHEN source IS NULL THEN '' ELSE '=' END AS host, coalesce(text, '') AS text FROM documents
+        ), w AS (
+          SELECT doc_id, host, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, string_split(text, chr(10)) AS raw FROM t
+        ), windows AS (
+          SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w
+        ), twice AS (
+          SELECT doc_id, unnest(list(i)) AS i FROM (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS gram FROM windows) GROUP BY doc_id, gram HAVING count(*) > 1
+        ), repeats AS (
+          SELECT doc_id, sum(least(8, i - before)) AS n FROM (SELECT doc_id, i, lag(i, 1, -8) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM twice) GROUP BY doc_id
+        ), raw_lines AS (
+          SELECT doc_id, host, text, unnest(raw) AS line FROM w
+        ), lines AS (
+          SELECT doc_id, host, text, line,
+            trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09\x0B-\x0D]+', ' ', 'g')) AS norm
+          FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+        ), dups AS (
+          SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id
+        ), hosts AS (
+          SELECT host, count(DISTINCT text) AS docs FROM t GROUP BY host
+        ), frequent AS (
+          SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS n FROM lines GROUP BY host, norm) JOIN hosts USING (host)
+          WHERE n > 10 AND n * 100 > docs * 2
+        ), gone AS (
+          SELECT doc_id, sum(len(string_split(norm, ' '))) AS n FROM lines JOIN frequent USING (host, norm) GROUP BY doc_id
+        ), m AS (
+          SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+            CAST(length(regexp_replace(w.text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+            CAST(length(w.text) - length(regexp_replace(w.text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            CAST(coalesce(dups.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words,
+            CAST(coalesce(gone.n, 0) AS BIGINT) AS removed_words
+          FROM w LEFT JOIN dups USING (doc_id) LEFT JOIN repeats USING (doc_id) LEFT JOIN gone USING (doc_id)
+        )
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+          NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT 100 * removed_words > 50 * n_words AS kept
+        FROM m
+    """,
 }
