@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, line_rules, media, mixing, near_dedup, packing, quality, suffix_dedup, token_counts, warc
-from .common import table
+from . import exact_dedup, html_text, line_rules, media, mixing, near_dedup, packing, quality, runs, suffix_dedup, token_counts, warc
+from .common import WORD, table, text_or_empty
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,11 +51,39 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where one text in ten goes on with a block of its own words: with h the crc32 of the id, those
+    with h % 10 = 0; g = h // 10 says where the block begins and how long it is. A null id plants nothing."""
+    text, h = text_or_empty("text"), F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    rows = docs.select("doc_id", text.alias("text"), F.expr("crc32(cast(doc_id AS string)) div 10").alias("g"), words.alias("words"), F.size(words).alias("n"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.pmod("g", "n"))).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    planted = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", place(i))), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"))))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(told, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_html_text, op4_warc, op5_packing, op6_token_counts, op7_suffix_dedup, op8_media, op9_near_dedup, op10_exact_dedup, op13_line_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_html_text, op4_warc, op5_packing, op6_token_counts, op7_suffix_dedup, op8_media, op9_near_dedup, op10_exact_dedup, op11_word_runs, op13_line_rules)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
