@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from .numbering import numbered
 
 
 def parse_list(c: Column) -> Column:
@@ -49,9 +50,10 @@ def classify_edits(staged: DataFrame, live: DataFrame, snapshot: DataFrame, key:
 
 
 def mint_ids(rows: DataFrame, taken: DataFrame, id_col: str, prefix: str, order: str) -> DataFrame:
-    """rows with the next numbers of a namespace, in order. The requests are an editor's list: one task numbers them."""
+    """rows with the next numbers of a namespace, in order."""
     last = taken.filter(F.col(id_col).startswith(prefix)).agg(F.max(F.regexp_extract(id_col, "([0-9]+)$", 1).cast("long")).alias("m")).first()["m"] or 0
-    return rows.withColumn(id_col, F.concat(F.lit(prefix), (F.lit(last) + F.row_number().over(Window.orderBy(order))).cast("string")))
+    out = numbered(rows, "_next", [order]).withColumn(id_col, F.concat(F.lit(prefix), (F.lit(last) + F.col("_next")).cast("string")))
+    return out.drop("_next")
 
 
 def check_families(members: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql.window import Window
 
 from civicspark.functions.money import total
 
+from .numbering import numbered
+
 
 def candidate_figures(money: DataFrame, spending: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Total, self, own committee, third party, count; and money spent for and against. Rows without a window are refused.
@@ -106,7 +108,8 @@ def before_windows(money: DataFrame, earliest: DataFrame) -> DataFrame:
 
 def page_cap(rows: DataFrame, value: str, key: str, floor: float, page: int) -> DataFrame:
     """Rows ranked by value, as many as reach floor, and a page at least."""
-    # Ranks come from a global sort that takes only as many rows as can be wanted.
-    many = rows.filter(F.col(value) >= floor).count()
-    top = rows.orderBy(F.col(value).desc(), key).limit(max(many, page))
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.col(value).desc(), F.col(key))).cast("long"))
+    best = [F.col(value).desc(), F.col(key)]
+    reach = rows.filter(F.col(value) >= floor)
+    if reach.limit(page).count() < page:  # a page decides: so many rows at most
+        return rows.orderBy(*best).limit(page).withColumn("rank", F.row_number().over(Window.orderBy(*best)).cast("long"))
+    return numbered(reach, "rank", best)

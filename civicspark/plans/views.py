@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from civicspark.functions import money, text
 from civicspark.functions.money import total
-from civicspark.operators import calendar, entities, rollups, views
+from civicspark.operators import calendar, entities, numbering, rollups, views
 
 from .model import model, oracle, raw
 from .money import COUNTED, CYCLED, M, WINDOWED, counted, cycled, placed, placed_spending, tag_list
@@ -259,7 +259,8 @@ def so5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("so4_neutral_order", oracle("SELECT committee_id, row_number() OVER (ORDER BY lower(list_extract(string_split(name, '#'), -1)), name) AS place FROM committees"))
 def so4(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = model(spark, sf_dir, "committees").select("committee_id", F.replace("name", F.lit("#"), F.lit(" ")).alias("name"))
-    return m.withColumn("place", F.row_number().over(Window.orderBy(text.surname_key(F.col("name")), "name")).cast("long")).drop("name")
+    keyed = m.withColumn("surname", text.surname_key(F.col("name")))
+    return numbering.numbered(keyed, "place", ["surname", "name", "committee_id"]).select("committee_id", "place")
 
 
 @query("ar2_4_arrays", oracle("SELECT cluster_id, array_to_string(list_concat([mn], list_filter(l, lambda x: x <> mn)), ',') AS members FROM (SELECT cluster_id, min(donor_id) AS mn, list(donor_id ORDER BY donor_id DESC) AS l FROM donors WHERE cluster_id IS NOT NULL GROUP BY 1)"))
