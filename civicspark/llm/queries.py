@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, line_rules, media, mixing, near_dedup, packing, quality, runs, suffix_dedup, token_counts, warc
+from . import exact_dedup, html_text, line_rules, media, mixing, near_dedup, packing, quality, resampling, runs, suffix_dedup, token_counts, warc
 from .common import WORD, table, text_or_empty
 
 
@@ -79,11 +79,15 @@ def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_html_text, op4_warc, op5_packing, op6_token_counts, op7_suffix_dedup, op8_media, op9_near_dedup, op10_exact_dedup, op11_word_runs, op13_line_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_mixing, op3_html_text, op4_warc, op5_packing, op6_token_counts, op7_suffix_dedup, op8_media, op9_near_dedup, op10_exact_dedup, op11_word_runs, op12_importance, op13_line_rules)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
