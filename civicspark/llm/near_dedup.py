@@ -128,7 +128,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
-    """node, grams (the set as sorted 8-byte hashes) of the nodes in wanted (id, node)."""
+    """node, grams (the set as sorted 8-byte hashes) of the nodes in wanted (id, node): a row for each row of docs that
+    has one of their ids, so rows that repeat an id repeat its node."""
     ids = _hinted(wanted.select(F.col("id").alias("wanted")))
     rows = docs.select(text_or_empty(text_col).cast("binary").alias("text"), F.col(id_col).alias("id"))
     texts = rows.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
@@ -250,7 +251,7 @@ def _crossed(rooted: DataFrame) -> DataFrame:
 def _pairs(rooted: DataFrame, crossed: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b: nodes of different roots at one key of crossed that no bound refuses: those outside the key's
     largest tree against all others."""
-    open_ = rooted.join(crossed.select("key", "major"), "key").join(sets.select("node", "parity").dropDuplicates(["node"]), "node")
+    open_ = rooted.join(crossed.select("key", "major"), "key").join(sets.select("node", "parity"), "node")
     minor = open_.filter(F.col("root") != F.col("major")).select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"), F.col("parity").alias("ap"))
     others = open_.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"), F.col("parity").alias("bp"), "major")
     apart = (F.col("minor.key") == F.col("others.key")) & (F.col("ar") != F.col("br")) & ((F.col("br") == F.col("major")) | (F.col("a") < F.col("b")))
@@ -265,7 +266,7 @@ def rare_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     A set that is near enough to one of n shingles lacks n / 4 of them at most. So n / 4 + 1 of a set's
     shingles, whole classes from the rarest on, hold one of the other's; and of two such choices the one that
     stops earlier lies within the other's classes. Shingles of one node alone are counted and left out."""
-    whole = sets.join(_hinted(nodes.select("node")), "node", "left_semi").select("node", "grams").dropDuplicates(["node"])
+    whole = sets.join(_hinted(nodes.select("node")), "node", "left_semi").select("node", "grams")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,6 +327,9 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     buckets = materialise(keyed.join(shared, "key"), "near-buckets")
     wanted = materialise(buckets.groupBy("node").agg(F.first("id").alias("id"), F.sum("members").alias("met")), "near-wanted")
     sets = materialise(_sets(docs, id_col, text_col, wanted), "near-sets")
+    if not sets.groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():
+        # Rows that repeat an id, or texts of one id with equal sets: one set a node, or each link would be several.
+        sets = materialise(sets.dropDuplicates(["node"]), "near-sets")
 
     placed = materialise(buckets.select("key", "node", "n").join(_hinted(wanted.select("node", "met")), "node"), "near-placed")
     roots = forest_roots(_confirm(_hub_links(placed), sets).select(F.col("a").alias("node"), F.col("b").alias("root")))

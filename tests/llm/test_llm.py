@@ -640,6 +640,23 @@ def test_near_dedup_awkward(awkward, empty):
     assert near_dedup.drop_near_duplicates(awkward).columns == awkward.columns
 
 
+@pytest.mark.parametrize(("k", "ids"), [(1, (1, 2)), (5, (1, 2)), (200, (1, 2)), (5, (None, None)), (200, (None, 2)), (40, (7, 7))])
+def test_near_dedup_of_repeated_rows(spark, k, ids):
+    """k rows each of two near texts and one of another give 2k + 1 results, whatever their ids."""
+    base = [f"w{i}" for i in range(100)]
+    one, two = " ".join(base), " ".join([*base[:-1], "x"])
+    rows = [(ids[0], one)] * k + [(ids[1], two)] * k + [(9, "alone here with some other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    least = min((i for i in ids if i is not None), default=None)
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_components(docs).collect())
+    want = collections.Counter()
+    for doc in ids:
+        want[doc, 96, least, doc == least] += k
+    assert got == want + collections.Counter([(9, 2, 9, True)])
+    left = near_dedup.drop_near_duplicates(docs).collect()
+    assert len(left) == 2 and (9, "alone here with some other words") in {tuple(r) for r in left}
+
+
 def test_near_dedup_links_rows_without_ids(spark):
     base = [f"w{i}" for i in range(100)]
     rows = [(None, " ".join(base)), (7, " ".join([*base[:-1], "x"])), (None, " ".join([*base[:-2], "y", "z"])), (8, "alone here with some other words")]
