@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A quote opens a value only right after "="; anywhere else it is a character like others.
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>|<[!?][^>]*>", re.S)
+_TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>|<[!?][^>]*>", re.S)
 #: Elements whose inside is text for the parser: without an end tag they go to the page's end.
 _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in ("script", "style", "title", "textarea", "iframe")}
 #: Elements that are never content; without an end tag of their own they end at the next block tag.
@@ -28,39 +28,53 @@ _ASIDE = frozenset("noscript template svg select button".split())
 _BLOCKS = frozenset("html body div p article section main nav header footer aside ul ol li dl dt dd table thead tbody tfoot tr td th caption h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption form fieldset address details summary dialog center hr menu".split())
 _NAME = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-#: Words in names that speak against or for content.
-_AGAINST = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|breadcrumbs?|footer|header|masthead|topbar|sidebar|side|aside|widget|comments?|respond|replies|disqus|discussion|share|sharing|social|related|recommend\w*|more|newsletter|subscribe|signup|login|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|search|pagination|pager|tags?|copyright|legal|disclaimer|toolbar|skip|print|contentinfo|complementary|navigation|meta|byline)(?:$|[\s_-])", re.I)
-_FOR = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|body|text|main|blog|prose|page)(?:$|[\s_-])", re.I)
-#: First words of blocks that stand beside an article.
+#: Words that names of elements are made of and that the model counts, each on its own. Fixed values.
+_NAME_WORDS = frozenset(
+    "ad ads advert advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs footer header masthead topbar sidebar side aside widget"
+    " comment comments respond replies reply disqus discussion share sharing social related recommended newsletter subscribe signup login cookie cookies consent gdpr notice alert"
+    " popup modal overlay search pagination pager tag tags copyright legal disclaimer toolbar skip print contentinfo complementary meta byline"
+    " article content post entry story body text main blog prose page news copy hentry more".split()
+)
+#: Names that say what an article is about or how it is set, and not which part of a page it is.
+_ABOUT = re.compile(r"(?:tag|category|type|status|format|author|post|has|no|with|without|is)[-_](?!cloud$|list$|links?$|box$|bio$|tags?$|meta$|nav\w*$|comments?$|footer$|header$|content$|body$|text$|share$|related$)\S*")
+_PARTS = re.compile(r"[A-Z]?[a-z]+")
+
+#: Headings of blocks that stand beside an article; a sentence is none.
 _OPENS = re.compile(
     r"\W*(?:\d+\s+)?(?:(?:reader|user)s?'?\s+)?(?:comments?|replies|responses|leave a (?:comment|reply)|join the (?:discussion|conversation)|related|more (?:from|on|stories)|you (?:may|might)(?: also)? like"
-    r"|recommended|most (?:read|popular)|trending|share(?: this)?|follow us|subscribe|sign up|newsletter|advertisement|sponsored|kommentare?|commentaires?|comentarios?)\b.{0,30}"
+    r"|recommended|most (?:read|popular)|trending|share(?: this)?|follow us|subscribe|sign up|newsletter|advertisement|sponsored|kommentare?|commentaires?|comentarios?)\b.{0,30}(?<![.!?])"
     r"|.{1,40}\b(?:says|wrote|replied|commented)\W*(?:\d.*)?",
     re.I | re.S,
 )
 #: Kinds of elements that stand in an article for different reasons.
 _GROUPS = {t: g for g, ts in {"frame": "nav aside footer header form menu fieldset", "list": "ul ol dl table", "text": "p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption", "item": "li tr td th dt dd thead tbody tfoot caption", "story": "article main"}.items() for t in ts.split()}
+GROUPS = ("frame", "list", "text", "item", "story", "box")
 _CLOSES_P = _BLOCKS - {"html", "body"}
+#: Marginal from which a run may be content where no run of a page has 0.5.
+DOUBT = 0.03
 
 
 class Node:
-    __slots__ = ("parent", "tag", "hint", "parts", "linked", "size", "runs", "gold", "opens")
+    __slots__ = ("parent", "tag", "names", "hidden", "parts", "linked", "size", "runs", "gold", "opens", "above")
 
-    def __init__(self, parent: int, tag: str, hint: str, gold: int | None):
-        self.parent, self.tag, self.hint, self.gold = parent, tag, hint, gold
+    def __init__(self, parent: int, tag: str, names: tuple[str, ...] | None, hidden: bool, gold: int | None):
+        self.parent, self.tag, self.names, self.hidden, self.gold = parent, tag, names, hidden, gold
         self.parts: list[str] = []
         self.linked = self.size = self.runs = 0  # characters below, those of them in links, and runs
         self.opens = ""  # what the first run below speaks for
+        self.above = ""  # the group of the parent
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
-def _hint(attributes: str) -> str:
+def _names(attributes: str) -> tuple[str, ...] | None:
+    """The words that the names of an element are made of, of those that the model knows; None if it has no name."""
     names = " ".join(a or b or c for a, b, c in _NAME.findall(attributes)) if attributes else ""
-    if not names:
-        return "none"
-    return "against" if _AGAINST.search(names) else "for" if _FOR.search(names) else "other"
+    if not names.strip():
+        return None
+    words = {w.lower() for name in names.split() if not _ABOUT.fullmatch(name.lower()) for w in _PARTS.findall(name)}
+    return tuple(sorted(words & _NAME_WORDS))
 
 
 def _closed(page: str) -> dict[int, int]:
@@ -100,7 +114,7 @@ def _closed(page: str) -> dict[int, int]:
 
 def parse(page: str) -> list[Node]:
     """Nodes in page order, each after its parent; text runs have the tag "#" and their parent's tag."""
-    nodes = [Node(-1, "body", "none", None)]
+    nodes = [Node(-1, "body", None, False, None)]
     stack, at, run, link, skip_to, ends, unclosed = [0], 0, -1, False, 0, None, False
 
     def add_text(chunk: str) -> None:
@@ -109,7 +123,7 @@ def parse(page: str) -> list[Node]:
             if not chunk.strip():
                 return
             owner = nodes[stack[-1]]
-            nodes.append(Node(stack[-1], "#" + owner.tag, owner.hint, owner.gold))
+            nodes.append(Node(stack[-1], "#" + owner.tag, None, owner.hidden, owner.gold))
             run = len(nodes) - 1
         chunk = entities.unescape(chunk) if "&" in chunk else chunk
         nodes[run].parts.append(chunk)
@@ -155,11 +169,10 @@ def parse(page: str) -> list[Node]:
                 stack.pop()
             if tag == "hr":
                 continue
-            hidden = bool(attributes) and _HIDDEN.search(attributes)
             above = nodes[stack[-1]]
+            hidden = above.hidden or bool(attributes and _HIDDEN.search(attributes))
             gold = re.search(r'data-gold="(\d)"', attributes) if "data-gold" in attributes else None
-            kind = "hidden" if hidden or above.hint == "hidden" else _hint(attributes)
-            nodes.append(Node(stack[-1], tag, kind, int(gold[1]) if gold else above.gold))
+            nodes.append(Node(stack[-1], tag, _names(attributes), hidden, int(gold[1]) if gold else above.gold))
             stack.append(len(nodes) - 1)
         elif tag == "a":
             link = True
@@ -171,7 +184,12 @@ def parse(page: str) -> list[Node]:
         if n.tag[0] == "#":
             speaks, above = "aside" if n.size < 60 and _OPENS.fullmatch(n.text()) else "none", n.parent
             while above > 0 and not nodes[above].opens:
-                nodes[above].opens, above = speaks, nodes[above].parent
+                nodes[above].opens = speaks
+                if speaks == "aside" and _group(nodes[above]) not in ("text", "item"):
+                    break  # a heading speaks for the block that it opens, and not for what that block opens
+                above = nodes[above].parent
+    for n in nodes[1:]:
+        n.above = _group(nodes[n.parent]) if n.parent else "page"
     for n in reversed(nodes[1:]):
         nodes[n.parent].size += n.size
         nodes[n.parent].linked += n.linked
@@ -195,52 +213,73 @@ def features(node: Node) -> list[tuple[str, str]]:
     if _group(node) in ("text", "item"):
         return [("opens", node.opens)]
     size = "none" if node.size == 0 else "short" if node.size < 80 else "few" if node.runs < 4 else "some" if node.runs < 10 else "many"
-    return [("look", f"{node.hint} {links} {node.opens} {size}")]
+    return [("look", f"{links} {node.opens} {size}")]
 
 
 class TreeModel:
-    """Counted potentials: of a label at the root, of a child's label given its parent's (by the kind of the
-    child: its name's, its tag's, and whether it is a run), and of each feature's value given label and tag."""
+    """Counted potentials: of a label at the root, of a child's label given its parent's (by the child's kind: a run,
+    an element with a name or without, and its tag's group; and by the parent's group), of each feature's value given label and kind, and of each
+    word of an element's names given label and group."""
 
     def __init__(self, pages: list[list[Node]]):
-        self.root, edges, values = [1.0, 1.0], Counter(), Counter()
+        self.root, edges, values, named = [1.0, 1.0], Counter(), Counter(), Counter()
         for nodes in pages:
             gold = [n.gold for n in nodes]
             self.root[gold[0]] += 1
             for n in nodes:
+                group = _group(n)
                 if n.parent >= 0:
-                    for kind in (self._kind(n), self._kind(n)[:2]):
+                    for kind in (self._joint(n), self._kind(n)):
                         edges[kind, gold[n.parent], n.gold] += 1
                 for name, value in features(n):
-                    values[n.tag[0] == "#", _group(n), name, value, n.gold] += 1
+                    values[self._kind(n), name, value, n.gold] += 1
+                if n.names is not None:
+                    for g in (group, ""):
+                        named[g, "", n.gold] += 1
+                        named.update((g, w, n.gold) for w in n.names)
         total = Counter()
-        for (run, group, name, value, y), c in values.items():
-            total[run, group, name, value.split(" ")[0] if name == "look" else "", y] += c
-        self._values, self._total = values, total
+        for (kind, name, _, y), c in values.items():
+            total[kind, name, y] += c
+        self._values, self._total, self._named = values, total, named
         self._edge = {}
-        for run, hint in ((r, h) for r in (False, True) for h in ("none", "other", "for", "against", "hidden")):
-            # A hidden element is never content. Kinds seen seldom lean on what all of the name's have.
-            pooled = [[(edges[(run, hint), a, b] + 0.5) / (edges[(run, hint), a, 0] + edges[(run, hint), a, 1] + 1.0) for b in (0, 1)] for a in (0, 1)]
-            for group in ("frame", "list", "text", "item", "story", "box"):
-                kind = (run, hint, group)
-                counted = [[(edges[kind, a, b] + 2 * pooled[a][b]) / (edges[kind, a, 0] + edges[kind, a, 1] + 2.0) for b in (0, 1)] for a in (0, 1)]
-                self._edge[kind] = [[0.999, 0.001], [0.999, 0.001]] if hint == "hidden" else counted
+        for way in ("run", "named", "plain", "hidden"):
+            for group in GROUPS:
+                # A hidden element is never content. Kinds seen seldom below a parent lean on what they have below all.
+                kind = (way, group)
+                pooled = [[(edges[kind, a, b] + 0.5) / (edges[kind, a, 0] + edges[kind, a, 1] + 1.0) for b in (0, 1)] for a in (0, 1)]
+                for above in ("page", *GROUPS):
+                    joint = (way, group, above)
+                    counted = [[(edges[joint, a, b] + 2 * pooled[a][b]) / (edges[joint, a, 0] + edges[joint, a, 1] + 2.0) for b in (0, 1)] for a in (0, 1)]
+                    self._edge[joint] = [[0.999, 0.001], [0.999, 0.001]] if way == "hidden" else counted
         self._seen: dict = {}
 
     @staticmethod
-    def _kind(n: Node) -> tuple[bool, str, str]:
-        return n.tag[0] == "#", n.hint, _group(n)
+    def _kind(n: Node) -> tuple[str, str]:
+        return "hidden" if n.hidden else "run" if n.tag[0] == "#" else "plain" if n.names is None else "named", _group(n)
+
+    def _joint(self, n: Node) -> tuple[str, str, str]:
+        """The kind of the bond to the parent: the node's own, and the parent's group."""
+        return *self._kind(n), n.above
+
+    def _word(self, group: str, word: str, y: int) -> float:
+        """How often an element of the group with this label has the word in its names; seldom seen groups lean on all."""
+        every = (self._named["", word, y] + 0.5) / (self._named["", "", y] + 20.0)
+        return (self._named[group, word, y] + 4 * every) / (self._named[group, "", y] + 4.0)
 
     def _local(self, n: Node) -> tuple[float, float]:
         # The runs of a text are much alike, so what each shows counts by half.
-        run, group, out = n.tag[0] == "#", _group(n), [1.0, 1.0]
-        key = (run, group, *features(n))
+        kind, out = self._kind(n), [1.0, 1.0]
+        key = (kind, n.names, *features(n))
         if (found := self._seen.get(key)) is None:
             for name, value in key[2:]:
+                # A kind that has one label only says nothing by its values for the other.
+                either = (self._values[kind, name, value, 0] + self._values[kind, name, value, 1] + 1.0) / (self._total[kind, name, 0] + self._total[kind, name, 1] + 8.0)
+                for y in (0, 1):
+                    out[y] *= (self._values[kind, name, value, y] + 8 * either) / (self._total[kind, name, y] + 8.0)
+            for word in n.names or ():
                 for y in (0, 1):
-                    of = value.split(" ")[0] if name == "look" else ""  # a look is one of those of its hint
-                    out[y] *= (self._values[run, group, name, value, y] + 1.0) / (self._total[run, group, name, of, y] + 8.0)
-            found = self._seen[key] = (out[0] ** 0.5, out[1] ** 0.5) if run else (out[0], out[1])
+                    out[y] *= self._word(kind[1], word, y)
+            found = self._seen[key] = (out[0] ** 0.5, out[1] ** 0.5) if n.tag[0] == "#" else (out[0], out[1])
         return found
 
     def marginals(self, nodes: list[Node]) -> list[float]:
@@ -249,7 +288,7 @@ class TreeModel:
         up = [list(self._local(x)) for x in nodes]
         sent: list[tuple[float, float]] = [(1.0, 1.0)] * n
         for i in range(n - 1, 0, -1):
-            u, e = up[i], self._edge[self._kind(nodes[i])]
+            u, e = up[i], self._edge[self._joint(nodes[i])]
             m0, m1 = e[0][0] * u[0] + e[0][1] * u[1], e[1][0] * u[0] + e[1][1] * u[1]
             scale = m0 + m1
             sent[i] = (m0 / scale, m1 / scale)
@@ -264,7 +303,7 @@ class TreeModel:
             if i == 0:
                 d0, d1 = self.root
             else:
-                b, s, e = belief[x.parent], sent[i], self._edge[self._kind(x)]
+                b, s, e = belief[x.parent], sent[i], self._edge[self._joint(x)]
                 q0, q1 = b[0] / s[0], b[1] / s[1]
                 d0, d1 = q0 * e[0][0] + q1 * e[1][0], q0 * e[0][1] + q1 * e[1][1]
             b0, b1 = d0 * up[i][0], d1 * up[i][1]
@@ -273,6 +312,24 @@ class TreeModel:
         return out
 
 
+#: Names of the parts of drawn pages, as pages use them. Fixed values.
+MAIN_NAMES = (
+    "post|post|content|entry-content|story-body|article|article-body|main|main-content|page-content|text|body-text|prose|blog-post|news|copy|post hentry|post meta|post tags|post-1 post tag-politics|post category-notice"
+    "|tag-politics|category-news|post sidebar|legal-text|notice-text|print|print article|more-text|related-story|share-story|comment-article|x1|c7|lead|story alert|news sponsored|text legal|post comments-open|content side|page header-text"
+)
+PART_NAMES = "more-text|legal-text|notice-text|text|body|content|part|more|print|related-work|story-more|side-text|post-body|entry-text|share-text|section-2|copy|news-text|promo-text|x9"
+NAV_NAMES = "nav|navbar|main-nav|navigation|site-navigation|menu|main-menu|page-menu|topbar|toolbar|skip|skip-links|breadcrumb|breadcrumbs|bar|pagination|pager|post-navigation|search|login|signup"
+HEADER_NAMES = "|header|site-header|page-header|masthead|banner|site|main-header|blog-header"
+AD_NAMES = "ad|ads|ads banner|advert|advertisement|ad-banner|promo|sponsor|sponsored|sponsored-content|content-ad|text-ad|post-ad|sponsored-post|promo-box"
+NOTICE_NAMES = "cookie-notice|cookies|notice|alert|alert-text|consent|consent-banner|gdpr|popup|modal|overlay|notice-body|cookie-text|page-alert"
+FOOTER_NAMES = "footer|site-footer|page-footer|footer-content|copyright|legal|legal copyright|disclaimer|contentinfo|end|footer-text|main-footer"
+SIDE_NAMES = "sidebar|side|aside|widget|widget-text|related|related-posts|related-content|recommended|more|more-stories|newsletter|subscribe|share|sharing|share-post|social|social-links|tags|post-tags|tag-cloud|complementary|sidebar-content|page-sidebar|newsletter-text"
+META_NAMES = "byline|byline meta|meta|post-meta|entry-meta|tags|entry-tags|print|share|story-share"
+COMMENT_NAMES = "comments|comments|comment-list|comments-area|reader-comments|disqus_thread|responses comments|respond|replies|discussion|post-comments|comment-body|comment-text|reply-list"
+#: Headings that stand beside an article, and now and then within one. Fixed values.
+BESIDE = ["Comments", "Related work", "Newsletter", "More on this", "Share", "Related", "Responses", "Advertisement", "Recommended reading"]
+
+
 def labelled_page(draw: random.Random) -> str:
     """A page whose parts carry their labels: layouts of common kinds, drawn from a rule."""
 
@@ -282,6 +339,10 @@ def labelled_page(draw: random.Random) -> str:
     def named() -> str:
         return draw.choice(["", "", "", "", f' class="{draw.choice(["lead", "x1", "intro", "big", "row", "t-block"])}"', f' id="c{draw.randint(1, 99)}"'])
 
+    def any_name(names: str) -> str:
+        found = draw.choice(names.split("|"))
+        return f'{found} {draw.choice(["x1", "row", "js-" + words(1, 1), "col-8"])}' if found and draw.random() < 0.15 else found
+
     def title(low: int, high: int) -> str:
         return words(low, high) + draw.choice(["", "", "", ".", "?", "!"])
 
@@ -291,16 +352,19 @@ def labelled_page(draw: random.Random) -> str:
     def links(n: int) -> str:
         return "".join(f"<li><a href='#'>{words(1, 3)}</a></li>" for _ in range(n))
 
-    def paragraphs(n: int) -> str:
+    def paragraphs(n: int, terse: bool = False) -> str:
         made = []
         for _ in range(n):
             body = " ".join(sentence() for _ in range(draw.choice([1, 1, 2, 4, 8])))
             kind = draw.random()
-            if kind < 0.72:
+            if terse:  # lines rather than sentences
+                body = title(1, 5)
+                made.append(draw.choice([f"<p>{body}</p>", f"<p>{body}<br>{words(1, 3)}</p>", f"<div>{body}</div>", f"<pre>{body}</pre>", f"<h3>{body}</h3>", f"<p>{sentence(1, 4)}</p>"]))
+            elif kind < 0.72:
                 made.append(f"<p{named()}>{body if draw.random() < 0.8 else body + ' <a href=#>' + words(1, 3) + '</a> ' + sentence()}</p>")
             elif kind < 0.8:
                 level = draw.randint(2, 4)
-                made.append(f"<h{level}{named()}>{title(1, 8)}</h{level}>")
+                made.append(f"<h{level}{named()}>{title(1, 8) if draw.random() < 0.85 else draw.choice(BESIDE)}</h{level}>")
             elif kind < 0.88:
                 item = draw.choice([lambda: words(1, 2), lambda: words(2, 12), sentence, lambda: f"<a href='#'>{words(1, 6)}</a>{draw.choice(['', ' ' + sentence()])}"])
                 kept = draw.choice(["ul", "ul", "ol"])
@@ -316,7 +380,10 @@ def labelled_page(draw: random.Random) -> str:
             else:
                 made.append(f"<figure><figcaption>{sentence()}</figcaption></figure>")
         at = draw.randint(0, len(made))
-        return "".join([*made[:at], f"<div{named()}>", *made[at:], "</div>"] if draw.random() < 0.25 and at < len(made) else made)
+        if draw.random() < 0.3 and at < len(made):  # a part of its own, whatever its name
+            tag, name = draw.choice(["div", "section"]), draw.choice([named(), f' class="{any_name(PART_NAMES)}"'])
+            return "".join([*made[:at], f"<{tag}{name}>", *made[at:], f"</{tag}>"])
+        return "".join(made)
 
     def off(tag: str, name: str, inside: str) -> str:
         shown = f' {draw.choice(["class", "id"])}="{name}"' if name else ""
@@ -332,35 +399,39 @@ def labelled_page(draw: random.Random) -> str:
             return off("div", draw.choice(["", "b7", "comments", "zone"]), said)
         headed = draw.choice([words(1, 2), "Comments", f"{draw.randint(1, 99)} comments", "Reader comments", "Responses", "Leave a comment"])
         body = f"<h3>{headed}</h3>" + "".join(one() for _ in range(draw.randint(1, 6)))
-        known = draw.choice(["comments", "comment-list", "reader-comments", "disqus_thread", "responses comments"])
+        known = any_name(COMMENT_NAMES)
         return off(draw.choice(["section", "div", "ol", "div"]), known if headed[0].islower() or draw.random() < 0.5 else draw.choice(["", "b7", "lower", "zone"]), body)
 
     before = [
-        off("nav", draw.choice(["", "nav", "main-menu", "bar"]), f"<ul>{links(draw.randint(2, 9))}</ul>"),
-        off("header", draw.choice(["", "site-header", "site"]), draw.choice([text_off(), f"<h1>{words(1, 3)}</h1><a href='#'>{words(1, 2)}</a>", f"<a href='#'>{words(1, 2)}</a>"])),
-        off("div", draw.choice(["ad", "ads banner", "advert", "promo"]), text_off()),
-        off("div", draw.choice(["cookie-notice", "notice", "alert", "consent-banner"]), text_off()),
-        off("form", draw.choice(["", "search", "f1"]), f"<p>{words(1, 4)}</p>"),
+        off("nav", draw.choice(["", any_name(NAV_NAMES)]), f"<ul>{links(draw.randint(2, 9))}</ul>"),
+        off("div", any_name(NAV_NAMES), draw.choice([f"<ul>{links(draw.randint(2, 9))}</ul>", f"<a href='#'>{words(1, 2)}</a> <a href='#'>{words(1, 2)}</a>"])),
+        off(draw.choice(["header", "header", "div"]), any_name(HEADER_NAMES), draw.choice([text_off(), f"<h1>{words(1, 3)}</h1><a href='#'>{words(1, 2)}</a>", f"<a href='#'>{words(1, 2)}</a>"])),
+        off("div", any_name(AD_NAMES), text_off()),
+        off(draw.choice(["div", "section"]), any_name(NOTICE_NAMES), text_off()),
+        off("form", draw.choice(["", "search", "f1", "login"]), f"<p>{words(1, 4)}</p>"),
         off("ul", draw.choice(["breadcrumb", "menu", ""]), links(3)),
     ]
     after = [
-        off("footer", draw.choice(["", "footer", "site-footer", "end"]), draw.choice([text_off(), f"&copy; {words(1, 4)} &middot; {sentence()}", f"<ul>{links(4)}</ul>"])),
-        off("aside", draw.choice(["", "sidebar", "col2"]), draw.choice([f"<h3>{words(1, 2)}</h3><ul>{links(5)}</ul>", text_off()])),
-        off("div", draw.choice(["sidebar", "widget", "related", "newsletter", "share", "tags", "social-links"]), draw.choice([f"<ul>{links(4)}</ul>", text_off()])),
+        off("footer", draw.choice(["", any_name(FOOTER_NAMES)]), draw.choice([text_off(), f"&copy; {words(1, 4)} &middot; {sentence()}", f"<ul>{links(4)}</ul>"])),
+        off("div", any_name(FOOTER_NAMES), draw.choice([text_off(), f"&copy; {words(1, 4)} &middot; {sentence()}", f"<ul>{links(4)}</ul>"])),
+        off("aside", draw.choice(["", "col2", any_name(SIDE_NAMES)]), draw.choice([f"<h3>{words(1, 2)}</h3><ul>{links(5)}</ul>", text_off()])),
+        off(draw.choice(["div", "div", "section"]), any_name(SIDE_NAMES), draw.choice([f"<ul>{links(4)}</ul>", text_off()])),
         comments(),
         off("form", draw.choice(["", "newsletter", "f2"]), f"<p>{sentence()}</p>"),
         off("div", "", f"<ul>{links(6)}</ul>"),
-        off("div", draw.choice(["copyright", "legal"]), text_off()),
         off(draw.choice(["div", "section"]), draw.choice(["", "zone"]), f"<h3>{draw.choice(['Related', 'Most read', 'More stories', 'Newsletter'])}</h3>{draw.choice([f'<ul>{links(4)}</ul>', text_off()])}"),
     ]
-    head = f"<h1{named()}>{title(1, 12)}</h1>" if draw.random() < 0.8 else ""
-    inside = [paragraphs(draw.choice([1, 2, 4, 8, 14]))]
-    for extra in draw.sample([off("div", "ad", text_off()), off("div", "share", f"<ul>{links(3)}</ul>"), off("aside", draw.choice(["", "related"]), text_off()), comments(), off("nav", "", f"<ul>{links(3)}</ul>"), off("div", "byline meta", words(1, 5)), off("footer", "", text_off())], draw.choice([0, 0, 1, 2])):
+    terse = draw.random() < 0.15
+    head = f"<h1{named()}>{title(1, 12) if draw.random() < 0.95 else draw.choice(BESIDE)}</h1>" if draw.random() < 0.8 else ""
+    inside = [paragraphs(draw.choice([1, 2, 4, 8, 14]), terse)]
+    for extra in draw.sample([off("div", any_name(AD_NAMES), text_off()), off("div", any_name(SIDE_NAMES), f"<ul>{links(3)}</ul>"), off("aside", draw.choice(["", "related"]), text_off()), comments(), off("nav", "", f"<ul>{links(3)}</ul>"), off("div", any_name(META_NAMES), words(1, 5)), off("footer", "", text_off())], draw.choice([0, 0, 1, 2])):
         inside.insert(draw.randint(0, 1), extra)
-        inside.append(paragraphs(draw.choice([0, 0, 1, 3])))
-    tag, name = draw.choice([("article", ""), ("article", ""), ("article", ' class="post"'), ("main", ""), ("div", ' id="content"'), ("div", ' class="entry-content"'), ("div", ' class="story-body"'), ("section", ""), ("div", ""), ("td", "")])
+        inside.append(paragraphs(draw.choice([0, 0, 1, 3]), terse))
+    tag = draw.choice(["article", "article", "article", "main", "div", "div", "div", "section", "td"])
+    shown = any_name(MAIN_NAMES) if draw.random() < (0.8 if tag == "div" else 0.5) else ""
+    name = f' {draw.choice(["class", "class", "id"])}="{shown}"' if shown else ""
     main = f'<{tag}{name} data-gold="1">{head}{"".join(inside)}</{tag}>'
-    for wrap in draw.sample(["div", "main", "section", 'div class="page"', 'div id="wrapper"'], draw.choice([0, 0, 1, 2])):
+    for wrap in draw.sample(["div", "main", "section", 'div class="page"', 'div id="wrapper"', 'div class="content has-sidebar"', 'body class="page no-comments"'], draw.choice([0, 0, 1, 2])):
         main = f'<{wrap} data-gold="1">{main}</{wrap.split()[0]}>'
     pick = lambda parts: "".join(draw.sample(parts, draw.randint(0, 4)))
     return f"{pick(before)}{main}{pick(after)}"
@@ -377,17 +448,24 @@ def train(pages: list[str]) -> TreeModel:
 
 @lru_cache(maxsize=1)
 def default_model() -> TreeModel:
-    """From 500 labelled pages drawn with a fixed seed; fitted once, on the driver."""
+    """From 1200 labelled pages drawn with a fixed seed; fitted once, on the driver."""
     draw = random.Random(11)
-    return train([labelled_page(draw) for _ in range(500)])
+    return train([labelled_page(draw) for _ in range(1200)])
+
+
+def chosen(nodes: list[Node], model: TreeModel) -> list[Node]:
+    """The runs that are content: those with a marginal of 0.5 or more. A page where no run has that, and some are in
+    doubt all the same, has those from DOUBT on as its text rather than none, but nothing of menus, forms and the like."""
+    marginals, framed = model.marginals(nodes), [False] * len(nodes)
+    for i, n in enumerate(nodes):
+        framed[i] = _group(n) in ("frame", "list") or n.parent >= 0 and framed[n.parent]
+    runs = [(n, p, f) for n, p, f in zip(nodes, marginals, framed, strict=True) if n.tag[0] == "#"]
+    return [n for n, p, _ in runs if p >= 0.5] or [n for n, p, f in runs if p >= DOUBT and not f]
 
 
 def main_text(page: str, model: TreeModel) -> str:
     """The runs that are content, each with its white space as single spaces, joined by line ends."""
-    if not page:
-        return ""
-    nodes = parse(page)
-    return "\n".join(t for x, p in zip(nodes, model.marginals(nodes), strict=True) if x.tag[0] == "#" and p >= 0.5 and (t := x.text()))
+    return "\n".join(t for x in chosen(parse(page), model) if (t := x.text())) if page else ""
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
