@@ -147,13 +147,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _share(most: int) -> int:
+    """Passages that one document may put into the fit: a hundredth of all."""
+    return max(1, most // 100)
+
+
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int, most: int) -> tuple[DataFrame, DataFrame]:
-    """id, label of the labelled documents to learn from; and id, text of docs' rows that are short enough."""
+    """id, label of the labelled documents to learn from; and id, text of docs' rows."""
     seen = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("id is not null and label is not null").filter(~held_out(F.col("id")))
     chosen = seen.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("text"))
-    passages = F.greatest(F.lit(1), F.ceil(F.length("text") / PASSAGE))
-    texts = texts.filter(passages * 100 <= most)
+    passages = F.least(F.lit(_share(most)), F.greatest(F.lit(1), F.ceil(F.length("text") / PASSAGE)))
     # At most sample rows: a document's passages are those of all rows with its id.
     sizes = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.sum(passages).alias("p"))
     upto = Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
@@ -163,13 +167,19 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, most: int = SAMPLE_PASSAGES
 ) -> Model:
-    """Learns from at most sample labelled documents that aren't held out, whole ones with at most `most`
-    passages in all; these passages go to the driver."""
+    """Learns from at most sample labelled documents that aren't held out, with at most `most` passages in all; these
+    go to the driver. Of a document with over a hundredth of them so many are taken, at even distances over the whole
+    text, each with the figures of the whole text. A repeated id counts as often as it occurs; no labels, or one only,
+    give their share as the score."""
     chosen, texts = _sample(docs, labels, id_col, text_col, label_col, sample, most)
+    share = _share(most)
+
+    def spread(coded: np.ndarray) -> np.ndarray:
+        return coded if len(coded) <= share else coded[np.linspace(0, len(coded) - 1, share).astype(int)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            coded = [encode(t.as_py()).astype(np.float16).tobytes() for t in batch.column("text")]
+            coded = [spread(encode(t.as_py())).astype(np.float16).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(coded, pa.binary())], ["id", "label", "x"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -210,7 +220,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = ACCEPT) -> DataFrame:
-    """docs without the rows that classify() rejects; columns stay as they are."""
+    """docs without the rows that classify() rejects; columns stay as they are.
+
+    A null text is judged as an empty one, repeated rows alike, rows without an id as any other; without labels all
+    rows stay; an empty table gives no rows."""
     model = fit(docs, labels, id_col, text_col)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return row.withColumn("score", score(model, F.col(f"row.`{text_col}`"))).filter(F.col("score") >= accept).select("row.*")

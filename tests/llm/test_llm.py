@@ -94,20 +94,29 @@ def test_quality_awkward(spark, awkward, empty):
 
 
 def test_quality_fit_is_bounded_in_passages(spark):
-    """Documents of 1 MB are scored but not learned from, and the passages of the rest stay within the bound."""
+    """Documents of 1 MB are learned from by passages over all of their text, and all passages stay within the bound."""
     texts = {i: ("word " * 200_000) if i % 3 == 0 else ("Plain text, a sentence. " * 40 if i % 2 else "$$ 4711 ||| " * 40) for i in range(24)}
     docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
-    short = {i for i in texts if i % 3 and zlib.crc32(str(i).encode()) % 5}
-    for most, expected in ((24_000, len(short)), (100, len(short)), (7, 0)):
+    seen = {i for i in texts if zlib.crc32(str(i).encode()) % 5}
+    for most, expected in ((24_000, len(seen)), (100, len(seen)), (7, 7)):
         chosen, _ = quality._sample(docs, labels, "doc_id", "text", "quality", 6_000, most)
-        assert chosen.count() == expected
-    chosen, _ = quality._sample(docs, labels, "doc_id", "text", "quality", 5, 24_000)
-    assert {r.id for r in chosen.collect()} <= short
+        assert chosen.count() == expected and {r.id for r in chosen.collect()} <= seen
     rows = {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    short = {i for i in seen if i % 3}
     assert len(rows) == 24 and min(rows[i] for i in short if i % 2) > max(rows[i] for i in short if i % 2 == 0)
 
 
+def test_quality_learns_a_label_that_only_long_texts_have(spark):
+    """Texts of over a hundredth of all passages are alike in their bytes; they differ in their last third, or in length."""
+    plain = lambda n: "Plain text, a sentence. " * n
+    texts = {i: plain(12_000) + "$$ 4711 ||| " * 12_000 if i % 2 else plain(24_000 if i % 4 else 40) for i in range(40)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in texts], "doc_id long, quality int")
+    rows = {r.doc_id: r.predicted for r in quality.classify(docs, labels).collect()}
+    assert rows == {i: 1 - i % 2 for i in texts}
+
+
 # 2
 
 
