@@ -62,7 +62,7 @@ def link_committees(committees: DataFrame, owners: DataFrame) -> DataFrame:
 
 def stamp_pairs(facts: DataFrame, pairs: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     """facts with a boolean: its keys are on a closed list of pairs."""
-    listed = F.broadcast(pairs.select(*keys).distinct().withColumn("_listed", F.lit(True)))
+    listed = pairs.select(*keys).distinct().withColumn("_listed", F.lit(True))
     return facts.join(listed, list(keys), "left").withColumn(out, F.coalesce("_listed", F.lit(False))).drop("_listed")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -86,7 +87,7 @@ def office_holders(targets: DataFrame, holders: DataFrame) -> DataFrame:
 
 def confirm_reviews(matches: DataFrame, confirmed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The review flag is cleared for pairs that people have confirmed."""
-    listed = F.broadcast(confirmed.select(*keys).distinct().withColumn("_ok", F.lit(True)))
+    listed = confirmed.select(*keys).distinct().withColumn("_ok", F.lit(True))
     return matches.join(listed, list(keys), "left").withColumn("needs_review", F.col("needs_review") & F.col("_ok").isNull()).drop("_ok")
 
 
@@ -111,22 +112,48 @@ def _shortened(word: Column) -> Column:
     return F.array_distinct(F.concat(F.array(word), once, F.flatten(F.transform(once, drop))))
 
 
-def _hint_blocks(df: DataFrame, letter: str, filed: bool) -> DataFrame:
-    """letter (the tokens) and block: keys of which any pair with a reason shares one. Surnames are equal; or one
-    surname is a token of the other name; or given names are equal or nicknames and surnames spelled alike."""
-    last, given = F.element_at("tokens", -1), F.slice("tokens", F.lit(1), F.size("tokens") - 1)
-    nick = F.flatten(F.transform(given, lambda g: F.concat(F.array(g), F.transform(F.coalesce(F.try_element_at(_nicknames(), g), F.array()), lambda i: i.cast("string")))))
-    mine, theirs = ("c:", "o:") if filed else ("o:", "c:")
-    spelled = F.when(F.length(last) >= 2, F.flatten(F.transform(nick, lambda g: F.transform(_shortened(last), lambda w: F.concat_ws(":", F.lit("d"), g, w))))).otherwise(F.array().cast("array<string>"))
-    keys = F.concat(F.array(F.concat(F.lit("s:"), last), F.concat(F.lit(mine), last)), F.transform("tokens", lambda t: F.concat(F.lit(theirs), t)), spelled)
-    return df.filter(F.size("tokens") > 0).select(F.col("tokens").alias(letter), F.explode(F.array_distinct(keys)).alias("block"))
+def _alike(mine: DataFrame, theirs: DataFrame, least: int) -> DataFrame:
+    """x, y: words of mine (x) and of theirs (y) that differ, at an edit distance of 2 or less, x of `least` letters or more.
+    Words meet by what is left of them without one or two letters, each word once."""
+    x = mine.filter(F.length("x") >= least).distinct().select("x", F.explode(_shortened(F.col("x"))).alias("left"))
+    y = theirs.distinct().select("y", F.explode(_shortened(F.col("y"))).alias("left"))
+    return x.join(y, "left").filter("x <> y").select("x", "y").distinct().filter(F.levenshtein("x", "y") <= 2)
+
+
+def _hint_pairs(filed: DataFrame, registry: DataFrame) -> DataFrame:
+    """t, u: token lists that may have a reason. filed: t; registry: u, each list once.
+
+    Words are compared first, then lists meet only by words that are so related: a surname of thousands of names joins
+    those with a given name that is another form of theirs. Lists that share surname and given name, the large
+    groups, have no reason by that and don't meet."""
+    def side(df: DataFrame, tokens: str) -> DataFrame:
+        given = F.slice(tokens, F.lit(1), F.size(tokens) - 1)
+        known = F.coalesce(F.try_element_at(_nicknames(), F.col("_given")), F.array().cast("array<int>"))
+        out = df.filter(F.size(tokens) > 1).select(tokens, F.element_at(tokens, -1).alias("last"), given.alias("given")).withColumn("_given", F.explode("given"))
+        return out.select("*", F.explode(F.concat(F.array("_given"), F.transform(known, lambda k: k.cast("string")))).alias("key"))
+
+    f, r = side(filed, "t"), side(registry, "u")
+    given, other = f.select("t", "last", F.col("_given").alias("x")).distinct(), r.select("u", "last", F.col("_given").alias("y")).distinct()
+    # Given names that are forms of one, by nickname or by spelling, of one surname.
+    nick = f.select(F.col("_given").alias("x"), "key").distinct().join(r.select(F.col("_given").alias("y"), "key").distinct(), "key").filter("x <> y").select("x", "y")
+    spelled = _alike(given.select("x"), other.select("y").filter(F.length("y") >= 4), 4)
+    forms = nick.unionByName(spelled).distinct()
+    one_surname = given.join(forms, "x").join(other, ["last", "y"]).select("t", "u")
+    # A surname that stands among the other's given names; the lists share a given name or forms of one.
+    within = lambda df, c: df.select(c, "key", F.explode("given").alias("word"))
+    compound = f.select("t", "key", F.col("last").alias("word")).join(within(r, "u"), ["word", "key"]).select("t", "u")
+    order = within(f, "t").join(r.select("u", "key", F.col("last").alias("word")), ["word", "key"]).select("t", "u")
+    # Surnames spelled alike.
+    alike = _alike(f.select(F.col("last").alias("x")), r.select(F.col("last").alias("y")), 4)
+    surnames = f.select("t", "key", F.col("last").alias("x")).join(alike, "x").join(r.select("u", "key", F.col("last").alias("y")), ["y", "key"]).select("t", "u")
+    return one_surname.unionByName(compound).unionByName(order).unionByName(surnames).distinct()
 
 
 def suggestions(filed: DataFrame, registry: DataFrame) -> DataFrame:
     """filed_id, candidate_id, reason: hints for people, never a match. Both sides have tokens (array, last is the
-    surname). No pair with a reason is lost, and the registry isn't crossed: see _hint_blocks()."""
+    surname). No pair with a reason is lost, and the registry isn't crossed: see _hint_pairs()."""
     # Equal token lists are compared once; ids come back afterwards.
-    pairs = _hint_blocks(filed.select("tokens").distinct(), "t", True).join(_hint_blocks(registry.select("tokens").distinct(), "u", False), "block").select("t", "u").distinct()
+    pairs = _hint_pairs(filed.select(F.col("tokens").alias("t")).distinct(), registry.select(F.col("tokens").alias("u")).distinct())
     n, m = F.size("t"), F.size("u")
     g, s = F.slice("t", F.lit(1), n - 1), F.element_at("t", -1)
     h, r = F.slice("u", F.lit(1), m - 1), F.element_at("u", -1)
@@ -149,7 +176,7 @@ def suggestions(filed: DataFrame, registry: DataFrame) -> DataFrame:
 def unmatched_groups(rows: DataFrame, dispositions: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Unmatched payments by group: rows, amount, first and last date, stances, and what was decided."""
     g = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(18,2)").alias("amount"), F.min("date").alias("first"), F.max("date").alias("last"), F.array_join(F.array_sort(F.collect_set("stance")), ",").alias("stances"))
-    return g.join(F.broadcast(dispositions), list(keys), "left").withColumn("undecided", F.col("disposition").isNull())
+    return g.join(dispositions, list(keys), "left").withColumn("undecided", F.col("disposition").isNull())
 
 
 def collapse_duplicates(rows: DataFrame, keys: Sequence[str], order: str) -> tuple[DataFrame, DataFrame]:
@@ -160,29 +187,75 @@ def collapse_duplicates(rows: DataFrame, keys: Sequence[str], order: str) -> tup
     return numbered.filter("_i = 1").drop("_i"), dropped
 
 
-def near_duplicates(entities: DataFrame, least: float = 0.6, most_common: int = 1_000) -> DataFrame:
+def _choices(tokens: Column, k: int) -> Column:
+    """All choices of k tokens of an array, in its order, as text."""
+    if k == 1:
+        return tokens
+    rest = lambda i: F.slice(tokens, i + 2, F.size(tokens))
+    return F.flatten(F.transform(tokens, lambda x, i: F.transform(_choices(rest(i), k - 1), lambda more: F.concat_ws(" ", x, more))))
+
+
+def _least_shared(least: float, longest: int = 40) -> dict[int, int]:
+    """For a set of n tokens: how many it shares at least with a set that is similar enough and neither holds nor is
+    held by it. Sets of other sizes than those listed have no such partner, or are longer than `longest`."""
+    out = {}
+    for n in range(1, longest + 1):
+        shared = {m: math.ceil((n + m) * least / (1 + least) - 1e-9) for m in range(max(1, int(n * least)), int(n / least) + 2)}
+        fit = [c for m, c in shared.items() if c < min(n, m)]
+        if fit:
+            out[n] = max(1, min(fit))
+    return out
+
+
+def name_classes(entities: DataFrame) -> DataFrame:
+    """id (the least of the class), type, name, core, ordered (the core tokens, rarest first), acro, compact."""
+    classes = entities.groupBy("type", "name").agg(F.min("id").alias("id"))
+    core = F.array_sort(F.array_distinct(text.core_tokens(F.col("name"))))
+    e = classes.select("id", "type", "name", core.alias("core"), text.acronym(F.col("name")).alias("acro"), text.compact(F.col("name")).alias("compact"))
+    each = e.select("id", "type", F.explode("core").alias("w"))
+    held = each.groupBy("type", "w").agg(F.count(F.lit(1)).alias("df"))
+    order = each.join(held, ["type", "w"]).groupBy("id").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("ordered"))
+    return e.join(order, "id", "left").withColumn("ordered", F.coalesce("ordered", F.array().cast("array<string>")))
+
+
+def name_pairs(e: DataFrame, least: float) -> DataFrame:
+    """a, b: classes of names that may be one, a < b. e: of name_classes().
+
+    Equal sets meet by the whole set; an acronym meets the names that spell it. A set that another holds meets it by its
+    three rarest tokens (all, if it has fewer), which the other has among its own. Sets that only overlap share three
+    tokens of their prefixes, in one order of all tokens, rarest first: with c tokens to share of n, the first n - c + 3
+    of each. (Sets that share fewer than three and are similar enough are equal or one in the other.) So a token or a pair
+    that thousands of names have brings none of them together by itself."""
+    n = F.size("ordered")
+    side = lambda df, i, key: df.select("type", F.col("id").alias(i), key.alias("key"))
+    some = e.filter(n > 0)
+    whole = F.array_join("ordered", " ")
+    equal = side(some, "a", whole).join(side(some, "b", whole), ["type", "key"]).select("a", "b")
+    spelt = side(e.filter("acro <> ''"), "a", F.col("acro")).join(side(e.filter("compact <> '' AND length(compact) <= 5"), "b", F.col("compact")), ["type", "key"]).select("a", "b")
+    rarest = lambda k: F.concat(F.lit(f"{k}:"), F.array_join(F.slice("ordered", 1, 3), " "))
+    asked = side(some.filter(n < 3), "a", F.concat(n.cast("string"), F.lit(":"), whole)).unionByName(side(some.filter(n >= 3), "a", rarest(3)))
+    marked = lambda k: F.transform(_choices(F.col("ordered"), k), lambda x: F.concat(F.lit(f"{k}:"), x))
+    holds = side(some, "b", F.explode(F.concat(*map(marked, (1, 2, 3)))))
+    inside = asked.join(holds, ["type", "key"]).select("a", "b")
+    known = _least_shared(least)
+    if min(known.values(), default=3) < 3:
+        raise ValueError("least is too low for prefixes of three tokens")
+    shared = F.try_element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), n)
+    shared = F.when(n > max(known, default=0), F.ceil(n * F.lit(least) - 1e-9).cast("int")).otherwise(shared)
+    prefixes = some.withColumn("c", shared).filter("c IS NOT NULL").select("type", "id", F.explode(_choices(F.slice("ordered", F.lit(1), n - F.col("c") + 3), 3)).alias("key"))
+    over = prefixes.select("type", "key", F.col("id").alias("a")).join(prefixes.select("type", "key", F.col("id").alias("b")), ["type", "key"]).filter("a < b").select("a", "b")
+    met = equal.unionByName(spelt).unionByName(inside).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return met.unionByName(over).distinct()
+
+
+def near_duplicates(entities: DataFrame, least: float = 0.6) -> DataFrame:
     """a, b, why, score of similar names within a type: equal normal names, acronyms, or a token overlap of at
     least least, taken as 1 where one name's tokens are all the other's.
 
     entities: id, name, type. Rows of one name and type are a class, known by its least id; pairs are of classes,
-    and membership is the name. Blocks are the core tokens and the acronym. A token in more than most_common names
-    isn't a block by itself; there every two tokens of a name are one, and a name of that token alone is joined with
-    all names that hold it: each of these pairs is a result. No pair is lost, whatever most_common is."""
-    core = text.core_tokens(F.col("name"))
-    classes = entities.groupBy("type", "name").agg(F.min("id").alias("id"))
-    e = classes.select("id", "type", "name", F.array_sort(F.array_distinct(core)).alias("core"), text.acronym(F.col("name")).alias("acro"), text.compact(F.col("name")).alias("compact"))
-    words = e.select("type", F.explode("core").alias("w")).groupBy("type", "w").agg(F.count(F.lit(1)).alias("df"))
-    rare = words.filter(F.col("df") <= most_common).select("type", F.col("w").alias("block"))
-    frequent = words.filter(F.col("df") > most_common).select("type", F.col("w").alias("block"))
-    single = e.select("id", "type", F.explode("core").alias("block")).join(rare, ["type", "block"])
-    two = F.flatten(F.transform("core", lambda x: F.transform(F.filter("core", lambda y: y > x), lambda y: F.concat_ws(" ", x, y))))
-    double = e.select("id", "type", F.explode(two).alias("block"))
-    short = e.select("id", "type", F.explode(F.array(F.concat(F.lit("="), F.col("acro")), F.when(F.length("compact") <= 5, F.concat(F.lit("="), F.col("compact"))))).alias("block")).filter("block IS NOT NULL AND block <> '='")
-    blocks = single.unionByName(double).unionByName(short).distinct()
-    pairs = blocks.select(F.col("id").alias("a"), "type", "block").join(blocks.select(F.col("id").alias("b"), "type", "block"), ["type", "block"]).filter("a < b").select("a", "b")
-    holders = e.select("id", "type", F.size("core").alias("n"), F.explode("core").alias("block")).join(frequent, ["type", "block"])
-    alone = holders.filter("n = 1").select(F.col("id").alias("x"), "type", "block").join(holders.select(F.col("id").alias("y"), "type", "block"), ["type", "block"]).filter("x <> y")
-    pairs = pairs.unionByName(alone.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
+    and membership is the name. No pair is lost: see name_pairs()."""
+    e = name_classes(entities)
+    pairs = name_pairs(e, least)
     left, right = e.select(*[F.col(c).alias(f"l_{c}") for c in e.columns]), e.select(*[F.col(c).alias(f"r_{c}") for c in e.columns])
     j = pairs.join(left, F.col("a") == F.col("l_id")).join(right, F.col("b") == F.col("r_id"))
     score = text.jaccard(F.col("l_core"), F.col("r_core"))

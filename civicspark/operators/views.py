@@ -102,7 +102,7 @@ def worklist(money: DataFrame, donors: DataFrame, label: Column, least: float, n
 
 def before_windows(money: DataFrame, earliest: DataFrame) -> DataFrame:
     """Receipts before an office type's earliest window. money: candidate_id, office_type, date, amount. earliest: office_type, start_date."""
-    early = money.join(F.broadcast(earliest), "office_type").filter(F.col("date") < F.col("start_date"))
+    early = money.join(earliest, "office_type").filter(F.col("date") < F.col("start_date"))
     return early.groupBy("candidate_id").agg(total(F.col("amount")).alias("amount"), F.count(F.lit(1)).alias("n"), F.max("date").alias("last"))
 
 

@@ -150,7 +150,7 @@ def jn28(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jn29(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = model(spark, sf_dir, "committees").select("committee_id", F.explode(F.array("tag", F.when(F.col("committee_id") % 4 == 0, "machinery").otherwise("mystery"))).alias("tag"))
     vocabulary = spark.createDataFrame([("labor",), ("machinery",)], "tag string").withColumn("known", F.lit(True))
-    j = c.join(F.broadcast(vocabulary), "tag", "left")
+    j = c.join(vocabulary, "tag", "left")
     return j.groupBy("committee_id").agg(F.nullif(F.array_join(F.array_sort(F.collect_list(F.when(F.col("known"), F.col("tag")))), ","), F.lit("")).alias("tags"), F.count_if(F.col("known").isNull()).alias("unknown"))
 
 

@@ -25,5 +25,5 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
-for _module in ("scalars", "money", "filings", "entities", "matching", "votes", "views", "sets", "checks", "validators", "changes", "bulk", "files"):
+for _module in ("scalars", "money", "filings", "entities", "matching", "votes", "views", "pages", "sets", "checks", "validators", "changes", "bulk", "files"):
     importlib.import_module(f"civicspark.plans.{_module}")

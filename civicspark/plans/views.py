@@ -98,16 +98,6 @@ def ag47(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.framed_races(races, model(spark, sf_dir, "expenditures").join(m, "target_id"))
 
 
-@query("ag48_race_view", oracle(MARKED + f" SELECT race_id, window_id, count(DISTINCT candidate_id) AS candidates, {M.format('amount')} AS raised, {M.format('CASE WHEN is_self THEN amount END')} AS self_money, count(DISTINCT parent_id) AS families FROM marked GROUP BY 1, 2"))
-def ag48(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marked(spark, sf_dir).groupBy("race_id", "window_id").agg(F.countDistinct("candidate_id").alias("candidates"), total(F.col("amount")).alias("raised"), total(F.when(F.col("is_self"), F.col("amount"))).alias("self_money"), F.countDistinct("parent_id").alias("families"))
-
-
-@query("ag49_person_view", oracle(WINDOWED + f" SELECT person_id, candidate_id, {M.format('amount')} AS career, bool_or(window_id IS NULL) AS out_of_window, count(DISTINCT window_id) AS elections FROM placed GROUP BY 1, 2"))
-def ag49(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return placed(spark, sf_dir).groupBy("person_id", "candidate_id").agg(total(F.col("amount")).alias("career"), F.bool_or(F.col("window_id").isNull()).alias("out_of_window"), F.countDistinct("window_id").alias("elections"))
-
-
 @query("ag50_before_windows", oracle(WINDOWED + f" SELECT candidate_id, {M.format('amount')} AS amount, count(*) AS n, max(date) AS last FROM placed WHERE office_type = 'municipal' AND date < DATE '1995-09-01' GROUP BY 1"))
 def ag50(spark: SparkSession, sf_dir: str) -> DataFrame:
     earliest = calendar.window_union(model(spark, sf_dir, "windows")).filter("start_date IS NOT NULL").withColumn("start_date", F.add_months("start_date", 6))
@@ -168,16 +158,6 @@ def ag54(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(model(spark, sf_dir, "contributions").agg(F.count(F.lit(1)).alias("rows")), F.lit(True))
 
 
-@query("ag55_member_states", oracle(WINDOWED + """, s AS (SELECT m.person_id, bool_or(p.donor_id IS NOT NULL) AS money, bool_or(m.balance > 0) AS totals FROM committees m LEFT JOIN placed p ON p.committee_id = m.committee_id GROUP BY 1)
-  SELECT state, count(*) AS n FROM (SELECT CASE WHEN person_id % 7 = 3 THEN 'vacancy' WHEN money THEN 'full' WHEN totals THEN 'totals_only' ELSE 'no_record' END AS state FROM s) GROUP BY 1"""))
-def ag55(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = model(spark, sf_dir, "committees").select("committee_id", "person_id", "balance")
-    seen = placed(spark, sf_dir).select("committee_id").distinct().withColumn("money", F.lit(True))
-    s = m.join(seen, "committee_id", "left").groupBy("person_id").agg(F.bool_or(F.coalesce("money", F.lit(False))).alias("money"), F.bool_or(F.col("balance") > 0).alias("totals"))
-    state = F.when(F.col("person_id") % 7 == 3, "vacancy").when(F.col("money"), "full").when(F.col("totals"), "totals_only").otherwise("no_record")
-    return s.groupBy(state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("ag58_cycles_seen", oracle(CYCLED + " SELECT m.race_id, string_agg(DISTINCT c.cycle, ',' ORDER BY c.cycle) AS cycles, count(c.cycle) > 0 AS has_finance FROM committees m LEFT JOIN cycled c ON m.committee_id = c.committee_id GROUP BY 1"))
 def ag58(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = model(spark, sf_dir, "committees").select("committee_id", "race_id")

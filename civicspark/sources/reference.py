@@ -52,7 +52,7 @@ def merge_vocab(base: DataFrame, tab: DataFrame, starters: dict[str, str]) -> Da
     j = base.select("key", F.col("label").alias("_b")).join(tab.select("key", F.col("label").alias("_t")), "key", "full_outer")
     fixed = base.sparkSession.createDataFrame(list(starters.items()), "key string, label string")
     merged = j.select("key", F.coalesce("_t", "_b").alias("label"))
-    return merged.join(F.broadcast(fixed.select("key")), "key", "left_anti").unionByName(fixed)
+    return merged.join(fixed.select("key"), "key", "left_anti").unionByName(fixed)
 
 
 def read_roster(df: DataFrame, seat: str) -> DataFrame:

@@ -1,6 +1,8 @@
 """Operators on small fixtures: the cases that the tables don't hold, and rules that must bite."""
 
 import datetime as dt
+import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,7 +49,75 @@ def test_near_duplicates_of_a_frequent_single_token(spark):
     assert {(a, b) for a, b, *_ in whole} == {(1, 2), (1, 3), (1, 4), (2, 4), (3, 4)}  # "Acme" and "ACME" are two classes
     again = e.unionByName(spark.createDataFrame([(9, "t", "Acme"), (8, "t", "Acme Widgets")], e.schema))
     assert {(r.a, r.b, r.why, r.score) for r in matching.near_duplicates(again).collect()} == whole
-    assert {(r.a, r.b, r.why, r.score) for r in matching.near_duplicates(e, most_common=2).collect()} == whole
+
+
+def plain_hint(t, u):
+    """The reason of two token lists, by its definition."""
+    from civicspark.operators.matching import NICKNAMES
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    if not t or not u:
+        return None
+    (g, s), (h, r) = (t[:-1], t[-1]), (u[:-1], u[-1])
+    same = bool(set(g) & set(h))
+    nick = any(a == b or any(a in n and b in n for n in NICKNAMES) for a in g for b in h)
+    spelled = any(distance(a, b) <= 2 and min(len(a), len(b)) >= 4 for a in g for b in h)
+    if s == r:
+        return None if same else "nickname" if nick else "given-name spelling" if spelled else None
+    if s in u and (same or nick):
+        return "part of a compound surname"
+    if len(s) >= 4 and distance(s, r) <= 2 and (same or nick):
+        return "surname spelling"
+    return "surname order or extra name" if r in t and (same or nick) else None
+
+
+def test_suggestions_equal_the_definition(spark):
+    draw = random.Random(3)
+    given, last = ["bob", "robert", "rob", "anna", "anne", "jonah", "jonas", "kate", "li"], ["smith", "smyth", "smithe", "stone", "li", "anna", "stones", "smithers"]
+    lists = lambda: [[draw.choice(given) for _ in range(draw.randint(0, 2))] + ([draw.choice(last)] if draw.random() < 0.97 else []) for _ in range(120)]
+    filed, known = lists(), lists()
+    frames = [spark.createDataFrame(list(enumerate(x)), f"{c} int, tokens array<string>") for x, c in ((filed, "filed_id"), (known, "candidate_id"))]
+    got = {(r.filed_id, r.candidate_id): r.reason for r in matching.suggestions(*frames).collect()}
+    assert got == {(i, j): why for i, t in enumerate(filed) for j, u in enumerate(known) if (why := plain_hint(t, u))}
+
+
+def test_a_surname_of_thousands_brings_only_related_names_together(spark):
+    names = [["john", hashlib.md5(str(i).encode()).hexdigest(), "smith"] for i in range(4000)] + [["jon", "smith"], ["jack", "q", "smith"]]
+    df = spark.createDataFrame([(n,) for n in names], "t array<string>")
+    pairs = matching._hint_pairs(df, df.withColumnRenamed("t", "u"))
+    results = matching.suggestions(df.selectExpr("t[1] AS filed_id", "t AS tokens"), df.selectExpr("t[1] AS candidate_id", "t AS tokens"))
+    assert results.count() <= pairs.count() <= 2 * results.count() + 100 < 100_000
+
+
+@pytest.mark.parametrize("least", [0.6, 0.75])
+def test_near_duplicates_equal_all_pairs(spark, least):
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(14)]
+    rows = [(i, f"t{i % 2}", " ".join(draw.sample(words, draw.randint(1, 9)))) for i in range(160)] + [(900, "t0", "wwww"), (901, "t0", ""), (902, "t1", "of the")]
+    df = spark.createDataFrame(rows, "id int, type string, name string")
+    e = {r.id: r for r in matching.name_classes(df).collect()}
+    whole = set()
+    for a in e.values():
+        for b in e.values():
+            if a.id < b.id and a.type == b.type:
+                x, y = set(a.core), set(b.core)
+                acro = any(p.compact and len(p.compact) <= 5 and p.compact == q.acro for p, q in ((a, b), (b, a)))
+                if acro or x and y and (x <= y or y <= x or len(x & y) >= least * len(x | y) - 1e-9):
+                    whole.add((a.id, b.id))
+    assert {(r.a, r.b) for r in matching.near_duplicates(df, least).collect()} == whole and len(whole) > 50
+
+
+def test_a_pair_of_tokens_of_thousands_brings_no_names_together(spark):
+    rows = [(i, "t", f"north local union{i} hall{i} branch{i}") for i in range(4000)] + [(5000, "t", "north local"), (5001, "t", "north local union7 hall7 branch7 annex")]
+    e = matching.name_classes(spark.createDataFrame(rows, "id int, type string, name string"))
+    assert matching.name_pairs(e, 0.6).count() <= 2 * 4002  # the short name is in all others
 
 
 def test_keyword_candidates(spark):
