@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
+from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Fixed values.
 SUFFIXES = ["jr", "sr", "ii", "iii", "iv"]
@@ -56,14 +56,36 @@ def norm(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9 ]", " "), " +", " "))
 
 
-@F.pandas_udf(StringType())
-def _fold(texts: pd.Series) -> pd.Series:
-    return texts.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
+@lru_cache(maxsize=2)
+def _decomposed(ascii_only: bool) -> tuple[str, str, dict[str, str]]:
+    """What compatibility decomposition without its marks makes of characters, by Python's own tables: characters with one
+    in their place and that one, then those that go; and characters with several. ascii_only keeps ASCII of the
+    result. Hangul syllables stay whole, else."""
+    one, gone, many = {}, [], {}
+    for code in (*range(0x80, 0xD800), *range(0xE000, 0x30000)):
+        ch = chr(code)
+        plain = unicodedata.normalize("NFKD", ch)
+        if ascii_only:
+            if found := plain.encode("ascii", "ignore").decode():
+                (one if len(found) == 1 else many)[ch] = found
+        elif unicodedata.combining(ch):
+            gone.append(ch)
+        elif plain != ch and not 0xAC00 <= code <= 0xD7A3:
+            found = "".join(x for x in plain if not unicodedata.combining(x))
+            (one if len(found) == 1 else many)[ch] = found
+    return "".join([*one, *gone]), "".join(one.values()), many
+
+
+def _plain_letters(c: Column, ascii_only: bool) -> Column:
+    given, meant, many = _decomposed(ascii_only)
+    one = F.translate(c, given, meant)
+    each = F.transform(F.regexp_extract_all(one, F.lit("(?s)."), F.lit(0)), lambda ch: lookup(many, ch, ch))
+    return F.when(one.rlike(f"[{''.join(many)}]"), F.array_join(each, "")).otherwise(one)
 
 
 def fold(c: Column) -> Column:
-    """Accents taken off, then what isn't ASCII dropped. The one function that needs Python: apply it to distinct names."""
-    return _fold(c)
+    """Accents taken off, then what isn't ASCII dropped."""
+    return F.regexp_replace(_plain_letters(c, True), r"[^\x00-\x7F]+", "")
 
 
 def name_tokens(c: Column, drop: Sequence[str] = tuple(SUFFIXES)) -> Column:
@@ -132,20 +154,12 @@ def names_the_committee(last: Column, committee: Column) -> Column:
     return (F.length(F.trim(last)) >= 3) & F.contains(padded(committee), padded(last))
 
 
-@F.pandas_udf(StringType())
-def person_slug(names: pd.Series) -> pd.Series:
+def person_slug(c: Column) -> Column:
     """A member's key: accents folded, quoted nicknames, honorifics and bare initials dropped, suffixes and inner hyphens kept."""
-    import re
-    import unicodedata
-
-    def one(name: str | None) -> str:
-        plain = "".join(ch for ch in unicodedata.normalize("NFKD", name or "") if not unicodedata.combining(ch))
-        plain = re.sub("[\"“”‘’'].*?[\"“”‘’']", " ", plain)
-        words = (re.sub(r"[^\w\s-]", "", w).strip().lower() for w in plain.split())
-        kept = [w for w in words if w and w not in HONORIFICS and (len(w) > 1 or w in (*SUFFIXES, "v"))]
-        return re.sub("-{2,}", "-", "-".join(kept)).strip("-")
-
-    return names.map(one)
+    plain = F.regexp_replace(_plain_letters(F.coalesce(c, F.lit("")), False), "[\"“”‘’'].*?[\"“”‘’']", " ")
+    words = F.transform(F.split(plain, r"(?U)\s+"), lambda w: F.lower(F.regexp_replace(w, r"[^\p{L}\p{N}_-]", "")))
+    kept = F.filter(words, lambda w: (w != "") & ~w.isin(*HONORIFICS) & ((F.length(w) > 1) | w.isin(*SUFFIXES, "v")))
+    return F.regexp_replace(F.regexp_replace(F.array_join(kept, "-"), "-{2,}", "-"), "^-+|-+$", "")
 
 
 def _plain_words(c: Column) -> Column:

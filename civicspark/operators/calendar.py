@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -80,10 +82,21 @@ def window_union(windows: DataFrame, key: str = "office_type") -> DataFrame:
     )
 
 
-def overlapping_intervals(cycles: DataFrame) -> DataFrame:
-    """Neighbours that overlap, in order of their start; empty for a sound table."""
-    w = Window.orderBy("start_date", "code")
-    return cycles.withColumn("previous", F.lag("code").over(w)).withColumn("previous_end", F.lag("end_date").over(w)).filter("start_date <= previous_end").select("previous", "code", "previous_end", "start_date")
+def overlapping_intervals(cycles: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Neighbours that overlap, in order of their start, in each group of keys; empty for a sound table. Without keys the
+    table is one group, in one task: a table of cycles."""
+    w = Window.partitionBy(*keys).orderBy("start_date", "code")
+    neighbours = cycles.withColumn("previous", F.lag("code").over(w)).withColumn("previous_end", F.lag("end_date").over(w))
+    return neighbours.filter("start_date <= previous_end").select(*keys, "previous", "code", "previous_end", "start_date")
+
+
+def interval_labels(intervals: DataFrame, key: str) -> DataFrame:
+    """intervals with label ("code (first day to last)", dots for an open end) and current: the code that starts last in its
+    group of key, ties by code."""
+    day = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("..."))
+    last = intervals.groupBy(key).agg(F.max_by("code", F.struct("start_date", "code")).alias("current"))
+    label = F.concat(F.col("code").cast("string"), F.lit(" ("), day("start_date"), F.lit(" to "), day("end_date"), F.lit(")"))
+    return intervals.withColumn("label", label).join(last, key)
 
 
 def active_in(start: Column, end: Column, term_start: Column, term_end: Column) -> Column:

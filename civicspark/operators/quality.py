@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 from pyspark.sql.window import Window
 
 ERROR, WARNING = "error", "warning"
@@ -99,8 +100,6 @@ def applied_values(edits: DataFrame, table: DataFrame, key: str, column: str) ->
 
 def banned_keys(df: DataFrame, banned: Sequence[str]) -> list[str]:
     """Paths of fields with a banned name anywhere in the schema."""
-    from pyspark.sql.types import ArrayType, MapType, StructType
-
     found: list[str] = []
 
     def walk(kind: object, path: str) -> None:
@@ -119,6 +118,49 @@ def banned_keys(df: DataFrame, banned: Sequence[str]) -> list[str]:
     return found
 
 
+#: A string of JSON, and the colon after it if it is a key. Strings are taken whole, one after another, so a key's text
+#: inside a value is none.
+_JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*+:)?'
+
+
+def json_keys(c: Column) -> Column:
+    """All keys of a JSON text, whatever their depth."""
+    found = F.filter(F.regexp_extract_all(c, F.lit(_JSON_STRING), F.lit(0)), lambda x: x.endswith(":"))
+    return F.transform(found, lambda x: F.from_json(F.concat(F.lit("["), F.regexp_replace(x, r"\s*:$", ""), F.lit("]")), "array<string>")[0])
+
+
+def keys_within(c: Column, kind: DataType, json: bool = False) -> Column | None:
+    """All keys below a column, of structs, maps and arrays within each other and, if told, of texts that are JSON; None
+    if its type has none."""
+    none = F.array().cast("array<string>")
+    if isinstance(kind, StructType):
+        below = [k for f in kind.fields if (k := keys_within(c[f.name], f.dataType, json)) is not None]
+        return F.concat(F.array(*[F.lit(f.name) for f in kind.fields]), *[F.coalesce(k, none) for k in below])
+    if isinstance(kind, MapType):
+        own = F.map_keys(c).cast("array<string>")
+        if keys_within(c, kind.valueType, json) is None:
+            return own
+        return F.concat(own, F.flatten(F.transform(F.map_values(c), lambda x: F.coalesce(keys_within(x, kind.valueType, json), none))))
+    if isinstance(kind, ArrayType):
+        if keys_within(c, kind.elementType, json) is None:
+            return None
+        return F.flatten(F.transform(c, lambda x: F.coalesce(keys_within(x, kind.elementType, json), none)))
+    return json_keys(c) if json and isinstance(kind, StringType) else None
+
+
+def banned_within(df: DataFrame, key: str, banned: Sequence[str], json: Sequence[str] = ()) -> DataFrame:
+    """key, column, found, n: rows that have a banned key anywhere, in the types of a column, as a key of a map, or in the
+    JSON text of a column that json names. A null row or part has none."""
+    out = None
+    for f in df.schema.fields:
+        names = keys_within(F.col(f"`{f.name}`"), f.dataType, f.name in json)
+        own = F.array(*[F.lit(f.name)])
+        every = own if names is None else F.concat(own, F.coalesce(names, F.array().cast("array<string>")))
+        one = df.select(F.col(key), F.lit(f.name).alias("column"), F.explode(F.filter(every, lambda x: x.isin(*banned))).alias("found"))
+        out = one if out is None else out.unionAll(one)
+    return out.groupBy(key, "column", "found").agg(F.count(F.lit(1)).alias("n"))
+
+
 def run_rules(rules: Sequence[Callable[[], DataFrame]]) -> DataFrame:
     """All violations of a run."""
     return reduce(DataFrame.unionByName, [r() for r in rules])

@@ -39,7 +39,8 @@ def src45(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("src11_json_maps", "SELECT CAST(c_custkey AS VARCHAR) AS donor, c_name AS name, c_mktsegment AS seg FROM customer")
 def src11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    doc = raw(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("c_custkey").cast("string"), F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg")))))).alias("doc"))
+    """A document holds a hundred customers at most."""
+    doc = raw(spark, sf_dir, "customer").groupBy("c_nationkey", F.floor(F.col("c_custkey") / 100)).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("c_custkey").cast("string"), F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("seg")))))).alias("doc"))
     return reference.explode_map(doc, "doc", "struct<name:string,seg:string>", "donor")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from civicspark.functions import text
 from civicspark.operators import quality, rollups
 
-from .model import model, oracle, raw
+from .model import given, model, oracle, raw
 from .money import COUNTED, CYCLED, M, counted, cycled, tag_list
 from .registry import query
 
@@ -113,9 +113,9 @@ def dq16(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.fused_totals(o, "o_orderkey", ["a", "b", "c", "d"], ["figure"])
 
 
-@query("dq17_report_rules", oracle("SELECT 'disclosed is residual' AS rule, 'error' AS severity, CAST(doc_id AS VARCHAR) AS key, '' AS detail FROM sworn WHERE individual > transfers AND transfers > 0"))
+@query("dq17_report_rules", oracle("SELECT 'individual money above transfers' AS rule, 'error' AS severity, CAST(doc_id AS VARCHAR) AS key, '' AS detail FROM sworn WHERE individual > transfers AND transfers > 0"))
 def dq17(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.row_rules(model(spark, sf_dir, "sworn"), "doc_id", {"disclosed is residual": (F.col("individual") > F.col("transfers")) & (F.col("transfers") > 0)})
+    return quality.row_rules(model(spark, sf_dir, "sworn"), "doc_id", {"individual money above transfers": (F.col("individual") > F.col("transfers")) & (F.col("transfers") > 0)})
 
 
 @query("dq18_recount", oracle(COUNTED + ", p AS (SELECT parent_id, sum(amount) FILTER (donor_id % 31 <> 5) AS a, sum(amount) AS b FROM counted GROUP BY 1) SELECT 'recount' AS rule, 'error' AS severity, CAST(parent_id AS VARCHAR) AS key, coalesce(CAST(CAST(a AS DECIMAL(18,2)) AS VARCHAR), 'none') || ' vs ' || CAST(CAST(b AS DECIMAL(18,2)) AS VARCHAR) AS detail FROM p WHERE coalesce(a, 0) <> b"))
@@ -130,9 +130,31 @@ def dq18(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.equal_sums(counted(spark, sf_dir).filter("donor_id % 31 <> 5"), net, ["parent_id"], "amount", "recount")
 
 
-@query("dq19_text", "SELECT 'no double space' AS rule, 'error' AS severity, CAST(doc_id AS VARCHAR) AS key, '' AS detail FROM documents WHERE contains(text, '  ') UNION ALL SELECT 'no edge space', 'error', CAST(doc_id AS VARCHAR), '' FROM documents WHERE text <> trim(text, ' ') UNION ALL SELECT 'no control characters', 'error', CAST(doc_id AS VARCHAR), '' FROM documents WHERE regexp_matches(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]|\\x{80}|[\\x{81}-\\x{9F}]') UNION ALL SELECT 'no replacement mark', 'error', CAST(doc_id AS VARCHAR), '' FROM documents WHERE contains(text, chr(65533))")
+#: Texts with faults by rule: an edge space, a double space, a control character, a replacement mark.
+FAULTY_TEXT = """SELECT doc_id, CASE doc_id % 50 WHEN 1 THEN ' ' || text WHEN 2 THEN text || '  x' WHEN 3 THEN text || chr(7) || 'x' WHEN 4 THEN text || '\ufffd' ELSE text END AS text FROM documents"""
+
+
+@query("dq19_text", "WITH t AS (" + FAULTY_TEXT + """) SELECT rule, 'error' AS severity, CAST(doc_id AS VARCHAR) AS key, '' AS detail FROM (
+  SELECT 'no double space' AS rule, doc_id FROM t WHERE contains(text, '  ') UNION ALL SELECT 'no edge space', doc_id FROM t WHERE text <> trim(text, ' ')
+  UNION ALL SELECT 'no control characters', doc_id FROM t WHERE regexp_matches(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]|\\x{80}|[\\x{81}-\\x{9F}]') UNION ALL SELECT 'no replacement mark', doc_id FROM t WHERE contains(text, chr(65533)))""")
 def dq19(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.text_rules(raw(spark, sf_dir, "documents"), "doc_id", "text", owned=True)
+    return quality.text_rules(given(spark, sf_dir, FAULTY_TEXT), "doc_id", "text", owned=True)
+
+
+@query("ar7_banned_keys", """SELECT k AS c_custkey, "column", found, n FROM (
+  SELECT c_custkey AS k, 'meta' AS "column", 'ssn' AS found, 1 AS n FROM customer WHERE c_custkey % 11 = 2 UNION ALL SELECT c_custkey, 'meta', 'email', 1 FROM customer WHERE c_custkey % 13 = 3
+  UNION ALL SELECT c_custkey, 'doc', 'phone', 2 FROM customer WHERE c_custkey % 7 = 1 UNION ALL SELECT c_custkey, 'doc', 'ssn', 1 FROM customer WHERE c_custkey % 17 = 4
+  UNION ALL SELECT c_custkey, 'tree', 'email', 1 FROM customer WHERE c_custkey % 5 = 2)""")
+def ar7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys planted at three depths: of a map's value, of an object in a list in an object of JSON, of a map in a list in a struct."""
+    k = F.col("c_custkey")
+    pick = lambda n, r, a, b: F.when(k % n == r, a).otherwise(b)
+    meta = F.create_map(F.lit("name"), F.create_map(pick(11, 2, "ssn", "first"), "c_name"), pick(13, 3, "email", "note"), F.create_map(F.lit("x"), F.lit("phone")))
+    each = F.concat(F.lit('{"'), pick(7, 1, "phone", "c"), F.lit('": "ssn: \\"ssn\\": y"}'))
+    doc = F.concat(F.lit('{"a": {"b": ['), each, F.lit(", "), each, F.lit(']}, "'), pick(17, 4, "s\\u0073n", "d"), F.lit('" : 1}'))
+    tree = F.struct(F.array(F.create_map(pick(5, 2, "email", "web"), F.lit(1))).alias("links"))
+    rows = raw(spark, sf_dir, "customer").select("c_custkey", meta.alias("meta"), doc.alias("doc"), tree.alias("tree"))
+    return quality.banned_within(rows, "c_custkey", ["ssn", "email", "phone"], ["doc"])
 
 
 @query("dq20_tag_continuity", oracle(f"SELECT {V.format('editorial id resolves')}, CAST(id AS VARCHAR) AS key, '' AS detail FROM (SELECT DISTINCT o_custkey + 20 AS id FROM orders) WHERE id NOT IN (SELECT donor_id FROM donors UNION SELECT committee_id FROM committees)"))

@@ -24,13 +24,13 @@ def jn13(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KEY = "trim(regexp_replace(regexp_replace(lower({}), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
 
 
-@query("jn14_bridge", f"""WITH d AS (SELECT p_partkey AS donor_id, p_name || '  ' || p_type AS name, CASE WHEN p_partkey % 7 = 0 THEN p_partkey + 1 END AS filing_id FROM part), c AS (SELECT p_partkey AS committee_id, upper(p_name) || '-' || p_type AS name FROM part WHERE p_partkey % 3 = 0),
+@query("jn14_bridge", f"""WITH d AS (SELECT p_partkey AS donor_id, p_name || '  ' || p_type AS name, CASE WHEN p_partkey % 7 = 0 THEN p_partkey + 1 END AS filing_id FROM part), c AS (SELECT p_partkey AS committee_id, upper(p_name) || '-' || p_type AS name FROM part),
   n AS (SELECT {_KEY.format('name')} AS k, max(committee_id) AS named, count(*) > 1 AS many FROM c GROUP BY 1)
   SELECT d.donor_id, coalesce(f.committee_id, n.named) AS committee_id, CASE WHEN f.committee_id IS NOT NULL THEN 'filing id' ELSE 'name' END AS via, coalesce(f.committee_id IS NULL AND n.many, false) AS collision FROM d LEFT JOIN c f ON f.committee_id = d.filing_id LEFT JOIN n ON n.k = {_KEY.format('d.name')} WHERE coalesce(f.committee_id, n.named) IS NOT NULL""")
 def jn14(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = raw(spark, sf_dir, "part")
     d = p.select(F.col("p_partkey").alias("donor_id"), F.concat("p_name", F.lit("  "), "p_type").alias("name"), F.when(F.col("p_partkey") % 7 == 0, F.col("p_partkey") + 1).alias("filing_id"))
-    c = p.filter("p_partkey % 3 = 0").select(F.col("p_partkey").alias("committee_id"), F.concat(F.upper("p_name"), F.lit("-"), "p_type").alias("name"))
+    c = p.select(F.col("p_partkey").alias("committee_id"), F.concat(F.upper("p_name"), F.lit("-"), "p_type").alias("name"))
     return entities.bridge_committees(d, c, text.norm(F.col("name")))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from civicspark.sources import bulk, ocd, reference, sinks, work
 
-from .model import model, oracle, raw
+from .model import given, model, oracle, raw
 from .registry import query
 
 
@@ -68,3 +68,46 @@ def snk5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sinks.publish(spark, {"slim": spark.read.parquet(f"{path}/slim"), "money": spark.read.parquet(f"{path}/money")}, path, "v1", complete)
     return sinks.current(spark, path, "slim")
+
+
+#: Lines of reference tables, a file a nation: a comment, the header, then rows with faults by rule.
+REFERENCE = """SELECT nation, ord, copy, id, text, kind, cells FROM (
+    SELECT c_nationkey AS nation, CAST(c_custkey AS BIGINT) AS ord, copy, c_custkey AS id, CASE WHEN c_custkey % 19 = 3 THEN 'bad' ELSE lower(c_mktsegment) END AS kind, CASE WHEN c_custkey % 23 = 5 THEN 2 ELSE 3 END AS cells,
+      CAST(c_custkey AS VARCHAR(20)) || chr(9) || CASE WHEN c_custkey % 19 = 3 THEN 'bad' ELSE lower(c_mktsegment) END || CASE WHEN c_custkey % 23 = 5 THEN '' ELSE chr(9) || CASE WHEN c_custkey % 29 = 7 THEN ' ' ELSE '' END || c_name END AS text
+    FROM customer JOIN (SELECT 0 AS copy UNION ALL SELECT 1 AS copy) t ON copy = 0 OR c_custkey % 31 = 9)"""
+_NUMBERED = f"WITH r AS (SELECT *, 2 + row_number() OVER (PARTITION BY nation ORDER BY ord, copy) AS line FROM ({REFERENCE}))"
+SEGMENTS = ["automobile", "building", "furniture", "household", "machinery"]
+
+
+@query("src10_reference_lines", _NUMBERED + """ SELECT nation, line, '2 cells, not 3' AS violation FROM r WHERE cells = 2 UNION ALL SELECT nation, line, 'name has edge spaces' FROM r WHERE cells = 3 AND id % 29 = 7
+  UNION ALL SELECT nation, line, 'kind is not in its vocabulary' FROM r WHERE cells = 3 AND kind = 'bad' UNION ALL SELECT nation, line, 'id is unknown' FROM r WHERE cells = 3 AND id % 37 = 11
+  UNION ALL SELECT nation, line, 'the key appears twice' FROM r WHERE cells = 3 AND copy = 1""")
+def src10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work.folder(spark, "reference")
+    nations = raw(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation")).distinct()
+    heads = nations.select("nation", F.explode(F.array(F.struct(F.lit(-2).cast("long").alias("ord"), F.lit("# kept by editors").alias("text")), F.struct(F.lit(-1).cast("long").alias("ord"), F.lit("id\tkind\tname").alias("text")))).alias("x"))
+    rows = heads.select("nation", "x.ord", F.lit(0).alias("copy"), "x.text").unionByName(given(spark, sf_dir, REFERENCE).select("nation", "ord", "copy", "text"))
+    rows.repartition("nation").sortWithinPartitions("nation", "ord", "copy").select("nation", "text").write.partitionBy("nation").text(path)
+    known = raw(spark, sf_dir, "customer").filter("c_custkey % 37 <> 11").select("c_custkey")
+    bad = reference.load_reference(spark, path, ["id", "kind", "name"], ["id"], {"kind": SEGMENTS}, {"id": known})[1]
+    return bad.select(F.regexp_extract("file", "nation=([0-9]+)", 1).cast("int").alias("nation"), F.col("line").cast("long").alias("line"), "violation")
+
+
+#: A header for each nation's file: as it should be, with a wrong name, short, in another order, with a column twice.
+HEADERS = """SELECT nation, CASE nation % 6 WHEN 1 THEN 'id,label,seat-1,seat-2,note' WHEN 2 THEN 'id,name,seat-1' WHEN 3 THEN 'name,id,seat-2,seat-1,note' WHEN 4 THEN 'id,name,seat-2,seat-1,note' WHEN 5 THEN 'id,name,seat-1,seat-1,note'
+    ELSE 'id,name,seat-1,seat-2,note' END AS header FROM (SELECT DISTINCT c_nationkey AS nation FROM customer) n"""
+
+
+@query("src6_8_file_headers", f"WITH h AS ({HEADERS}) " + " UNION ALL ".join(f"SELECT nation, '{check}' AS rule, '{fault}' AS fault FROM h WHERE nation % 6 = {k}" for check, k, fault in (
+    ("exact", 1, "missing name"), ("exact", 1, "unknown label"), ("exact", 2, "missing note,seat-2"), ("exact", 3, "another order"), ("exact", 4, "another order"), ("exact", 5, "missing seat-2"), ("exact", 5, "twice seat-1"),
+    ("wide", 1, "fixed columns"), ("wide", 2, "trailing columns"), ("wide", 2, "seat missing seat-1,seat-2"), ("wide", 3, "fixed columns"), ("wide", 5, "seat missing seat-2"))))
+def src6_8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work.folder(spark, "headers")
+    rows = given(spark, sf_dir, HEADERS).select("nation", F.lit(0).cast("long").alias("ord"), F.col("header").alias("text"))
+    rows = rows.unionByName(raw(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_custkey") + 1, F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name")).toDF("nation", "ord", "text"))
+    rows.repartition("nation").sortWithinPartitions("nation", "ord").select("nation", "text").write.partitionBy("nation").text(path)
+    found = reference.file_headers(spark, path, ",")
+    seats = spark.createDataFrame([("seat-1",), ("seat-2",)], "key string")
+    exact = reference.header_faults(found, ["id", "name", "seat-1", "seat-2", "note"]).withColumn("rule", F.lit("exact"))
+    wide = reference.wide_header_faults(found, ["id", "name"], seats, ["note"]).withColumn("rule", F.lit("wide"))
+    return exact.unionByName(wide).select(F.regexp_extract("file", "nation=([0-9]+)", 1).cast("int").alias("nation"), "rule", "fault")

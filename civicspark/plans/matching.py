@@ -12,7 +12,7 @@ from civicspark.operators import matching
 from .model import given, in_sql, model, oracle, raw
 from .money import M
 from .registry import query
-from .scalars import WORDS_SQL
+from .scalars import TITLE_SQL, WORDS_SQL
 
 #: Targets as filed, one for each distinct name, office and window, and the registry of candidates. Names are
 #: filed as they are, with an accent, with a name between, by the surname alone, or two at once.
@@ -186,7 +186,13 @@ def jn35_related(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.related_donors(given(spark, sf_dir, DONORS))
 
 
-@query("jn33_keyword_candidates")
+_TOKENS = f"list_distinct(string_split({_NORM.format('text')}, ' '))"
+
+
+@query("jn33_keyword_candidates", f"""WITH i AS (SELECT item_id, {_TOKENS} AS it, unnest(list_transform(list_slice(list_sort(list_transform({TITLE_SQL}, lambda t: struct_pack(n := -length(t), t := t))), 1, 3), lambda e: e.t)) AS w FROM benchmark),
+  r AS (SELECT conv_id || '-' || turn AS record_id, {_TOKENS} AS rt, turn % 2 = 0 AS divided FROM conversations), x AS (SELECT *, unnest(rt) AS w FROM r),
+  s AS (SELECT DISTINCT item_id, record_id, CAST(len(list_intersect(it, rt)) + CASE WHEN divided THEN 5 ELSE 0 END + 2 AS INT) AS score FROM i JOIN x ON i.w = x.w)
+  SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, record_id) AS INT) AS rank FROM s) WHERE rank <= 5""")
 def jn33(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = raw(spark, sf_dir, "benchmark").select("item_id", text.title_keywords(F.col("text")).alias("keywords"), F.array_distinct(F.split(text.norm(F.col("text")), " ")).alias("tokens"), F.lit(2024).alias("year"))
     records = raw(spark, sf_dir, "conversations").select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("record_id"), F.array_distinct(F.split(text.norm(F.col("text")), " ")).alias("tokens"), (F.col("turn") % 2 == 0).alias("divided"), F.lit(2024).alias("year"))

@@ -177,6 +177,11 @@ def flt16(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar.window_union(model(spark, sf_dir, "windows"))
 
 
+@query("flt8_16_seat_spans", oracle("SELECT seat, CASE WHEN count(start_date) = count(*) THEN min(start_date) END AS start_date, CASE WHEN count(end_date) = count(*) THEN max(end_date) END AS end_date FROM memberships GROUP BY 1"))
+def flt16_seats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calendar.window_union(model(spark, sf_dir, "memberships"), "seat")
+
+
 @query("flt10_scope", oracle(f"SELECT office_type, count(*) AS n, {M.format('amount')} AS amount FROM (SELECT e.*, CASE e.part_id % 3 WHEN 0 THEN 'school_board' WHEN 1 THEN 'municipal' END AS office_type FROM expenditures e) x WHERE office_type IS NOT NULL AND EXISTS (SELECT 1 FROM windows w WHERE w.office_type = x.office_type AND (w.start_date IS NULL OR x.date >= w.start_date) AND (w.end_date IS NULL OR x.date <= w.end_date)) AND spender_id % 10 <> 5 GROUP BY 1"))
 def flt10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from civicspark.functions.text import office_kind
@@ -278,6 +283,19 @@ def ag56(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model(spark, sf_dir, "windows").select("office_type", "window_id", label.alias("label"), F.lit(current).alias("current"))
 
 
+@query("ag56_57_stint_labels", oracle("""SELECT m.seat, m.person_id AS code, m.start_date, m.end_date, m.person_id || ' (' || m.start_date || ' to ' || coalesce(CAST(m.end_date AS VARCHAR), '...') || ')' AS label, l.current
+  FROM memberships m JOIN (SELECT seat, arg_max(person_id, (start_date, person_id)) AS current FROM memberships GROUP BY 1) l ON m.seat = l.seat"""))
+def ag56_stints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stints = model(spark, sf_dir, "memberships").select("seat", F.col("person_id").alias("code"), "start_date", "end_date")
+    return calendar.interval_labels(stints, "seat")
+
+
 @query("dq26_overlapping_windows", oracle("SELECT previous, window_id AS code, previous_end, start_date FROM (SELECT *, lag(window_id) OVER (ORDER BY start_date, window_id) AS previous, lag(end_date) OVER (ORDER BY start_date, window_id) AS previous_end FROM windows WHERE office_type = 'municipal') WHERE start_date <= previous_end"))
 def dq26(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar.overlapping_intervals(model(spark, sf_dir, "windows").filter("office_type = 'municipal'").withColumnRenamed("window_id", "code"))
+
+
+@query("dq26_overlapping_stints", oracle("SELECT seat, previous, person_id AS code, previous_end, start_date FROM (SELECT *, lag(person_id) OVER w AS previous, lag(end_date) OVER w AS previous_end FROM memberships WINDOW w AS (PARTITION BY seat ORDER BY start_date, person_id)) WHERE start_date <= previous_end"))
+def dq26_stints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stints = model(spark, sf_dir, "memberships").withColumnRenamed("person_id", "code")
+    return calendar.overlapping_intervals(stints, ["seat"])

@@ -160,7 +160,11 @@ def fn22(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model(spark, sf_dir, "person_votes").groupBy("option", money.vote_record(F.col("option")).alias("record"), money.vote_position(F.col("option")).alias("position")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("fn23_person_slug")
+_SLUG_WORDS = r"""list_filter(list_transform(regexp_split_to_array(regexp_replace(strip_accents(coalesce(name, '')), '["“”‘’''].*?["“”‘’'']', ' ', 'g'), '\s+'), lambda x: lower(regexp_replace(x, '[^\p{L}\p{N}_-]', '', 'g'))),
+  lambda x: x <> '' AND x NOT IN """ + in_sql(text.HONORIFICS) + " AND (length(x) > 1 OR x IN " + in_sql([*text.SUFFIXES, "v"]) + "))"
+
+
+@query("fn23_person_slug", named(f"SELECT name, trim(regexp_replace(array_to_string({_SLUG_WORDS}, '-'), '-{{2,}}', '-', 'g'), '-') AS slug FROM (SELECT DISTINCT name FROM names)"))
 def fn23(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names(spark, sf_dir).select("name").distinct().select("name", text.person_slug(F.col("name")).alias("slug"))
 
@@ -247,10 +251,10 @@ def fn35(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names(spark, sf_dir).select("id", text.election_of_race(race).alias("of_race"), text.election_of_candidate(cand).alias("of_candidate"))
 
 
-_TITLE = "list_distinct(list_filter(string_split(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), ' '), lambda t: length(t) >= 5 AND t NOT IN " + in_sql(text.TITLE_STOP) + "))"
+TITLE_SQL = "list_distinct(list_filter(string_split(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), ' '), lambda t: length(t) >= 5 AND t NOT IN " + in_sql(text.TITLE_STOP) + "))"
 
 
-@query("fn36_title_keywords", f"SELECT item_id, array_to_string(list_transform(list_slice(list_sort(list_transform({_TITLE}, lambda t: struct_pack(n := -length(t), t := t))), 1, 3), lambda e: e.t), ' ') AS keywords FROM benchmark")
+@query("fn36_title_keywords", f"SELECT item_id, array_to_string(list_transform(list_slice(list_sort(list_transform({TITLE_SQL}, lambda t: struct_pack(n := -length(t), t := t))), 1, 3), lambda e: e.t), ' ') AS keywords FROM benchmark")
 def fn36(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw(spark, sf_dir, "benchmark").select("item_id", F.array_join(text.title_keywords(F.col("text")), " ").alias("keywords"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +65,25 @@ def se6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setops.occurrences({"contributions": c, "donors": d}, "donor_id", d.filter("donor_id % 10 = 3"), d.filter("donor_id = 1"))
 
 
-@query("snk6_fingerprint")
+_TOLD = {"double": "CAST({} AS DECIMAL(38,4))", "time": "strftime({}, '%Y-%m-%d %H:%M:%S.%f')", "": "{}"}
+_STAMPED = {
+    "customer": {"c_acctbal": "double", "c_custkey": "", "c_mktsegment": "", "c_name": "", "c_nationkey": ""},
+    "documents": {"doc_id": "", "lang": "", "n_chars": "", "source": "", "text": ""},
+    "lineitem": {"l_discount": "double", "l_extendedprice": "double", "l_linenumber": "", "l_linestatus": "", "l_orderkey": "", "l_partkey": "", "l_quantity": "double", "l_returnflag": "", "l_shipdate": "time", "l_suppkey": "", "l_tax": "double"},
+    "orders": {"o_custkey": "", "o_orderdate": "time", "o_orderkey": "", "o_orderpriority": "", "o_orderstatus": "", "o_totalprice": "double"},
+}
+
+
+def _stamp_sql(name: str, columns: dict[str, str]) -> str:
+    told = [f"CAST({_TOLD[kind].format(c)} AS VARCHAR)" for c, kind in columns.items()]
+    row = " || ".join(f"CASE WHEN {t} IS NULL THEN 'n' ELSE CAST(length({t}) AS VARCHAR) || ':' || {t} END" for t in told)
+    words = ", ".join(f"CAST(coalesce(sum(CAST('0x' || substring(h, {8 * i + 1}, 8) AS BIGINT)), 0) AS DECIMAL(38,0)) AS w{i + 1}" for i in range(4))
+    return f"SELECT '{name}' AS \"table\", count(*) AS rows, {words} FROM (SELECT md5({row}) AS h FROM {name})"
+
+
+@query("snk6_fingerprint", " UNION ALL ".join(_stamp_sql(*x) for x in _STAMPED.items()))
 def snk6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.fingerprint({t: raw(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "documents")})
+    """Fingerprints of the parts by a column, merged to those of the tables."""
+    parts = {"customer": "c_nationkey", "documents": "source", "lineitem": "l_linenumber", "orders": "o_orderpriority"}
+    stamped = [sinks.fingerprint(raw(spark, sf_dir, t), [by]).select(F.lit(t).alias("table"), "rows", "w1", "w2", "w3", "w4") for t, by in parts.items()]
+    return sinks.merged_fingerprints(reduce(DataFrame.unionAll, stamped), ["table"])

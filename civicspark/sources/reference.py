@@ -6,39 +6,82 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from civicspark.functions.text import blank_to_null
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line (from 1), text of every line, without its carriage return.
+
+    Files are split as ever: lines are numbered inside their block, and what earlier blocks of the file hold is added
+    from a table of one row a block."""
+    text = spark.read.option("lineSep", "\n").text(path)
+    at = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), F.regexp_replace("value", "\r$", "").alias("text"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = at.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n")).select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("pos"))
+    return at.withColumn("i", inside).join(blocks, ["file", "block"]).select("file", (F.col("before") + F.col("i")).alias("line"), "text")
+
+
 def load_reference(spark: SparkSession, path: str, header: Sequence[str], key: Sequence[str], vocabulary: dict[str, Sequence[str]] | None = None, known: dict[str, DataFrame] | None = None, sep: str = "\t") -> tuple[DataFrame, DataFrame]:
-    """Rows of a text table and violations (line, violation) that name the line.
-
-    Lines that begin with # and blank lines are comments. The first other line must be the header. Checked are the
-    width, edge spaces, blank keys, vocabularies, repeated keys, and ids that must be known."""
-    text = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("n", "text")).withColumn("line", F.col("n") + 1)
-    lines = text.filter((F.trim("text") != "") & ~F.col("text").startswith("#"))
-    first = lines.agg(F.min_by(F.struct("line", "text"), "line").alias("h")).first()["h"]
-    if first is None or first["text"].split(sep) != list(header):
-        raise ValueError(f"{path}: the header is {first and first['text']!r}, not {sep.join(header)!r}")
-    cells = lines.filter(F.col("line") > first["line"]).withColumn("cells", F.split("text", sep))
-    wide = cells.filter(F.size("cells") == len(header)).select("line", *[F.element_at("cells", i + 1).alias(c) for i, c in enumerate(header)])
-    bad = cells.filter(F.size("cells") != len(header)).select("line", F.concat(F.size("cells").cast("string"), F.lit(f" cells, not {len(header)}")).alias("violation"))
-
-    def add(condition: Column, what: str, df: DataFrame = wide) -> None:
-        nonlocal bad
-        bad = bad.unionByName(df.filter(condition).select("line", F.lit(what).alias("violation")))
-
-    for c in header:
-        add(F.col(c) != F.trim(c), f"{c} has edge spaces")
-    for c in key:
-        add(F.trim(c) == "", f"{c} is blank")
-    for c, allowed in (vocabulary or {}).items():
-        add(~F.col(c).isin(*allowed), f"{c} is not in its vocabulary")
-    repeated = wide.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), F.max("line").alias("line")).filter("c > 1")
-    add(F.lit(True), "the key appears twice", repeated)
+    """Rows of text tables and violations (file, line, violation) that name the line.
+
+    Lines that begin with # and blank lines are comments. The first other line of each file must be the header. Checked
+    are the width, edge spaces, blank keys, vocabularies, repeated keys, and ids that must be known."""
+    lines = numbered_lines(spark, path).filter((F.trim("text") != "") & ~F.col("text").startswith("#"))
+    first = lines.groupBy("file").agg(F.min(F.struct("line", "text")).alias("h")).select("file", F.col("h.line").alias("head"), F.col("h.text").alias("found"))
+    wrong = first.filter(F.col("found") != sep.join(header)).limit(3).collect()
+    if wrong or first.isEmpty():
+        raise ValueError(f"{path}: the header is not {sep.join(header)!r}: {[(r.file, r.found) for r in wrong] or 'no lines'}")
+    cells = lines.join(first.select("file", "head"), "file").filter("line > head").withColumn("cells", F.split("text", sep))
+    wide = cells.filter(F.size("cells") == len(header)).select("file", "line", *[F.element_at("cells", i + 1).alias(c) for i, c in enumerate(header)])
+    # The rules of a row in one pass: an array of those that it breaks.
+    rules = [(F.concat(F.size("cells").cast("string"), F.lit(f" cells, not {len(header)}")), F.size("cells") != len(header))]
+    cell = {c: F.when(F.size("cells") == len(header), F.get("cells", F.lit(i))) for i, c in enumerate(header)}
+    rules += [(F.lit(f"{c} has edge spaces"), cell[c] != F.trim(cell[c])) for c in header]
+    rules += [(F.lit(f"{c} is blank"), F.trim(cell[c]) == "") for c in key]
+    rules += [(F.lit(f"{c} is not in its vocabulary"), ~cell[c].isin(*allowed)) for c, allowed in (vocabulary or {}).items()]
+    bad = cells.select("file", "line", F.explode(F.array_compact(F.array(*[F.when(broken, what) for what, broken in rules]))).alias("violation"))
+    repeated = wide.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), F.max(F.struct("file", "line")).alias("at")).filter("c > 1")
+    bad = bad.unionAll(repeated.select("at.file", "at.line", F.lit("the key appears twice")))
     for c, frame in (known or {}).items():
-        add(F.lit(True), f"{c} is unknown", wide.join(frame.select(F.col(frame.columns[0]).cast("string").alias(c)).distinct(), c, "left_anti"))
-    return wide.drop("line"), bad
+        ids = frame.select(F.col(frame.columns[0]).cast("string").alias(c)).distinct()
+        bad = bad.unionAll(wide.join(ids, c, "left_anti").select("file", "line", F.lit(f"{c} is unknown")))
+    return wide.drop("file", "line"), bad
+
+
+def file_headers(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """file, header (array): the first line of every file, before any schema is bound to it."""
+    text = spark.read.option("lineSep", "\n").text(path)
+    at = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), "value")
+    first = at.filter("block = 0").groupBy("file").agg(F.min_by("value", "pos").alias("value"))
+    return first.select("file", F.split(F.regexp_replace("value", "\r$", ""), sep).alias("header"))
+
+
+def header_faults(headers: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """file, fault: columns that a file's header lacks, has besides, has twice, or has in another order."""
+    want = F.array(*map(F.lit, columns))
+    told = lambda what, names: F.when(F.size(names) > 0, F.concat(F.lit(f"{what} "), F.array_join(F.array_sort(names), ",")))
+    twice = F.array_distinct(F.filter("header", lambda c: F.size(F.filter("header", lambda d: d == c)) > 1))
+    same = F.array_sort("header") == F.array_sort(want)
+    faults = F.array_compact(F.array(told("missing", F.array_except(want, "header")), told("unknown", F.array_except("header", want)), told("twice", twice), F.when(same & (F.col("header") != want), "another order")))
+    return headers.select("file", F.explode(faults).alias("fault"))
+
+
+def wide_header_faults(headers: DataFrame, fixed: Sequence[str], keys: DataFrame, trailing: Sequence[str]) -> DataFrame:
+    """file, fault: the fixed columns come first, the trailing ones last, and between them one for each key, in any order.
+    keys: key, a table of its own; a file joins it once, by an array of it."""
+    n, m = len(fixed), len(trailing)
+    every = keys.agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    rows = headers.join(F.broadcast(every), F.lit(True)) if keys.limit(10_001).count() <= 10_000 else headers.join(every, F.lit(True))
+    size = F.size("header")
+    middle = F.slice("header", F.lit(n + 1), F.greatest(size - n - m, F.lit(0)))
+    told = lambda what, names: F.when(F.size(names) > 0, F.concat(F.lit(f"{what} "), F.array_join(F.array_sort(names), ",")))
+    first = F.slice("header", F.lit(1), F.lit(n)) != F.array(*map(F.lit, fixed)) if n else F.lit(False)
+    last = F.slice("header", F.greatest(size - m + 1, F.lit(1)), F.lit(m)) != F.array(*map(F.lit, trailing)) if m else F.lit(False)
+    faults = F.array_compact(F.array(F.when(first, "fixed columns"), F.when(last, "trailing columns"), told("seat missing", F.array_except("keys", middle)), told("seat unknown", F.array_except(middle, "keys"))))
+    return rows.select("file", F.explode(faults).alias("fault"))
 
 
 def read_overrides(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,14 +19,36 @@ def write_shards(tables: dict[str, tuple[DataFrame, Sequence[str]]], path: str)
         df.select(*columns).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
-def fingerprint(tables: dict[str, DataFrame]) -> DataFrame:
-    """table, rows, bits, sum: the same for the same rows in any order, counted with repetitions."""
-    out = None
-    for name, df in tables.items():
-        h = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
-        one = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("bits"), F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string").alias("sum")).select(F.lit(name).alias("table"), "rows", "bits", "sum")
-        out = one if out is None else out.unionByName(one)
-    return out
+def canonical(df: DataFrame) -> Column:
+    """A row as text that any engine can repeat: columns by name; whole numbers and text as they are, fractions with four
+    digits, times to the microsecond, each with its length before it, and n for null."""
+    def told(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        if kind in ("double", "float") or kind.startswith("decimal"):
+            c = c.cast("decimal(38,4)")
+        elif kind.startswith("timestamp"):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        c = c.cast("string")
+        return F.when(c.isNull(), "n").otherwise(F.concat(F.length(c).cast("string"), F.lit(":"), c))
+
+    kinds = dict(df.dtypes)
+    return F.concat(*[told(c, kinds[c]) for c in sorted(df.columns)])
+
+
+def fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """rows, w1 to w4: the same for the same rows in any order, counted with repetitions; a row for each value of by.
+
+    The w are sums of the four words of each row's MD5, so fingerprints of parts merge by addition."""
+    row = F.md5(canonical(df))
+    words = [F.conv(F.substring("_row", 8 * i + 1, 8), 16, 10).cast("decimal(38,0)").alias(f"w{i + 1}") for i in range(4)]
+    hashed = df.select(*by, row.alias("_row")).select(*by, *words, F.lit(1).cast("long").alias("rows"))
+    return merged_fingerprints(hashed, by)
+
+
+def merged_fingerprints(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One fingerprint of several: of a table's parts, or of tables that are appended. No rows have zeros."""
+    zero = lambda c, kind: F.coalesce(F.sum(c), F.lit(0)).cast(kind).alias(c)
+    return parts.groupBy(*by).agg(zero("rows", "long"), *[zero(f"w{i}", "decimal(38,0)") for i in range(1, 5)])
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str, version: str, check: Callable[[dict[str, DataFrame]], None]) -> str:
