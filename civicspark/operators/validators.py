@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import entities, quality
 
@@ -259,36 +260,72 @@ def slice_rules(items: DataFrame, spenders: DataFrame, windows: DataFrame) -> Da
     ])
 
 
-def home_rules(donors: DataFrame, facts: DataFrame, items: DataFrame, recipients: DataFrame, streams: DataFrame, groups: DataFrame, spending: DataFrame, feed: DataFrame, votes: DataFrame, inputs: DataFrame, least: float = 1_000, itemised: float = 50_000, rows: int = 10) -> DataFrame:
+def home_rules(
+    donors: DataFrame, facts: DataFrame, items: DataFrame, recipients: DataFrame, streams: DataFrame, groups: DataFrame, spending: DataFrame, feed: DataFrame, votes: DataFrame,
+    inputs: DataFrame, candidacies: DataFrame, link: str, least: float = 1_000, itemised: float = 50_000, rows: int = 10,
+) -> DataFrame:
     """DQ-18, the home page counted again from the facts (HP-1 to HP-9).
 
     facts: donor_id (the parent), committee_id, stream, cycle, amount, own_group; rows with own_group are counted apart.
     donors: donor_id, cycle, place, amount (a row a donor and cycle). items: donor_id, committee_id, amount. recipients:
-    committee_id. streams: stream, amount ("own_group" for what is apart). groups: group_id, amount. spending: group_id, amount.
-    feed, votes: date, vote_id, body; votes has all that may stand in the feed, which takes the latest. inputs: name, sha, now.
+    committee_id, office, filing_id, person. streams: stream, amount ("own_group" for what is apart). groups: group_id,
+    amount. spending: group_id, amount. feed, votes: date, vote_id, body; votes has all that may stand in the feed, which
+    takes the latest; feed has link, which is `link` and the vote for the school board's. inputs: name, sha, now.
+    candidacies: filing_id (each once), candidacy_id, race, person.
+
+    What is counted twice is one tagged union of both sides, each table read once, and one sum for each rule and key.
     """
-    money = lambda c: F.sum(c).cast(MONEY).alias("amount")
-    kept = facts.filter("NOT own_group")
-    by_cycle = kept.groupBy("donor_id", "cycle").agg(money("amount"))
-    totals = by_cycle.groupBy("donor_id").agg(F.sum("amount").alias("total"))
-    large = by_cycle.join(totals.filter(F.col("total") >= least).select("donor_id"), "donor_id", "left_semi")
-    apart = F.when(F.col("own_group"), "own_group").otherwise(F.col("stream"))
-    shown = donors.groupBy("donor_id").agg(F.sum("amount").alias("total"), F.min("place").alias("place"))
+    text = lambda c: F.col(c).cast("string")
+    none = F.lit(None).cast(MONEY)
+
+    def said(rule: str, key: Column, have: Column = none, want: Column = none, part: Column | None = None) -> Column:
+        return F.struct(F.lit(rule).alias("rule"), key.alias("key"), (F.lit("") if part is None else part).alias("part"), have.cast(MONEY).alias("have"), want.cast(MONEY).alias("want"))
+
+    def told(df: DataFrame, *entries: Column) -> DataFrame:
+        return df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+
+    amount, one = F.col("amount"), F.lit(1)
+    stream, donor, item, there, group = "HP-2 stream is the recount", "HP-3 donor is the recount", "HP-5 items make the donor", "HP-6 recipient is there", "HP-7 group is the recount"
+    both = union([
+        told(facts, said(stream, F.when(F.col("own_group"), "own_group").otherwise(F.col("stream")), want=amount), F.when(~F.col("own_group"), said(donor, text("donor_id"), want=amount, part=text("cycle")))),
+        told(streams, said(stream, F.col("stream"), have=amount)),
+        told(donors, said(donor, text("donor_id"), have=amount, part=text("cycle")), said(item, text("donor_id"), want=amount)),
+        told(items, said(item, text("donor_id"), have=amount), F.when(F.col("committee_id").isNotNull(), said(there, text("committee_id"), have=one))),
+        told(recipients, said(there, text("committee_id"), want=one)),
+        told(groups, said(group, text("group_id"), have=amount)),
+        told(spending, said(group, text("group_id"), want=amount)),
+    ])
+    sums = both.groupBy("rule", "key", "part").agg(F.sum("have").cast(MONEY).alias("have"), F.sum("want").cast(MONEY).alias("want"))
+    of_key = F.sum("want").over(Window.partitionBy("rule", "key"))
+    meant = F.when((F.col("rule") == donor) & (F.col("total") < least), None).when((F.col("rule") == item) & (F.col("want") < itemised), None).otherwise(F.col("want"))
+    differs_from = F.when(F.col("rule") == there, F.col("have").isNotNull() & F.col("want").isNull()).otherwise(F.coalesce("have", F.lit(0)) != F.coalesce("meant", F.lit(0)))
+    counted = sums.withColumn("total", of_key).withColumn("meant", meant).filter(differs_from)
+    found = counted.select("rule", F.lit(quality.ERROR).alias("severity"), F.concat_ws("/", "key", F.nullif("part", F.lit(""))).alias("key"), F.lit("").alias("detail"))
+
     # In the order of their places no total may rise, and equal totals go by id: neighbours are places that differ by one.
-    after = shown.select((F.col("place") - 1).alias("place"), F.col("donor_id").alias("next"), F.col("total").alias("next_total"))
-    wrong = (F.col("next_total") > F.col("total")) | (F.col("next_total") == F.col("total")) & (F.col("next") < F.col("donor_id"))
-    listed = items.groupBy("donor_id").agg(money("amount"))
-    latest = votes.orderBy(F.desc("date"), F.desc("body"), F.desc("vote_id")).limit(rows)
-    spent = spending.groupBy("group_id").agg(money("amount")).filter("amount <> 0")
+    shown = donors.groupBy("donor_id").agg(F.sum("amount").alias("total"), F.min("place").alias("place"))
+    beside = shown.select(F.explode(F.array(F.struct("place", F.lit(False).alias("next")), F.struct((F.col("place") - 1).alias("place"), F.lit(True).alias("next")))).alias("x"), F.struct("total", "donor_id").alias("d"))
+    pairs = beside.groupBy("x.place").agg(F.max(F.when(~F.col("x.next"), F.col("d"))).alias("a"), F.max(F.when(F.col("x.next"), F.col("d"))).alias("b"))
+    wrong = (F.col("b.total") > F.col("a.total")) | (F.col("b.total") == F.col("a.total")) & (F.col("b.donor_id") < F.col("a.donor_id"))
+    ranked = quality.violations(pairs.filter(wrong), "HP-4 donors are ranked", F.col("a.donor_id"))
+
+    mine = candidacies.select(F.col("filing_id").alias("_filing"), "candidacy_id", "race", F.col("person").alias("_person"))
+    known = recipients.join(mine, F.col("filing_id") == F.col("_filing"), "left")
+    mayor = F.col("office") == "mayor"
+    for_mayor = F.coalesce(F.col("race") == "mayor", F.lit(False))
+    people = quality.row_rules(known, "committee_id", {
+        "HP-6 mayoral recipient has a candidacy": mayor & ~for_mayor,
+        "HP-6 mayoral recipient names its candidacy": mayor & for_mayor & ~F.col("person").eqNullSafe(F.concat(F.lit("mayor-"), F.get(F.split("candidacy_id", "-"), F.lit(1)))),
+        "HP-6 recipient names its person": ~mayor & ~for_mayor & F.col("_person").isNotNull() & ~F.col("person").eqNullSafe(F.col("_person")),
+    })
+
     fed = ["date", "body", "vote_id"]
-    return union([
-        quality.row_rules(inputs, "name", {"HP-1 input is unchanged": differs("sha", "now")}),
-        compared(streams, facts.groupBy(apart.alias("stream")).agg(money("amount")), ["stream"], {"amount": "HP-2 stream is the recount"}),
-        compared(donors, large, ["donor_id", "cycle"], {"amount": "HP-3 donor is the recount"}),
-        quality.violations(shown.join(after, "place").filter(wrong), "HP-4 donors are ranked", F.col("donor_id")),
-        compared(listed, shown.filter(F.col("total") >= itemised).withColumnRenamed("total", "amount"), ["donor_id"], {"amount": "HP-5 items make the donor"}),
-        quality.unresolved(items, "committee_id", recipients, "committee_id", "HP-6 recipient is there"),
-        compared(groups, spent, ["group_id"], {"amount": "HP-7 group is the recount"}),
-        quality.violations(feed.select(*fed).exceptAll(latest.select(*fed)), "HP-8 feed is the latest", F.col("vote_id"), "extra"),
-        quality.violations(latest.select(*fed).exceptAll(feed.select(*fed)), "HP-8 feed is the latest", F.col("vote_id"), "missing"),
-    ])
+    latest = votes.orderBy(F.desc("date"), F.desc("body"), F.desc("vote_id")).limit(rows).select(*fed, F.lit(-1).alias("n"), F.lit(True).alias("linked"))
+    right = F.concat(F.lit(link), F.replace(F.url_encode("vote_id"), F.lit("+"), F.lit("%20")))
+    linked = (F.col("body") != "school_board") | F.col("link").eqNullSafe(right)
+    each = feed.select(*fed, F.lit(1).alias("n"), linked.alias("linked")).unionAll(latest).groupBy(*fed).agg(F.sum("n").cast("int").alias("n"), F.count_if(~F.col("linked")).cast("int").alias("astray"))
+    fault = lambda rule, detail, times: F.array_repeat(F.struct(F.lit(rule).alias("rule"), F.lit(detail).alias("detail")), F.greatest(times, F.lit(0)))
+    faults = F.concat(fault("HP-8 feed is the latest", "extra", F.col("n")), fault("HP-8 feed is the latest", "missing", -F.col("n")), fault("HP-8 link leads to the vote", "", F.col("astray")))
+    news = each.select(F.explode(faults).alias("f"), "vote_id").select("f.rule", F.lit(quality.ERROR).alias("severity"), F.col("vote_id").alias("key"), "f.detail")
+    unchanged = quality.row_rules(inputs, "name", {"HP-1 input is unchanged": differs("sha", "now")})
+    return union([unchanged, found, ranked, people, news])

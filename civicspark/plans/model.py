@@ -87,13 +87,13 @@ def oracle(body: str) -> str:
     return "WITH " + ",\n".join(used) + "\n" + body
 
 
-def given(spark: SparkSession, sf_dir: str, body: str) -> DataFrame:
-    """The same statement on Spark. Given tables go in as frames, so no view of the caller is replaced."""
-    statement = oracle(body).replace("{", "{{").replace("}", "}}")
-    used = [t for t in RAW if re.search(rf"\b(FROM|JOIN)\s+{t}\b", statement)]
+def given(spark: SparkSession, sf_dir: str, body: str, more: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The same statement on Spark. Given tables, and frames in more, go in as frames, so no view of the caller is replaced."""
+    statement, more = oracle(body).replace("{", "{{").replace("}", "}}"), more or {}
+    used = [t for t in [*RAW, *more] if re.search(rf"\b(FROM|JOIN)\s+{t}\b", statement)]
     for t in used:
         statement = re.sub(rf"\b(FROM|JOIN)\s+{t}\b", rf"\1 {{{t}}}", statement)
-    return spark.sql(statement, **{t: raw(spark, sf_dir, t) for t in used})
+    return spark.sql(statement, **{t: more[t] if t in more else raw(spark, sf_dir, t) for t in used})
 
 
 def model(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
