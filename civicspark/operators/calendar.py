@@ -62,13 +62,29 @@ def with_window(facts: DataFrame, windows: DataFrame, date: str = "date", office
     return joined.withColumn(out, first["window_id"]).drop("_kind", "_all")
 
 
-def first_period(facts: DataFrame, periods: DataFrame, keys: list[str], date: str, order: list[str], columns: list[str]) -> DataFrame:
-    """facts with columns of the first period, by order, of its keys that holds its date; null where none does.
+def leading_periods(periods: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The periods of each key that are the first, by beg, then fin, for some day; of equal ones that of the least columns.
 
-    periods: keys, beg, fin, columns. They are gathered by key first (a filer has few), so a fact joins one
-    row and no fact is multiplied."""
+    A period that ends no later than one before it in that order is never first, so each that stays ends on a day of
+    its own: there are no more than days, however many were filed. Null ends are open."""
+    rest = [c for c in columns if c not in ("beg", "fin")]
+    one = periods.groupBy(*keys, "beg", "fin").agg(F.min(F.struct(*rest)).alias("_rest")) if rest else periods.select(*keys, "beg", "fin").distinct()
+    end = F.coalesce("fin", F.lit("9999-12-31").cast("date"))
+    earlier = Window.partitionBy(*keys).orderBy(F.col("beg").asc_nulls_first(), end).rowsBetween(Window.unboundedPreceding, -1)
+    kept = one.withColumn("_upto", F.max(end).over(earlier)).filter(F.col("_upto").isNull() | (end > F.col("_upto")))
+    return kept.select(*keys, "beg", "fin", *[F.col(f"_rest.{c}").alias(c) for c in rest])
+
+
+def first_period(facts: DataFrame, periods: DataFrame, keys: list[str], date: str, columns: list[str]) -> DataFrame:
+    """facts with columns of the first period, by beg, then fin, of its keys that holds its date; null where none does.
+
+    periods: keys, beg, fin, columns. Those that lead on some day are gathered by key (no more than there are days), so
+    a fact joins one row and no fact is multiplied."""
     inner = list(dict.fromkeys(["beg", "fin", *columns]))
-    listed = periods.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.array_sort(F.collect_list(F.struct(*order, *[c for c in inner if c not in order]))).alias("_periods"))
+    lead = leading_periods(periods, keys, inner)
+    # Each that leads has a beginning or an end of its own; an open end comes after all others.
+    ordered = F.array_sort(F.collect_list(F.struct("beg", F.coalesce("fin", F.lit("9999-12-31").cast("date")).alias("end"), F.struct(*inner).alias("p"))))
+    listed = lead.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.transform(ordered, lambda x: x["p"]).alias("_periods"))
     joined = facts.join(listed, [F.col(k) == F.col(f"_{k}") for k in keys], "left")
     hit = F.try_element_at(F.filter("_periods", lambda p: contains(F.col(date), p["beg"], p["fin"])), F.lit(1))
     return joined.withColumn("_hit", hit).select(*facts.columns, *[F.col(f"_hit.{c}").alias(c if c not in facts.columns else f"period_{c}") for c in columns])

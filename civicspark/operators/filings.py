@@ -27,8 +27,12 @@ def overlap_superseders(finals: DataFrame) -> DataFrame:
 
 
 def final_filings(filings: DataFrame) -> DataFrame:
+    """latest_versions() without those that a later-received one with an overlapping period supersedes."""
     latest = latest_versions(filings)
-    return latest.join(overlap_superseders(latest).select("doc_id"), "doc_id", "left_anti")
+    listed = latest.groupBy("committee_id").agg(F.collect_list(F.struct(*latest.columns)).alias("all"))
+    each = listed.select(F.explode("all").alias("f"), "all")
+    later = F.exists("all", lambda x: (x["received"] > F.col("f.received")) & (F.col("f.beg") <= x["fin"]) & (x["beg"] <= F.col("f.fin")))
+    return each.filter(~later).select("f.*")
 
 
 def sworn_amounts(finals: DataFrame, sworn: DataFrame) -> DataFrame:
@@ -43,27 +47,38 @@ def orphan_totals(sworn: DataFrame, filings: DataFrame) -> DataFrame:
     return sworn.join(filings.select("doc_id"), "doc_id", "left_anti").select("doc_id")
 
 
-def reconcile_periods(periods: DataFrame, facts: DataFrame, itemised_types: list[str], in_kind_type: str) -> DataFrame:
+def matched_facts(periods: DataFrame, facts: DataFrame, itemised_types: list[str], in_kind_type: str, aggregate: Column) -> DataFrame:
+    """committee_id, beg, fin, date, itemised, in_kind, open, aggregate: sums of the facts by the first filed period that
+    holds their date, and by date where none does (beg is null). open is itemised money that isn't aggregate. One pass
+    for both grains of a reconciliation.
+
+    periods: committee_id, beg, fin. facts: committee_id, date, amount, contribution_type and what aggregate needs."""
+    item, kind = F.col("contribution_type").isin(*itemised_types), F.col("contribution_type") == in_kind_type
+    money = lambda c: F.when(c, F.col("amount"))
+    marked = facts.select("committee_id", "date", money(item).alias("itemised"), money(kind).alias("in_kind"), money(item & ~aggregate).alias("open"), money(aggregate).alias("aggregate"))
+    hit = first_period(marked, periods.select("committee_id", "beg", "fin"), ["committee_id"], "date", ["beg", "fin"])
+    by = hit.groupBy("committee_id", "beg", "fin", F.when(F.col("beg").isNull(), F.col("date")).alias("date"))
+    return by.agg(*[total(F.col(c)).alias(c) for c in ("itemised", "in_kind", "open", "aggregate")])
+
+
+def reconcile_periods(periods: DataFrame, matched: DataFrame) -> DataFrame:
     """Ours against sworn, by filed period. Each fact counts in the first period that holds its date.
 
-    periods: committee_id, beg, fin, itemised, in_kind. facts: committee_id, date, amount, contribution_type."""
-    wanted = facts.filter(F.col("contribution_type").isin(*itemised_types, in_kind_type) & F.col("date").isNotNull())
-    hit = first_period(wanted, periods.select("committee_id", "beg", "fin"), ["committee_id"], "date", ["beg", "fin"], ["beg", "fin"])
-    item = F.col("contribution_type").isin(*itemised_types)
-    ours = hit.filter("beg IS NOT NULL").groupBy("committee_id", "beg", "fin").agg(total(F.when(item, F.col("amount"))).alias("ours_itemised"), total(F.when(~item, F.col("amount"))).alias("ours_in_kind"))
+    periods: committee_id, beg, fin, itemised, in_kind. matched: of matched_facts()."""
+    ours = matched.filter("beg IS NOT NULL").select("committee_id", "beg", "fin", F.col("itemised").alias("ours_itemised"), F.col("in_kind").alias("ours_in_kind"))
     zero = F.lit(0).cast(MONEY)
     out = periods.join(ours, ["committee_id", "beg", "fin"], "left").withColumn("ours_itemised", F.coalesce("ours_itemised", zero)).withColumn("ours_in_kind", F.coalesce("ours_in_kind", zero))
     return out.select("committee_id", "beg", "fin", "itemised", "ours_itemised", (F.col("ours_itemised") - F.col("itemised")).cast(MONEY).alias("residual"), "in_kind", "ours_in_kind", ((F.col("ours_itemised") == 0) & (F.col("itemised") > 0)).alias("coverage_miss"))
 
 
-def reconcile_committees(by_period: DataFrame, facts: DataFrame, itemised_types: list[str], aggregate: Column, threshold: float, filers: DataFrame) -> DataFrame:
+def reconcile_committees(periods: DataFrame, matched: DataFrame, threshold: float, filers: DataFrame) -> DataFrame:
     """State and flags of each of filers: RECONCILED when every period agrees to the cent in sum, else RESIDUAL;
     TOO-NEW, without flags or figures, where no period has been filed. PENDING for money after the last filed
-    period, OVER-THRESHOLD, COVERAGE-MISS."""
+    period, OVER-THRESHOLD, COVERAGE-MISS. periods: of sworn_amounts(). matched: of matched_facts()."""
+    by_period = reconcile_periods(periods, matched)
     differs = (F.col("ours_itemised") + F.col("ours_in_kind")) != (F.col("itemised") + F.col("in_kind"))
     sums = by_period.groupBy("committee_id").agg(F.count(F.lit(1)).alias("periods"), total(F.col("itemised")).alias("sworn_itemised"), total(F.col("ours_itemised")).alias("ours_itemised"), total(F.col("in_kind")).alias("sworn_in_kind"), total(F.col("ours_in_kind")).alias("ours_in_kind"), F.bool_or(differs).alias("differs"), F.bool_or("coverage_miss").alias("miss"), F.max("fin").alias("last_end"))
-    late = facts.join(sums.select("committee_id", "last_end"), "committee_id")
-    pend = late.groupBy("committee_id").agg(total(F.when(F.col("contribution_type").isin(*itemised_types) & ~aggregate & (F.col("date") > F.col("last_end")), F.col("amount"))).alias("pending"), total(F.when(aggregate, F.col("amount"))).alias("aggregate"))
+    pend = matched.join(sums.select("committee_id", "last_end"), "committee_id").groupBy("committee_id").agg(total(F.when(F.col("date") > F.col("last_end"), F.col("open"))).alias("pending"), total(F.col("aggregate")).alias("aggregate"))
     zero = F.lit(0).cast(MONEY)
     out = sums.join(pend, "committee_id", "left").withColumn("residual", (F.col("ours_itemised") - F.col("sworn_itemised")).cast(MONEY)).withColumn("pending", F.coalesce("pending", zero)).withColumn("aggregate", F.coalesce("aggregate", zero))
     flags = F.concat_ws(",", F.when(F.col("pending") > 0, "PENDING"), F.when(F.abs("residual") > threshold, "OVER-THRESHOLD"), F.when(F.col("miss"), "COVERAGE-MISS"))

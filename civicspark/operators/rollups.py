@@ -91,12 +91,19 @@ def apportion(df: DataFrame, keys: Sequence[str], name: str, value: str, scale:
 def coverage(rows: DataFrame, keys: Sequence[str], threshold: float = 0.5) -> DataFrame:
     """Dollars and apportioned shares by industry class, and whether the substantive share meets the threshold.
 
-    rows: keys, industry_class, amount."""
-    classes = ["individual_only", "substantive", "unclassified"]
-    sums = rows.groupBy(*keys).agg(*[total(F.when(F.col("industry_class") == c, F.col("amount"))).alias(c) for c in classes], total(F.col("amount")).alias("donor_total"), F.count(F.lit(1)).alias("donor_count"))
-    long = sums.select(*keys, F.explode(F.array(*[F.struct(F.lit(c).alias("class"), F.col(c).alias("dollars")) for c in classes])).alias("x")).select(*keys, "x.class", "x.dollars")
-    shares = apportion(long, keys, "class", "dollars").groupBy(*keys).agg(*[F.max(F.when(F.col("class") == c, F.col("units"))).alias(f"{c}_units") for c in classes])
-    return sums.join(shares, list(keys)).withColumn("meets", F.col("substantive_units") >= int(threshold * 1_000_000))
+    rows: keys, industry_class, amount. The classes are few, so a row of them is apportioned as apportion() does, in place:
+    floors, then one more for the largest remainders, ties by name."""
+    classes, scale = ["individual_only", "substantive", "unclassified"], 1_000_000
+    by_class = [total(F.when(F.col("industry_class") == c, F.col("amount"))).alias(c) for c in classes]
+    sums = rows.groupBy(*keys).agg(*by_class, total(F.col("amount")).alias("donor_total"), F.count(F.lit(1)).alias("donor_count"))
+    whole = sum((F.col(c) for c in classes[1:]), F.col(classes[0]))
+    exact = {c: F.when(whole != 0, F.col(c).cast("decimal(20,2)") * F.lit(scale) / whole.cast("decimal(20,2)")).otherwise(F.lit(0)).cast("decimal(30,10)") for c in classes}
+    cut = sums.withColumns({f"_{c}": x for c, x in exact.items()}).withColumns({f"_f_{c}": F.floor(f"_{c}").cast("long") for c in classes})
+    rest = F.array_sort(F.array(*[F.struct((F.col(f"_f_{c}") - F.col(f"_{c}")).alias("less"), F.lit(c).alias("class")) for c in classes]))
+    short = F.when(whole != 0, F.lit(scale) - sum((F.col(f"_f_{c}") for c in classes[1:]), F.col(f"_f_{classes[0]}"))).otherwise(F.lit(0)).cast("int")
+    raised = cut.withColumn("_up", F.transform(F.slice(rest, F.lit(1), short), lambda x: x["class"]))
+    out = raised.withColumns({f"{c}_units": F.col(f"_f_{c}") + F.array_contains("_up", c).cast("long") for c in classes})
+    return out.select(*keys, *classes, "donor_total", "donor_count", *[f"{c}_units" for c in classes], (F.col("substantive_units") >= int(threshold * scale)).alias("meets"))
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from civicspark.functions.money import total
 from civicspark.operators import calendar, filings
+from civicspark.sources.work import folder
 
-from .model import model, oracle
+from .model import model, oracle, raw
 from .money import M
 from .registry import query
 
@@ -47,14 +48,27 @@ def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filings.sworn_amounts(filings.final_filings(own_filings(spark, sf_dir)), model(spark, sf_dir, "sworn"))
 
 
+def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """df, written once: what several grains read."""
+    path = folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def matched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The sworn periods, and the facts summed by them; each given table is read once."""
+    p = stored(spark, periods(spark, sf_dir), "periods")
+    return p, stored(spark, filings.matched_facts(p, facts(spark, sf_dir), TYPES, IN_KIND, F.col("is_aggregate")), "matched")
+
+
 def by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filings.reconcile_periods(periods(spark, sf_dir), facts(spark, sf_dir), TYPES, IN_KIND)
+    return filings.reconcile_periods(*matched(spark, sf_dir))
 
 
 def by_committee(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The registry holds those who file here and committees of another kind that have filed nothing yet.
-    registry = model(spark, sf_dir, "donors").select(F.col("donor_id").alias("committee_id")).unionByName(model(spark, sf_dir, "committees").select((-1 - F.col("committee_id")).alias("committee_id")))
-    return filings.reconcile_committees(by_period(spark, sf_dir), facts(spark, sf_dir), TYPES, F.col("is_aggregate"), 100000, registry)
+    registry = raw(spark, sf_dir, "customer").select(F.col("c_custkey").alias("committee_id")).unionByName(raw(spark, sf_dir, "supplier").select((-1 - F.col("s_suppkey")).alias("committee_id")))
+    return filings.reconcile_committees(*matched(spark, sf_dir), 100000, registry)
 
 
 @query("ag8_latest_versions", oracle(OWN + LATEST + " SELECT * FROM latest"))
@@ -95,19 +109,21 @@ def ag11(spark: SparkSession, sf_dir: str) -> DataFrame:
 GAPS = ", gaps AS (SELECT committee_id, beg, fin, CASE WHEN committee_id % 3 = 0 THEN CAST(residual + 1 AS DECIMAL(18,2)) ELSE residual END AS amount, 'reason ' || committee_id % 5 AS reason FROM per WHERE committee_id % 4 = 0)"
 
 
-def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = by_period(spark, sf_dir).filter("committee_id % 4 = 0")
+def gaps(by: DataFrame) -> DataFrame:
+    p = by.filter("committee_id % 4 = 0")
     return p.select("committee_id", "beg", "fin", F.when(F.col("committee_id") % 3 == 0, F.col("residual") + 1).otherwise(F.col("residual")).cast("decimal(18,2)").alias("amount"), F.concat(F.lit("reason "), (F.col("committee_id") % 5).cast("string")).alias("reason"))
 
 
 @query("jn36_known_gaps", oracle(PERIODS + FACTS + GAPS + " SELECT p.committee_id, p.beg, p.fin, p.residual, g.reason FROM per p JOIN gaps g ON p.committee_id = g.committee_id AND p.beg = g.beg AND p.fin = g.fin AND p.residual = g.amount"))
 def jn36(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filings.apply_known_gaps(by_period(spark, sf_dir), gaps(spark, sf_dir))[0]
+    by = by_period(spark, sf_dir)
+    return filings.apply_known_gaps(by, gaps(by))[0]
 
 
 @query("jn36_stale_gaps", oracle(PERIODS + FACTS + GAPS + " SELECT * FROM gaps g WHERE NOT EXISTS (SELECT 1 FROM per p WHERE p.committee_id = g.committee_id AND p.beg = g.beg AND p.fin = g.fin AND p.residual = g.amount)"))
 def jn36b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filings.apply_known_gaps(by_period(spark, sf_dir), gaps(spark, sf_dir))[1]
+    by = by_period(spark, sf_dir)
+    return filings.apply_known_gaps(by, gaps(by))[1]
 
 
 @query("ag13_latest_cash", oracle(OWN + LATEST + """, last AS (SELECT committee_id, arg_max(doc_id, (fin, beg, doc_id)) AS doc_id, max(fin) AS as_of FROM finals GROUP BY 1)
