@@ -220,12 +220,13 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 def forest_roots(forest: DataFrame) -> DataFrame:
     """node, root for every node with a parent. forest: node, root, a parent each and no cycles. Each round
-    halves the ways to the roots."""
+    takes the ways to the roots to a third."""
     now = materialise(forest.withColumn("moved", F.lit(True)), "near-roots")
     while not now.filter("moved").isEmpty():
-        up = now.select(F.col("node").alias("root"), F.col("root").alias("onward"))
-        moved = now.join(_hinted(up), "root", "left").select("node", F.coalesce("onward", "root").alias("root"), F.col("onward").isNotNull().alias("moved"))
-        now = materialise(moved, "near-roots")
+        up = _hinted(now.select(F.col("node").alias("root"), F.col("root").alias("onward")))
+        for _ in range(2):
+            now = now.join(up, "root", "left").select("node", F.coalesce("onward", "root").alias("root"), F.col("onward").isNotNull().alias("moved"))
+        now = materialise(now, "near-roots")
     return now.select("node", "root")
 
 
@@ -324,14 +325,15 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     nodes = materialise(nodes, "near-nodes")
     keyed = nodes.select(F.explode("bands").alias("key"), "node", "id", "n")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = materialise(keyed.join(shared, "key"), "near-buckets")
-    wanted = materialise(buckets.groupBy("node").agg(F.first("id").alias("id"), F.sum("members").alias("met")), "near-wanted")
+    met = F.sum("members").over(Window.partitionBy("node"))  # a node has a row a band
+    placed = materialise(keyed.join(shared, "key").select("key", "node", "id", "n", met.alias("met")), "near-placed")
+    wanted = materialise(placed.groupBy("node").agg(F.first("id").alias("id")), "near-wanted")
+    placed = placed.drop("id")
     sets = materialise(_sets(docs, id_col, text_col, wanted), "near-sets")
-    if not sets.groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():
-        # Rows that repeat an id, or texts of one id with equal sets: one set a node, or each link would be several.
+    if sets.count() > wanted.count():
+        # Rows that repeat an id, or several texts of one: one set a node, or each link would be several.
         sets = materialise(sets.dropDuplicates(["node"]), "near-sets")
 
-    placed = materialise(buckets.select("key", "node", "n").join(_hinted(wanted.select("node", "met")), "node"), "near-placed")
     roots = forest_roots(_confirm(_hub_links(placed), sets).select(F.col("a").alias("node"), F.col("b").alias("root")))
     rooted = materialise(placed.join(_hinted(roots), "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")), "near-rooted")
     more = materialise(_open_links(rooted, sets), "near-edges")
@@ -346,8 +348,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         of_node = of_node.join(_hinted(onward), "root", "left").select("node", "id", F.coalesce("onward", "root").alias("root"))
     of_node = materialise(of_node, "near-members")
     least = of_node.groupBy("root").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("nodes")).filter("nodes > 1").drop("nodes")
-    linked = materialise(of_node.select("node", "root").join(least, "root"), "near-linked")
-    every = nodes.select("node", "id").join(_hinted(linked), "node", "left")
+    linked = of_node.select("node", "root").join(least, "root")
+    every = nodes.select("node", "id").join(linked, "node", "left")
     every = every.select("node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "id").alias("component_id"))
     result = signed.select("id", "node", "n").join(every, "node", "left")
     return result.withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
