@@ -18,7 +18,17 @@ UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; those of whole texts over all cores, see spread()."""
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(found) if name in ("documents", "pages") else found
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table of one small file can't be split by its reader, so its rows are dealt over the session's cores. A table that
+    is read in as many parts as there are cores, or more, stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df.select(F.spark_partition_id().alias("part")).distinct().count()
+    return df.repartition(cores) if parts < cores else df
 
 
 def text_or_empty(column: str) -> Column:
