@@ -203,7 +203,7 @@ def test_control_id_must_occur(spark):
 
 def test_fingerprint_ignores_order_but_not_repetitions(spark):
     rows = [(1, "a"), (2, "b"), (2, "b")]
-    one = lambda r: sinks.fingerprint({"t": spark.createDataFrame(r, "k int, v string")}).first()
+    one = lambda r: sinks.fingerprint(spark.createDataFrame(r, "k int, v string")).first()
     assert one(rows) == one(rows[::-1]) and one(rows) != one(rows[:2])
 
 
