@@ -235,6 +235,36 @@ def donor_list_rules(figures: DataFrame, source: DataFrame, donors: DataFrame, i
     ])
 
 
+def scope_rules(scope: DataFrame, facts: DataFrame, stated: DataFrame, recorded: DataFrame, listed: DataFrame) -> DataFrame:
+    """DQ-16, what a board's page says of its own scope, counted again from the facts in one pass.
+
+    scope: seat, committee_id. facts: committee_id, donor_id, date, amount, other_receipt (left out of the page), report
+    (quarterly, large_gift or null), is_self. stated: one row: other_amount, other_count, quarterly, large_gift (latest dates), built.
+    recorded, listed: seat, donor_id: self-funders as recorded, and donors that the page lists. A committee may serve several seats."""
+    seats = scope.groupBy("committee_id").agg(F.collect_set("seat").alias("seats"))
+    within = facts.join(seats, "committee_id", "left")
+    inside = F.col("seats").isNotNull() & F.col("other_receipt")
+    latest = lambda kind: F.max(F.when(F.col("report") == kind, F.col("date"))).alias(f"r_{kind}")
+    again = within.agg(F.coalesce(F.sum(F.when(inside, F.col("amount"))), F.lit(0)).alias("r_amount"), F.count_if(inside).alias("r_count"), latest("quarterly"), latest("large_gift"))
+    late = lambda kind: F.coalesce(F.col(kind) > F.col("built"), F.lit(False))
+    one = quality.row_rules(stated.join(again, F.lit(True)).withColumn("page", F.lit("page")), "page", {
+        "other receipts are the recount": F.col("other_amount") != F.col("r_amount"),
+        "other receipts are counted": F.col("other_count") != F.col("r_count"),
+        "quarterly date is the latest": differs("quarterly", "r_quarterly"),
+        "large gift date is the latest": differs("large_gift", "r_large_gift"),
+        "no date is after the build": late("quarterly") | late("large_gift"),
+    })
+    selves = within.filter(F.col("is_self") & F.col("seats").isNotNull()).select(F.explode("seats").alias("seat"), "donor_id").distinct()
+    sides = union([df.select("seat", "donor_id", F.lit(i).alias("side")) for i, df in enumerate((selves, recorded, listed))])
+    each = sides.groupBy("seat", "donor_id").agg(*[F.bool_or(F.col("side") == i).alias(n) for i, n in enumerate(("source", "recorded", "listed"))])
+    people = quality.row_rules(each.withColumn("key", text_of("seat", "donor_id")), "key", {
+        "self-funder is not listed": F.col("source") & F.col("listed"),
+        "self-funder is recorded": F.col("source") & ~F.col("recorded"),
+        "recorded self-funder is one": F.col("recorded") & ~F.col("source"),
+    })
+    return union([one, people])
+
+
 def vocabulary_rules(used: DataFrame, vocabulary: DataFrame, clusters_used: DataFrame, clusters: DataFrame) -> DataFrame:
     """DQ-16, labels. used: tag. vocabulary: tag, label, colour. clusters_used, clusters: cluster_id."""
     blank = (F.coalesce("label", F.lit("")) == "") | (F.coalesce("colour", F.lit("")) == "")

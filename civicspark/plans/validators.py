@@ -100,6 +100,17 @@ PLANTED = {
         spender_id, date, amount FROM expenditures""",
     "v_spender": f"SELECT election, spender_id, CAST(sum(amount) + CASE WHEN spender_id % 10 = 0 THEN 1 ELSE 0 END AS {D}) AS amount FROM v_slice GROUP BY 1, 2",
     "v_window": "SELECT window_id AS election, start_date, end_date FROM windows WHERE office_type = 'municipal'",
+    # A board's page: its committees, the facts, and what the page says of them; one committee in seven serves two seats.
+    "v_scope": """SELECT s_suppkey % 21 AS seat, s_suppkey AS committee_id FROM supplier WHERE s_suppkey % 4 = 2
+        UNION ALL SELECT (s_suppkey + 1) % 21, s_suppkey FROM supplier WHERE s_suppkey % 28 = 2""",
+    "v_scope_fact": """SELECT committee_id, donor_id, date, amount, contribution_type = 'Other Receipt' AND NOT is_own_committee AND NOT is_aggregate AS other_receipt,
+        CASE source_filing % 3 WHEN 0 THEN 'quarterly' WHEN 1 THEN 'large_gift' END AS report, donor_id % 50 = committee_id % 50 AS is_self FROM contributions""",
+    "v_scope_said": f"""SELECT CAST(sum(CASE WHEN other_receipt AND s IS NOT NULL THEN amount ELSE 0 END) + 1 AS {D}) AS other_amount, count(CASE WHEN other_receipt AND s IS NOT NULL THEN 1 END) AS other_count,
+        max(CASE WHEN report = 'quarterly' THEN date END) AS quarterly, DATE '2003-01-01' AS large_gift, DATE '2002-06-30' AS built
+        FROM v_scope_fact LEFT JOIN (SELECT DISTINCT committee_id AS s FROM v_scope) q ON committee_id = s""",
+    "v_scope_self": """SELECT DISTINCT v.seat, CASE WHEN f.donor_id % 12 = 5 THEN -f.donor_id ELSE f.donor_id END AS donor_id FROM v_scope_fact f JOIN v_scope v ON f.committee_id = v.committee_id
+        WHERE f.is_self AND f.donor_id % 9 <> 4""",
+    "v_scope_list": """SELECT DISTINCT v.seat, f.donor_id FROM v_scope_fact f JOIN v_scope v ON f.committee_id = v.committee_id WHERE NOT f.is_self OR f.donor_id % 40 = 6""",
     # The home page and the facts it is made from.
     "v_home_fact": """SELECT d.parent_id AS donor_id, c.committee_id, CASE WHEN m.type = 'candidate' THEN m.office ELSE 'groups' END AS stream,
         CASE WHEN c.date <= DATE '1997-05-31' THEN '1997' WHEN c.date <= DATE '1999-05-31' THEN '1999' ELSE '2001' END AS cycle, c.amount,
@@ -269,6 +280,26 @@ def dq16_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validators.anchor_rules(*tables(spark, sf_dir, "v_seat", "v_stand", "v_link"))
 
 
+@query("dq16_scope", rules(
+    rule("other receipts are the recount", "said, again WHERE other_amount <> r_amount", "'page'"),
+    rule("other receipts are counted", "said, again WHERE other_count <> r_count", "'page'"),
+    rule("quarterly date is the latest", "said, again WHERE quarterly IS DISTINCT FROM r_quarterly", "'page'"),
+    rule("large gift date is the latest", "said, again WHERE large_gift IS DISTINCT FROM r_large", "'page'"),
+    rule("no date is after the build", "said WHERE quarterly > built OR large_gift > built", "'page'"),
+    rule("self-funder is not listed", "selves s JOIN v_scope_list l ON s.seat = l.seat AND s.donor_id = l.donor_id", "s.seat || '/' || s.donor_id"),
+    rule("self-funder is recorded", "selves s WHERE NOT EXISTS (SELECT 1 FROM v_scope_self r WHERE r.seat = s.seat AND r.donor_id = s.donor_id)", "s.seat || '/' || s.donor_id"),
+    rule("recorded self-funder is one", "v_scope_self r WHERE NOT EXISTS (SELECT 1 FROM selves s WHERE r.seat = s.seat AND r.donor_id = s.donor_id)", "r.seat || '/' || r.donor_id"),
+    heads=""", said AS (SELECT * FROM v_scope_said)
+      , again AS (SELECT sum(amount) FILTER (other_receipt AND committee_id IN (SELECT committee_id FROM v_scope)) AS r_amount, count(*) FILTER (other_receipt AND committee_id IN (SELECT committee_id FROM v_scope)) AS r_count,
+          max(date) FILTER (report = 'quarterly') AS r_quarterly, max(date) FILTER (report = 'large_gift') AS r_large FROM v_scope_fact)
+      , selves AS (SELECT DISTINCT v.seat, f.donor_id FROM v_scope_fact f JOIN v_scope v ON f.committee_id = v.committee_id WHERE f.is_self)""",
+))
+def dq16_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["v_scope", "v_scope_fact", "v_scope_said", "v_scope_self", "v_scope_list"]
+    made = stored(spark, sf_dir, names, ["v_scope_fact"])
+    return validators.scope_rules(*[made[n] for n in names])
+
+
 @query("dq16_donor_lists", rules(
     *[rule(f"{s} is its source", f"v_figure f JOIN v_source s ON f.seat = s.seat AND f.election = s.election WHERE f.{s} <> s.{s}", "f.seat || '/' || f.election") for s in ("direct", "self_funding", "ie_support", "ie_oppose")],
     rule("donors make direct", "f WHERE got <> direct", "k"),
