@@ -16,23 +16,87 @@ def latest_versions(filings: DataFrame) -> DataFrame:
     return filings.groupBy("committee_id", "beg", "fin").agg(F.max(F.struct("received", "doc_id")).alias("v"), (F.count(F.lit(1)) - 1).alias("superseded")).select("committee_id", "beg", "fin", F.col("v.doc_id").alias("doc_id"), F.col("v.received").alias("received"), "superseded")
 
 
+#: Finals that one filer may have to be gathered in a row; those of filers with more meet by blocks of days.
+GATHERED = 64
+#: Blocks of days are 1, 2, 4 and so on up to 2 ** LEVELS days long.
+LEVELS = 10
+
+
+def _blocks(beg: Column, fin: Column) -> Column:
+    """The fewest blocks (level, number) that make up beg to fin; longer spans take several of the longest."""
+    first, after = F.unix_date(beg), F.unix_date(fin) + 1
+
+    def at(level: int) -> Column:
+        low, high = -F.shiftright(-first, level), F.shiftright(after, level)  # whole blocks only
+        if level == LEVELS:
+            numbers = F.when(low < high, F.sequence(low, high - 1))
+        else:
+            odd = lambda n, block: F.when((low < high) & (n % 2 != 0), block)
+            numbers = F.array_compact(F.array(odd(low, low), odd(high, high - 1)))
+        return F.transform(F.coalesce(numbers, F.array().cast("array<int>")), lambda n: F.struct(F.lit(level).alias("level"), n.alias("number")))
+
+    return F.concat(*[at(k) for k in range(LEVELS + 1)])
+
+
+def _blocks_of_day(day: Column) -> Column:
+    """The block of each level that holds a day."""
+    return F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(F.unix_date(day), k).alias("number")) for k in range(LEVELS + 1)])
+
+
+def _latest_by_blocks(finals: DataFrame) -> DataFrame:
+    """finals with by: the latest (received, doc_id) of the same filer's with an overlapping period, itself included.
+
+    Two periods overlap where one begins within the other, that is where a block of the one's span holds the other's
+    first day. Spans and first days are told as blocks, the latest of each block is kept, and each final looks up its
+    own: some thirty light rows a final, no pair, and no key but a filer's block of days."""
+    span, first = _blocks("beg", "fin"), _blocks_of_day(F.col("beg"))
+
+    def told(spans: str, firsts: str) -> Column:
+        kind = lambda blocks, name: F.transform(blocks, lambda b: F.struct(F.lit(name).alias("kind"), b["level"].alias("level"), b["number"].alias("number")))
+        return F.concat(kind(span, spans), kind(first, firsts))
+
+    each = finals.select("committee_id", F.struct("received", "doc_id").alias("_one"), F.explode(told("span", "first")).alias("_block")).groupBy("committee_id", "_block").agg(F.max("_one").alias("by"))
+    asked = finals.select("*", F.explode(told("first", "span")).alias("_block")).join(each, ["committee_id", "_block"])
+    return asked.groupBy(*finals.columns).agg(F.max("by").alias("by"))
+
+
+def _superseding(finals: DataFrame) -> DataFrame:
+    """finals with by (received, doc_id): the latest of the same filer's that was received later and whose period
+    overlaps; null where there is none, as for finals without a filer, a date or with an end before the beginning."""
+    found = finals.groupBy("committee_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GATHERED).select(F.col("committee_id").alias("_crowded"))
+    same = F.col("committee_id").eqNullSafe(F.col("_crowded"))
+    sound = F.col("committee_id").isNotNull() & F.col("received").isNotNull() & F.coalesce(F.col("beg") <= F.col("fin"), F.lit(False))
+
+    few = finals.join(found, same, "left_anti")
+    listed = few.groupBy("committee_id").agg(F.collect_list(F.struct(*finals.columns)).alias("all"))
+    each = listed.select(F.explode("all").alias("f"), F.filter("all", lambda x: x["beg"] <= x["fin"]).alias("all")).select("f.*", "all")
+    later = F.filter("all", lambda x: (x["received"] > F.col("received")) & (F.col("beg") <= x["fin"]) & (x["beg"] <= F.col("fin")))
+    gathered = each.withColumn("by", F.when(sound, F.array_max(F.transform(later, lambda x: F.struct(x["received"].alias("received"), x["doc_id"].alias("doc_id"))))))
+
+    many = finals.join(found, same, "left_semi")
+    latest = _latest_by_blocks(many.filter(sound))
+    by_blocks = latest.withColumn("by", F.when(F.col("by.received") > F.col("received"), F.col("by")))
+    outcome = by_blocks.unionByName(many.filter(~sound), allowMissingColumns=True)
+    return gathered.drop("all").unionByName(outcome)
+
+
 def overlap_superseders(finals: DataFrame) -> DataFrame:
     """committee_id, doc_id, by_doc, by_received: finals that a later-received one of the same filer with an
     overlapping period supersedes, with the latest such. One pass: a superseded filing still supersedes
-    others. Equal times supersede nothing. The filer's own finals are gathered (a few), so no pair is shuffled."""
-    listed = finals.groupBy("committee_id").agg(F.collect_list(F.struct("received", "doc_id", "beg", "fin")).alias("all"))
-    joined = finals.join(listed, "committee_id")
-    later = F.filter("all", lambda x: (x["received"] > F.col("received")) & (F.col("beg") <= x["fin"]) & (x["beg"] <= F.col("fin")))
-    return joined.withColumn("by", F.array_max(F.transform(later, lambda x: F.struct(x["received"].alias("received"), x["doc_id"].alias("doc_id"))))).filter("by IS NOT NULL").select("committee_id", "doc_id", F.col("by.doc_id").alias("by_doc"), F.col("by.received").alias("by_received"))
+    others. Equal times supersede nothing; nor does a final without a filer or a date, or that ends before it begins.
+    finals: of latest_versions(), one a filer and period, of any number a filer."""
+    return _superseding(finals).filter("by IS NOT NULL").select("committee_id", "doc_id", F.col("by.doc_id").alias("by_doc"), F.col("by.received").alias("by_received"))
+
+
+def unsuperseded(latest: DataFrame) -> DataFrame:
+    """Rows of latest_versions() without those that a later-received one with an overlapping period supersedes. latest is
+    read three times, so a table that is long to make is best written before."""
+    return _superseding(latest).filter("by IS NULL").drop("by")
 
 
 def final_filings(filings: DataFrame) -> DataFrame:
-    """latest_versions() without those that a later-received one with an overlapping period supersedes."""
-    latest = latest_versions(filings)
-    listed = latest.groupBy("committee_id").agg(F.collect_list(F.struct(*latest.columns)).alias("all"))
-    each = listed.select(F.explode("all").alias("f"), "all")
-    later = F.exists("all", lambda x: (x["received"] > F.col("f.received")) & (F.col("f.beg") <= x["fin"]) & (x["beg"] <= F.col("f.fin")))
-    return each.filter(~later).select("f.*")
+    """The latest versions that no later-received one with an overlapping period supersedes."""
+    return unsuperseded(latest_versions(filings))
 
 
 def sworn_amounts(finals: DataFrame, sworn: DataFrame) -> DataFrame:

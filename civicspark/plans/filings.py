@@ -57,7 +57,8 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 def matched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The sworn periods, and the facts summed by them; each given table is read once."""
-    p = stored(spark, periods(spark, sf_dir), "periods")
+    latest = stored(spark, filings.latest_versions(own_filings(spark, sf_dir)), "latest")
+    p = stored(spark, filings.sworn_amounts(filings.unsuperseded(latest), model(spark, sf_dir, "sworn")), "periods")
     return p, stored(spark, filings.matched_facts(p, facts(spark, sf_dir), TYPES, IN_KIND, F.col("is_aggregate")), "matched")
 
 

@@ -158,6 +158,33 @@ def test_equal_times_supersede_nothing(spark):
     assert filings.overlap_superseders(f).count() == 0
 
 
+def test_superseders_of_few_and_of_many_finals_are_those_of_all_pairs(spark, monkeypatch):
+    rng, day0, rows = random.Random(5), d("1969-06-01"), []
+    for filer, n, span in ((1, 30, 900), (2, 300, 2500), (3, 65, 40), (4, 1, 9), (None, 90, 400)):
+        for _ in range(n):
+            beg = rng.randrange(span)
+            end = beg + rng.choice([0, 1, 6, 30, 90, 91, 1500, 90_000, -3])
+            day = lambda x: None if rng.random() < 0.04 else day0 + dt.timedelta(days=x)
+            rows.append((len(rows), filer, day(beg), day(end), day(rng.randrange(120))))
+    f = spark.createDataFrame(rows, "doc_id int, committee_id int, beg date, fin date, received date")
+    latest = filings.latest_versions(f).collect()
+    sound = [x for x in latest if None not in (x.committee_id, x.beg, x.fin, x.received) and x.beg <= x.fin]
+    want = {}
+    for a in sound:
+        later = [(b.received, b.doc_id) for b in sound if b.committee_id == a.committee_id and b.received > a.received and a.beg <= b.fin and b.beg <= a.fin]
+        if later:
+            want[a.doc_id] = max(later)[::-1]
+    assert len(want) > 100
+    for most in (filings.GATHERED, 0, 1000):
+        monkeypatch.setattr(filings, "GATHERED", most)
+        got = filings.overlap_superseders(filings.latest_versions(f)).collect()
+        assert len(got) == len(want) and {r.doc_id: (r.by_doc, r.by_received) for r in got} == want
+        kept = filings.final_filings(f).collect()
+        assert sorted(r.doc_id for r in kept) == sorted(x.doc_id for x in latest if x.doc_id not in want)
+        assert {r.doc_id: r.superseded for r in kept} == {x.doc_id: x.superseded for x in latest if x.doc_id not in want}
+    assert filings.final_filings(f.limit(0)).count() == 0
+
+
 def test_shares_sum_to_the_scale(spark):
     rows = spark.createDataFrame([("g", "a", "1.00"), ("g", "b", "1.00"), ("g", "c", "1.00"), ("z", "a", "0.00")], "k string, n string, v string").withColumn("v", F.col("v").cast("decimal(18,2)"))
     got = {(r.k, r.n): r.units for r in rollups.apportion(rows, ["k"], "n", "v").collect()}
