@@ -277,36 +277,54 @@ def shared_groups(rows: DataFrame, key: str, member: str, kind: str) -> DataFram
     return m.join(kept.select("key", "n"), "key").select(F.lit(kind).alias("kind"), "key", "member", "n")
 
 
+def _organisation_pairs(people: DataFrame, others: DataFrame) -> DataFrame:
+    """p_id, o_id, kind, key, p_total, o_total: a person and an organisation whose name holds all words of theirs, or else
+    that is their employer by name. Names are compared once, by the person's word that fewest organisations hold."""
+    words = lambda c: F.array_sort(F.array_distinct(text.core_tokens(F.col(c))))
+    p = people.select(F.col("donor_id").alias("p_id"), F.col("name").alias("p_name"), F.col("total").alias("p_total"), words("name").alias("p"), F.array_join(text.core_tokens(F.col("employer")), " ").alias("work"))
+    o = others.select(F.col("donor_id").alias("o_id"), F.col("name").alias("o_name"), F.col("total").alias("o_total"), words("name").alias("o"), F.array_join(text.core_tokens(F.col("name")), " ").alias("core"))
+    org_words = o.select("o").distinct().select("o", F.explode("o").alias("w"))
+    held = org_words.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    # A word that no organisation holds settles that the name is in none.
+    asked = p.select("p").distinct().select("p", F.explode("p").alias("w")).join(held, "w", "left")
+    rarest = asked.groupBy("p").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "w")).alias("r")).filter("r.df > 0").select("p", F.col("r.w").alias("w"))
+    names = rarest.join(org_words, "w").filter(F.size(F.array_except("p", "o")) == 0).select("p", "o")
+    inside = p.join(names, "p").join(o, "o").select("p_id", "o_id", F.lit("name in organisation").alias("kind"), F.col("p_name").alias("key"), "p_total", "o_total")
+    # What few bytes meet may be many pairs, so the parts are counted and not left to their size.
+    parts = int(people.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    works = p.filter("work <> ''").repartition(parts, "work").join(o.repartition(parts, "core"), F.col("work") == F.col("core"))
+    # Most pairs are settled by one word, without a set for each.
+    works = works.filter(~((F.size("p") > 0) & F.array_contains("o", F.try_element_at("p", F.lit(1))) & (F.size(F.array_except("p", "o")) == 0)))
+    return inside.unionByName(works.select("p_id", "o_id", F.lit("employer is organisation").alias("kind"), F.col("o_name").alias("key"), "p_total", "o_total"))
+
+
 def related_donors(donors: DataFrame, person: str = "Individual") -> DataFrame:
     """relationship, label, donor_id, n, dollars: donors that are apart but belong together, a row for each member of a group;
     dollars are the group's. donors: donor_id, name, type, employer, total; others than of type person are organisations.
 
     People share an employer (three letters or more) or a surname (four or more). A person goes with an organisation
-    whose name holds all words of theirs, or else that is their employer by name. Names are compared once, by the
-    person's word that fewest organisations hold; donors come back afterwards."""
-    people, others = donors.filter(F.col("type") == person), donors.filter(F.col("type") != person)
+    by _organisation_pairs(). Pairs may be many more than donors, so they carry both totals and are neither shuffled
+    nor summed; only those of ids that stand in several rows are grouped, as the shared ones are."""
     employer, last = text.norm(F.col("employer")), text.surname(F.col("name"))
+    people = donors.filter(F.col("type") == person)
     by = lambda key, kind: shared_groups(people.select(key.alias("k"), "donor_id"), "k", "donor_id", kind)
     shared = by(F.when(F.length(employer) >= 3, employer), "shared employer").unionByName(by(F.when(F.length(last) >= 4, last), "shared surname"))
 
-    words = lambda c: F.array_sort(F.array_distinct(text.core_tokens(F.col(c))))
-    p = people.select(F.col("donor_id").alias("p_id"), F.col("name").alias("p_name"), words("name").alias("p"), F.array_join(text.core_tokens(F.col("employer")), " ").alias("work"))
-    o = others.select(F.col("donor_id").alias("o_id"), F.col("name").alias("o_name"), words("name").alias("o"), F.array_join(text.core_tokens(F.col("name")), " ").alias("core"))
-    org_words = o.select("o").distinct().select("o", F.explode("o").alias("w"))
-    held = org_words.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
-    # A word that no organisation holds settles that the name is in none.
-    asked = p.select("p").distinct().select("p", F.explode("p").alias("w")).join(held, "w", "left")
-    rarest = asked.groupBy("p").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "w")).alias("r")).filter("r.df > 0").select("p", F.col("r.w").alias("w"))
-    names = rarest.join(org_words, "w").filter(F.size(F.array_except("p", "o")) == 0).select("p", "o")
-    inside = p.join(names, "p").join(o, "o").select("p_id", "o_id", F.lit("name in organisation").alias("kind"), F.col("p_name").alias("key"))
-    works = p.filter("work <> ''").join(o, F.col("work") == F.col("core")).filter(~((F.size("p") > 0) & (F.size(F.array_except("p", "o")) == 0)))
-    pairs = inside.unionByName(works.select("p_id", "o_id", F.lit("employer is organisation").alias("kind"), F.col("o_name").alias("key")))
+    repeated = donors.groupBy("donor_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR donor_id IS NULL").select(F.col("donor_id").alias("_id"))
+    same = F.col("donor_id").eqNullSafe(F.col("_id"))
+    once, several = donors.join(repeated, same, "left_anti"), donors.join(repeated, same, "left_semi")
+    sides = lambda d: (d.filter(F.col("type") == person), d.filter(F.col("type") != person))
+    (p, o), (p_several, o_several) = sides(once), sides(several)
     label = F.concat_ws(" / ", "key", F.col("p_id").cast("string"), F.col("o_id").cast("string"))
-    linked = pairs.select("kind", label.alias("key"), F.explode(F.array("p_id", "o_id")).alias("member"), F.lit(2).cast("long").alias("n"))
+    of_pairs = lambda pairs, *more: pairs.select("kind", label.alias("key"), F.explode(F.array("p_id", "o_id")).alias("member"), F.lit(2).cast("long").alias("n"), *more)
+    both = F.coalesce(F.col("p_total") + F.col("o_total"), "p_total", "o_total").cast("decimal(18,2)")
+    plain = of_pairs(_organisation_pairs(p, o), both.alias("dollars"))
+    unclear = of_pairs(_organisation_pairs(p_several, sides(donors)[1]).unionByName(_organisation_pairs(p, o_several)))
 
-    rows = shared.unionByName(linked).join(donors.select(F.col("donor_id").alias("member"), "total"), "member")
+    rows = shared.unionByName(unclear).join(donors.select(F.col("donor_id").alias("member"), "total"), "member")
     sums = rows.groupBy("kind", "key").agg(F.sum("total").cast("decimal(18,2)").alias("dollars"))
-    return rows.join(sums, ["kind", "key"]).select(F.col("kind").alias("relationship"), F.col("key").alias("label"), F.col("member").alias("donor_id"), "n", "dollars")
+    told = rows.join(sums, ["kind", "key"]).select("kind", "key", "member", "n", "dollars").unionByName(plain)
+    return told.select(F.col("kind").alias("relationship"), F.col("key").alias("label"), F.col("member").alias("donor_id"), "n", "dollars")
 
 
 def ranked(pairs: DataFrame, entities: DataFrame, organisations: Sequence[str]) -> DataFrame:

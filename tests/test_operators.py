@@ -1,8 +1,11 @@
 """Operators on small fixtures: the cases that the tables don't hold, and rules that must bite."""
 
+import collections
 import datetime as dt
+import decimal
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +54,35 @@ def test_near_duplicates_of_a_frequent_single_token(spark):
     assert {(r.a, r.b, r.why, r.score) for r in matching.near_duplicates(again).collect()} == whole
 
 
+DONOR = "donor_id int, name string, type string, employer string, total decimal(18,2)"
+
+
+def test_pairs_of_related_donors_carry_their_money(spark):
+    """One employer of many people by many firms: the pairs are many more than the donors, and none is shuffled again."""
+    rows = [(i, f"ada w{i}", "Individual", "Zenith Works", None if i == 3 else i) for i in range(300)] + [(1000 + i, "Zenith Works, Inc.", "PAC", None, None if i < 2 else i) for i in range(300)]
+    found = matching.related_donors(spark.createDataFrame([(a, b, c, e, t if t is None else decimal.Decimal(t)) for a, b, c, e, t in rows], DONOR)).filter("relationship = 'employer is organisation'")
+    got = {(r.label, r.donor_id): r.dollars for r in found.collect()}
+    money_of = lambda a, b: None if a == 3 and b < 2 else (0 if a == 3 else a) + (0 if b < 2 else b)
+    assert got == {(f"Zenith Works, Inc. / {a} / {1000 + b}", m): money_of(a, b) for a in range(300) for b in range(300) for m in (a, 1000 + b)}
+
+    # Nothing above the pairs of plain ids joins or sums them.
+    lines = [(len(re.match(r"[\s:+-]*", line)[0]), line) for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    above = []
+    for i, (depth, line) in enumerate(lines):
+        if "Generate explode(array(p_id" in line:
+            above.append([x.lstrip(" :+-").split()[0] for k, (d, x) in enumerate(lines[:i]) if d < depth and all(e > d for e, _ in lines[k + 1 : i])])
+    assert any(not {"Join", "Aggregate"} & set(x) for x in above)
+
+
+def test_related_donors_of_repeated_ids(spark):
+    """An id in several rows: its pairs count each of them, as the SQL does."""
+    rows = [(1, "ada w1", "Individual", "Zenith Works", 5), (1, "ada w2", "Individual", "Zenith Works", 7), (2, "bea w2", "Individual", "Zenith Works", 1), (8, "Zenith Works Inc.", "PAC", "", 10), (9, "Zenith Works", "PAC", "", 20), (9, "Zenith Works", "PAC", "", 30)]
+    found = matching.related_donors(spark.createDataFrame([(*r[:4], decimal.Decimal(r[4])) for r in rows], DONOR)).filter("relationship = 'employer is organisation'")
+    got = collections.Counter((r.label, r.donor_id, int(r.dollars)) for r in found.collect())
+    once, both, four = "Zenith Works Inc. / 2 / 8", "Zenith Works / 2 / 9", "Zenith Works / 1 / 9"
+    assert got == {(once, 2, 11): 1, (once, 8, 11): 1, (both, 2, 102): 2, (both, 9, 102): 4, ("Zenith Works Inc. / 1 / 8", 1, 44): 4, ("Zenith Works Inc. / 1 / 8", 8, 44): 2, (four, 1, 248): 8, (four, 9, 248): 8}
+
+
 def plain_hint(t, u):
     """The reason of two token lists, by its definition."""
     from civicspark.operators.matching import NICKNAMES
