@@ -76,16 +76,32 @@ def _decomposed(ascii_only: bool) -> tuple[str, str, dict[str, str]]:
     return "".join([*one, *gone]), "".join(one.values()), many
 
 
+_BEYOND_ASCII = r"[^\x00-\x7F]"
+
+
 def _plain_letters(c: Column, ascii_only: bool) -> Column:
+    """c by the table of _decomposed(). Each character costs a look into a hash table at most, and those of ASCII alone
+    not even that: a class of hundreds of characters in a pattern would be tried one by one at each place."""
     given, meant, many = _decomposed(ascii_only)
     one = F.translate(c, given, meant)
-    each = F.transform(F.regexp_extract_all(one, F.lit("(?s)."), F.lit(0)), lambda ch: lookup(many, ch, ch))
-    return F.when(one.rlike(f"[{''.join(many)}]"), F.array_join(each, "")).otherwise(one)
+
+    def place(ch: Column, k: int) -> Column:
+        """The k-th of the characters that ch stands for; those that stand for fewer go."""
+        told = {x: y for x, y in many.items() if len(y) > k}
+        return F.translate(ch, "".join([*told, *(x for x in many if x not in told)]), "".join(y[k] for y in told.values()))
+
+    def spelled(ch: Column) -> Column:
+        first = place(ch, 0)
+        return F.when((F.ascii(ch) < 128) | (first == ch), ch).otherwise(F.concat(first, *[place(ch, k) for k in range(1, max(map(len, many.values())))]))
+
+    pieces = F.regexp_extract_all(one, F.lit(rf"(?s)[\x00-\x7F]+|{_BEYOND_ASCII}"), F.lit(0))
+    holds = one.rlike(_BEYOND_ASCII) & (F.translate(one, "".join(many), "") != one)
+    return F.when(~c.rlike(_BEYOND_ASCII), c).when(holds, F.array_join(F.transform(pieces, spelled), "")).otherwise(one)
 
 
 def fold(c: Column) -> Column:
     """Accents taken off, then what isn't ASCII dropped."""
-    return F.regexp_replace(_plain_letters(c, True), r"[^\x00-\x7F]+", "")
+    return F.regexp_replace(_plain_letters(c, True), f"{_BEYOND_ASCII}+", "")
 
 
 def name_tokens(c: Column, drop: Sequence[str] = tuple(SUFFIXES)) -> Column:

@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import re
 import unicodedata
 
 import pytest
@@ -21,6 +22,15 @@ def test_folding_equals_decomposition(spark):
     assert got == {x: x if x is None else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode() for x in rows}
 
 
+def test_folding_tries_no_long_classes(spark):
+    """Long texts fold in a time that grows with their length alone: no pattern lists hundreds of characters, and none are looked for one by one."""
+    rows = ["plain words " * 4000, "жизнь … ½ ﬁn é\n" * 4000, "\U00100000…\ue000" * 500]
+    folded = spark.createDataFrame([(x,) for x in rows], "s string").repartition(1).select("s", text.fold(F.col("s")).alias("f"))
+    assert {r.s: r.f for r in folded.collect()} == {x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode() for x in rows}
+    plan = folded._jdf.queryExecution().analyzed().toString()
+    assert "map(" not in plan and all(len(p) < 100 for p in re.findall(r"RLIKE\((?:[^,]|,(?! ))*, (\[.*?\])\)|RLIKE (\[.*?\])", plan) for p in p)
+
+
 def test_slugs_of_letters_beyond_latin(spark):
     names = ["Ἀλέξανδρος Παπαδόπουλος", "Ångström-Öberg  III", "Fr. José “Pepe” Ñúñez V", "Ⅷ von Brück", "김 민준"]
     got = [r.s for r in spark.createDataFrame([(n,) for n in names], "n string").select(text.person_slug(F.col("n")).alias("s")).collect()]
