@@ -49,9 +49,7 @@ def src16_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("snk1_file_per_committee", oracle("SELECT CAST(committee_id AS INT) AS committee, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount FROM contributions GROUP BY 1"))
 def snk1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work.folder(spark, "per-key")
-    # Rows of a committee meet in few files, and a committee of very many still has several tasks.
-    c = model(spark, sf_dir, "contributions").repartition("committee_id", F.col("source_filing") % 4)
-    sinks.write_per_key(c, path, "committee_id", ["donor_id", "amount", "date"])
+    sinks.write_per_key(model(spark, sf_dir, "contributions"), path, "committee_id", ["donor_id", "amount", "date"])
     back = spark.read.option("header", True).schema("donor_id long, amount decimal(18,2), date date, by_committee_id int").csv(path)
     return back.groupBy(F.col("by_committee_id").alias("committee")).agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("decimal(18,2)").alias("amount"))
 

@@ -8,9 +8,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_per_key(df: DataFrame, path: str, key: str, layout: Sequence[str]) -> None:
-    """A folder of CSV for each key. The key stands in the folder's name and in a column of the layout if it is one."""
-    df.select(F.col(key).alias(f"by_{key}"), *layout).write.mode("overwrite").partitionBy(f"by_{key}").option("header", True).csv(path)
+#: Rows of a key that one task writes; those of a key with more are dealt to several.
+ROWS_A_FILE = 1_000_000
+
+
+def write_per_key(df: DataFrame, path: str, key: str, layout: Sequence[str], rows_a_file: int = ROWS_A_FILE) -> None:
+    """A folder of CSV for each key. The key stands in the folder's name and in a column of the layout if it is one.
+
+    A key has one file, and one for each rows_a_file rows beyond, so that files grow with keys and rows but not with
+    tasks."""
+    large = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_a_file).select(F.col(key).alias("_key"), F.ceil(F.col("_n") / rows_a_file).alias("_files"))
+    dealt = df.join(large, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_deal", F.when(F.col("_files") > 1, F.pmod(F.xxhash64(*df.columns), "_files")))
+    # The work is in the files, so the parts are counted and not left to their bytes.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = dealt.repartition(parts, F.col(key), F.col("_deal")).select(F.col(key).alias(f"by_{key}"), *layout)
+    rows.write.mode("overwrite").partitionBy(f"by_{key}").option("header", True).csv(path)
 
 
 def write_shards(tables: dict[str, tuple[DataFrame, Sequence[str]]], path: str) -> None:

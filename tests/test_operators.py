@@ -413,6 +413,15 @@ def test_files_by_key_and_shards(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s" / "slim")).columns == ["committee", "amount"]
 
 
+def test_a_key_has_one_file_unless_its_rows_are_many(spark, tmp_path):
+    df = spark.range(3000).select((F.col("id") % 20).alias("k"), "id").unionByName(spark.range(3000, 4000).select(F.lit(None).cast("long").alias("k"), "id")).repartition(8)
+    sinks.write_per_key(df, str(tmp_path / "k"), "k", ["id"], rows_a_file=150)
+    files = collections.Counter(f.parent.name for f in (tmp_path / "k").glob("*/*.csv"))
+    assert {files.pop(f"by_k={k}") for k in range(20)} == {1} and [*files] == ["by_k=__HIVE_DEFAULT_PARTITION__"] and 1 < files["by_k=__HIVE_DEFAULT_PARTITION__"] <= 7
+    back = spark.read.option("header", True).schema("id long, by_k long").csv(str(tmp_path / "k"))
+    assert sorted(map(tuple, back.select("by_k", "id").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
 def test_vote_rules_tell_an_absent_roster_from_an_empty_one(spark):
     votes = spark.createDataFrame([(1, "2024-01-02", '["x"]'), (2, None, None)], "vote_id long, date string, type string")
     meta = spark.createDataFrame([("a", 1, None), ("b", 9, True)], "code string, vote_id long, reverse_coded boolean")
