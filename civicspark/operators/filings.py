@@ -120,6 +120,8 @@ def matched_facts(periods: DataFrame, facts: DataFrame, itemised_types: list[str
     item, kind = F.col("contribution_type").isin(*itemised_types), F.col("contribution_type") == in_kind_type
     money = lambda c: F.when(c, F.col("amount"))
     marked = facts.select("committee_id", "date", money(item).alias("itemised"), money(kind).alias("in_kind"), money(item & ~aggregate).alias("open"), money(aggregate).alias("aggregate"))
+    # Few bytes of a shuffle are many rows in memory, so the parts are counted and not merged up to a size.
+    marked = marked.repartition(int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "committee_id")
     hit = first_period(marked, periods.select("committee_id", "beg", "fin"), ["committee_id"], "date", ["beg", "fin"])
     by = hit.groupBy("committee_id", "beg", "fin", F.when(F.col("beg").isNull(), F.col("date")).alias("date"))
     return by.agg(*[total(F.col(c)).alias(c) for c in ("itemised", "in_kind", "open", "aggregate")])

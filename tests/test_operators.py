@@ -422,6 +422,20 @@ def test_a_key_has_one_file_unless_its_rows_are_many(spark, tmp_path):
     assert sorted(map(tuple, back.select("by_k", "id").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
+def test_matched_facts_keep_their_parts(spark):
+    """Facts of many filers stay in as many parts as a shuffle has, however small these are."""
+    facts = spark.range(2000).select((F.col("id") % 100).alias("committee_id"), F.lit(d("2020-02-01")).alias("date"), F.lit(1).cast("decimal(18,2)").alias("amount"), F.lit("a").alias("contribution_type"))
+    periods = spark.range(50).select(F.col("id").alias("committee_id"), F.lit(d("2020-01-01")).alias("beg"), F.lit(d("2020-03-31")).alias("fin"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        m = filings.matched_facts(periods, facts, ["a"], "b", F.lit(False))
+        assert m.rdd.getNumPartitions() == 16
+        assert {(r.committee_id, r.beg, int(r.itemised)) for r in m.collect()} == {(i, d("2020-01-01") if i < 50 else None, 20) for i in range(100)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_vote_rules_tell_an_absent_roster_from_an_empty_one(spark):
     votes = spark.createDataFrame([(1, "2024-01-02", '["x"]'), (2, None, None)], "vote_id long, date string, type string")
     meta = spark.createDataFrame([("a", 1, None), ("b", 9, True)], "code string, vote_id long, reverse_coded boolean")
