@@ -15,6 +15,8 @@ from civicspark.functions.money import total
 
 #: Lines of a list on a page; the figures beside it count all of them.
 LISTED = 10
+#: Candidacies that are broadcast at most (three columns, some 40 MB); beyond that, facts are shuffled to them.
+BROADCAST = 500_000
 STREAMS = ("direct", "other", "small", "support", "oppose", "before")
 
 
@@ -52,17 +54,38 @@ def inside(start: Column, end: Column, date: Column) -> Column:
     return date.isNotNull() & (start.isNull() | (date >= start)) & (end.isNull() | (date <= end))
 
 
-def card_lines(cards: DataFrame, facts: DataFrame) -> DataFrame:
-    """candidacy_id, stream, other, amount, n, in_kind, self_money, own_committee, last: what each candidacy reads of the
-    facts in its own window. Receipts are read through funding_id, spending through the candidacy itself. Direct receipts
-    before the window are a stream of their own, on the card whose committee it is.
+def read_in_window(facts: DataFrame, key: str, date: Column, cards: DataFrame) -> DataFrame:
+    """The facts that some candidacy reads in its own window, by a key that names it: so few that they are best found before
+    they are joined with anything else. cards: candidacy_id, start_date, end_date."""
+    windows = cards.select("candidacy_id", "start_date", "end_date")
+    windows = F.broadcast(windows) if windows.limit(BROADCAST + 1).count() <= BROADCAST else windows
+    return facts.join(windows, (F.col(key) == F.col("candidacy_id")) & inside(F.col("start_date"), F.col("end_date"), date), "left_semi")
+
+
+def card_facts(cards: DataFrame, facts: DataFrame) -> DataFrame:
+    """The facts that each candidacy reads, with candidacy_id. Receipts are read through funding_id, spending through the
+    candidacy itself. Direct receipts before the window are a stream of their own, on the card whose committee it is.
 
     cards: candidacy_id, funding_id, borrowed, start_date, end_date. facts: of tagged()."""
     ways = F.array(F.struct(F.lit("receipts").alias("role"), F.col("funding_id").alias("key")), F.struct(F.lit("spending").alias("role"), F.col("candidacy_id").alias("key")))
     readers = cards.select("candidacy_id", "borrowed", "start_date", "end_date", F.explode(ways).alias("way")).select("*", "way.*").drop("way").filter("key IS NOT NULL")
     early = (F.col("stream") == "direct") & (F.col("date") < F.col("start_date")) & ~F.col("borrowed")
     stream = F.when(inside(F.col("start_date"), F.col("end_date"), F.col("date")), F.col("stream")).when(early, F.lit("before"))
-    read = facts.join(readers, ["role", "key"]).withColumn("stream", stream).filter("stream IS NOT NULL")
+    return facts.join(readers, ["role", "key"]).withColumn("stream", stream).filter("stream IS NOT NULL")
+
+
+def card_sums(cards: DataFrame, facts: DataFrame) -> DataFrame:
+    """candidacy_id, contributions, other_receipts, small_gifts, ie_support, ie_oppose: the sums of what it reads in its own
+    window, without a line for each counterparty. cards, facts: of card_facts(); of facts, role, key, stream, date and amount."""
+    streams = {"contributions": "direct", "other_receipts": "other", "small_gifts": "small", "ie_support": "support", "ie_oppose": "oppose"}
+    sums = [total(F.when(F.col("stream") == s, F.col("amount"))).alias(c) for c, s in streams.items()]
+    return card_facts(cards, facts).filter(F.col("stream").isin(*streams.values())).groupBy("candidacy_id").agg(*sums)
+
+
+def card_lines(cards: DataFrame, facts: DataFrame) -> DataFrame:
+    """candidacy_id, stream, other, amount, n, in_kind, self_money, own_committee, last: what each candidacy reads of the
+    facts, summed by counterparty. cards, facts: of card_facts()."""
+    read = card_facts(cards, facts)
     sums = [total(F.col(c)).alias(c) for c in ("amount", "in_kind", "self_money", "own_committee")]
     return read.groupBy("candidacy_id", "stream", "other").agg(*sums, F.count(F.lit(1)).alias("n"), F.max("date").alias("last"))
 
@@ -162,16 +185,16 @@ def member_records(members: DataFrame, cards: DataFrame, facts: DataFrame, donor
     m = members.withColumn("finance_state", kind).withColumn("_id", F.when(kind.isin("full", "totals_only"), F.regexp_extract(ref, "([0-9]+)$", 1).try_cast("long")))
     own = cards.withColumns({"funding_id": F.when(F.col("has_committee"), F.col("candidacy_id")), "borrowed": F.lit(False)})
     money = ["contributions", "other_receipts", "small_gifts", "ie_support", "ie_oppose"]
-    figures = card_figures(card_lines(own, facts), 0).select("candidacy_id", *money)
-    order = Window.partitionBy("candidacy_id").orderBy(F.col("amount").desc(), "donor_id")
-    ranked = donors.filter("NOT is_self").withColumn("rank", F.row_number().over(order))
+    figures = card_sums(own, facts)
+    order = Window.partitionBy("candidacy_id", "is_self").orderBy(F.col("amount").desc(), "donor_id")
+    ranked = donors.repartition("candidacy_id").withColumn("rank", F.row_number().over(order))
+    them = ~F.col("is_self")
+    lists = F.sort_array(F.collect_list(F.when(them & (F.col("rank") <= LISTED), F.struct("rank", "donor_id", "amount", "n"))))
     listed = ranked.groupBy("candidacy_id").agg(
-        F.sort_array(F.collect_list(F.when(F.col("rank") <= LISTED, F.struct("rank", "donor_id", "amount", "n")))).alias("donors"),
-        F.count(F.lit(1)).alias("donor_count"),
-        total(F.col("amount")).alias("covered"),
-    )
-    selves = donors.filter("is_self").groupBy("candidacy_id").agg(F.count(F.lit(1)).alias("self_funders"))
-    facts_of = own.join(figures, "candidacy_id", "left").join(listed, "candidacy_id", "left").join(selves, "candidacy_id", "left")
+        F.when(F.count_if(them) > 0, lists).alias("donors"), F.count_if(them).alias("donor_count"),
+        F.sum(F.when(them, F.col("amount"))).cast("decimal(18,2)").alias("covered"), F.count_if("is_self").alias("self_funders"),
+    )
+    facts_of = own.join(figures, "candidacy_id", "left").join(listed, "candidacy_id", "left")
     by = facts_of.select(
         F.explode(F.array(F.struct(F.lit("full").alias("finance_state"), F.col("person_id").alias("_id")), F.struct(F.lit("totals_only").alias("finance_state"), F.col("candidacy_id").alias("_id")))).alias("w"),
         "candidacy_id", "election", F.col("funding_id").alias("committee_id"), *[F.coalesce(c, F.lit(0)).cast("decimal(18,2)").alias(c) for c in money], "donors", "donor_count", "covered", "self_funders",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from civicspark.functions.money import total
 from civicspark.operators import pages
 
-from .model import given, oracle
+from .model import given, oracle, raw
 from .money import M
 from .registry import query
 
@@ -130,12 +130,14 @@ RECORDS = HEADS + f", members AS ({MEMBERS}), donated AS ({DONATED}), k AS (SELE
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cards, receipts = given(spark, sf_dir, CARDS), given(spark, sf_dir, RECEIPTS)
+    cards = given(spark, sf_dir, CARDS)
     own = cards.filter("has_committee").select("candidacy_id", "election", "start_date", "end_date")
+    lines = pages.read_in_window(raw(spark, sf_dir, "lineitem"), "l_suppkey", F.col("l_shipdate").cast("date"), own)
+    receipts = given(spark, sf_dir, RECEIPTS, {"lineitem": lines})
     within = pages.inside(F.col("start_date"), F.col("end_date"), F.col("date"))
     donated = receipts.filter("stream = 'direct'").join(own, F.col("committee_id") == F.col("candidacy_id")).filter(within)
     donated = donated.groupBy("candidacy_id", "election", "donor_id", "is_self").agg(total(F.col("amount")).alias("amount"), F.count(F.lit(1)).alias("n"))
-    return pages.member_records(given(spark, sf_dir, MEMBERS), cards, facts(spark, sf_dir), donated)
+    return pages.member_records(given(spark, sf_dir, MEMBERS), cards, pages.tagged(receipts, given(spark, sf_dir, SPENDING)), donated)
 
 
 @query("ag55_member_records", oracle(RECORDS + " SELECT * FROM records"))

@@ -74,3 +74,26 @@ def test_member_records(spark, cards, facts):
     assert [tuple(x)[1:] for x in full.donors] == [(7, full.donors[0].amount, 2)] and (full.donor_count, full.self_funders, full.coverage_milli, full.has_donor_detail) == (1, 1, 1000, True)
     assert by[2, "2019"].donors is None and by[2, "2019"].finance_state == "totals_only" and float(by[2, "2019"].contributions) == 10
     assert [by[i, None].finance_state for i in (3, 4, 5)] == ["vacancy", "no_record", "full"]
+
+
+def test_member_sums_need_no_counterparties(spark, cards, facts):
+    """A member's money is summed by candidacy, not first by counterparty; one who alone funds an election has no list."""
+    members = spark.createDataFrame([(1, "s1", "p-10")], "member_id long, seat string, candidacy_ref string")
+    donors = spark.createDataFrame([(1, "2019", 8, 5, 1, True)], "candidacy_id long, election string, donor_id long, amount long, n long, is_self boolean").withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    bare = facts.select("role", "key", "stream", "date", "amount")
+    row = pages.member_records(members, cards, bare, donors).filter("election = '2019'").first()
+    own = cards.withColumns({"funding_id": F.when(F.col("has_committee"), F.col("candidacy_id")), "borrowed": F.lit(False)})
+    line = pages.card_figures(pages.card_lines(own, facts)).filter("candidacy_id = 1").first()
+    assert [row[c] for c in ("contributions", "other_receipts", "small_gifts", "ie_support", "ie_oppose")] == [line[c] for c in ("contributions", "other_receipts", "small_gifts", "ie_support", "ie_oppose")]
+    assert (row.donors, row.donor_count, row.self_funders, row.coverage_milli, row.has_donor_detail) == (None, 0, 1, None, False)
+
+
+@pytest.mark.parametrize("most", [pages.BROADCAST, 0])
+def test_facts_are_read_in_a_window(spark, monkeypatch, most):
+    """Facts in a window of their own candidacy, bounds included and open ones too, whether or not the windows are broadcast."""
+    monkeypatch.setattr(pages, "BROADCAST", most)
+    windows = spark.createDataFrame([(1, D.fromisoformat("2019-01-01"), D.fromisoformat("2019-12-31")), (2, None, D.fromisoformat("2019-12-31")), (3, D.fromisoformat("2019-01-01"), None)], "candidacy_id long, start_date date, end_date date")
+    days = [None, "2018-12-31", "2019-01-01", "2019-12-31", "2020-01-01"]
+    rows = spark.createDataFrame([(i, k, s and D.fromisoformat(s)) for i, k in enumerate((1, 2, 3, 4, None)) for s in days], "n int, k long, day date")
+    got = {(r.k, str(r.day)) for r in pages.read_in_window(rows, "k", F.col("day"), windows).collect()}
+    assert got == {(1, "2019-01-01"), (1, "2019-12-31"), (2, "2018-12-31"), (2, "2019-01-01"), (2, "2019-12-31"), (3, "2019-01-01"), (3, "2019-12-31"), (3, "2020-01-01")}
