@@ -322,7 +322,9 @@ def dq16_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
           FROM v_donor d LEFT JOIN per ON d.seat = per.seat AND d.election = per.election AND d.donor_id = per.donor_id)""",
 ))
 def dq16_donors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validators.donor_list_rules(*tables(spark, sf_dir, "v_figure", "v_source", "v_donor", "v_item", "v_cover", "v_self"))
+    names = ["v_figure", "v_source", "v_donor", "v_item", "v_cover", "v_self"]
+    made = stored(spark, sf_dir, names, ["v_donor", "v_source"])
+    return validators.donor_list_rules(*[made[n] for n in names])
 
 
 @query("dq16_vocabulary", rules(

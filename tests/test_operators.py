@@ -422,6 +422,14 @@ def test_a_key_has_one_file_unless_its_rows_are_many(spark, tmp_path):
     assert sorted(map(tuple, back.select("by_k", "id").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
+def test_donor_lists_read_line_items_once(spark):
+    """What is said of donors comes from written lists; line items are read again for the items only."""
+    from civicspark.plans import registry
+
+    plan = registry.QUERIES["dq16_donor_lists"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation [" in line and "l_suppkey" in line for line in plan.splitlines()) == 1
+
+
 def test_matched_facts_keep_their_parts(spark):
     """Facts of many filers stay in as many parts as a shuffle has, however small these are."""
     facts = spark.range(2000).select((F.col("id") % 100).alias("committee_id"), F.lit(d("2020-02-01")).alias("date"), F.lit(1).cast("decimal(18,2)").alias("amount"), F.lit("a").alias("contribution_type"))
