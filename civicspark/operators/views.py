@@ -12,6 +12,9 @@ from civicspark.functions.money import total
 
 from .numbering import numbered
 
+#: Rows of a part of the facts dealt by donor, on average, at most.
+PART_ROWS = 500_000
+
 
 def candidate_figures(money: DataFrame, spending: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Total, self, own committee, third party, count; and money spent for and against. Rows without a window are refused.
@@ -29,8 +32,16 @@ def contributor_lines(money: DataFrame, keys: Sequence[str]) -> DataFrame:
     return g.withColumn("in_kind_share", F.round(F.when(F.col("amount") != 0, F.col("in_kind").cast("double") / F.col("amount").cast("double")).otherwise(0.0), 4))
 
 
+def by_donor(facts: DataFrame, rows: int) -> DataFrame:
+    """facts by donor, in as many parts as a shuffle has, and more where a part would have over PART_ROWS of all rows. Counted
+    parts are not merged up to a size: few bytes of a shuffle are many groups in memory."""
+    parts = max(int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // PART_ROWS))
+    return facts.repartition(parts, "donor_id")
+
+
 def donor_footprint(money: DataFrame) -> DataFrame:
-    """level, donor_id, part, amount, n: a donor's money by recipient, by year, by cycle and by office, in one pass."""
+    """level, donor_id, part, amount, n: a donor's money by recipient, by year, by cycle and by office, in one pass. Money
+    that is dealt by_donor() is summed where it lies."""
     cols = ["committee_id", "year", "cycle", "office"]
     parts = F.explode(F.array(*[F.struct(F.lit(c).alias("level"), F.col(c).cast("string").alias("part")) for c in cols])).alias("x")
     return money.select("donor_id", "amount", parts).groupBy("donor_id", "x.level", "x.part").agg(total(F.col("amount")).alias("amount"), F.count(F.lit(1)).alias("n"))

@@ -25,14 +25,16 @@ def cycled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar.with_cycle(model(spark, sf_dir, "contributions"), model(spark, sf_dir, "cycles"), after="last", gap="last")
 
 
-def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def joined(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
+    """Contributions (or facts, made of them by cycled()) with their donors."""
     donors = model(spark, sf_dir, "donors").select("donor_id", "parent_id", F.col("type").alias("donor_type"), "tags", F.col("name").alias("donor_name"))
-    return cycled(spark, sf_dir).join(donors, "donor_id", "left")
+    facts = cycled(spark, sf_dir) if facts is None else facts
+    return facts.join(donors, "donor_id", "left")
 
 
-def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def counted(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
     rule = money.counted(F.col("contribution_type"), F.col("cycle"), F.col("is_aggregate"), F.col("is_own_committee"), F.col("donor_type"))
-    return joined(spark, sf_dir).filter(rule)
+    return joined(spark, sf_dir, facts).filter(rule)
 
 
 def tag_list(c: str = "tags"):

@@ -44,7 +44,8 @@ def ag39(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ag40_footprint", oracle(COUNTED + f", f AS (SELECT c.donor_id, c.amount, CAST(c.committee_id AS VARCHAR) AS committee_id, CAST(extract(year FROM c.date) AS VARCHAR) AS year, c.cycle, m.office FROM counted c JOIN committees m ON c.committee_id = m.committee_id) " + " UNION ALL ".join(f"SELECT donor_id, '{k}' AS level, {k} AS part, {M.format('amount')} AS amount, count(*) AS n FROM f GROUP BY donor_id, {k}" for k in ("committee_id", "year", "cycle", "office"))))
 def ag40(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = model(spark, sf_dir, "committees").select("committee_id", "office")
-    return views.donor_footprint(counted(spark, sf_dir).join(m, "committee_id").withColumn("year", F.year("date")))
+    facts = cycled(spark, sf_dir).join(m, "committee_id").withColumn("year", F.year("date"))
+    return views.donor_footprint(counted(spark, sf_dir, views.by_donor(facts, raw(spark, sf_dir, "lineitem").count())))
 
 
 @query("ag41_committee_profile", oracle(WINDOWED + f" SELECT spender_id, window_id, count(DISTINCT target_id) AS targets, {M.format(chr(67) + 'ASE WHEN stance = ' + repr('support') + ' THEN amount END')} AS support, {M.format('CASE WHEN stance = ' + repr('oppose') + ' THEN amount END')} AS oppose, string_agg(DISTINCT flag, ',' ORDER BY flag) AS methods FROM ie GROUP BY 1, 2"))

@@ -422,6 +422,16 @@ def test_a_key_has_one_file_unless_its_rows_are_many(spark, tmp_path):
     assert sorted(map(tuple, back.select("by_k", "id").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
+def test_footprints_keep_counted_parts(spark, monkeypatch):
+    """Facts by donor are summed in parts that follow their rows; small parts are not merged."""
+    from civicspark.operators import views
+    from civicspark.plans import registry
+
+    query, rows = registry.QUERIES["ag40_footprint"], spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    monkeypatch.setattr(views, "PART_ROWS", 500, raising=False)
+    assert query(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == -(-rows // 500) > 4
+
+
 def test_donor_lists_read_line_items_once(spark):
     """What is said of donors comes from written lists; line items are read again for the items only."""
     from civicspark.plans import registry
